@@ -1,0 +1,8 @@
+"""Streaming surface.
+
+The job this library re-expresses is batch only: it has no stream source,
+watermark, stateful operator or stream sink (its message-bus settings are
+parsed but never used). Incremental loads are handled in batch by the
+``IL``/``IR`` load types with dynamic partition overwrite
+(``shelfroll.plans.jobs``). Nothing is implemented here on purpose.
+"""
