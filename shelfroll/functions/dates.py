@@ -19,12 +19,18 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 SLASH_DATE_FORMAT = "yyyy/MM/dd"
 
 
-def _date(v: Column | str | dt.date) -> Column:
+def _date(v: Column | str | int | dt.date) -> Column:
+    """A date Column from a Column, date, ``yyyyMMdd`` int/text or ``yyyy-MM-dd`` text."""
     if isinstance(v, Column):
         return v
+    if isinstance(v, dt.datetime):
+        return F.lit(v.date())
     if isinstance(v, dt.date):
         return F.lit(v)
-    return F.to_date(F.lit(v))
+    s = str(v).strip()
+    if len(s) == 8 and s.isdigit():
+        return F.lit(dt.date(int(s[:4]), int(s[4:6]), int(s[6:])))
+    return F.lit(dt.date.fromisoformat(s.replace("/", "-")))
 
 
 def today(as_of: Column | str | dt.date) -> Column:
@@ -61,7 +67,7 @@ def period_key_int(d: Column | str) -> Column:
 def parse_period_key(s: Column | str) -> Column:
     """``yyyyMMdd`` text → date; null for malformed or impossible dates."""
     col = F.col(s) if isinstance(s, str) else s
-    return F.try_to_date(col.cast("string"), F.lit(KEY_FORMAT))
+    return F.try_to_date(col.cast("string"), KEY_FORMAT)
 
 
 def key_to_date(k: Column | str) -> Column:
@@ -82,7 +88,7 @@ def day_of_week(s: Column | str, as_of: Column | str | dt.date) -> Column:
     instead of an error text.
     """
     col = F.col(s) if isinstance(s, str) else s
-    parsed = F.try_to_date(F.translate(col, "-", "/"), F.lit(SLASH_DATE_FORMAT))
+    parsed = F.try_to_date(F.translate(col, "-", "/"), SLASH_DATE_FORMAT)
     return F.date_format(F.when(col.isNull(), _date(as_of)).otherwise(parsed), "EEEE")
 
 
@@ -93,5 +99,5 @@ def in_date_range(path: Column | str, start: str | dt.date, end: str | dt.date)
     """
     col = F.col(path) if isinstance(path, str) else path
     tail = F.when(F.length(col) >= 8, F.substring(col, -8, 8))
-    d = F.try_to_date(tail, F.lit(KEY_FORMAT))
+    d = F.try_to_date(tail, KEY_FORMAT)
     return F.coalesce(d.between(_date(start), _date(end)), F.lit(False))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -66,10 +66,26 @@ def attach_calendar(daily: DataFrame, calendar: DataFrame) -> DataFrame:
     return daily.join(cal, S.PERIOD, "inner")
 
 
-def build_staging(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Raw facts → staging table (17 columns, unique on the six keys)."""
+def build_staging(fact: DataFrame, calendar: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """Raw facts → staging table (17 columns, unique on the six keys).
+
+    With an ``observation``, the number of daily rows whose period is missing
+    from the calendar (and which therefore drop) is recorded as
+    ``off_calendar`` while the staging is computed, without a second pass.
+    """
     daily = daily_agg(fact_rounded(fact))
-    joined = attach_calendar(daily, calendar)
+    if observation is None:
+        joined = attach_calendar(daily, calendar)
+    else:
+        cal = maybe_broadcast(
+            calendar.select(S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK))
+            .withColumn("_on_calendar", F.lit(True))
+        )
+        left = daily.join(cal, S.PERIOD, "left")
+        observed = left.observe(
+            observation, F.sum(F.when(F.col("_on_calendar").isNull(), 1).otherwise(0)).alias("off_calendar")
+        )
+        joined = observed.where(F.col("_on_calendar").isNotNull())
     return joined.select(
         *S.K6,
         *[F.col(m.name).alias(m.ty) for m in S.METRICS],

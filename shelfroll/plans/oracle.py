@@ -62,8 +62,8 @@ def staging_units_cte() -> str:
     )
 
 
-def daily_units_cte() -> str:
-    """TY ⟗ shifted LY in units, zero-filled (short form)."""
+def daily_units_cte(lo: int | None = None, hi: int | None = None) -> str:
+    """TY ⟗ shifted LY in units, zero-filled (short form); optional TY day range."""
     ly_cols = ", ".join(f"s.{m.ty} AS {m.ly}" for m in S.METRICS)
     k5s = ", ".join(f"s.{k}" for k in S.K5)
     on = " AND ".join(f"t.{k} = l.{k}" for k in S.K6)
@@ -71,13 +71,16 @@ def daily_units_cte() -> str:
     metrics = ", ".join(
         [f"coalesce(t.{c}, 0) AS {c}" for c in S.TY_METRICS] + [f"coalesce(l.{c}, 0) AS {c}" for c in S.LY_METRICS]
     )
+    rng = f" AND period_key BETWEEN {lo} AND {hi}" if lo is not None else ""
+    ty_src = f"(SELECT * FROM stg WHERE TRUE{rng})" if lo is not None else "stg"
+    cal_src = f"(SELECT * FROM calw WHERE TRUE{rng})" if lo is not None else "calw"
     return (
         f"{window_cte()},\n"
         f"ly AS (SELECT {k5s}, w.period_key, w.week_ended, s.period_key AS ly_period_key, {ly_cols} "
-        f"FROM stg s JOIN calw w ON s.period_key = w.ly_period_key),\n"
+        f"FROM stg s JOIN {cal_src} w ON s.period_key = w.ly_period_key),\n"
         f"dly AS (SELECT {keys}, coalesce(t.week_ended, l.week_ended) AS week_ended, "
         f"coalesce(t.ly_period_key, l.ly_period_key) AS ly_period_key, {metrics} "
-        f"FROM stg t FULL OUTER JOIN ly l ON {on})"
+        f"FROM {ty_src} t FULL OUTER JOIN ly l ON {on})"
     )
 
 
@@ -94,15 +97,11 @@ def weekly_units_cte() -> str:
     return f"wk AS (SELECT {WK}, {', '.join(aggs)} FROM dly GROUP BY {WK})"
 
 
-def metric_out(c: str, weekly: bool = False) -> str:
-    """Final double of a units column."""
-    name = c.rsplit("_", 1)[0]
-    m = S.METRIC_BY_NAME[name]
-    if m.daily == "avg":
-        scale = 10 if weekly else 6
-    else:
-        scale = 2
-    return f"{units_to_double(c, scale)} AS {c}"
+def metric_out(c: str, weekly: bool = False, expr: str | None = None, alias: str | None = None) -> str:
+    """Final double of the units column ``c`` (or of ``expr`` in ``c``'s units)."""
+    m = S.METRIC_BY_NAME[c.rsplit("_", 1)[0]]
+    scale = (10 if weekly else 6) if m.daily == "avg" else 2
+    return f"{units_to_double(expr or c, scale)} AS {alias or c}"
 
 
 def staging_sql() -> str:
@@ -133,3 +132,62 @@ def with_daily(select: str) -> str:
 
 def with_staging(select: str) -> str:
     return f"WITH {base_ctes()},\n{staging_units_cte()}\n{select}"
+
+
+def with_daily_range(lo: int, hi: int, select: str) -> str:
+    return f"WITH {base_ctes()},\n{staging_units_cte()},\n{daily_units_cte(lo, hi)}\n{select}"
+
+
+def with_weekly(select: str) -> str:
+    return f"WITH {base_ctes()},\n{staging_units_cte()},\n{daily_units_cte()},\n{weekly_units_cte()}\n{select}"
+
+
+def metric_out_as(col: str, alias: str, weekly: bool = False) -> str:
+    """Like :func:`metric_out` for a units column named ``col``, output as ``alias``."""
+    return metric_out(col, weekly, alias=alias)
+
+
+def chained_ctes() -> str:
+    """Bridge ⟗ staging (j2), then ⨝ windowed calendar (j3), in units."""
+    on = " AND ".join(f"b.{k} = s.{k}" for k in S.K6)
+    k5 = ", ".join(f"coalesce(b.{k}, s.{k}) AS {k}" for k in S.K5)
+    ly = ", ".join(f"s.{m.ty} AS {m.ly}" for m in S.METRICS)
+    return (
+        f"{window_cte()},\n"
+        f"b AS (SELECT {K5}, ly_period_key AS period_key FROM stg),\n"
+        f"j2 AS (SELECT coalesce(b.period_key, s.period_key) AS ly_period_key, {k5}, {ly} "
+        f"FROM b FULL OUTER JOIN stg s ON {on}),\n"
+        f"j3 AS (SELECT j2.*, w.period_key AS x_period_key, w.week_ended AS x_week_ended "
+        f"FROM j2 JOIN calw w ON j2.ly_period_key = w.ly_period_key)"
+    )
+
+
+def with_chained(select: str) -> str:
+    return f"WITH {base_ctes()},\n{staging_units_cte()},\n{chained_ctes()}\n{select}"
+
+
+LY_BRIDGE_FULL_SELECT = (
+    f"SELECT ly_period_key, {K5}, " + ", ".join(metric_out(c) for c in S.LY_METRICS) + " FROM j2"
+)
+LY_BRIDGE_FULL_ZERO_SELECT = (
+    f"SELECT ly_period_key, {K5}, "
+    + ", ".join(metric_out(c, expr=f"coalesce({c}, 0)") for c in S.LY_METRICS)
+    + " FROM j2"
+)
+KEY_FALLBACK_SELECT = (
+    "SELECT "
+    + ", ".join(f"coalesce(t.{k}, l.{k}) AS {k}" for k in S.K5)
+    + ", coalesce(t.ly_period_key, l.ly_period_key) AS ly_period_key, "
+    "coalesce(nullif(CAST(t.period_key AS VARCHAR), ''), CAST(l.x_period_key AS VARCHAR)) AS period_text, "
+    "coalesce(nullif(CAST(t.week_ended AS VARCHAR), ''), CAST(l.x_week_ended AS VARCHAR)) AS week_text "
+    "FROM stg t FULL OUTER JOIN j3 l ON t.ly_period_key = l.ly_period_key AND "
+    + " AND ".join(f"t.{k} = l.{k}" for k in S.K5)
+)
+
+GROUP_AGG_SQL = (
+    f"WITH {base_ctes()},\n{staging_units_cte()}\n"
+    f"SELECT vendor_key, osa_type_key, {units_to_double('sum(total_units)', 2)} AS sum_total_units, "
+    f"{units_to_double(half_up_div('sum(osa_duration)', 'count(osa_duration)', 10 ** 4), 6)} AS avg_osa_duration, "
+    "min(period_key) AS first_period, max(period_key) AS last_period, count(total_sales) AS n_sales "
+    "FROM r GROUP BY vendor_key, osa_type_key"
+)
