@@ -9,6 +9,7 @@ log, whose rows carry wall-clock stamps).
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -203,7 +204,20 @@ def sink_weekly_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _upsert_round_trip(spark, df, sinks.write_weekly, read_weekly, F.year(S.WEEK_ENDED) == UPSERT_YEAR)
 
 
+_JOBS: dict[tuple[str, str], JobParams] = {}
+_JOBS_LOCK = threading.Lock()
+
+
 def _full_load_job(spark: SparkSession, sf: str) -> JobParams:
+    """One FL job run per (session, data folder), shared by the job queries."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    with _JOBS_LOCK:
+        if key not in _JOBS:
+            _JOBS[key] = _run_full_load_job(spark, sf)
+        return _JOBS[key]
+
+
+def _run_full_load_job(spark: SparkSession, sf: str) -> JobParams:
     from .jobs import run_job  # local import: jobs imports sinks/tables only
 
     fact_dir = stored(spark, sf, "fact")
