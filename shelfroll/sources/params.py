@@ -158,7 +158,7 @@ def read_params(spark: SparkSession, path: str) -> JobParams:
     The document is read as text by Spark (so cluster file systems work) and
     parsed on the driver; it is one small object, never data.
     """
-    rows = spark.read.option("wholetext", True).text(path).collect()
+    rows = spark.read.text(path, wholetext=True).collect()
     if len(rows) != 1:
         raise JobParamsError(f"expected one parameter file at {path}, found {len(rows)}")
     try:

@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from shelfroll.functions import dates as D
+from shelfroll.functions import strings as STR
+
+STRINGS = [None, "", "[a, b]", "a b C", "x,y,,", ",,", "[a]\t[ b ]"]
+
+
+def _col(spark, values, f, typ="string"):
+    df = spark.createDataFrame([(v,) for v in values], f"s {typ}")
+    return [r[0] for r in df.select(f(F.col("s"))).collect()]
+
+
+def test_sentence_case_and_upper(spark):
+    assert _col(spark, STRINGS, STR.sentence_case) == [None, "", "[a, b]", "A b c", "X,y,,", ",,", "[a]\t[ b ]"]
+    assert _col(spark, ["hELLO wORLD"], STR.sentence_case) == ["Hello world"]
+    assert _col(spark, STRINGS, STR.upper_case)[3] == "A B C"
+
+
+def test_strip_brackets_and_replace_char(spark):
+    assert _col(spark, STRINGS, STR.strip_brackets) == [None, "", "a, b", "a b C", "x,y,,", ",,", "a\t b "]
+    assert _col(spark, ["Brand#13", None], lambda c: STR.replace_char(c, "#")) == ["Brand 13", None]
+
+
+def test_case_or_message(spark):
+    got = _col(spark, [None, "", "aB"], STR.case_or_message)
+    assert got == [STR.EMPTY_ARGUMENT_MESSAGE, STR.EMPTY_ARGUMENT_MESSAGE, "Ab"]
+    assert _col(spark, ["aB"], lambda c: STR.case_or_message(c, STR.upper_case)) == ["AB"]
+
+
+def test_clean_list(spark):
+    got = _col(spark, STRINGS, STR.clean_list)
+    assert got == [None, [""], ["a", "b"], ["abC"], ["x", "y"], [], ["ab"]]
+    assert _col(spark, [",a,,b"], STR.clean_list) == [["", "a", "", "b"]]
+
+
+def test_relative_dates_cross_year_end(spark):
+    as_of = dt.date(2019, 1, 1)
+    df = spark.range(1).select(
+        D.today(as_of).alias("t"),
+        D.yesterday(as_of).alias("y"),
+        D.days_ago(as_of, 3).alias("a"),
+        D.current_year(as_of).alias("c"),
+    )
+    r = df.first()
+    assert (r.t, r.y, r.a, r.c) == ("2019-01-01", "2018-12-31", "2018-12-29", 2019)
+
+
+def test_period_key_format_and_parse(spark):
+    assert _col(spark, [dt.date(2019, 6, 24)], D.to_period_key, "date") == ["20190624"]
+    got = _col(spark, ["20190624", "20191301", "2019062", "20190230", None, "abc"], D.parse_period_key)
+    assert got == [dt.date(2019, 6, 24), None, None, None, None, None]
+    df = spark.createDataFrame([(dt.datetime(2019, 6, 24, 8, 6, 50),)], "ts timestamp")
+    assert df.select(D.run_timestamp("ts")).first()[0] == "2019-06-24 08:06:50"
+
+
+def test_day_of_week(spark):
+    as_of = dt.date(2019, 6, 24)
+    got = _col(spark, ["2019-06-24", "2019/06/25", "2019-13-01", None, "junk"], lambda c: D.day_of_week(c, as_of))
+    assert got == ["Monday", "Tuesday", None, "Monday", None]
+
+
+def test_in_date_range(spark):
+    paths = ["vendor_key=1/period_key=20190601", "vendor_key=1/period_key=20190701", "short", "x/period_key=2019xx01", None]
+    got = _col(spark, paths, lambda c: D.in_date_range(c, 20190501, "2019-06-30"))
+    assert got == [True, False, False, False, False]
