@@ -41,16 +41,19 @@ def rename_to_ly(df: DataFrame) -> list[Column]:
     return [F.col(m.ty).alias(m.ly) for m in S.METRICS]
 
 
-def ly_shift(ly_source: DataFrame, calendar: DataFrame) -> DataFrame:
+def ly_shift(ly_source: DataFrame, calendar: DataFrame, salt: bool = False) -> DataFrame:
     """LY rows moved forward to the TY day(s) whose LY day they are.
 
     Output: the six keys (``period_key`` = TY day), ``week_ended`` of that TY
     day, ``ly_period_key`` = the source row's own day, and ``*_ly`` metrics.
-    When two TY days share one LY day the LY row appears on both.
+    When two TY days share one LY day the LY row appears on both. With
+    ``salt`` the null-key salt column used by :func:`build_daily` is added.
     """
-    cal = maybe_broadcast(calendar.select(S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED).withColumnRenamed(S.PERIOD, "_ty_day"))
-    src = ly_source.select(*S.K5, F.col(S.PERIOD).alias(S.LY_PERIOD), *[F.col(m.ty) for m in S.METRICS])
-    j = src.join(cal, S.LY_PERIOD, "inner")
+    cal = maybe_broadcast(
+        calendar.select(F.col(S.PERIOD).alias("_ty_day"), F.col(S.LY_PERIOD).alias("_ly_day"), F.col(S.WEEK_ENDED).alias("_ty_week"))
+    )
+    j = ly_source.join(cal, F.col(S.PERIOD) == F.col("_ly_day"), "inner")
+    extra = [null_key_salt(S.K5 + ["_ty_day"], S.TY_METRICS).alias(_SALT)] if salt else []
     return j.select(
         S.RETAILER,
         S.VENDOR,
@@ -58,9 +61,10 @@ def ly_shift(ly_source: DataFrame, calendar: DataFrame) -> DataFrame:
         S.ITEM,
         S.STORE,
         S.OSA_TYPE,
-        S.WEEK_ENDED,
-        F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD),
-        *rename_to_ly(j),
+        F.col("_ty_week").alias(S.WEEK_ENDED),
+        F.col(S.PERIOD).cast("int").alias(S.LY_PERIOD),
+        *[F.col(m.ty).alias(m.ly) for m in S.METRICS],
+        *extra,
     )
 
 
@@ -83,8 +87,9 @@ def key_fallback(c: Column | str, fallback: Column | str) -> Column:
     return F.coalesce(F.nullif(col.cast("string"), F.lit("")), fb.cast("string"))
 
 
-def _final(joined: DataFrame) -> DataFrame:
-    return joined.select(
+def _final_columns(metric_col) -> list[Column]:
+    """The daily layout; ``metric_col(name)`` gives each metric's source column."""
+    return [
         S.RETAILER,
         S.VENDOR,
         F.col(S.PERIOD).cast("int").alias(S.PERIOD),
@@ -92,9 +97,13 @@ def _final(joined: DataFrame) -> DataFrame:
         S.ITEM,
         S.STORE,
         S.OSA_TYPE,
-        *[F.coalesce(F.col(c), F.lit(0.0)).cast("double").alias(c) for c in S.FINAL_METRICS],
+        *[F.coalesce(metric_col(c), F.lit(0.0)).cast("double").alias(c) for c in S.FINAL_METRICS],
         F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD),
-    )
+    ]
+
+
+def _final(joined: DataFrame) -> DataFrame:
+    return joined.select(*_final_columns(F.col))
 
 
 def build_daily(
@@ -121,18 +130,30 @@ def build_daily(
             src = src.limit(0)
         else:
             src = src.where(period_between(lo, hi))
-    ly = ly_shift(src, cal)
-
-    ty_side = ty.select(*S.K6, S.WEEK_ENDED, F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD), *S.TY_METRICS)
-    ty_side = ty_side.withColumn(_SALT, null_key_salt(S.K6, S.TY_METRICS))
-    ly_side = ly.withColumn(_SALT, null_key_salt(S.K6, S.LY_METRICS))
+    ly_side = ly_shift(src, cal, salt=True).alias("l")
+    ty_side = ty.select(
+        *S.K6,
+        S.WEEK_ENDED,
+        F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD),
+        *S.TY_METRICS,
+        null_key_salt(S.K6, S.TY_METRICS).alias(_SALT),
+    ).alias("t")
 
-    t, l = ty_side.alias("t"), ly_side.alias("l")
     cond = [F.col(f"t.{k}") == F.col(f"l.{k}") for k in S.K6 + [_SALT]]
-    j = t.join(l, cond, "full_outer")
-    coalesced = [F.coalesce(F.col(f"t.{k}"), F.col(f"l.{k}")).alias(k) for k in S.K6 + [S.WEEK_ENDED, S.LY_PERIOD]]
-    out = j.select(*coalesced, *[F.col(f"t.{c}") for c in S.TY_METRICS], *[F.col(f"l.{c}") for c in S.LY_METRICS])
-    return _final(out)
+    j = ty_side.join(ly_side, cond, "full_outer")
+    keys = {k: F.coalesce(F.col(f"t.{k}"), F.col(f"l.{k}")) for k in S.K6 + [S.WEEK_ENDED, S.LY_PERIOD]}
+    side = {c: F.col(f"t.{c}") for c in S.TY_METRICS} | {c: F.col(f"l.{c}") for c in S.LY_METRICS}
+    return j.select(
+        keys[S.RETAILER].alias(S.RETAILER),
+        keys[S.VENDOR].alias(S.VENDOR),
+        keys[S.PERIOD].cast("int").alias(S.PERIOD),
+        keys[S.WEEK_ENDED].alias(S.WEEK_ENDED),
+        keys[S.ITEM].alias(S.ITEM),
+        keys[S.STORE].alias(S.STORE),
+        keys[S.OSA_TYPE].alias(S.OSA_TYPE),
+        *[F.coalesce(side[c], F.lit(0.0)).cast("double").alias(c) for c in S.FINAL_METRICS],
+        keys[S.LY_PERIOD].cast("int").alias(S.LY_PERIOD),
+    )
 
 
 # ---------------------------------------------------------------- chained shape

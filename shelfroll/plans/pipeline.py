@@ -6,18 +6,40 @@ window is the fixture's (as-of 2001-12-31, three years), see FIXTURES.md.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.calendar import calendar_window
 from ..operators.compare import build_daily, build_daily_chained
 from ..operators.rollup import build_staging
 from ..operators.weekly import build_weekly, build_weekly_joined
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures
 from .oracle import AS_OF, YEARS
 
 
+_CALENDARS: dict[tuple[str, str], DataFrame] = {}
+_LOCK = threading.Lock()
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in calendar, checkpointed once per session.
+
+    It is derived from the fact dates; a reliable checkpoint (in the shared
+    ``spark.checkpoint.dir``) cuts that lineage, so the joins and size checks
+    that use it read ~365 rows per year instead of rescanning the facts.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _CALENDARS:
+            ensure_checkpoint_dir(spark)
+            _CALENDARS[key] = fixtures.calendar(spark, sf_dir).checkpoint(eager=True)
+        return _CALENDARS[key]
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return fixtures.fact(spark, sf_dir), fixtures.calendar(spark, sf_dir)
+    return fixtures.fact(spark, sf_dir), calendar(spark, sf_dir)
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ UPSERT_YEAR = 1999
 
 
 def _window(spark: SparkSession, sf: str) -> DataFrame:
-    return calendar_window(fixtures.calendar(spark, sf), O.AS_OF, O.YEARS)
+    return calendar_window(pipeline.calendar(spark, sf), O.AS_OF, O.YEARS)
 
 
 def _daily_units_select(cols: list[str], src: str = "dly", where: str = "", weekly: bool = False) -> str:
