@@ -33,6 +33,7 @@ from ..sources.params import JobParams, JobParamsError, read_params
 from ..sources.tables import read_calendar, read_daily, read_fact, read_staging
 from . import sinks
 from .runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog
+from .sizing import StageSizing
 
 
 @dataclass(frozen=True)
@@ -90,10 +91,12 @@ def run_job(
     )
     plan = LOAD_PLANS[params.load_type]
     as_of = as_key(as_of if as_of is not None else dt.date.today())
+    sizing = StageSizing(spark)
     try:
         calendar = read_calendar(spark, params.dim_base, params.retailer)
         if plan.build_staging:
             fact = read_fact(spark, params.fact_path, params.vendors, params.start, params.end)
+            sizing.size_for(fact)
             obs = Observation("staging")
             sinks.write_staging(build_staging(fact, calendar, obs), params.staging_path, "upsert")
             dropped = obs.get.get("off_calendar") or 0
@@ -105,17 +108,21 @@ def run_job(
         staging = read_staging(spark, params.staging_path)
         ranges = daily_ranges(calendar, params.start, params.end, plan.final_mode == "upsert")
         daily = _union([build_daily(staging, window, lo, hi) for lo, hi in ranges])
+        # TY rows in range plus their LY rows: about twice the staging rows in range
+        sizing.size_for(*[read_staging(spark, params.staging_path, lo, hi) for lo, hi in ranges], factor=2)
         sinks.write_daily(daily, params.daily_path, plan.final_mode)
         log.add(f"Daily {plan.final_mode} done for {ranges}")
 
         week_ranges = merge_ranges([widen_to_weeks(calendar, lo, hi) for lo, hi in ranges])
         daily_back = _union([read_daily(spark, params.daily_path, lo, hi) for lo, hi in week_ranges])
+        sizing.size_for(daily_back)
         sinks.write_weekly(build_weekly(daily_back), params.weekly_path, plan.final_mode)
         log.add(f"Weekly {plan.final_mode} done for {week_ranges}", SUCCESS)
     except Exception as e:  # record, then re-raise
         log.add(f"{type(e).__name__}: {e}"[:1000], FAILED)
         raise
     finally:
+        sizing.restore()
         sinks.append_job_log(log.to_df(spark), params.log_path)
     return log
 

@@ -132,3 +132,23 @@ def test_failure_is_logged(spark):
 
 def test_merge_ranges():
     assert jobs.merge_ranges([(5, 9), (1, 3), (3, 4), (20, 30)]) == [(1, 4), (5, 9), (20, 30)]
+
+
+def test_stage_sizing_respects_user_setting(spark):
+    from shelfroll.plans.sizing import INITIAL_PARTITIONS, StageSizing, partitions_for
+
+    assert partitions_for(0) == 200 and partitions_for(100 * 2**40) == 100_000
+    assert partitions_for(1000 * 128 * 2**20) == 1000
+    df = spark.range(10).selectExpr("cast(id as int) a", "cast(id as double) b")
+    s = StageSizing(spark)
+    assert s.size_for(df) == 200 and spark.conf.get(INITIAL_PARTITIONS) == "200"
+    s.restore()
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    spark.conf.set(INITIAL_PARTITIONS, "7")
+    try:
+        s2 = StageSizing(spark)
+        assert s2.size_for(df) is None and spark.conf.get(INITIAL_PARTITIONS) == "7"
+        s2.restore()
+        assert spark.conf.get(INITIAL_PARTITIONS) == "7"
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
