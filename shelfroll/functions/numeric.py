@@ -1,13 +1,16 @@
-"""Exact decimal arithmetic for the roll-ups.
+"""Exact arithmetic for the roll-ups, in integer units.
 
 Rounding a double with ``round(x, 2)`` depends on the binary representation
 of ``x`` (two engines can disagree on ``round(price * discount, 2)``). Going
 through ``decimal(18,4)`` first recovers the exact 4-place product of two
 2-place inputs, and the 2-place HALF_UP round is then exact.
 
-Sums and averages are taken over decimals, so results do not depend on the
-order rows reach an aggregate (partition layout, retries, AQE) and reruns are
-bit-identical. Values are cast back to double only at the end.
+Aggregates run on ``long`` units (cents for sums, millionths for daily
+averages): per-row work stays in 64-bit integers (Spark would otherwise sum
+``decimal(27,2)`` with a ``BigDecimal`` per row), totals are exact and do not
+depend on the order rows reach an aggregate (partitioning, retries, AQE), so
+reruns are bit-identical. Averages are rounded HALF_UP once per group.
+Values become doubles only at the end.
 """
 
 from __future__ import annotations
@@ -21,27 +24,55 @@ SUM_SCALE = 2
 AVG_SCALE = 6
 
 
+def _c(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def round_half_up(c: Column | str, scale: int = 2) -> Column:
-    """Round a double measure to ``scale`` places, HALF_UP, via decimal(18,4)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast(DecimalType(18, 4)), scale)
+    """Round a double measure to ``scale`` places, HALF_UP, via decimal(18,4) (a decimal)."""
+    return F.round(_c(c).cast(DecimalType(18, 4)), scale)
 
 
-def as_decimal(c: Column | str, scale: int) -> Column:
-    """Read a stored double back at the scale its producer rounded it to.
+def to_units(c: Column | str, scale: int = 2) -> Column:
+    """A raw double measure → HALF_UP-rounded integer units of 10^-scale (long)."""
+    return (round_half_up(c, scale) * (10**scale)).cast("long")
+
+
+def stored_units(c: Column | str, scale: int) -> Column:
+    """A stored double that holds an exact ``scale``-place value → its integer units.
+
+    The double is within far less than half a unit of the value written, so
+    rounding to the nearest integer recovers it exactly (``rint`` is a plain
+    floating-point operation, no per-row ``BigDecimal``).
+    """
+    return F.rint(_c(c) * float(10**scale)).cast("long")
 
-    The daily grain stores sums of cent values and averages rounded to 6
-    places; the nearest decimal of that scale is exactly the value written.
+
+def from_units(u: Column, scale: int) -> Column:
+    """Integer units → double (one correctly rounded division)."""
+    return (u.cast("double") / float(10**scale)).cast("double")
+
+
+def avg_units(total: Column, n: Column, in_scale: int, out_scale: int) -> Column:
+    """HALF_UP(total / n) in units of 10^-out_scale, for ``total`` in units of 10^-in_scale.
+
+    Evaluated once per group, in decimal; null when ``n`` is 0.
     """
-    col = F.col(c) if isinstance(c, str) else c
-    return col.cast(DecimalType(28, scale))
+    shift = out_scale - in_scale
+    q = F.round(total.cast(DecimalType(20, 0)) / n.cast(DecimalType(20, 0)), shift)
+    return F.when(n > 0, (q * (10**shift)).cast("long"))
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of a decimal column, as double."""
-    return F.sum(c).cast("double")
+def sum_as_double(units: Column, scale: int) -> Column:
+    """Aggregate: exact sum of integer units, as double."""
+    return from_units(F.sum(units), scale)
 
 
-def exact_avg(c: Column) -> Column:
-    """Average of a decimal column (HALF_UP at scale + 4), as double."""
-    return F.avg(c).cast("double")
+def avg_as_double(units: Column, in_scale: int, out_scale: int) -> Column:
+    """Aggregate: HALF_UP average of integer units at ``out_scale`` places, as double."""
+    return from_units(avg_units(F.sum(units), F.count(units), in_scale, out_scale), out_scale)
+
+
+def as_decimal(c: Column | str, scale: int) -> Column:
+    """A stored double read back as a decimal of the scale its producer rounded it to."""
+    return _c(c).cast(DecimalType(28, scale))

@@ -1,7 +1,7 @@
 """Raw facts → daily staging (this-year values at the daily grain).
 
 Plan: scan (14 columns, filters pushed to the Parquet reader) → round each
-measure to cents as decimal → hash aggregate on the six keys with map-side
+measure to integer cents → hash aggregate on the six keys with map-side
 partial aggregation (one exchange; a hot key is pre-combined in every task
 before the shuffle) → broadcast join with the calendar → project.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.numeric import round_half_up
+from ..functions.numeric import avg_as_double, round_half_up, sum_as_double, to_units
 from .joins import maybe_broadcast
 
 _AGGS = {
@@ -47,17 +47,25 @@ def fact_rounded(fact: DataFrame) -> DataFrame:
     return fact.select(*S.K6, *[round_half_up(m.name, S.INPUT_SCALE).alias(m.name) for m in S.METRICS])
 
 
-def daily_agg(rounded: DataFrame) -> DataFrame:
-    """Sum (or average, per the metric registry) each measure per day and entity.
+def fact_units(fact: DataFrame) -> DataFrame:
+    """The six keys plus every measure in HALF_UP-rounded integer cents (long)."""
+    return fact.select(*S.K6, *[to_units(m.name, S.INPUT_SCALE).alias(m.name) for m in S.METRICS])
 
-    Aggregates run on decimals and are cast to double at the end, so totals
-    are exact and independent of row order.
+
+def daily_agg(fact: DataFrame) -> DataFrame:
+    """Sum (or average, per the metric registry) each rounded measure per day and entity.
+
+    Inputs are rounded to cents first; sums run on long cents and averages
+    are rounded HALF_UP to 6 places once per group, so results are exact and
+    independent of row order. Output metrics are doubles.
     """
     aggs = []
     for m in S.METRICS:
-        fn = F.sum if m.daily == "sum" else F.avg
-        aggs.append(fn(F.col(m.name)).cast("double").alias(m.name))
-    return rounded.groupBy(*S.K6).agg(*aggs)
+        if m.daily == "sum":
+            aggs.append(sum_as_double(F.col(m.name), S.INPUT_SCALE).alias(m.name))
+        else:
+            aggs.append(avg_as_double(F.col(m.name), S.INPUT_SCALE, m.scale).alias(m.name))
+    return fact_units(fact).groupBy(*S.K6).agg(*aggs)
 
 
 def attach_calendar(daily: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -73,7 +81,7 @@ def build_staging(fact: DataFrame, calendar: DataFrame, observation: Observation
     from the calendar (and which therefore drop) is recorded as
     ``off_calendar`` while the staging is computed, without a second pass.
     """
-    daily = daily_agg(fact_rounded(fact))
+    daily = daily_agg(fact)
     if observation is None:
         joined = attach_calendar(daily, calendar)
     else:

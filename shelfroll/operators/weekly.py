@@ -5,9 +5,9 @@ One hash aggregate on the weekly grain computes everything: sums, averages
 last-non-empty inventory pairs. Partial aggregation runs map-side, so the
 plan has a single exchange whatever the skew of a key, and no join.
 
-Sums and averages are taken on decimals at the scale the daily table carries
-(cents for sums, 6 places for daily averages), so results are exact and
-identical across reruns.
+Sums and averages are taken on integer units at the scale the daily table
+carries (cents for sums, millionths for daily averages), so results are exact
+and identical across reruns; weekly averages are rounded HALF_UP to 10 places.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.numeric import as_decimal
+from ..functions.numeric import avg_as_double, stored_units, sum_as_double
 from .lastvalue import last_nonempty, last_nonempty_selfjoin, last_positive
 
 SUMMED = [m for m in S.METRICS if m.weekly == "sum"]
@@ -24,14 +24,18 @@ AVERAGED = [m for m in S.METRICS if m.weekly == "avg"]
 LAST_VALUE = [m for m in S.METRICS if m.weekly == "last_positive"]
 
 
+#: weekly averages keep four more places than the daily values they average
+WEEKLY_AVG_EXTRA_SCALE = 4
+
+
 def _sum_avg_exprs() -> list[Column]:
     out = []
     for m in SUMMED:
         for c in (m.ty, m.ly):
-            out.append(F.sum(as_decimal(c, m.scale)).cast("double").alias(c))
+            out.append(sum_as_double(stored_units(c, m.scale), m.scale).alias(c))
     for m in AVERAGED:
         for c in (m.ty, m.ly):
-            out.append(F.avg(as_decimal(c, m.scale)).cast("double").alias(c))
+            out.append(avg_as_double(stored_units(c, m.scale), m.scale, m.scale + WEEKLY_AVG_EXTRA_SCALE).alias(c))
     return out
 
 

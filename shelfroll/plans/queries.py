@@ -336,7 +336,7 @@ def daily_period_slice(spark: SparkSession, sf: str) -> DataFrame:
     O.with_staging("SELECT " + ", ".join(list(S.K6) + [O.metric_out_as(m.ty, m.name) for m in S.METRICS]) + " FROM agg"),
 )
 def daily_agg_q(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_agg(fact_rounded(fixtures.fact(spark, sf)))
+    return daily_agg(fixtures.fact(spark, sf))
 
 
 @query("group_agg_generic", O.GROUP_AGG_SQL)
