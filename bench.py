@@ -50,9 +50,16 @@ def _exchanges(df) -> int:
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-def _median(spark, build) -> float:
-    _time(spark, build)  # warm-up
-    return round(statistics.median(_time(spark, build) for _ in range(RUNS)), 3)
+def _medians(spark, builds: dict) -> dict[str, float]:
+    """Warm each query up once, then time ``RUNS`` rounds, queries interleaved
+    within a round so drift (JIT, GC, machine load) does not favour one."""
+    for build in builds.values():
+        _time(spark, build)
+    samples: dict[str, list[float]] = {k: [] for k in builds}
+    for _ in range(RUNS):
+        for name, build in builds.items():
+            samples[name].append(_time(spark, build))
+    return {k: round(statistics.median(v), 3) for k, v in samples.items()}
 
 
 def stage_timings(spark) -> dict:
@@ -67,16 +74,13 @@ def stage_timings(spark) -> dict:
         "weekly_one_aggregate": lambda s: build_weekly(daily),
         "weekly_selfjoin": lambda s: build_weekly_joined(daily, selfjoin=True),
     }
-    return {
-        name: {"sec": _median(spark, build), "exchanges": _exchanges(build(spark))} for name, build in forms.items()
-    }
+    secs = _medians(spark, forms)
+    return {name: {"sec": secs[name], "exchanges": _exchanges(build(spark))} for name, build in forms.items()}
 
 
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=max(8, CPUS * 2), app="shelfroll-bench")
-    medians: dict[str, float] = {}
-    for name, build in {**HEADLINE, **BASELINE}.items():
-        medians[name] = _median(spark, build)
+    medians = _medians(spark, {**HEADLINE, **BASELINE})
     stages = stage_timings(spark)
     headline = {k: medians[k] for k in HEADLINE}
     baseline = {k: medians[k] for k in BASELINE}

@@ -1,9 +1,13 @@
 """Exact arithmetic for the roll-ups, in integer units.
 
 Rounding a double with ``round(x, 2)`` depends on the binary representation
-of ``x`` (two engines can disagree on ``round(price * discount, 2)``). Going
-through ``decimal(18,4)`` first recovers the exact 4-place product of two
-2-place inputs, and the 2-place HALF_UP round is then exact.
+of ``x`` (two engines can disagree on ``round(price * discount, 2)``). The
+rule here: take the nearest 4-place value first (this recovers the exact
+product of two 2-place inputs), then round HALF_UP to 2 places. Both steps
+run in 64-bit integers; for inputs with at most 4 decimals it equals
+``round(cast(x as decimal(18,4)), 2)``, and at an exact 4th-place tie the
+two can only disagree on a digit that does not change the cent. Raw
+measures must stay below 9×10^11 in magnitude.
 
 Aggregates run on ``long`` units (cents for sums, millionths for daily
 averages): per-row work stays in 64-bit integers (Spark would otherwise sum
@@ -28,14 +32,17 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(c: Column | str, scale: int = 2) -> Column:
-    """Round a double measure to ``scale`` places, HALF_UP, via decimal(18,4) (a decimal)."""
-    return F.round(_c(c).cast(DecimalType(18, 4)), scale)
-
-
 def to_units(c: Column | str, scale: int = 2) -> Column:
     """A raw double measure → HALF_UP-rounded integer units of 10^-scale (long)."""
-    return (round_half_up(c, scale) * (10**scale)).cast("long")
+    fine = F.rint(_c(c) * float(10 ** (scale + 2))).cast("long")  # nearest 10^-(scale+2)
+    a = F.abs(fine) + F.lit(50)
+    q = ((a - a % 100) / 100).cast("long")  # exact: a multiple of 100 divided by 100
+    return F.when(fine < 0, -q).otherwise(q)
+
+
+def round_half_up(c: Column | str, scale: int = 2) -> Column:
+    """The same rounding as :func:`to_units`, as ``decimal(18, scale)``."""
+    return (to_units(c, scale).cast(DecimalType(18, 0)) / (10**scale)).cast(DecimalType(18, scale))
 
 
 def stored_units(c: Column | str, scale: int) -> Column:
