@@ -3,10 +3,10 @@
 =====  ===============  ======================  ==========================
 type   staging          daily / weekly write     daily / weekly content
 =====  ===============  ======================  ==========================
-FL     build, upsert    full overwrite          days in range
-IL     build, upsert    upsert                  days in range + their LY users
-FR     skipped          full overwrite          days in range
-IR     skipped          upsert                  days in range + their LY users
+FL     build, upsert    full overwrite          all vendors, days in range
+IL     build, upsert    upsert                  job vendors, days in range + their LY users
+FR     skipped          full overwrite          all vendors, days in range
+IR     skipped          upsert                  job vendors, days in range + their LY users
 =====  ===============  ======================  ==========================
 
 Each stage is one set-based Spark job over all requested vendors and
@@ -105,16 +105,20 @@ def run_job(
             log.add("Staging not required; refreshing daily and weekly", IN_PROGRESS)
 
         window = calendar_window(calendar, as_of, years)
-        staging = read_staging(spark, params.staging_path)
-        ranges = daily_ranges(calendar, params.start, params.end, plan.final_mode == "upsert")
+        upsert = plan.final_mode == "upsert"
+        # upserts rebuild only the job's vendors (other vendors' partitions are
+        # untouched); full loads replace the dataset and so cover every vendor
+        vendors = params.vendors if upsert else None
+        staging = read_staging(spark, params.staging_path, vendors=vendors)
+        ranges = daily_ranges(calendar, params.start, params.end, upsert)
         daily = _union([build_daily(staging, window, lo, hi) for lo, hi in ranges])
         # TY rows in range plus their LY rows: about twice the staging rows in range
-        sizing.size_for(*[read_staging(spark, params.staging_path, lo, hi) for lo, hi in ranges], factor=2)
+        sizing.size_for(*[read_staging(spark, params.staging_path, lo, hi, vendors) for lo, hi in ranges], factor=2)
         sinks.write_daily(daily, params.daily_path, plan.final_mode)
         log.add(f"Daily {plan.final_mode} done for {ranges}")
 
         week_ranges = merge_ranges([widen_to_weeks(calendar, lo, hi) for lo, hi in ranges])
-        daily_back = _union([read_daily(spark, params.daily_path, lo, hi) for lo, hi in week_ranges])
+        daily_back = _union([read_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in week_ranges])
         sizing.size_for(daily_back)
         sinks.write_weekly(build_weekly(daily_back), params.weekly_path, plan.final_mode)
         log.add(f"Weekly {plan.final_mode} done for {week_ranges}", SUCCESS)

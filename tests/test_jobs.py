@@ -73,6 +73,7 @@ def test_full_then_incremental_load(spark):
 
     # IL: vendor 1's 1999-01-06 changes; its LY users (2000-01-05) must follow
     daily_before = _md5s(p.daily_path)
+    weekly_before = _md5s(p.weekly_path)
     sinks.write_partitioned(_fact(spark, [(1, 19990106, 100.0)]), p.fact_path, S.DAILY_PARTITIONS, "upsert")
     il = _params(base, "IL", 19990106, 19990106, vendors=(1,))
     jobs.run_job(spark, il, as_of=AS_OF)
@@ -83,8 +84,11 @@ def test_full_then_incremental_load(spark):
     assert len(d2) == len(d)
     daily_after = _md5s(p.daily_path)
     changed = {k.split("/part-")[0] for k in daily_after if daily_before.get(k) != daily_after[k]}
-    # only the rebuilt days (both vendors' partitions of those days) were rewritten
-    assert changed <= {f"vendor_key={v}/period_key={k}" for v in (1, 2) for k in (19990106, 20000105)}
+    # only the job vendor's rebuilt days were rewritten: the changed day and the day using it as LY
+    assert changed == {f"vendor_key=1/period_key={k}" for k in (19990106, 20000105)}
+    weekly_after = _md5s(p.weekly_path)
+    wchanged = {k.split("/part-")[0] for k in weekly_after if weekly_before.get(k) != weekly_after[k]}
+    assert wchanged == {"vendor_key=1/week_ended=1999-01-09", "vendor_key=1/week_ended=2000-01-08"}
     w = {(r[S.VENDOR], r[S.WEEK_ENDED]): r for r in read_weekly(spark, p.weekly_path).collect()}
     assert w[(1, dt.date(2000, 1, 8))]["total_units_ly"] == sum(
         d2[(1, k)]["total_units_ly"] for k in range(20000102, 20000109)
