@@ -70,10 +70,6 @@ def parse_period_key(s: Column | str) -> Column:
     return F.try_to_date(col.cast("string"), KEY_FORMAT)
 
 
-def key_to_date(k: Column | str) -> Column:
-    """Integer ``yyyyMMdd`` key → date (null when invalid)."""
-    return parse_period_key(k)
-
 
 def run_timestamp(ts: Column | str) -> Column:
     """Timestamp → ``yyyy-MM-dd HH:mm:ss`` (minutes and seconds in their places)."""

@@ -78,8 +78,3 @@ def sum_as_double(units: Column, scale: int) -> Column:
 def avg_as_double(units: Column, in_scale: int, out_scale: int) -> Column:
     """Aggregate: HALF_UP average of integer units at ``out_scale`` places, as double."""
     return from_units(avg_units(F.sum(units), F.count(units), in_scale, out_scale), out_scale)
-
-
-def as_decimal(c: Column | str, scale: int) -> Column:
-    """A stored double read back as a decimal of the scale its producer rounded it to."""
-    return _c(c).cast(DecimalType(28, scale))

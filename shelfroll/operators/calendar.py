@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.dates import period_key_int
+from .joins import maybe_broadcast
 
 
 def as_key(v: int | str | dt.date) -> int:
@@ -29,10 +29,6 @@ def as_key(v: int | str | dt.date) -> int:
     return int(s)
 
 
-def key_date(k: int) -> dt.date:
-    return dt.date(k // 10000, (k // 100) % 100, k % 100)
-
-
 def period_between(start: int | None, end: int | None, col: str = S.PERIOD) -> Column:
     """Inclusive ``start <= col <= end``; an open side is unbounded."""
     cond = F.lit(True)
@@ -76,19 +72,7 @@ def widen_to_weeks(calendar: DataFrame, start: int | None, end: int | None) -> t
     if start is None and end is None:
         return None, None
     weeks = calendar.where(period_between(start, end)).select(S.WEEK_ENDED).distinct()
-    days = calendar.join(F.broadcast(weeks), S.WEEK_ENDED, "left_semi")
+    days = calendar.join(maybe_broadcast(weeks), S.WEEK_ENDED, "left_semi")
     lo, hi = _bounds(days, S.PERIOD)
     return (lo if start is not None else None), (hi if end is not None else None)
 
-
-def affected_periods(calendar: DataFrame, start: int, end: int) -> tuple[int, int]:
-    """Daily periods to rebuild after staging changed in [start, end].
-
-    Those days themselves plus the days that use them as LY.
-    """
-    lo, hi = forward_bounds(calendar, start, end)
-    return min(as_key(start), lo if lo is not None else as_key(start)), max(as_key(end), hi if hi is not None else as_key(end))
-
-
-def date_key(c: Column | str) -> Column:
-    return period_key_int(c)

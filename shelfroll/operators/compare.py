@@ -37,7 +37,8 @@ def ly_bridge(staging: DataFrame) -> DataFrame:
     )
 
 
-def rename_to_ly(df: DataFrame) -> list[Column]:
+def rename_to_ly() -> list[Column]:
+    """TY metric columns renamed to their LY names."""
     return [F.col(m.ty).alias(m.ly) for m in S.METRICS]
 
 
@@ -165,7 +166,7 @@ def ly_bridge_full(staging: DataFrame) -> DataFrame:
     """
     bridge = ly_bridge(staging)
     j = bridge.join(staging.select(*S.K6, *S.TY_METRICS), S.K6, "full_outer")
-    return j.select(F.col(S.PERIOD).alias(S.LY_PERIOD), *S.K5, *rename_to_ly(j))
+    return j.select(F.col(S.PERIOD).alias(S.LY_PERIOD), *S.K5, *rename_to_ly())
 
 
 def build_daily_chained(staging: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def _window(spark: SparkSession, sf: str) -> DataFrame:
     return calendar_window(pipeline.calendar(spark, sf), O.AS_OF, O.YEARS)
 
 
-def _daily_units_select(cols: list[str], src: str = "dly", where: str = "", weekly: bool = False) -> str:
+def _daily_units_select(cols: list[str], src: str = "dly", where: str = "") -> str:
     return f"SELECT {', '.join(cols)} FROM {src} {where}"
 
 
