@@ -131,3 +131,20 @@ def test_key_fallback_blank_and_null(spark):
     df = spark.createDataFrame([("", "x"), (None, "y"), ("a", "z"), (" ", "w")], "c string, f string")
     got = [r[0] for r in df.select(key_fallback("c", "f")).collect()]
     assert got == ["x", "y", "a", " "]
+
+
+def test_look_back_off_parity_with_range_filtered_source(spark):
+    """Passing the range-filtered rows as both sides reproduces the old result:
+    a one-month range then finds no LY values at all."""
+    cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 12, 31))
+    rows = []
+    d = dt.date(1999, 1, 1)
+    while d <= dt.date(2000, 1, 31):
+        rows.append({"period_key": key(d), "total_units_ty": 1})
+        d += dt.timedelta(days=1)
+    stg = staging_rows(spark, rows)
+    in_range = stg.where(F.col(S.PERIOD).between(20000101, 20000131))
+    off = build_daily(in_range, cal, ly_source=in_range).where(F.col(S.PERIOD).between(20000101, 20000131))
+    assert off.where(F.col("total_units_ly") != 0).count() == 0
+    on = build_daily(stg, cal, 20000101, 20000131)
+    assert on.where(F.col("total_units_ly") == 0).count() == 0

@@ -156,3 +156,26 @@ def test_stage_sizing_respects_user_setting(spark):
         assert spark.conf.get(INITIAL_PARTITIONS) == "7"
     finally:
         spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def test_command_line_entry(spark, capsys):
+    from shelfroll.__main__ import main
+
+    base = _setup(spark)
+    doc = {
+        "aggregateBaseUri": f"{base}/out/", "aggregationLevel": "StoreItem", "aggregationType": "Day",
+        "retailer": "r1", "vendors": [1, 2], "jobId": 9, "factBaseUri": f"{base}/osa/", "dimBaseUri": base,
+        "calendarId": "c1", "osaFactBaseURI": f"{base}/osa/", "subject": "fact", "loadType": "FL",
+        "dateRange": "20001231,19990101", "kafkaServer": "", "kafkaTopic": "",
+    }
+    path = os.path.join(base, "job.json")
+    with open(path, "w") as f:
+        json.dump(doc, f, indent=2)
+    assert main([path, "--as-of", "2001-01-01"]) == 0
+    out = capsys.readouterr().out
+    assert out.count("Success") == 4
+    assert read_weekly(spark, f"{base}/out/r1/weekly/").count() > 0
+    bad = dict(doc, loadType="QQ")
+    with open(path, "w") as f:
+        json.dump(bad, f)
+    assert main([path]) == 1
