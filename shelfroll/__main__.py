@@ -1,4 +1,5 @@
-"""Command-line entry: ``spark-submit … -m shelfroll <params.json> [--as-of yyyy-MM-dd] [--years N]``.
+"""Command-line entry: ``python -m shelfroll <params.json> [--as-of yyyy-MM-dd] [--years N]``
+(``scripts/run_job.py`` is the same entry as a file for ``spark-submit``).
 
 Uses the session ``spark-submit`` provides (``getOrCreate``); nothing about
 the cluster is configured here. Exit code 0 on success, 1 when the job or its
