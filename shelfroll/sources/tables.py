@@ -2,8 +2,8 @@
 
 Every reader takes an explicit schema, so keys come back typed (``period_key``
 int, ``week_ended`` date) even for hive-style partition directories, and
-range/vendor arguments become ``PartitionFilters`` on the Parquet scan: only
-the directories in range are listed and read.
+range/vendor arguments become ``PartitionFilters`` on the Parquet scan: files
+outside the requested partitions are never opened.
 """
 
 from __future__ import annotations
