@@ -264,7 +264,7 @@ def sink_job_log(spark: SparkSession, sf: str) -> DataFrame:
     + " FROM fact",
 )
 def fact_rounded_q(spark: SparkSession, sf: str) -> DataFrame:
-    r = fact_rounded(fixtures.fact(spark, sf))
+    r = fact_rounded(pipeline.fact(spark, sf))
     return r.select(*S.K6, *[F.col(m.name).cast("double").alias(m.name) for m in S.METRICS])
 
 
@@ -336,13 +336,13 @@ def daily_period_slice(spark: SparkSession, sf: str) -> DataFrame:
     O.with_staging("SELECT " + ", ".join(list(S.K6) + [O.metric_out_as(m.ty, m.name) for m in S.METRICS]) + " FROM agg"),
 )
 def daily_agg_q(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_agg(fixtures.fact(spark, sf))
+    return daily_agg(pipeline.fact(spark, sf))
 
 
 @query("group_agg_generic", O.GROUP_AGG_SQL)
 def group_agg_generic(spark: SparkSession, sf: str) -> DataFrame:
     g = group_agg(
-        fact_rounded(fixtures.fact(spark, sf)),
+        fact_rounded(pipeline.fact(spark, sf)),
         [S.VENDOR, S.OSA_TYPE],
         [
             ("total_units", "sum", "sum_total_units"),
