@@ -29,6 +29,11 @@ def as_key(v: int | str | dt.date) -> int:
     return int(s)
 
 
+def key_date(k: int) -> dt.date:
+    """int ``yyyyMMdd`` key → date."""
+    return dt.date(k // 10000, (k // 100) % 100, k % 100)
+
+
 def period_between(start: int | None, end: int | None, col: str = S.PERIOD) -> Column:
     """Inclusive ``start <= col <= end``; an open side is unbounded."""
     cond = F.lit(True)

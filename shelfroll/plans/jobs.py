@@ -20,17 +20,20 @@ folder.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..operators.calendar import as_key, calendar_window, forward_bounds, widen_to_weeks
+from .. import schema as S
+from ..operators.calendar import as_key, calendar_window, forward_bounds, key_date, widen_to_weeks
 from ..operators.compare import build_daily
 from ..operators.rollup import build_staging
 from ..operators.weekly import build_weekly
 from ..sources.params import JobParams, JobParamsError, read_params
-from ..sources.tables import read_calendar, read_daily, read_fact, read_staging
+from ..sources.partitions import partitions_not_written_since
+from ..sources.tables import read_calendar, read_daily, read_fact, read_staging, scan_daily, scan_weekly
 from . import sinks
 from .runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog
 from .sizing import StageSizing
@@ -76,6 +79,31 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+#: file times come from the storage's clock; allow this much skew against the driver's
+CLOCK_SLACK_SECONDS = 2.0
+
+
+def _stale(spark: SparkSession, upsert: bool, since: float, scans: list[DataFrame], cols: list[str]) -> str:
+    """Log text naming partitions in the upserted range that this run did not rewrite.
+
+    Dynamic overwrite leaves a partition alone when the run produced no rows
+    for it, so its old rows stay; a full load (FL/FR) removes them.
+    """
+    if not upsert:
+        return ""
+    stale = _union([partitions_not_written_since(df, cols, since) for df in scans]).distinct()
+    n = stale.count()
+    return f"; {n} partition(s) in range had no new rows and kept their old files (a full load removes them)" if n else ""
+
+
+def _week_bounds(lo: int, hi: int) -> tuple[str, str]:
+    """Day-key range → the Saturday week endings covering it (ISO dates)."""
+    first, last = key_date(lo), key_date(hi)
+    first += dt.timedelta(days=(5 - first.weekday()) % 7)
+    last += dt.timedelta(days=(5 - last.weekday()) % 7)
+    return first.isoformat(), last.isoformat()
+
+
 def run_job(
     spark: SparkSession,
     params: JobParams,
@@ -114,14 +142,19 @@ def run_job(
         daily = _union([build_daily(staging, window, lo, hi) for lo, hi in ranges])
         # TY rows in range plus their LY rows: about twice the staging rows in range
         sizing.size_for(*[read_staging(spark, params.staging_path, lo, hi, vendors) for lo, hi in ranges], factor=2)
+        written_at = time.time() - CLOCK_SLACK_SECONDS
         sinks.write_daily(daily, params.daily_path, plan.final_mode)
-        log.add(f"Daily {plan.final_mode} done for {ranges}")
+        stale = _stale(spark, upsert, written_at, [scan_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in ranges], S.DAILY_PARTITIONS)
+        log.add(f"Daily {plan.final_mode} done for {ranges}{stale}")
 
         week_ranges = merge_ranges([widen_to_weeks(calendar, lo, hi) for lo, hi in ranges])
         daily_back = _union([read_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in week_ranges])
         sizing.size_for(daily_back)
+        written_at = time.time() - CLOCK_SLACK_SECONDS
         sinks.write_weekly(build_weekly(daily_back), params.weekly_path, plan.final_mode)
-        log.add(f"Weekly {plan.final_mode} done for {week_ranges}", SUCCESS)
+        weeks = [_week_bounds(lo, hi) for lo, hi in week_ranges]
+        stale = _stale(spark, upsert, written_at, [scan_weekly(spark, params.weekly_path, lo, hi, vendors) for lo, hi in weeks], S.WEEKLY_PARTITIONS)
+        log.add(f"Weekly {plan.final_mode} done for {week_ranges}{stale}", SUCCESS)
     except Exception as e:  # record, then re-raise
         log.add(f"{type(e).__name__}: {e}"[:1000], FAILED)
         raise

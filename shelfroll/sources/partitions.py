@@ -40,3 +40,18 @@ def partitions_in_range(paths: DataFrame, path_col: str, start, end) -> DataFram
 def partition_slice(df: DataFrame, col: str, values: list) -> DataFrame:
     """Rows whose partition column ``col`` is one of ``values`` (an upsert's slice)."""
     return df.where(F.col(col).isin(list(values)))
+
+
+def partitions_not_written_since(
+    df: DataFrame, cols: list[str], since_epoch_seconds: float
+) -> DataFrame:
+    """Partitions of a file scan whose newest file is older than ``since``.
+
+    ``df`` must be a plain Parquet scan (``spark.read…parquet``), so the
+    hidden ``_metadata`` column is available; only file metadata and the
+    partition columns are read. After an upsert, these are the partitions in
+    the requested range that the run did not rewrite.
+    """
+    mtime = F.col("_metadata.file_modification_time")
+    newest = df.select(*cols, mtime.alias("_mtime")).groupBy(*cols).agg(F.max("_mtime").alias("_newest"))
+    return newest.where(F.col("_newest") < F.timestamp_seconds(F.lit(since_epoch_seconds))).select(*cols)

@@ -94,3 +94,12 @@ def read_weekly(
     """Weekly table; ``start``/``end`` bound ``week_ended``."""
     df = spark.read.schema(S.WEEKLY_SCHEMA).parquet(path)
     return _restrict(df, vendors, start, end, col=S.WEEK_ENDED).select(*S.WEEKLY_COLUMNS)
+
+
+def scan_daily(spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None) -> DataFrame:
+    """Daily scan without the final projection (keeps hidden file-metadata columns)."""
+    return _restrict(spark.read.schema(S.DAILY_SCHEMA).parquet(path), vendors, start, end)
+
+
+def scan_weekly(spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None) -> DataFrame:
+    return _restrict(spark.read.schema(S.WEEKLY_SCHEMA).parquet(path), vendors, start, end, col=S.WEEK_ENDED)

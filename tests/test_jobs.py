@@ -179,3 +179,19 @@ def test_command_line_entry(spark, capsys):
     with open(path, "w") as f:
         json.dump(bad, f)
     assert main([path]) == 1
+
+
+def test_upsert_reports_partitions_it_did_not_rewrite(spark):
+    base = _setup(spark)
+    jobs.run_job(spark, _params(base, "FL", 19990101, 20001231), as_of=AS_OF)
+    # 1999-12-31 holds only LY values (shifted from 1999-01-01); with the window
+    # ending before that day, a refresh produces no rows for it
+    p = _params(base, "IR", 19991231, 19991231, vendors=(1,))
+    log = jobs.run_job(spark, p, as_of=19991231)
+    daily_step = [r[2] for r in log.rows if r[2].startswith("Daily")][0]
+    assert "1 partition(s) in range had no new rows" in daily_step
+    weekly_step = [r[2] for r in log.rows if r[2].startswith("Weekly")][0]
+    assert "partition(s)" not in weekly_step
+    # the old row is still there; a full load removes it
+    d = read_daily(spark, p.daily_path, 19991231, 19991231, [1]).collect()
+    assert len(d) == 1 and d[0]["total_units_ly"] == 1.0
