@@ -51,7 +51,9 @@ def ly_shift(ly_source: DataFrame, calendar: DataFrame, salt: bool = False) -> D
     ``salt`` the null-key salt column used by :func:`build_daily` is added.
     """
     cal = maybe_broadcast(
-        calendar.select(F.col(S.PERIOD).alias("_ty_day"), F.col(S.LY_PERIOD).alias("_ly_day"), F.col(S.WEEK_ENDED).alias("_ty_week"))
+        calendar.select(
+            F.col(S.PERIOD).alias("_ty_day"), F.col(S.LY_PERIOD).alias("_ly_day"), F.col(S.WEEK_ENDED).alias("_ty_week")
+        )
     )
     j = ly_source.join(cal, F.col(S.PERIOD) == F.col("_ly_day"), "inner")
     extra = [null_key_salt(S.K5 + ["_ty_day"], S.TY_METRICS).alias(_SALT)] if salt else []

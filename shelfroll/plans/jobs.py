@@ -93,7 +93,9 @@ def _stale(spark: SparkSession, upsert: bool, since: float, scans: list[DataFram
         return ""
     stale = _union([partitions_not_written_since(df, cols, since) for df in scans]).distinct()
     n = stale.count()
-    return f"; {n} partition(s) in range had no new rows and kept their old files (a full load removes them)" if n else ""
+    if not n:
+        return ""
+    return f"; {n} partition(s) in range had no new rows and kept their old files (a full load removes them)"
 
 
 def _week_bounds(lo: int, hi: int) -> tuple[str, str]:
@@ -144,7 +146,8 @@ def run_job(
         sizing.size_for(*[read_staging(spark, params.staging_path, lo, hi, vendors) for lo, hi in ranges], factor=2)
         written_at = time.time() - CLOCK_SLACK_SECONDS
         sinks.write_daily(daily, params.daily_path, plan.final_mode)
-        stale = _stale(spark, upsert, written_at, [scan_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in ranges], S.DAILY_PARTITIONS)
+        scans = [scan_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in ranges]
+        stale = _stale(spark, upsert, written_at, scans, S.DAILY_PARTITIONS)
         log.add(f"Daily {plan.final_mode} done for {ranges}{stale}")
 
         week_ranges = merge_ranges([widen_to_weeks(calendar, lo, hi) for lo, hi in ranges])
@@ -153,7 +156,8 @@ def run_job(
         written_at = time.time() - CLOCK_SLACK_SECONDS
         sinks.write_weekly(build_weekly(daily_back), params.weekly_path, plan.final_mode)
         weeks = [_week_bounds(lo, hi) for lo, hi in week_ranges]
-        stale = _stale(spark, upsert, written_at, [scan_weekly(spark, params.weekly_path, lo, hi, vendors) for lo, hi in weeks], S.WEEKLY_PARTITIONS)
+        scans = [scan_weekly(spark, params.weekly_path, lo, hi, vendors) for lo, hi in weeks]
+        stale = _stale(spark, upsert, written_at, scans, S.WEEKLY_PARTITIONS)
         log.add(f"Weekly {plan.final_mode} done for {week_ranges}{stale}", SUCCESS)
     except Exception as e:  # record, then re-raise
         log.add(f"{type(e).__name__}: {e}"[:1000], FAILED)
