@@ -35,8 +35,11 @@ def _write(spark: SparkSession, sf_dir: str, what: str) -> str:
     path = scratch_path(spark, what)
     if what == "fact":
         # <base>/<retailer>/<subject>/vendor_key=…/period_key=…
+        # raw input, not a job output: a plain partitioned write, one task per core
         path = f"{path}/{RETAILER}/{SUBJECT}/"
-        sinks.write_partitioned(fixtures.fact(spark, sf_dir), path, S.DAILY_PARTITIONS, "full")
+        n = spark.sparkContext.defaultParallelism
+        fact = fixtures.fact(spark, sf_dir).repartition(n, *S.DAILY_PARTITIONS)
+        fact.write.partitionBy(*S.DAILY_PARTITIONS).mode("overwrite").parquet(path)
     elif what == "dims":
         for dim, build in (
             ("calendar", fixtures.calendar),
