@@ -5,17 +5,20 @@ Every staging row is a TY value for its own day and an LY value for the day
 
 1. shift the LY source forward through the calendar
    (``staging.period_key = calendar.ly_period_key``; the calendar is broadcast),
-2. full-outer-join TY and shifted LY on ``period_key`` + the five entity keys,
+2. combine TY and shifted LY on ``period_key`` + the five entity keys: by
+   default a union followed by one hash aggregate (each key has at most one
+   row per side), which is a single exchange of staging-sized data and no
+   sort; alternatively a full outer join (two exchanges, sort-merge),
 3. coalesce keys, zero-fill missing metrics.
 
-That is two shuffles of staging-sized data (one per join side) and no sort
-beyond the join's own. The earlier three-join shape (bridge ⟗ TY, ⨝ calendar,
-⟗ TY) is kept as :func:`build_daily_chained` for equivalence tests and the
-baseline benchmark; it also duplicates TY when two days share an LY day, and
-emits all-zero rows for null keys, which the short form does not.
+The earlier three-join shape (bridge ⟗ TY, ⨝ calendar, ⟗ TY) is kept as
+:func:`build_daily_chained` for equivalence tests and the baseline benchmark;
+it also duplicates TY when two days share an LY day, and emits all-zero rows
+for null keys, which the short form does not.
 
-Rows with a null entity key can never match; a salt column spreads them over
-all partitions so they cannot pile up in one task.
+Rows with a null entity key can never match; a salt column keeps them
+one-sided and spreads them over all partitions so they cannot pile up in one
+task. The grouping key is the unique daily grain, so no key is hot.
 """
 
 from __future__ import annotations
@@ -115,6 +118,7 @@ def build_daily(
     start: int | None = None,
     end: int | None = None,
     ly_source: DataFrame | None = None,
+    strategy: str = "aggregate",
 ) -> DataFrame:
     """Daily TY/LY table for the days in [start, end] (whole table when open).
 
@@ -123,6 +127,10 @@ def build_daily(
     LY days of that range (a static partition filter), so a range shorter
     than a year still finds its LY values. ``ly_source`` defaults to
     ``staging`` (pass a different frame to compare two sources).
+
+    ``strategy``: ``aggregate`` (default) unions TY with shifted LY and groups
+    once on the six keys — one exchange, no sort-merge; ``join`` is the
+    full outer join of the two sides — two exchanges. Results are identical.
     """
     ty = staging.where(period_between(start, end)) if (start is not None or end is not None) else staging
     cal = calendar.where(period_between(start, end)) if (start is not None or end is not None) else calendar
@@ -133,17 +141,46 @@ def build_daily(
             src = src.limit(0)
         else:
             src = src.where(period_between(lo, hi))
-    ly_side = ly_shift(src, cal, salt=True).alias("l")
-    ty_side = ty.select(
-        *S.K6,
-        S.WEEK_ENDED,
-        F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD),
-        *S.TY_METRICS,
-        null_key_salt(S.K6, S.TY_METRICS).alias(_SALT),
-    ).alias("t")
+    if strategy == "aggregate":
+        return _combine_by_aggregate(ty, ly_shift(src, cal))
+    if strategy == "join":
+        return _combine_by_join(ty, ly_shift(src, cal, salt=True))
+    raise ValueError(f"strategy must be 'aggregate' or 'join', got {strategy!r}")
+
+
+def _ty_columns(ty: DataFrame) -> list[Column]:
+    return [*S.K6, S.WEEK_ENDED, F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD)]
+
+
+def _combine_by_aggregate(ty: DataFrame, ly: DataFrame) -> DataFrame:
+    """TY ∪ shifted LY, then one hash aggregate on the six keys.
+
+    Each key has at most one TY row and one LY row (one LY day per TY day),
+    so ``max`` per column picks that row's value; keys and week prefer TY's.
+    Rows with a null key get a salt that also hashes their side, so they
+    stay separate one-sided rows and spread over all partitions.
+    """
+    none = F.lit(None).cast("double")
+    t = ty.select(*_ty_columns(ty), *S.TY_METRICS, *[none.alias(c) for c in S.LY_METRICS], F.lit(True).alias("_is_ty"))
+    l = ly.select(*S.K6, S.WEEK_ENDED, S.LY_PERIOD, *[none.alias(c) for c in S.TY_METRICS], *S.LY_METRICS,
+                  F.lit(False).alias("_is_ty"))
+    u = t.unionByName(l)
+    u = u.withColumn(_SALT, null_key_salt(S.K6, u.columns))
+    from_ty = F.col("_is_ty")
+    g = u.groupBy(*S.K6, _SALT).agg(
+        F.coalesce(F.max(F.when(from_ty, F.col(S.WEEK_ENDED))), F.max(S.WEEK_ENDED)).alias(S.WEEK_ENDED),
+        F.coalesce(F.max(F.when(from_ty, F.col(S.LY_PERIOD))), F.max(S.LY_PERIOD)).alias(S.LY_PERIOD),
+        *[F.max(c).alias(c) for c in S.FINAL_METRICS],
+    )
+    return _final(g)
+
 
+def _combine_by_join(ty: DataFrame, ly: DataFrame) -> DataFrame:
+    """TY ⟗ shifted LY on the six keys (plus the null-key salt); two exchanges and a sort-merge join."""
+    t = ty.select(*_ty_columns(ty), *S.TY_METRICS, null_key_salt(S.K6, S.TY_METRICS).alias(_SALT)).alias("t")
+    l = ly.alias("l")
     cond = [F.col(f"t.{k}") == F.col(f"l.{k}") for k in S.K6 + [_SALT]]
-    j = ty_side.join(ly_side, cond, "full_outer")
+    j = t.join(l, cond, "full_outer")
     keys = {k: F.coalesce(F.col(f"t.{k}"), F.col(f"l.{k}")) for k in S.K6 + [S.WEEK_ENDED, S.LY_PERIOD]}
     side = {c: F.col(f"t.{c}") for c in S.TY_METRICS} | {c: F.col(f"l.{c}") for c in S.LY_METRICS}
     return j.select(

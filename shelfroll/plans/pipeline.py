@@ -64,11 +64,11 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_staging(fact, cal)
 
 
-def daily(spark: SparkSession, sf_dir: str, chained: bool = False) -> DataFrame:
+def daily(spark: SparkSession, sf_dir: str, chained: bool = False, strategy: str = "aggregate") -> DataFrame:
     fact, cal = inputs(spark, sf_dir)
     stg = build_staging(fact, cal)
     window = calendar_window(cal, AS_OF, YEARS)
-    return build_daily_chained(stg, window) if chained else build_daily(stg, window)
+    return build_daily_chained(stg, window) if chained else build_daily(stg, window, strategy=strategy)
 
 
 def weekly(spark: SparkSession, sf_dir: str, form: str = "aggregate") -> DataFrame:

@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfroll import schema as S
@@ -37,7 +39,8 @@ def test_ty_ly_basic_match_and_one_sided_rows(spark):
     assert all(c in out[(19990106, 1, 1, 1)].asDict() for c in S.DAILY_COLUMNS)
 
 
-def test_two_days_sharing_one_ly_day_do_not_inflate_ty(spark):
+@pytest.mark.parametrize("strategy", ["aggregate", "join"])
+def test_two_days_sharing_one_ly_day_do_not_inflate_ty(spark, strategy):
     # 53-week style calendar: 2000-01-05 and 2000-01-06 both point at 1999-01-06
     cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 1, 31), overrides={20000106: 19990106})
     stg = staging_rows(
@@ -48,7 +51,7 @@ def test_two_days_sharing_one_ly_day_do_not_inflate_ty(spark):
             {"period_key": 19990106, "total_units_ty": 4},
         ],
     )
-    d = build_daily(stg, cal).where(F.col(S.PERIOD) >= 20000101)
+    d = build_daily(stg, cal, strategy=strategy).where(F.col(S.PERIOD) >= 20000101)
     tot = d.agg(F.sum("total_units_ty"), F.sum("total_units_ly"), F.count("*")).first()
     assert tot[0] == 30.0  # TY never inflates
     assert tot[1] == 8.0  # LY repeats on both days
@@ -58,7 +61,8 @@ def test_two_days_sharing_one_ly_day_do_not_inflate_ty(spark):
     assert ch.agg(F.sum("total_units_ty")).first()[0] > 30.0
 
 
-def test_null_keys_stay_one_sided_without_zero_rows(spark):
+@pytest.mark.parametrize("strategy", ["aggregate", "join"])
+def test_null_keys_stay_one_sided_without_zero_rows(spark, strategy):
     cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 1, 31))
     stg = staging_rows(
         spark,
@@ -68,7 +72,7 @@ def test_null_keys_stay_one_sided_without_zero_rows(spark):
             {"period_key": 20000105, "total_units_ty": 1},
         ],
     )
-    d = build_daily(stg, cal)
+    d = build_daily(stg, cal, strategy=strategy)
     rows = d.collect()
     zero = [r for r in rows if all(r[c] == 0.0 for c in S.FINAL_METRICS)]
     assert zero == []
@@ -114,10 +118,10 @@ def test_short_form_equals_chained_form_on_random_data(spark):
                      "osa_duration_ty": rnd.randrange(0, 9) / 2})
     stg = staging_rows(spark, rows)
     short = build_daily(stg, cal)
-    chained = build_daily_chained(stg, cal)
-    assert short.count() == chained.count()
-    assert short.exceptAll(chained).count() == 0
-    assert chained.exceptAll(short).count() == 0
+    for other in (build_daily_chained(stg, cal), build_daily(stg, cal, strategy="join")):
+        assert short.count() == other.count()
+        assert short.exceptAll(other).count() == 0
+        assert other.exceptAll(short).count() == 0
 
 
 def test_ly_shift_moves_rows_forward(spark):
