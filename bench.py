@@ -70,7 +70,7 @@ def stage_timings(spark) -> dict:
     daily = build_daily(stg, win).checkpoint(eager=True)
     forms = {
         "daily_short": lambda s: build_daily(stg, win),
-        "daily_short_outer_join": lambda s: build_daily(stg, win, strategy="join"),
+        "daily_short_union_aggregate": lambda s: build_daily(stg, win, strategy="aggregate"),
         "daily_chained": lambda s: build_daily_chained(stg, win),
         "weekly_one_aggregate": lambda s: build_weekly(daily),
         "weekly_selfjoin": lambda s: build_weekly_joined(daily, selfjoin=True),

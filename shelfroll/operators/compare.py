@@ -5,10 +5,10 @@ Every staging row is a TY value for its own day and an LY value for the day
 
 1. shift the LY source forward through the calendar
    (``staging.period_key = calendar.ly_period_key``; the calendar is broadcast),
-2. combine TY and shifted LY on ``period_key`` + the five entity keys: by
-   default a union followed by one hash aggregate (each key has at most one
-   row per side), which is a single exchange of staging-sized data and no
-   sort; alternatively a full outer join (two exchanges, sort-merge),
+2. full-outer-join TY and shifted LY on ``period_key`` + the five entity
+   keys (two exchanges of staging-sized data, one sort-merge join); a union
+   followed by one hash aggregate is available as an alternative strategy
+   (one exchange of the same rows),
 3. coalesce keys, zero-fill missing metrics.
 
 The earlier three-join shape (bridge ⟗ TY, ⨝ calendar, ⟗ TY) is kept as
@@ -118,7 +118,7 @@ def build_daily(
     start: int | None = None,
     end: int | None = None,
     ly_source: DataFrame | None = None,
-    strategy: str = "aggregate",
+    strategy: str = "join",
 ) -> DataFrame:
     """Daily TY/LY table for the days in [start, end] (whole table when open).
 
@@ -128,9 +128,12 @@ def build_daily(
     than a year still finds its LY values. ``ly_source`` defaults to
     ``staging`` (pass a different frame to compare two sources).
 
-    ``strategy``: ``aggregate`` (default) unions TY with shifted LY and groups
-    once on the six keys — one exchange, no sort-merge; ``join`` is the
-    full outer join of the two sides — two exchanges. Results are identical.
+    ``strategy``: ``join`` (default) full-outer-joins the two sides — two
+    exchanges and a sort-merge join; ``aggregate`` unions them and groups
+    once on the six keys — one exchange. Both shuffle the same rows and give
+    identical results; with a unique grouping key the aggregate's map-side
+    partial aggregation reduces nothing and spills like a sort, and measured
+    slower (0.57 s vs 0.50 s at sf0.1), hence the default.
     """
     ty = staging.where(period_between(start, end)) if (start is not None or end is not None) else staging
     cal = calendar.where(period_between(start, end)) if (start is not None or end is not None) else calendar

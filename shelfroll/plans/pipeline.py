@@ -64,7 +64,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_staging(fact, cal)
 
 
-def daily(spark: SparkSession, sf_dir: str, chained: bool = False, strategy: str = "aggregate") -> DataFrame:
+def daily(spark: SparkSession, sf_dir: str, chained: bool = False, strategy: str = "join") -> DataFrame:
     fact, cal = inputs(spark, sf_dir)
     stg = build_staging(fact, cal)
     window = calendar_window(cal, AS_OF, YEARS)

@@ -101,7 +101,9 @@ WEEKLY_COLS = list(S.WEEK_KEYS) + [O.metric_out(c, weekly=True) for c in S.FINAL
 query("daily_ty", O.staging_sql())(lambda spark, sf: pipeline.staging(spark, sf))
 query("daily_ty_ly", O.daily_sql())(lambda spark, sf: pipeline.daily(spark, sf))
 query("daily_ty_ly_chained", O.daily_sql())(lambda spark, sf: pipeline.daily(spark, sf, chained=True))
-query("daily_ty_ly_outer_join", O.daily_sql())(lambda spark, sf: pipeline.daily(spark, sf, strategy="join"))
+query("daily_ty_ly_union_aggregate", O.daily_sql())(
+    lambda spark, sf: pipeline.daily(spark, sf, strategy="aggregate")
+)
 query("weekly_final", O.weekly_sql())(lambda spark, sf: pipeline.weekly(spark, sf))
 query("weekly_final_joined", O.weekly_sql())(lambda spark, sf: pipeline.weekly(spark, sf, form="joined"))
 query("weekly_final_selfjoin", O.weekly_sql())(lambda spark, sf: pipeline.weekly(spark, sf, form="selfjoin"))

@@ -25,14 +25,14 @@ def _stored_staging(spark):
     return path
 
 
-def test_daily_short_form_shuffles_once_and_broadcasts_calendar(spark):
+def test_daily_short_form_exchanges_and_broadcast(spark):
     cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 12, 31))
     stg = read_staging(spark, _stored_staging(spark))
-    plan = _plan(build_daily(stg, cal))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "BroadcastExchange" in plan and "Join" in plan and "SortMergeJoin" not in plan
-    joined = _plan(build_daily(stg, cal, strategy="join"))
-    assert joined.count("Exchange hashpartitioning") == 2 and "FullOuter" in joined
+    joined = _plan(build_daily(stg, cal))
+    assert joined.count("Exchange hashpartitioning") == 2
+    assert "BroadcastExchange" in joined and "FullOuter" in joined
+    aggregated = _plan(build_daily(stg, cal, strategy="aggregate"))
+    assert aggregated.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in aggregated
     chained = _plan(build_daily_chained(stg, cal))
     assert chained.count("Exchange hashpartitioning") > joined.count("Exchange hashpartitioning")
 
