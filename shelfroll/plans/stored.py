@@ -2,9 +2,10 @@
 
 The job reads its inputs from storage (hive-style Parquet). To run those
 readers against the test tables, the stand-ins are written below the
-session's shared checkpoint folder (``spark.checkpoint.dir``) with the
-library's own sinks, once per (session, data folder), and reused.
-Writing through the sinks also cuts the lineage of later plans.
+session's shared checkpoint folder (``spark.checkpoint.dir``) once per
+(session, data folder) and reused: the raw fact and dimension inputs with a
+plain partitioned write, the staging/daily/weekly outputs with the library's
+own sinks. Reading them back also cuts the lineage of later plans.
 """
 
 from __future__ import annotations
