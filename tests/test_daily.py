@@ -152,3 +152,25 @@ def test_look_back_off_parity_with_range_filtered_source(spark):
     assert off.where(F.col("total_units_ly") != 0).count() == 0
     on = build_daily(stg, cal, 20000101, 20000131)
     assert on.where(F.col("total_units_ly") == 0).count() == 0
+
+
+def test_join_and_aggregate_strategies_agree_with_null_keys(spark):
+    rnd = random.Random(11)
+    cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 6, 30), overrides={20000110: 19990112})
+    rows, seen = [], set()
+    for _ in range(300):
+        d = dt.date(1999, 1, 1) + dt.timedelta(days=rnd.randrange(540))
+        item = rnd.choice([None, 0, 1, 2])
+        store = rnd.choice([None, 0, 1])
+        k = (key(d), item, store)
+        if k in seen:
+            continue
+        seen.add(k)
+        rows.append({"period_key": k[0], "item_key": item, "store_key": store,
+                     "total_units_ty": rnd.randrange(1, 40), "rs_inventory_ty": rnd.choice([0, 3, 5])})
+    stg = staging_rows(spark, rows)
+    for rng in ((None, None), (20000101, 20000131)):
+        a = build_daily(stg, cal, *rng, strategy="join")
+        b = build_daily(stg, cal, *rng, strategy="aggregate")
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
