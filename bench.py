@@ -83,6 +83,7 @@ def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=max(8, CPUS * 2), app="shelfroll-bench")
     medians = _medians(spark, {**HEADLINE, **BASELINE})
     stages = stage_timings(spark)
+    fact_rows = pipeline.fact(spark, SF_DIR).count()
     headline = {k: medians[k] for k in HEADLINE}
     baseline = {k: medians[k] for k in BASELINE}
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
@@ -97,6 +98,8 @@ def main() -> None:
             "weekly_final": round(baseline["weekly_final_selfjoin"] / headline["weekly_final"], 2),
         },
         "stages_from_checkpointed_input": stages,
+        "fact_rows": fact_rows,
+        "fact_rows_per_sec_staging": round(fact_rows / medians["daily_ty"]),
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": CPUS,
         "runs": RUNS,
