@@ -46,3 +46,24 @@ def test_clean_list_column_matches_driver_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(clean_list("s")).collect()]
     assert got == [params.clean_list(v) for v in values]
+
+
+# Expected sizes at sf0.001 from FIXTURES.md §3
+# (rows, both TY and LY, LY only, TY only, null inventory) by total units.
+EXPECTED_SF0001 = {
+    "daily": (8382, 80, 2488, 5814, 0),
+    "weekly": (7243, 468, 1858, 4917, 3499),
+}
+
+
+def test_fixture_sizes_match_expected(spark):
+    for name, df in (("daily", pipeline.daily(spark, SF_SMALL)), ("weekly", pipeline.weekly(spark, SF_SMALL))):
+        ty, ly = F.col("total_units_ty"), F.col("total_units_ly")
+        r = df.agg(
+            F.count("*"),
+            F.sum(((ty != 0) & (ly != 0)).cast("int")),
+            F.sum(((ty == 0) & (ly != 0)).cast("int")),
+            F.sum(((ty != 0) & (ly == 0)).cast("int")),
+            F.sum(F.col("rs_inventory_ty").isNull().cast("int")),
+        ).first()
+        assert tuple(r) == EXPECTED_SF0001[name], name
