@@ -74,3 +74,21 @@ def test_scan_reads_only_needed_columns(spark):
     df = read_staging(spark, _stored_staging(spark)).select(S.PERIOD, "total_units_ty")
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema: struct<total_units_ty:double>" in plan
+
+
+def test_broadcast_only_below_proven_bound(spark):
+    from shelfroll.operators.joins import maybe_broadcast
+
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        under = big.join(maybe_broadcast(small, max_rows=10), "k")
+        over = big.join(maybe_broadcast(small, max_rows=9), "k")
+        assert "BroadcastHashJoin" in _plan(under)
+        assert "BroadcastHashJoin" not in _plan(over) and "SortMergeJoin" in _plan(over)
+        assert under.count() == over.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
