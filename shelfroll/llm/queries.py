@@ -6,17 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import bpe, decontaminate, quality, secret_scan, token_files
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, by numpy merge rounds."""
+    return bpe.op2(documents(spark, sf_dir))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns and literals bound to sensitive names."""
+    return secret_scan.op3(documents(spark, sf_dir))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token files with Elias-Fano boundaries, read back."""
+    return token_files.op4(documents(spark, sf_dir))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict of every document: base rules and perplexity bands by language."""
+    return quality.op6(documents(spark, sf_dir))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits of every document, by suffix arrays."""
     return decontaminate.op8(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 REGISTRY: dict[str, tuple[Query, str | None]] = {
+    "op2_bpe": (op2_bpe, None),
+    "op3_secrets": (op3_secrets, None),
+    "op4_token_files": (op4_token_files, None),
+    "op6_quality": (op6_quality, None),
     "op8_decontaminate": (op8_decontaminate, decontaminate.OP8_SQL),
 }
