@@ -199,53 +199,67 @@ def numpy_words(vocab: dict):
     return encode
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, texts: bool) -> Encoder:
+    """``texts``: entries hold the ids as decimal text, else as 32-bit numbers; both with their count and tokens."""
     with open(path, encoding="utf-8") as f:
         vocab = read_vocabulary(f.read())
     tokens = vocab["tokens"]
 
-    def render(ids: list[int]) -> tuple[str, int, str]:
-        return " ".join(map(str, ids)), len(ids), " ".join([tokens[i] for i in ids])
+    def render(ids: list[int]) -> tuple:
+        own = " ".join(map(str, ids)) if texts else np.array(ids, np.int32).tobytes()
+        return own, len(ids), " ".join([tokens[i] for i in ids])
 
     return Encoder(path, numpy_words(vocab), vocab["special"], render)
 
 
-def encoded(docs: DataFrame, path: str | None = None, keep: list[str] | None = None, digests: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all by default) of ``docs`` with ``ids`` (array<int>) and ``decoded`` (the tokens of the ids
-    joined by one blank, as the tokenizer without a decoder has it).
+    joined by one blank, as the tokenizer without a decoder has it). The tokenizer file is read on each worker."""
+    path = path or default_path()
+    keep = docs.columns if keep is None else keep
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_cache("bpe" + path, lambda: _encoder(path, False))
+        for rows, texts in blocks(batches, BLOCK_BYTES):
+            ids, decoded, ends = [], [], [0]
+            for entries in encoder.block(texts):
+                entries = [e for e in entries if e[1]]
+                ids += [e[0] for e in entries]
+                ends.append(ends[-1] + sum([e[1] for e in entries]))
+                decoded.append(" ".join([e[2] for e in entries]))
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(n) for n in keep), lists, pa.array(decoded, pa.string())], names=[*keep, "ids", "decoded"]
+            )
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+    return docs.mapInArrow(run, ", ".join([*fields, "ids array<int>, decoded string"]))
 
-    With ``digests`` the columns are ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of the same values instead.
-    The tokenizer file is read on each worker from ``path``, where it is installed.
-    """
+
+def digested(docs: DataFrame, path: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (all by default) of ``docs`` with n_tokens, ids_sha256 and decoded_sha256: what ``encoded``
+    has, as digests of the decimal ids joined by one blank and of the decoded text."""
     path = path or default_path()
     keep = docs.columns if keep is None else keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_cache("bpe" + path, lambda: _encoder(path))
+        encoder = worker_cache("bpe-text" + path, lambda: _encoder(path, True))
+        sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
         for rows, texts in blocks(batches, BLOCK_BYTES):
-            first, second, third = [], [], []
+            n, ids, decoded = [], [], []
             for entries in encoder.block(texts):
                 entries = [e for e in entries if e[1]]
-                ids = " ".join([e[0] for e in entries])
-                decoded = " ".join([e[2] for e in entries])
-                if digests:
-                    first.append(sum([e[1] for e in entries]))
-                    second.append(hashlib.sha256(ids.encode()).hexdigest())
-                    third.append(hashlib.sha256(decoded.encode()).hexdigest())
-                else:
-                    first.append([int(i) for i in ids.split()])
-                    second.append(decoded)
-            own = [rows.column(n) for n in keep]
-            if digests:
-                made = [pa.array(first, pa.int64()), pa.array(second, pa.string()), pa.array(third, pa.string())]
-                names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-            else:
-                made, names = [pa.array(first, pa.list_(pa.int32())), pa.array(second, pa.string())], ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays([*own, *made], names=[*keep, *names])
+                n.append(sum([e[1] for e in entries]))
+                ids.append(sha([e[0] for e in entries]))
+                decoded.append(sha([e[2] for e in entries]))
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
-    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    return docs.mapInArrow(run, ", ".join([*fields, more]))
+    return docs.mapInArrow(run, ", ".join([*fields, "n_tokens long, ids_sha256 string, decoded_sha256 string"]))
 
 
 def decode(ids: list[int], path: str | None = None) -> str:
@@ -262,4 +276,4 @@ def decode(ids: list[int], path: str | None = None) -> str:
 
 def op2(docs: DataFrame) -> DataFrame:
     """Digest columns of the contract, one row per document."""
-    return encoded(id_and_text(docs), keep=["doc_id"], digests=True)
+    return digested(id_and_text(docs), keep=["doc_id"])

@@ -232,9 +232,26 @@ def contamination(
         block = following
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no window of a benchmark item occurs."""
-    return contamination(docs, benchmark, window).where("_n_hit = 0").select(*docs.columns)
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of a benchmark item occurs; one filter per block."""
+
+    def clean(index: dict):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, texts in blocks(batches, SHARD_BYTES):
+                _, first, found = shard_hits(texts, index)
+                free = np.ones(len(texts), bool)
+                for pos, _, _ in found:
+                    free[np.searchsorted(first, pos, side="right") - 1] = False
+                yield rows.filter(pa.array(free))
+
+        return run
+
+    out = docs
+    for block in benchmark_blocks(benchmark, block_bytes):
+        out = out.mapInArrow(clean(test_index(block, window)), docs.schema)
+    return out
 
 
 def op8(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
