@@ -5,7 +5,8 @@ space; only chunks that the worker hasn't met before go on. Their pieces become
 round finds the rank of every adjacent pair by binary search over the sorted pair keys, picks the lowest-ranked pair of
 every word and merges all its places from the left. Words are independent, so all words of a block advance together.
 
-The worker's memo of chunks is emptied when it holds ``MEMO`` entries; that changes speed only, never a result.
+The worker remembers chunks and pieces in memos of two generations: when the younger holds ``MEMO`` entries it becomes
+the older one, and what is met again moves to the new younger one. That bounds memory and never changes a result.
 
 Edge cases: a null or empty text has no ids and decodes to the empty text; special tokens are cut out of the raw text
 first, as the library does; other columns are ignored; repeated ids keep their rows.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from .common import blocks, id_and_text, worker_cache
 
-MEMO = 250_000
+MEMO = 200_000
 BLOCK_BYTES = 4 << 20
 
 #: Fixed values of the tokenizer: Unicode white space, and the pattern that cuts normalised text into pieces.
@@ -38,15 +39,19 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: printable Latin-1 bytes for themselves, the others shifted to 256 and on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 def read_vocabulary(text: str) -> dict:
     """Tables of a word-level BPE file: symbol ids by byte, sorted pair keys with rank and result, tokens by id."""
     spec = json.loads(text)
     vocab: dict[str, int] = spec["model"]["vocab"]
     end = spec["model"]["end_of_word_suffix"]
-    # the byte alphabet: printable Latin-1 bytes stand for themselves, the others are shifted to 256 and on, in order
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {b: chr(b) for b in plain}
-    letters |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in letters)}
+    letters = byte_letters()
     left, right, made = [], [], []
     for a, b in spec["model"]["merges"]:
         left.append(vocab[a])
@@ -114,85 +119,115 @@ def merge_rounds(words: list[bytes], vocab: dict) -> tuple[np.ndarray, np.ndarra
 
 
 def make_splitter(path: str):
-    """A function from a chunk of raw text without ASCII white space to its pieces (bytes) and special-token ids."""
+    """A function from chunks of raw text without ASCII white space to the list of all their pieces, in order, with a
+    blank after those of each chunk."""
     from tokenizers import Tokenizer
 
-    normalise = Tokenizer.from_file(path).normalizer.normalize_str
-    pieces = regex.compile(PIECES).findall
-    plain = regex.compile(r"[^\x00-\u024f]")
-
-    def split(text: str) -> list[bytes]:
-        # below U+0250 the normalisation is lower-casing alone; beyond, the library's normaliser is asked
-        text = normalise(text) if plain.search(text) else text.lower()
-        return [p.encode() for p in pieces(text)]
+    tokenizer = Tokenizer.from_file(path)
+    normalise, cut = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
+    back = {ord(c): b for b, c in enumerate(byte_letters())}
+    pieces = regex.compile(PIECES + r"|\x20").findall
+    beyond = regex.compile(r"[^\x00-\u024f]").search
+
+    def split(chunks: list[str]) -> list[str]:
+        text = " ".join(chunks) + " "
+        if not beyond(text):  # below U+0250 the normalisation is lower-casing alone
+            return pieces(text.lower())
+        out = []
+        for c in chunks:
+            if beyond(c):  # whose letters depend on the Unicode version, so the library cuts them itself
+                out += [p.translate(back).encode("latin-1").decode() for p, _ in cut(normalise(c))]
+            else:
+                out += pieces(c.lower())
+            out.append(" ")
+        return out
 
     return split
 
 
+class Memo:
+    """A dictionary of bounded size in two generations."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys) -> list:
+        """Keys that have no entry; the others are in the younger generation afterwards."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for k in keys:
+            if k not in young:
+                if (e := old.get(k)) is not None:
+                    young[k] = e
+                else:
+                    new.append(k)
+        return new
+
+
 class Encoder:
-    """Encodes chunks of text with a bounded memo; ``words_to_ids`` encodes new pieces."""
+    """Encodes chunks of text. ``entries_of`` makes the entries of new pieces, ``special`` those of special tokens, and
+    ``combine`` the entry of a chunk from its pieces' entries."""
 
-    def __init__(self, path: str, words_to_ids, special: dict[str, int], render, memo: int = MEMO):
-        self.split, self.words_to_ids, self.render, self.limit = make_splitter(path), words_to_ids, render, memo
-        self.special = special
+    def __init__(self, path: str, entries_of, special: dict[str, object], combine, memo: int = MEMO):
+        self.split, self.entries_of, self.special, self.combine = make_splitter(path), entries_of, special, combine
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in special) + ")") if special else None
-        self.chunks: dict[bytes, tuple] = {}
-        self.pieces: dict[bytes, tuple[int, ...]] = {}
-
-    def learn(self, new: set[bytes]) -> None:
-        """Adds the chunks ``new`` to the memo, all their new pieces in one batch."""
-        if len(self.chunks) + len(new) > self.limit:
-            self.chunks.clear()
-        if len(self.pieces) > self.limit:
-            self.pieces.clear()
-        parts: list[tuple[bytes, list]] = []
-        unknown: dict[bytes, None] = {}
-        for chunk in new:
-            text = chunk.decode("utf-8", "replace")
-            if self.cut is not None and "<" in text:
-                cut = [[self.special[s]] if s in self.special else self.split(s) for s in self.cut.split(text) if s]
-                own = [p for c in cut for p in c]
+        self.chunks, self.pieces = Memo(memo), Memo(memo)
+
+    def learn(self, new: list[bytes]) -> None:
+        """Adds entries of the chunks ``new``, all their new pieces in one batch."""
+        plain = [c for c in new if b"<" not in c] if self.cut is not None else new
+        tokens = self.split([c.decode("utf-8", "replace") for c in plain]) if plain else []
+        parts: list[tuple[bytes, list]] = []  # chunks that may hold special tokens
+        every = set(tokens)
+        if len(plain) < len(new):
+            for chunk in new:
+                if b"<" in chunk:
+                    own: list = []
+                    for text in self.cut.split(chunk.decode("utf-8", "replace")):
+                        if text in self.special:
+                            own.append(self.special[text])
+                        elif text:
+                            found = [p for p in self.split([text]) if p != " "]
+                            every.update(found)
+                            own += found
+                    parts.append((chunk, own))
+        every.discard(" ")
+        words = self.pieces.missing(every)
+        known = self.pieces.young
+        known.update(zip(words, self.entries_of(words), strict=True))
+        young, combine = self.chunks.young, self.combine
+        chunks, own = iter(plain), []
+        for t in tokens:
+            if t != " ":
+                own.append(known[t])
             else:
-                own = self.split(text)
-            parts.append((chunk, own))
-            for p in own:
-                if p.__class__ is bytes and p not in self.pieces:
-                    unknown[p] = None
-        words = list(unknown)
-        self.pieces.update(zip(words, self.words_to_ids(words), strict=True))
-        known = self.pieces
+                young[next(chunks)] = own[0] if len(own) == 1 else combine(own)
+                own = []
         for chunk, own in parts:
-            ids: list[int] = []
-            for p in own:
-                if p.__class__ is bytes:
-                    ids += known[p]
-                else:
-                    ids.append(p)
-            self.chunks[chunk] = self.render(ids)
+            young[chunk] = combine([known[p] if p.__class__ is str else p for p in own])
 
-    def block(self, texts: list[bytes | None]) -> Iterator[list[tuple]]:
-        """For each text the rendered entries of its chunks, in order."""
+    def block(self, texts: list[bytes | None]) -> Iterator[list]:
+        """For each text the entries of its chunks, in order."""
         cut = [t.split() if t else [] for t in texts]
-        new = set().union(*cut) if cut else set()
-        if self.chunks:
-            new = {c for c in new if c not in self.chunks}
-        if len(self.chunks) + len(new) > self.limit and self.chunks:
-            self.chunks.clear()
-            new = set().union(*cut)
+        new = self.chunks.missing(set().union(*cut))
         if new:
             self.learn(new)
-        get = self.chunks.__getitem__
+        get = self.chunks.young.__getitem__
         for chunks in cut:
             yield [*map(get, chunks)]
 
 
 def numpy_words(vocab: dict):
-    """``words_to_ids`` by merge rounds."""
+    """Ids of pieces by merge rounds."""
 
-    def encode(words: list[bytes]) -> list[tuple[int, ...]]:
+    def encode(words: list[str]) -> list[tuple[int, ...]]:
         if not words:
             return []
-        ids, at = merge_rounds(words, vocab)
+        ids, at = merge_rounds([w.encode() for w in words], vocab)
         flat, stops = ids.tolist(), at.tolist()
         return [tuple(flat[a:b]) for a, b in zip(stops[:-1], stops[1:], strict=True)]
 
@@ -203,13 +238,18 @@ def _encoder(path: str, texts: bool) -> Encoder:
     """``texts``: entries hold the ids as decimal text, else as 32-bit numbers; both with their count and tokens."""
     with open(path, encoding="utf-8") as f:
         vocab = read_vocabulary(f.read())
-    tokens = vocab["tokens"]
+    tokens, words_to_ids = vocab["tokens"], numpy_words(vocab)
 
-    def render(ids: list[int]) -> tuple:
+    def entry(ids) -> tuple:
         own = " ".join(map(str, ids)) if texts else np.array(ids, np.int32).tobytes()
         return own, len(ids), " ".join([tokens[i] for i in ids])
 
-    return Encoder(path, numpy_words(vocab), vocab["special"], render)
+    def combine(entries: list[tuple]) -> tuple:
+        joined = " ".join([e[0] for e in entries]) if texts else b"".join([e[0] for e in entries])
+        return joined, sum([e[1] for e in entries]), " ".join([e[2] for e in entries])
+
+    special = {s: entry([i]) for s, i in vocab["special"].items()}
+    return Encoder(path, lambda words: [entry(ids) for ids in words_to_ids(words)], special, combine)
 
 
 def encoded(docs: DataFrame, path: str | None = None, keep: list[str] | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import Encoder, default_path, read_vocabulary
+from .bpe import Encoder, byte_letters, default_path, read_vocabulary
 from .common import blocks, id_and_text, scratch, worker_cache
 
 MAGIC = b"EFTOKEN1"
@@ -153,18 +153,19 @@ def _library_encoder(path: str) -> tuple[Encoder, int]:
     with open(path, encoding="utf-8") as f:
         vocab = read_vocabulary(f.read())
     width = 2 if max(vocab["tokens"]) < 1 << 16 else 4
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    letters = {b: 256 + k for k, b in enumerate(rest)}  # the byte alphabet of the vocabulary
+    letters = dict(enumerate(byte_letters()))
     tokenize = tokenizer.model.tokenize
+    own = [i.to_bytes(width, "little") for i in range(max(vocab["tokens"]) + 1)]
 
-    def words(new: list[bytes]) -> list[tuple[int, ...]]:
-        return [tuple([t.id for t in tokenize(w.decode("latin-1").translate(letters))]) for w in new]
+    def entries(new: list[str]) -> list[bytes]:
+        out = []
+        for w in new:
+            text = w if w.isascii() and w.isalnum() else w.encode().decode("latin-1").translate(letters)
+            out.append(b"".join([own[t.id] for t in tokenize(text)]))
+        return out
 
-    def render(ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{width}").tobytes()
-
-    return Encoder(path, words, vocab["special"], render), width
+    special = {s: own[i] for s, i in vocab["special"].items()}
+    return Encoder(path, entries, special, b"".join), width
 
 
 def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> list[dict]:
