@@ -272,7 +272,7 @@ c AS (
 p AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '') AS r FROM c),
 q AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(r, '^[^/?]*', 0)), ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
              regexp_replace(regexp_extract(r, '^[^/?]*(/[^?]*)', 1), '/+$', '') AS path,
-             array_to_string(list_sort(list_filter(string_split(regexp_extract(r, '\?(.*)$', 1), '&'), x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)'))), '&') AS args FROM p),
+             array_to_string(list_sort(list_filter(string_split(regexp_extract(r, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)'))), '&') AS args FROM p),
 k AS (SELECT record_id, type, s, tag, host || path || CASE WHEN args <> '' THEN '?' || args ELSE '' END AS url_key FROM q),
 a AS (SELECT * FROM k WHERE type = 'response'),
 j AS (SELECT v.*, a.record_id AS response_id, a.tag AS old_tag,
