@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, stored
 
 BUCKET = 3600
 #: Headers that a 304 answer may update in the stored response, and the validators.
@@ -178,6 +178,7 @@ def resolved(captures: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rows = captures.where("type IN ('response', 'revisit')").select(
         "record_id", "type", canonical_url(F.col("url")).alias("url_key"), "date", "status", "headers"
     )
+    rows = stored(rows, "captures")  # read several times below; the files with their bodies are parsed once
     full = (F.col("type") == "response") & (F.col("status") == 200) & F.col("url_key").isNotNull() & F.col("date").isNotNull()
     rows = rows.withColumn("slot", F.floor(F.unix_timestamp("date") / bucket))
     rows = rows.withColumn("answer", F.when(full, F.struct("date", "record_id", "headers")))
