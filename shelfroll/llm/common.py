@@ -9,9 +9,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: The six ASCII white-space characters that separate words.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -39,34 +39,32 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
-    """UTF-8 bytes of a string column, nulls as None."""
-    column = batch.column(batch.schema.get_field_index(name))
+def _as_bytes(column: pa.Array) -> pa.Array:
+    """A string column as binary, without a copy."""
     if pa.types.is_dictionary(column.type):
         column = column.dictionary_decode()
-    large = pa.types.is_large_string(column.type)
-    return column.cast(pa.large_binary() if large else pa.binary()).to_pylist()
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+
+
+def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
+    """UTF-8 bytes of a string column, nulls as None."""
+    return _as_bytes(batch.column(batch.schema.get_field_index(name))).to_pylist()
 
 
 def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Cuts Arrow batches into slices of at most ``max_bytes`` of text, one document at least."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives the memory of a batch that is done back to the machine
     for batch in batches:
-        texts = text_bytes(batch)
+        column = _as_bytes(batch.column(batch.schema.get_field_index("text")))
+        lens = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         start = size = 0
-        for i, t in enumerate(texts):
-            n = len(t) if t else 0
+        for i, n in enumerate(lens):
             if size and size + n > max_bytes:
-                yield batch.slice(start, i - start), texts[start:i]
+                yield batch.slice(start, i - start), column.slice(start, i - start).to_pylist()
                 start, size = i, 0
             size += n
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
-
-
-def map_arrow(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
-) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+        if start < len(lens):
+            yield batch.slice(start), column.slice(start).to_pylist()
 
 
 def worker_cache(name: str, make: Callable[[], object]) -> object:

@@ -1,24 +1,26 @@
 """MinHash near-duplicate detection with exact confirmation.
 
-1. Every document becomes a set of word shingles; ``HASHES`` universal hash minima form its signature. Documents with
-   the same set share a fingerprint (a 64-bit sum over the set), which is the node that stands for all of them: copies
-   cost one row each and are never paired.
-2. Signatures are cut into ``BANDS`` bands. A pair at similarity 0.8 shares no band with probability below 1e-7.
-3. First links: every node is compared with one centre, the smallest node of all its buckets. Signature
-   agreement discards hopeless pairs, the others are confirmed on the full sets. Components follow.
+1. Every document becomes a set of word shingles; ``HASHES`` universal hash minima form its signature (the low 16 bits of
+   each minimum are kept). Documents with the same set share a fingerprint (a 64-bit sum over the set), which is the
+   node that stands for all of them: copies cost one row each and are never paired.
+2. Signatures are cut into ``BANDS`` bands of ``ROWS``. A pair at similarity 0.8 shares no band with probability below
+   1e-7.
+3. First links: every node is compared with one centre, the smallest node of all its buckets. Components follow.
 4. Buckets that still hold several components are searched whole, in blocks of ``BLOCK`` members against each other:
-   signatures are compared inside the task and only pairs of different components that agree well leave it. They are
-   confirmed in two waves (the best partner in each other component first), so links that could join components are
-   all tested; pairs inside one component need no test.
-5. Components: alternating large-star and small-star until the edges stay the same.
+   signatures are compared inside the task, and a pair leaves it at its first shared band only. ``BEST_ROUNDS`` times
+   each node sends the best partner outside its component, then all pairs of different components that agree well are
+   sent. Pairs inside one component need no test, as they can't join components.
+5. Whatever is sent is confirmed on the full sets. Components: alternating large-star and small-star until the edges
+   stay the same.
 
 Full sets are made again from the texts of the documents that stand for a node of a pair; a bit table of their ids (16
 bits an id, at most ``FILTER_BITS`` bits in all) keeps the other documents out. False positives of the table are dropped
-by the join, so it never changes a result.
+by the join, so it never changes a result. Pairs that lie close together are confirmed together (pieces of about
+``BLOCK`` nodes a side), so a set travels once for each piece and not once for each pair.
 
-Links are exact except for the bands' and the signature test's miss probability (agreement below
-``threshold - 5 standard errors``). Hot buckets: a bucket with m distinct sets in several components costs m * m / BLOCK
-rows moved and m * m signature comparisons, in m * m / BLOCK**2 independent pieces.
+Links are exact except for the bands' and the signature test's miss probability (agreement below ``percent`` less four
+standard errors). Hot buckets: a bucket with m distinct sets in several components costs m * m / BLOCK rows moved and
+m * m signature comparisons, in m * m / BLOCK**2 independent pieces.
 
 Edge cases: null and empty texts have an empty set and are linked with nothing, each its own component; rows with equal
 doc_id are documents of their own; a null doc_id takes part, and a component's id is the smallest that isn't null (null
@@ -36,7 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, words_of
 
-HASHES, BANDS = 128, 32
+HASHES, BANDS, ROWS = 256, 32, 4
+BEST_ROUNDS = 2
 SEED = 20_240_601
 BLOCK = 512
 BLOCK_BYTES = 1 << 20
@@ -76,14 +79,15 @@ def shingle_sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.
 
 
 def minima(key: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Signature (HASHES x uint32) of each non-empty set: the least of (a * x + b) mod 2**64, upper 32 bits."""
+    """Signature (HASHES x uint16) of each set: the low bits of the least upper half of (a * x + b) mod 2**64."""
     a, b = coefficients()
-    out = np.full((len(first) - 1, HASHES), 0xFFFFFFFF, np.uint32)
+    out = np.zeros((len(first) - 1, HASHES), np.uint16)
     full = np.flatnonzero(np.diff(first))
     if len(full):
         heads = first[:-1][full]
         for i in range(HASHES):
-            out[full, i] = np.minimum.reduceat(((key * a[i] + b[i]) >> np.uint64(32)).astype(np.uint32), heads)
+            least = np.minimum.reduceat(((key * a[i] + b[i]) >> np.uint64(32)).astype(np.uint32), heads)
+            out[full, i] = least.astype(np.uint16)
     return out
 
 
@@ -113,47 +117,53 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """Bucket of each signature and band: a hash of the band's number and its ROWS minima."""
+    rows = sig[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+    packed = rows[:, :, 0] | rows[:, :, 1] << np.uint64(16) | rows[:, :, 2] << np.uint64(32) | rows[:, :, 3] << np.uint64(48)
+    return mix(mix(packed) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+def _read_signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, HASHES)
+
+
 def _bands(reps: DataFrame) -> DataFrame:
-    """(bucket, id) of every band of the representatives."""
+    """(bucket, id) of every band of the nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = HASHES // BANDS
         for b in batches:
-            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u4").reshape(-1, BANDS, rows).astype(np.uint64)
-            key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sig), 1))
-            for k in range(rows):
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
-            ids = np.repeat(np.array(b.column("id").to_pylist(), np.int64), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids)], names=["bucket", "id"])
+            key = band_keys(_read_signatures(b.column("sig")))
+            ids = np.repeat(b.column("id").to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(ids)], names=["bucket", "id"])
 
     return reps.select("id", "sig").mapInArrow(run, "bucket long, id long")
 
 
-def _agreement(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in ``least`` places, with ``agree``."""
+def _ids_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
+def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) whose signatures agree in ``least`` places."""
+    sigs = _only(reps.select("id", "sig"), _ids_of(pairs))
     joined = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(
         sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            s, t = (np.frombuffer(b"".join(x.column(c).to_pylist()), "<u4").reshape(-1, HASHES) for c in ("sa", "sb"))
-            agree = (s == t).sum(axis=1)
-            ok = agree >= least
-            yield pa.RecordBatch.from_arrays(
-                [x.column("a").filter(pa.array(ok)), x.column("b").filter(pa.array(ok)), pa.array(agree[ok].astype(np.int32))],
-                names=["a", "b", "agree"],
-            )
+            ok = pa.array((_read_signatures(x.column("sa")) == _read_signatures(x.column("sb"))).sum(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], names=["a", "b"])
 
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, agree int")
+    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _id_filter(pairs: DataFrame, reps: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit table of the documents of the nodes in ``pairs``, built on the executors in 4 KB pieces."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(reps.select("id", "doc_id"), "id")
+def _bit_table(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """A bit table of the hashes of ``column``, built on the executors in 4 KB pieces, and its mask."""
     n = ids.count()
     bits = 1 << min(max(15, (16 * n).bit_length()), FILTER_BITS.bit_length() - 1)
-    h = F.xxhash64("doc_id").bitwiseAND(F.lit(bits - 1))
+    h = F.xxhash64(column).bitwiseAND(F.lit(bits - 1))
     pieces = ids.groupBy(F.shiftright(h, 15).alias("piece")).agg(
         F.bitmap_construct_agg(h.bitwiseAND(F.lit(32767))).alias("bits")
     )
@@ -163,44 +173,83 @@ def _id_filter(pairs: DataFrame, reps: DataFrame) -> tuple[np.ndarray, int]:
     return table, bits - 1
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """(id, set) of the nodes in ``pairs`` and maybe a few more; sets as sorted 64-bit numbers."""
-    table, mask = _id_filter(pairs, reps)
+def _in_table(table: np.ndarray, h: np.ndarray) -> pa.Array:
+    return pa.array((table[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool))
+
+
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the nodes in ``ids`` and maybe a few more, without a shuffle of the others."""
+    table, mask = _bit_table(ids, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.filter(_in_table(table, batch.column("_hash").to_numpy()))
+            yield kept.select([n for n in kept.schema.names if n != "_hash"])
+
+    return rows.withColumn("_hash", F.xxhash64("id").bitwiseAND(F.lit(mask))).mapInArrow(run, rows.schema)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """(id, set) of the nodes in ``ids``; sets as sorted 64-bit numbers."""
+    table, mask = _bit_table(_only(reps.select("id", "doc_id"), ids).join(ids, "id", "left_semi"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = np.array(batch.column("h").to_pylist(), np.int64)
-            rows = batch.filter(pa.array((table[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool)))
+            rows = batch.filter(_in_table(table, batch.column("h").to_numpy()))
             for _, texts in blocks(iter([rows]), BLOCK_BYTES):
                 key, first = shingle_sets(texts, width)
                 sets = [key[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(fingerprints(key, first)), pa.array(sets, pa.binary())], names=["id", "set"])
 
     known = docs.where("text IS NOT NULL").select("text", F.xxhash64("doc_id").bitwiseAND(F.lit(mask)).alias("h"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return known.mapInArrow(run, "id long, set binary").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    return known.mapInArrow(run, "id long, set binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
-    sets = stored(_sets(docs, pairs, reps, width), "sets")
-    both = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"
-    )
+    ids = _ids_of(pairs)
+    sets = _sets(docs, ids, reps, width)
+    # pairs with a common smallest neighbour go together; a large gathering is cut into blocks of its nodes
+    near = pairs.select("a", "b").union(pairs.select("b", "a")).groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("g"))
+    dealt = pairs.select("a", "b").join(near.withColumnRenamed("g", "ga"), "a")
+    dealt = dealt.join(near.select(F.col("a").alias("b"), F.col("g").alias("gb")), "b").select("a", "b", F.least("ga", "gb").alias("g"))
+    size = dealt.groupBy("g").agg(F.ceil(F.sqrt(F.count("*")) / BLOCK).cast("int").alias("k"))
+    own = lambda c: F.pmod(F.xxhash64(c, "g"), F.col("k")).cast("int")
+    dealt = dealt.join(size, "g").select("g", own("a").alias("x"), own("b").alias("y"), "a", "b")
+    dealt = stored(dealt, "dealt")
+    needs = dealt.select("g", "x", "y", F.explode(F.array("a", "b")).alias("id")).distinct()
+    order = ["g", "x", "y"]
+    none = F.lit(None).cast("binary").alias("set")
+    rows = needs.join(sets, "id").select(*order, F.lit(0).alias("kind"), F.col("id").alias("a"), F.col("id").alias("b"), "set")
+    rows = rows.union(dealt.select(*order, F.lit(1), "a", "b", none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            ok = []
-            for s, t in zip(x.column("sa").to_pylist(), x.column("sb").to_pylist(), strict=True):
-                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                merged = np.concatenate([s, t])
-                merged.sort(kind="stable")
-                common = int((merged[1:] == merged[:-1]).sum())
-                ok.append(100 * common >= percent * (len(merged) - common))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([x.column("a").filter(keep), x.column("b").filter(keep)], names=["a", "b"])
-
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+        piece, held = None, {}
+        pa.set_memory_pool(pa.system_memory_pool())
+        for x in (batch.slice(lo, 500) for batch in batches for lo in range(0, batch.num_rows, 500)):
+            a, b = [], []
+            columns = [x.column(c).to_pylist() for c in ("g", "x", "y", "kind", "a", "b", "set")]
+            for g, i, j, kind, p, q, data in zip(*columns, strict=True):
+                if piece != (g, i, j):
+                    piece, held = (g, i, j), {}
+                if kind == 0:
+                    held[p] = np.frombuffer(data, np.uint64)
+                elif _similar(held[p], held[q], percent):
+                    a.append(p)
+                    b.append(q)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.repartition(*order).sortWithinPartitions(*order, "kind").mapInArrow(run, "a long, b long")
+
+
+def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+        return False
+    merged = np.concatenate([s, t])
+    merged.sort(kind="stable")
+    common = int((merged[1:] == merged[:-1]).sum())
+    return 100 * common >= percent * (len(merged) - common)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -232,8 +281,9 @@ def components(edges: DataFrame) -> DataFrame:
     return rest.select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def _block_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures agree in ``least`` places.
+def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket whose signatures agree in ``least`` places, at their first
+    shared band; with ``best`` only each node's best partner.
 
     A bucket of m members is cut into ceil(m / BLOCK) blocks; each pair of blocks is a piece of work of its own.
     """
@@ -243,53 +293,62 @@ def _block_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
     dealt = dealt.select(
         "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "comp", "n", "sig"
     )
-
-    def compare(run: dict[str, list]) -> Iterator[tuple[np.ndarray, ...]]:
-        x, y = run["key"][1:]
-        own, ids, comp, n = (np.array(run[c], np.int64) for c in ("own", "id", "comp", "n"))
-        sig = np.frombuffer(b"".join(run["sig"]), "<u4").reshape(-1, HASHES)
+    columns = ("own", "id", "comp", "n", "sig")
+
+    def compare(run: dict) -> Iterator[tuple[np.ndarray, ...]]:
+        bucket, x, y = run["key"]
+        own, ids, comp, n = (np.array(run[c], np.int64) for c in columns[:4])
+        sig = np.frombuffer(b"".join(run["sig"]), "<u2").reshape(-1, HASHES)
+        band = int(np.flatnonzero(band_keys(sig[:1])[0] == bucket)[0])
+        rows = sig[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-        for i in left.tolist():
-            others = right[right > i] if x == y else right
+        for i in (np.union1d(left, right) if best else left).tolist():
+            others = (right if own[i] == x else left) if best or x != y else right[right > i]
             others = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            if len(others):
-                agree = (sig[others] == sig[i]).sum(axis=1)
-                ok = agree >= least
-                if ok.any():
-                    j, m = others[ok], int(ok.sum())
-                    yield np.full(m, ids[i]), ids[j], np.full(m, comp[i]), comp[j], agree[ok]
+            if not len(others):
+                continue
+            agree = (sig[others] == sig[i]).sum(axis=1)
+            ok = agree >= least
+            if ok.any() and not best:  # a pair that shares an earlier band is sent from there
+                earlier = (rows[others[ok], :band] == rows[i, :band]).all(axis=2).any(axis=1)
+                ok[np.flatnonzero(ok)[earlier]] = False
+            if ok.any():
+                chosen = others[[int(np.where(ok, agree, -1).argmax())]] if best else others[ok]
+                yield np.full(len(chosen), ids[i]), ids[chosen], agree[ok].max(keepdims=True) if best else agree[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        held: dict = {}
 
         def close() -> Iterator[pa.RecordBatch]:
             found = [*compare(held)] if held and len(held["id"]) > 1 else []
             if found:
-                a, b, ca, cb, agree = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b, "ca": ca, "cb": cb, "agree": agree.astype(np.int32)})
+                a, b, agree = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield pa.RecordBatch.from_pydict({"a": a, "b": b, "agree": agree.astype(np.int32)})
 
         for batch in batches:
-            cols = {c: batch.column(c).to_pylist() for c in ("bucket", "x", "y", "own", "id", "comp", "n", "sig")}
+            cols = {c: batch.column(c).to_pylist() for c in ("bucket", "x", "y", *columns)}
             for i, key in enumerate(zip(cols["bucket"], cols["x"], cols["y"], strict=True)):
                 if not held or held["key"] != key:
                     yield from close()
-                    held = {"key": key, "own": [], "id": [], "comp": [], "n": [], "sig": []}
-                for c in ("own", "id", "comp", "n", "sig"):
+                    held = {"key": key} | {c: [] for c in columns}
+                for c in columns:
                     held[c].append(cols[c][i])
         yield from close()
 
     order = ["bucket", "x", "y"]
-    pieces = dealt.repartition(*order).sortWithinPartitions(*order, "id")
-    return pieces.mapInArrow(run, "a long, b long, ca long, cb long, agree int").groupBy("a", "b").agg(
-        F.first("ca").alias("ca"), F.first("cb").alias("cb"), F.max("agree").alias("agree")
-    )
+    found = dealt.repartition(*order).sortWithinPartitions(*order, "id").mapInArrow(run, "a long, b long, agree int")
+    if not best:
+        return found.select("a", "b").distinct()
+    return found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text hash ``h``, n_shingles, node, component (a node) and component_id of every row of ``docs``."""
     docs = id_and_text(docs)
     share = percent / 100
-    least = max(1, int(np.floor(HASHES * (share - 5 * np.sqrt(share * (1 - share) / HASHES)))))
+    least = max(1, int(np.floor(HASHES * (share - 4 * np.sqrt(share * (1 - share) / HASHES)))))
     made = stored(signatures(docs, width), "signatures")
     reps = made.where("id IS NOT NULL").groupBy("id").agg(
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sig").alias("sig")
@@ -301,28 +360,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     # one centre for each node
     first = shared.groupBy("id").agg(F.min("centre").alias("a")).where("a <> id").select("a", F.col("id").alias("b"))
-    close = stored(_agreement(first, reps, least), "pairs")
+    close = stored(_agreement(stored(first, "pairs"), reps, least), "pairs")
     links = stored(_confirmed(close, docs, reps, width, percent), "links")
-    comp = components(links)
+    comp = stored(components(links), "components")
 
     # buckets that hold several components, searched whole
-    state = shared.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    mixed = state.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-    members = state.join(mixed, "bucket").join(reps.select("id", "n", "sig"), "id")
-    rest = stored(_block_pairs(members, least, percent), "rest")
-    # first wave: the best partner of each node in each other component
-    best = rest.groupBy("a", "cb").agg(F.max_by("b", F.struct("agree", "b")).alias("b")).select("a", "b")
-    other = rest.groupBy("b", "ca").agg(F.max_by("a", F.struct("agree", "a")).alias("a")).select("a", "b")
-    tested = stored(best.union(other).distinct(), "pairs")
-    links = stored(links.union(_confirmed(tested, docs, reps, width, percent)), "links")
-    # second wave: all other pairs that still lie in different components
-    comp = components(links)
-    ca, cb = (comp.select(F.col("id").alias(c), F.col("comp").alias(f"now_{c}")) for c in ("a", "b"))
-    left = rest.select("a", "b").join(tested, ["a", "b"], "left_anti").join(ca, "a", "left").join(cb, "b", "left")
-    left = stored(left.where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b"), "pairs")
-    if not left.isEmpty():
-        links = stored(links.union(_confirmed(left, docs, reps, width, percent)), "links")
-        comp = components(links)
+    for step in range(BEST_ROUNDS + 1):
+        state = shared.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        mixed = state.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
+        members = state.join(mixed, "bucket").select("bucket", "m", "id", "comp")
+        sigs = _only(reps.select("id", "n", "sig"), members.select("id").distinct())
+        pairs = stored(_block_pairs(members.join(sigs, "id"), least, percent, best=step < BEST_ROUNDS), "pairs")
+        if pairs.isEmpty():
+            break
+        more = _confirmed(pairs, docs, reps, width, percent)
+        links = stored(links.union(more), "links")
+        comp = stored(components(links), "components")
 
     # back to documents: every node's component, every component's smallest doc_id
     of_node = reps.select("id", "doc_id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
