@@ -7,11 +7,11 @@
    1e-7.
 3. First links: every node is compared with one centre, the smallest node of all its buckets. Components follow.
 4. Buckets that still hold several components are searched whole, in blocks of ``BLOCK`` members against each other:
-   signatures are compared inside the task, and a pair leaves it at its first shared band only. ``BEST_ROUNDS`` times
-   each node sends the best partner outside its component, then all pairs of different components that agree well are
-   sent. Pairs inside one component need no test, as they can't join components.
+   signatures are compared inside the task, and a pair leaves it at its first shared band only. First each node sends
+   the best partner outside its component, then all pairs of different components that agree well are sent. Pairs
+   inside one component need no test, as they can't join components.
 5. Whatever is sent is confirmed on the full sets. Components: alternating large-star and small-star until the edges
-   stay the same.
+   stay the same; between the steps two rounds do, since labels that are not final yet only cause more tests.
 
 Full sets are made again from the texts of the documents that stand for a node of a pair; a bit table of their ids (16
 bits an id, at most ``FILTER_BITS`` bits in all) keeps the other documents out. False positives of the table are dropped
@@ -33,13 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, words_of
 
 HASHES, BANDS, ROWS = 256, 32, 4
-BEST_ROUNDS = 2
 SEED = 20_240_601
 BLOCK = 512
 BLOCK_BYTES = 1 << 20
@@ -141,12 +142,13 @@ def _bands(reps: DataFrame) -> DataFrame:
 
 
 def _ids_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    """Nodes of the pairs, with repeats."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
 
 
 def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in ``least`` places."""
-    sigs = _only(reps.select("id", "sig"), _ids_of(pairs))
+    """Pairs (a, b), read from a table, whose signatures agree in ``least`` places."""
+    sigs = _only(reps.select("id", "sig"), _ids_of(pairs), 2 * pairs.count())
     joined = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(
         sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b"
     )
@@ -159,16 +161,16 @@ def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _bit_table(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """A bit table of the hashes of ``column``, built on the executors in 4 KB pieces, and its mask."""
-    n = ids.count()
+def _bit_table(ids: DataFrame, column: str, n: int) -> tuple[np.ndarray, int]:
+    """A bit table of the hashes of ``column`` (``n`` values at most), built on the executors in 4 KB pieces, and its
+    mask."""
     bits = 1 << min(max(15, (16 * n).bit_length()), FILTER_BITS.bit_length() - 1)
     h = F.xxhash64(column).bitwiseAND(F.lit(bits - 1))
     pieces = ids.groupBy(F.shiftright(h, 15).alias("piece")).agg(
         F.bitmap_construct_agg(h.bitwiseAND(F.lit(32767))).alias("bits")
     )
     table = np.zeros(bits // 8, np.uint8)
-    for r in pieces.toLocalIterator():
+    for r in pieces.collect():
         table[r.piece * 4096 : (r.piece + 1) * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
     return table, bits - 1
 
@@ -177,9 +179,9 @@ def _in_table(table: np.ndarray, h: np.ndarray) -> pa.Array:
     return pa.array((table[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool))
 
 
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the nodes in ``ids`` and maybe a few more, without a shuffle of the others."""
-    table, mask = _bit_table(ids, "id")
+def _only(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """Rows of the nodes in ``ids`` (``n`` at most) and maybe a few more, without a shuffle of the others."""
+    table, mask = _bit_table(ids, "id", n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,9 +191,9 @@ def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.withColumn("_hash", F.xxhash64("id").bitwiseAND(F.lit(mask))).mapInArrow(run, rows.schema)
 
 
-def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """(id, set) of the nodes in ``ids``; sets as sorted 64-bit numbers."""
-    table, mask = _bit_table(_only(reps.select("id", "doc_id"), ids).join(ids, "id", "left_semi"), "doc_id")
+def _sets(docs: DataFrame, ids: DataFrame, n: int, reps: DataFrame, width: int) -> DataFrame:
+    """(id, set) of the nodes in ``ids`` (``n`` at most); sets as sorted 64-bit numbers."""
+    table, mask = _bit_table(reps.select("id", "doc_id").join(ids, "id", "left_semi"), "doc_id", n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,19 +208,15 @@ def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, width: int) -> DataF
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
-    ids = _ids_of(pairs)
-    sets = _sets(docs, ids, reps, width)
-    # pairs with a common smallest neighbour go together; a large gathering is cut into blocks of its nodes
-    near = pairs.select("a", "b").union(pairs.select("b", "a")).groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("g"))
-    dealt = pairs.select("a", "b").join(near.withColumnRenamed("g", "ga"), "a")
-    dealt = dealt.join(near.select(F.col("a").alias("b"), F.col("g").alias("gb")), "b").select("a", "b", F.least("ga", "gb").alias("g"))
-    size = dealt.groupBy("g").agg(F.ceil(F.sqrt(F.count("*")) / BLOCK).cast("int").alias("k"))
+    """Pairs (a, b), read from a table, with 100 * intersection >= percent * union on the full sets."""
+    sets = _sets(docs, _ids_of(pairs), 2 * pairs.count(), reps, width)
+    # pairs whose second node has the same smallest partner go together; a large gathering is cut into blocks of nodes
+    near = pairs.select("a", "b", F.min("a").over(W.partitionBy("b")).alias("g"))
+    near = near.withColumn("k", F.ceil(F.sqrt(F.count("*").over(W.partitionBy("g"))) / BLOCK).cast("int"))
     own = lambda c: F.pmod(F.xxhash64(c, "g"), F.col("k")).cast("int")
-    dealt = dealt.join(size, "g").select("g", own("a").alias("x"), own("b").alias("y"), "a", "b")
-    dealt = stored(dealt, "dealt")
-    needs = dealt.select("g", "x", "y", F.explode(F.array("a", "b")).alias("id")).distinct()
+    dealt = stored(near.select("g", own("a").alias("x"), own("b").alias("y"), "a", "b"), "dealt")
     order = ["g", "x", "y"]
+    needs = dealt.select(*order, F.explode(F.array("a", "b")).alias("id")).distinct()
     none = F.lit(None).cast("binary").alias("set")
     rows = needs.join(sets, "id").select(*order, F.lit(0).alias("kind"), F.col("id").alias("a"), F.col("id").alias("b"), "set")
     rows = rows.union(dealt.select(*order, F.lit(1), "a", "b", none))
@@ -252,33 +250,42 @@ def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(merged) - common)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, comp) of every node of ``edges`` (a, b): comp is the smallest id reachable.
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(id, comp) of every node of ``edges`` (a, b): comp is the smallest id reachable; with ``rounds`` the process is
+    cut short, and comp is some node of the same component.
 
     Alternating large-star and small-star; each round is written to the shared folder, so a lost executor costs one
-    round at most, and only a count and a sum come to the driver.
+    round at most, and only a count and a checksum come to the driver.
     """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    nodes = now
-    mark = None
-    while True:
+    now = nodes = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+    mark, done = None, 0
+    while rounds is None or done < rounds:
         # large star: every node sends its larger neighbours to the smallest of its neighbours and itself
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: every node sends its smaller neighbours and itself to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        )
-        now = stored(small, "edges")
-        after = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("s")).first()
-        if mark == (after.n, after.s):
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.union(low.select("u", F.col("m").alias("v"))).distinct()
+        seen = Observation("edges")
+        now = stored(small.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("s")), "edges")
+        done += 1
+        after = _observed(seen)
+        if mark == after:
             break
-        mark = (after.n, after.s)
+        mark = after
     roots = now.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("id"), "comp")
-    rest = nodes.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(roots, "id", "left")
-    return rest.select("id", F.coalesce("comp", "id").alias("comp"))
+    every = nodes.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    return every.join(roots, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
+
+
+def _observed(seen: Observation) -> tuple:
+    """Count and checksum of the rows written; no rows where Spark found the plan empty before running it."""
+    try:
+        return seen.get["n"], seen.get["s"]
+    except Py4JJavaError:
+        return 0, None
 
 
 def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> DataFrame:
@@ -362,20 +369,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = shared.groupBy("id").agg(F.min("centre").alias("a")).where("a <> id").select("a", F.col("id").alias("b"))
     close = stored(_agreement(stored(first, "pairs"), reps, least), "pairs")
     links = stored(_confirmed(close, docs, reps, width, percent), "links")
-    comp = stored(components(links), "components")
+    comp = stored(components(links, rounds=2), "components")
 
     # buckets that hold several components, searched whole
-    for step in range(BEST_ROUNDS + 1):
+    n_nodes = reps.count()
+    for best in (True, False):
         state = shared.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         mixed = state.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        members = state.join(mixed, "bucket").select("bucket", "m", "id", "comp")
-        sigs = _only(reps.select("id", "n", "sig"), members.select("id").distinct())
-        pairs = stored(_block_pairs(members.join(sigs, "id"), least, percent, best=step < BEST_ROUNDS), "pairs")
-        if pairs.isEmpty():
-            break
+        members = stored(state.join(mixed, "bucket").select("bucket", "m", "id", "comp"), "members")
+        sigs = _only(reps.select("id", "n", "sig"), members.select("id"), min(members.count(), n_nodes))
+        pairs = stored(_block_pairs(members.join(sigs, "id"), least, percent, best), "pairs")
         more = _confirmed(pairs, docs, reps, width, percent)
         links = stored(links.union(more), "links")
-        comp = stored(components(links), "components")
+        comp = stored(components(links, rounds=2 if best else None), "components")
 
     # back to documents: every node's component, every component's smallest doc_id
     of_node = reps.select("id", "doc_id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import random
+
+import duckdb
+import pytest
+
+from shelfroll.llm import license_scan as ls
+
+from .helpers import ODD, alnum_words, frame, prose, rows_of, with_clashes
+
+
+def brute(text):
+    w = alnum_words(text)
+    found = {}
+    for t, (label, _, key) in enumerate(ls.TEMPLATES):
+        k = key.split()
+        found[t] = (label, [i for i in range(len(w) - len(k) + 1) if w[i : i + len(k)] == k])
+    base = [i for t in range(ls.BASE) for i in found[t][1]]
+    labels = lambda ts: ",".join(sorted({found[t][0] for t in ts if found[t][1]}))
+    return (len(w), len(base), min(base, default=None), max(base, default=None), labels(range(ls.BASE)), labels(found))
+
+
+def corpus():
+    rng = random.Random(6)
+    rows = []
+    for i in range(60):
+        text = prose(rng, 60, 50)
+        if i % 2:
+            _, notice, key = ls.TEMPLATES[rng.randrange(len(ls.TEMPLATES))]
+            text += f". {rng.choice((notice, key, key.upper(), ' '.join(notice.split()[:2])))}! {prose(rng, 10, 50)}"
+        rows.append((i, text, "en", "s", 0))
+    rows += [
+        (100, "cc by", "en", "s", 0), (101, "CC-BY, cc by; cc-by", "en", "s", 0), (102, "xcc by ccé by", "en", "s", 0),
+        (103, "All Rights\nReserved. all rights reserved", "en", "s", 0), (104, "general public", "en", "s", 0),
+        (105, "Licensed under CC BY", "en", "s", 0), (106, "GENERAL PUBLIC LICENSE" + " x" * 500 + " cc by", "en", "s", 0),
+        (107, "cc K by", "en", "s", 0), (108, "rights reserved all rights reserved rights", "en", "s", 0),
+    ]
+    return rows + ODD
+
+
+def test_query_equals_brute_force(spark):
+    rows = corpus()
+    out = rows_of(ls.op7(with_clashes(frame(spark, rows))))
+    assert ls.op7(frame(spark, rows)).count() == len(rows)
+    for d, t, *_ in rows:
+        r = out[d]
+        assert tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")) == brute(t), (d, t)
+        assert 0 <= r["score"] <= 1 and (r["score"] > 0) == (r["labels"] != "")
+    assert out[105]["score"] == 1.0 and out[100]["score"] < 1.0
+
+
+def test_query_equals_its_sql(spark):
+    rows = [r for r in corpus() if r[0] != 903]
+    con = duckdb.connect()
+    con.register("rows", frame(spark, rows).toPandas()[["doc_id", "text"]])
+    con.execute("CREATE VIEW documents AS SELECT CAST(doc_id AS BIGINT) AS doc_id, text FROM rows")
+    got = {r["doc_id"]: r for r in con.execute(ls.OP7_SQL).to_arrow_table().to_pylist()}
+    want = rows_of(ls.op7(frame(spark, rows)))
+    for d, r in want.items():
+        if d is not None:
+            assert {**got[d], "score": pytest.approx(got[d]["score"], abs=1e-6)} == r
+
+
+def test_every_key_phrase_has_an_anchor():
+    weight = {w: 1.0 + len(w) for w in ls.vocabulary()}
+    postings = ls.index(weight)
+    for t, (_, notice, key) in enumerate(ls.TEMPLATES):
+        places = {p for own in postings.values() for tt, p in own if tt == t}
+        at = ls.key_offset(notice.split(), key.split())
+        assert places & {*range(at, at + len(key.split()))}
+
+
+def test_plan_has_no_python_and_no_shuffle_of_texts(spark):
+    plan = ls.op7(frame(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def test_empty_table(spark):
+    assert ls.op7(frame(spark, [])).count() == 0
