@@ -2,15 +2,14 @@
 
 Rounding a double with ``round(x, 2)`` depends on the binary representation
 of ``x`` (two engines can disagree on ``round(price * discount, 2)``). The
-rule here: take the nearest 4-place value first (this recovers the exact
-product of two 2-place inputs), then round HALF_UP to 2 places. Both steps
-run in 64-bit integers; for inputs with at most 4 decimals it equals
-``round(cast(x as decimal(18,4)), 2)``, and at an exact 4th-place tie the
-two can only disagree on a digit that does not change the cent. Raw
-measures must stay below 9×10^11 in magnitude.
+rule here is one HALF_UP rounding of the value at ``FINE_SCALE`` (8) places:
+the 8-place step only absorbs the representation error of the double, so a
+product of two 2-place inputs is taken as the number it stands for, while
+2.00499 stays below the tie. Both run in 64-bit integers. Raw measures must
+stay below 9×10^10 in magnitude.
 
 Aggregates run on ``long`` units (cents for sums, millionths for daily
-averages): per-row work stays in 64-bit integers (Spark would otherwise sum
+averages, rounded HALF_UP to six places): per-row work stays in 64-bit integers (Spark would otherwise sum
 ``decimal(27,2)`` with a ``BigDecimal`` per row), totals are exact and do not
 depend on the order rows reach an aggregate (partitioning, retries, AQE), so
 reruns are bit-identical. Averages are rounded HALF_UP once per group.
@@ -23,6 +22,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+#: decimals at which a double is read before it is rounded
+FINE_SCALE = 8
 #: decimals carried by daily sums and daily averages (see schema.Metric.scale)
 SUM_SCALE = 2
 AVG_SCALE = 6
@@ -34,9 +35,9 @@ def _c(c: Column | str) -> Column:
 
 def to_units(c: Column | str, scale: int = 2) -> Column:
     """A raw double measure → HALF_UP-rounded integer units of 10^-scale (long)."""
-    fine = F.rint(_c(c) * float(10 ** (scale + 2))).cast("long")  # nearest 10^-(scale+2)
-    a = F.abs(fine) + F.lit(50)
-    q = ((a - a % 100) / 100).cast("long")  # exact: a multiple of 100 divided by 100
+    step = 10 ** (FINE_SCALE - scale)
+    fine = F.rint(_c(c) * float(10**FINE_SCALE)).cast("long")
+    q = F.call_function("div", F.abs(fine) + F.lit(step // 2).cast("long"), F.lit(step).cast("long"))
     return F.when(fine < 0, -q).otherwise(q)
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .joins import maybe_broadcast
 
 
 def as_key(v: int | str | dt.date) -> int:
@@ -77,7 +76,12 @@ def widen_to_weeks(calendar: DataFrame, start: int | None, end: int | None) -> t
     if start is None and end is None:
         return None, None
     weeks = calendar.where(period_between(start, end)).select(S.WEEK_ENDED).distinct()
-    days = calendar.join(maybe_broadcast(weeks), S.WEEK_ENDED, "left_semi")
+    days = calendar.join(weeks, S.WEEK_ENDED, "left_semi")
     lo, hi = _bounds(days, S.PERIOD)
     return (lo if start is not None else None), (hi if end is not None else None)
 
+
+def week_bounds(calendar: DataFrame, start: int, end: int) -> tuple[dt.date | None, dt.date | None]:
+    """First and last ``week_ended`` of the calendar days in [start, end]."""
+    return _bounds(calendar.where(period_between(start, end)), S.WEEK_ENDED)
+

@@ -4,7 +4,7 @@ Every staging row is a TY value for its own day and an LY value for the day
 (or days) whose calendar LY key points at it. The short form used here:
 
 1. shift the LY source forward through the calendar
-   (``staging.period_key = calendar.ly_period_key``; the calendar is broadcast),
+   (``staging.period_key = calendar.ly_period_key``; the planner broadcasts the calendar),
 2. full-outer-join TY and shifted LY on ``period_key`` + the five entity
    keys (two exchanges of staging-sized data, one sort-merge join); a union
    followed by one hash aggregate is available as an alternative strategy
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from .calendar import calendar_alias, ly_bounds, period_between
-from .joins import maybe_broadcast, null_key_salt
+from .joins import null_key_salt
 
 _SALT = "_null_key_salt"
 
@@ -53,10 +53,8 @@ def ly_shift(ly_source: DataFrame, calendar: DataFrame, salt: bool = False) -> D
     When two TY days share one LY day the LY row appears on both. With
     ``salt`` the null-key salt column used by :func:`build_daily` is added.
     """
-    cal = maybe_broadcast(
-        calendar.select(
-            F.col(S.PERIOD).alias("_ty_day"), F.col(S.LY_PERIOD).alias("_ly_day"), F.col(S.WEEK_ENDED).alias("_ty_week")
-        )
+    cal = calendar.select(
+        F.col(S.PERIOD).alias("_ty_day"), F.col(S.LY_PERIOD).alias("_ly_day"), F.col(S.WEEK_ENDED).alias("_ty_week")
     )
     j = ly_source.join(cal, F.col(S.PERIOD) == F.col("_ly_day"), "inner")
     extra = [null_key_salt(S.K5 + ["_ty_day"], S.TY_METRICS).alias(_SALT)] if salt else []
@@ -132,8 +130,8 @@ def build_daily(
     exchanges and a sort-merge join; ``aggregate`` unions them and groups
     once on the six keys — one exchange. Both shuffle the same rows and give
     identical results; with a unique grouping key the aggregate's map-side
-    partial aggregation reduces nothing and spills like a sort, and measured
-    slower (0.57 s vs 0.50 s at sf0.1), hence the default.
+    partial aggregation reduces nothing and spills like a sort (both timings
+    are in the bench output), hence the default.
     """
     ty = staging.where(period_between(start, end)) if (start is not None or end is not None) else staging
     cal = calendar.where(period_between(start, end)) if (start is not None or end is not None) else calendar
@@ -200,14 +198,21 @@ def _combine_by_join(ty: DataFrame, ly: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- chained shape
+def salted_outer_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join on ``keys`` in which rows with a null key spread over all partitions."""
+    salted = [d.withColumn(_SALT, null_key_salt(keys, [c for c in d.columns if c not in keys])) for d in (left, right)]
+    return salted[0].join(salted[1], keys + [_SALT], "full_outer").drop(_SALT)
+
+
 def ly_bridge_full(staging: DataFrame) -> DataFrame:
     """Bridge ⟗ staging on the six keys: every TY key and every LY key of a TY row.
 
     Output ``ly_period_key`` (the matched day), the five keys and that day's
     values as ``*_ly`` (null when the day has no staging row).
     """
-    bridge = ly_bridge(staging)
-    j = bridge.join(staging.select(*S.K6, *S.TY_METRICS), S.K6, "full_outer")
+    bridge = ly_bridge(staging).withColumn(_SALT, null_key_salt(S.K6, []))
+    days = staging.select(*S.K6, *S.TY_METRICS, null_key_salt(S.K6, S.TY_METRICS).alias(_SALT))
+    j = bridge.join(days, S.K6 + [_SALT], "full_outer")
     return j.select(F.col(S.PERIOD).alias(S.LY_PERIOD), *S.K5, *rename_to_ly())
 
 
@@ -218,7 +223,7 @@ def build_daily_chained(staging: DataFrame, calendar: DataFrame) -> DataFrame:
     """
     ly = ly_bridge_full(staging).join(calendar_alias(calendar), S.LY_PERIOD, "inner")
     ty = staging.select(*S.K6, S.WEEK_ENDED, F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD), *S.TY_METRICS)
-    j = ty.join(ly, [S.LY_PERIOD] + S.K5, "full_outer")
+    j = salted_outer_join(ty, ly, [S.LY_PERIOD] + S.K5)
     out = j.select(
         *S.K5,
         F.coalesce(F.col(S.PERIOD), F.col("x_period_key")).alias(S.PERIOD),

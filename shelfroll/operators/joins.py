@@ -1,39 +1,15 @@
-"""Join helpers: size-checked broadcast and skew-safe keys."""
+"""Skew-safe join keys.
 
-from __future__ import annotations
+Small dimensions (the calendar has one row per day) are joined plainly: the
+planner broadcasts them from their file statistics or at run time (AQE), and
+shuffles them where they have grown beyond its threshold.
+"""
 
-import threading
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: dimension tables at or below this many rows are broadcast; larger ones are
-#: joined with a shuffle. A calendar holds one row per day (≈ 365 per year).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-_PROVEN: dict[tuple[str, int, int], bool] = {}
-_LOCK = threading.Lock()
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once
-    the bound is exceeded. Beyond the bound the frame is returned as is and
-    the planner falls back to a shuffled join. The outcome is remembered per
-    session for the same analysed plan (dimension plans repeat across the
-    stages of a run), so each dimension is counted once.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df._jdf.queryExecution().analyzed().semanticHash(), max_rows)
-    with _LOCK:
-        small = _PROVEN.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        with _LOCK:
-            _PROVEN[key] = small
-    return F.broadcast(df) if small else df
-
 
 def null_key_salt(keys: list[str], payload: list[str]) -> Column:
     """0 for rows whose join keys are all non-null; a row hash otherwise.

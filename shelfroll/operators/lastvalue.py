@@ -11,6 +11,9 @@ ignored, so this is the filtered arg-max in a single hash aggregate with
 map-side partial aggregation: one exchange, no join. The three-step form
 (filter, max period per week, join back) is kept as
 :func:`last_nonempty_selfjoin` for equivalence tests.
+
+A null key is a key like any other: its rows form a group of their own, in
+the aggregate as in the joins, which compare keys null-safely.
 """
 
 from __future__ import annotations
@@ -57,8 +60,10 @@ def last_nonempty_selfjoin(daily: DataFrame, metric: str) -> DataFrame:
     ty, ly = _pair(metric)
     rows = positive_rows(daily, metric)
     latest = max_period_in_week(daily, metric)
-    j = latest.join(rows, S.K5 + [S.WEEK_ENDED, S.PERIOD], "inner")
-    return j.select(*S.WEEK_KEYS, ty, ly)
+    keys = S.K5 + [S.WEEK_ENDED, S.PERIOD]
+    latest = latest.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return rows.join(latest, same, "inner").select(*S.WEEK_KEYS, ty, ly)
 
 
 def inventory_sorted(daily: DataFrame, metric: str) -> DataFrame:

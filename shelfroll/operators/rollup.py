@@ -3,7 +3,7 @@
 Plan: scan (14 columns, filters pushed to the Parquet reader) → round each
 measure to integer cents → hash aggregate on the six keys with map-side
 partial aggregation (one exchange; a hot key is pre-combined in every task
-before the shuffle) → broadcast join with the calendar → project.
+before the shuffle) → join with the calendar, which the planner broadcasts → project.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.numeric import avg_as_double, round_half_up, sum_as_double, to_units
-from .joins import maybe_broadcast
 
 _AGGS = {
     "sum": lambda c: F.sum(c),
@@ -70,28 +69,29 @@ def daily_agg(fact: DataFrame) -> DataFrame:
 
 def attach_calendar(daily: DataFrame, calendar: DataFrame) -> DataFrame:
     """Inner join on ``period_key``: adds LY key, week and year-week; days off the calendar drop."""
-    cal = maybe_broadcast(calendar.select(S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK)))
+    cal = calendar.select(S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK))
     return daily.join(cal, S.PERIOD, "inner")
 
 
 def build_staging(fact: DataFrame, calendar: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Raw facts → staging table (17 columns, unique on the six keys).
 
-    With an ``observation``, the number of daily rows whose period is missing
-    from the calendar (and which therefore drop) is recorded as
-    ``off_calendar`` while the staging is computed, without a second pass.
+    With an ``observation``, the number of staging rows (``rows``) and of
+    daily rows whose period is missing from the calendar (``off_calendar``,
+    they drop) are recorded while the staging is computed, without a second pass.
     """
     daily = daily_agg(fact)
     if observation is None:
         joined = attach_calendar(daily, calendar)
     else:
-        cal = maybe_broadcast(
-            calendar.select(S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK))
-            .withColumn("_on_calendar", F.lit(True))
+        cal = calendar.select(
+            S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK), F.lit(True).alias("_on_calendar")
         )
         left = daily.join(cal, S.PERIOD, "left")
         observed = left.observe(
-            observation, F.sum(F.when(F.col("_on_calendar").isNull(), 1).otherwise(0)).alias("off_calendar")
+            observation,
+            F.count_if(F.col("_on_calendar").isNull()).alias("off_calendar"),
+            F.count_if(F.col("_on_calendar").isNotNull()).alias("rows"),
         )
         joined = observed.where(F.col("_on_calendar").isNotNull())
     return joined.select(
@@ -105,5 +105,4 @@ def build_staging(fact: DataFrame, calendar: DataFrame, observation: Observation
 
 def off_calendar(daily_or_fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Rows whose period is missing from the calendar (they drop at the calendar join)."""
-    cal = maybe_broadcast(calendar.select(S.PERIOD))
-    return daily_or_fact.join(cal, S.PERIOD, "left_anti")
+    return daily_or_fact.join(calendar.select(S.PERIOD), S.PERIOD, "left_anti")

@@ -6,8 +6,9 @@ last-non-empty inventory pairs. Partial aggregation runs map-side, so the
 plan has a single exchange whatever the skew of a key, and no join.
 
 Sums and averages are taken on integer units at the scale the daily table
-carries (cents for sums, millionths for daily averages), so results are exact
-and identical across reruns; weekly averages are rounded HALF_UP to 10 places.
+carries (cents for sums, millionths for daily averages: the daily stage writes
+no finer value), so results are exact and identical across reruns; weekly
+averages are rounded HALF_UP to 10 places. A null key is a group of its own.
 """
 
 from __future__ import annotations
@@ -70,7 +71,10 @@ def weekly_with_inventory(daily: DataFrame, metrics: list[str] | None = None, se
     out = weekly_agg(daily)
     for name in names:
         part = last_nonempty_selfjoin(daily, name) if selfjoin else last_nonempty(daily, name)
-        out = out.join(part, S.WEEK_KEYS, "left")
+        kept, values = out.columns, [c for c in part.columns if c not in S.WEEK_KEYS]
+        part = part.select(*[F.col(k).alias(f"_{k}") for k in S.WEEK_KEYS], *values)
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in S.WEEK_KEYS]
+        out = out.join(part, same, "left").select(*kept, *values)
     return out
 
 

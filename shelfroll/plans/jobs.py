@@ -1,42 +1,44 @@
 """Job runner: load-type dispatch over the three stages.
 
-=====  ===============  ======================  ==========================
-type   staging          daily / weekly write     daily / weekly content
-=====  ===============  ======================  ==========================
-FL     build, upsert    full overwrite          all vendors, days in range
-IL     build, upsert    upsert                  job vendors, days in range + their LY users
-FR     skipped          full overwrite          all vendors, days in range
-IR     skipped          upsert                  job vendors, days in range + their LY users
-=====  ===============  ======================  ==========================
+=====  ================  ======================  ===========================
+type   staging           daily / weekly write    daily / weekly content
+=====  ================  ======================  ===========================
+FL     replace in range  full overwrite          all vendors, whole weeks of the range
+IL     upsert            upsert                  job vendors, days in range + their LY users
+FR     skipped           full overwrite          all vendors, whole weeks of the range
+IR     skipped           upsert                  job vendors, days in range + their LY users
+=====  ================  ======================  ===========================
 
 Each stage is one set-based Spark job over all requested vendors and
-periods (no per-partition driver loop). Daily success gates weekly; weekly
-reads the daily table back for the range widened to whole weeks, so no week
-is rebuilt from a subset of its days. Errors propagate; the run log records
-the failed step in any case and is appended (ORC) under the job's output
-folder.
+periods (no per-partition driver loop). Ranges are checked against the
+calendar before anything is written. A full load (FL) replaces the staging
+partitions of its vendors and range, those without facts included. Full types
+widen the range to whole calendar weeks before daily is built (the edge days
+stay in daily), so no week is built from part of its days; upserts read daily
+back for whole weeks, where the other days already are. Daily success gates
+weekly. Errors propagate; the run log records the failed step in any case and
+is appended (ORC) under the job's output folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import time
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.calendar import as_key, calendar_window, forward_bounds, key_date, widen_to_weeks
+from ..operators.calendar import as_key, calendar_window, forward_bounds, period_between, week_bounds, widen_to_weeks
 from ..operators.compare import build_daily
 from ..operators.rollup import build_staging
 from ..operators.weekly import build_weekly
 from ..sources.params import JobParams, JobParamsError, read_params
-from ..sources.partitions import partitions_not_written_since
-from ..sources.tables import read_calendar, read_daily, read_fact, read_staging, scan_daily, scan_weekly
+from ..sources.tables import read_calendar, read_daily, read_fact, read_staging
 from . import sinks
 from .runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog
-from .sizing import StageSizing
 
 
 @dataclass(frozen=True)
@@ -79,31 +81,40 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-#: file times come from the storage's clock; allow this much skew against the driver's
-CLOCK_SLACK_SECONDS = 2.0
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
 
 
-def _stale(spark: SparkSession, upsert: bool, since: float, scans: list[DataFrame], cols: list[str]) -> str:
-    """Log text naming partitions in the upserted range that this run did not rewrite.
+def checked_weeks(calendar: DataFrame, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The ranges widened to whole weeks; an error where a range has no calendar day."""
+    weeks = []
+    for lo, hi in ranges:
+        first, last = widen_to_weeks(calendar, lo, hi)
+        if first is None or last is None:
+            raise ValueError(f"the calendar has no day between {lo} and {hi}; nothing was written")
+        weeks.append((first, last))
+    return merge_ranges(weeks)
 
-    Dynamic overwrite leaves a partition alone when the run produced no rows
-    for it, so its old rows stay; a full load (FL/FR) removes them.
-    """
-    if not upsert:
-        return ""
-    stale = _union([partitions_not_written_since(df, cols, since) for df in scans]).distinct()
-    n = stale.count()
-    if not n:
-        return ""
-    return f"; {n} partition(s) in range had no new rows and kept their old files (a full load removes them)"
+
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count observed while it is written."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def _week_bounds(lo: int, hi: int) -> tuple[str, str]:
-    """Day-key range → the Saturday week endings covering it (ISO dates)."""
-    first, last = key_date(lo), key_date(hi)
-    first += dt.timedelta(days=(5 - first.weekday()) % 7)
-    last += dt.timedelta(days=(5 - last.weekday()) % 7)
-    return first.isoformat(), last.isoformat()
+def _observed(obs: Observation) -> dict:
+    """What was observed; nothing where Spark found the plan empty before running it."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
+
+
+def _kept(stale: list[tuple]) -> str:
+    """Log text on partitions in range that an upsert had no rows for; they keep their files."""
+    if not stale:
+        return ""
+    return f"; {len(stale)} partition(s) in range had no new rows and kept their old files (a full load removes them)"
 
 
 def run_job(
@@ -121,49 +132,64 @@ def run_job(
     )
     plan = LOAD_PLANS[params.load_type]
     as_of = as_key(as_of if as_of is not None else dt.date.today())
-    sizing = StageSizing(spark)
     try:
         calendar = read_calendar(spark, params.dim_base, params.retailer)
+        upsert = plan.final_mode == "upsert"
+        ranges = daily_ranges(calendar, params.start, params.end, upsert)
+        week_ranges = checked_weeks(calendar, ranges)
+        if not upsert:  # whole weeks from the start: the overwritten daily table has no other days to complete them
+            ranges = week_ranges
+
         if plan.build_staging:
+            log.add("Staging started", IN_PROGRESS)
             fact = read_fact(spark, params.fact_path, params.vendors, params.start, params.end)
-            sizing.size_for(fact)
             obs = Observation("staging")
-            sinks.write_staging(build_staging(fact, calendar, obs), params.staging_path, "upsert")
-            dropped = obs.get.get("off_calendar") or 0
-            log.add(f"Staging loaded for vendors {params.vendors}; {dropped} daily rows had no calendar day")
+            staged = build_staging(fact, calendar, obs).select(*S.STAGING_COLUMNS)
+            if upsert:
+                sinks.write_staging(staged, params.staging_path, "upsert")
+                removed = ""
+            else:
+                scope = sinks.vendor_scope(params.vendors) & period_between(params.start, params.end)
+                gone = sinks.replace_scope(staged, params.staging_path, S.DAILY_PARTITIONS, scope)
+                removed = f"; {len(gone)} partition(s) without facts removed" if gone else ""
+            seen = _observed(obs)
+            log.add(
+                f"Staging loaded for vendors {params.vendors}: {seen.get('rows') or 0} rows; "
+                f"{seen.get('off_calendar') or 0} daily rows had no calendar day{removed}"
+            )
         else:
             log.add("Staging not required; refreshing daily and weekly", IN_PROGRESS)
 
+        log.add(f"Daily {plan.final_mode} started", IN_PROGRESS)
         window = calendar_window(calendar, as_of, years)
-        upsert = plan.final_mode == "upsert"
         # upserts rebuild only the job's vendors (other vendors' partitions are
         # untouched); full loads replace the dataset and so cover every vendor
         vendors = params.vendors if upsert else None
         staging = read_staging(spark, params.staging_path, vendors=vendors)
-        ranges = daily_ranges(calendar, params.start, params.end, upsert)
-        daily = _union([build_daily(staging, window, lo, hi) for lo, hi in ranges])
-        # TY rows in range plus their LY rows: about twice the staging rows in range
-        sizing.size_for(*[read_staging(spark, params.staging_path, lo, hi, vendors) for lo, hi in ranges], factor=2)
-        written_at = time.time() - CLOCK_SLACK_SECONDS
-        sinks.write_daily(daily, params.daily_path, plan.final_mode)
-        scans = [scan_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in ranges]
-        stale = _stale(spark, upsert, written_at, scans, S.DAILY_PARTITIONS)
-        log.add(f"Daily {plan.final_mode} done for {ranges}{stale}")
-
-        week_ranges = merge_ranges([widen_to_weeks(calendar, lo, hi) for lo, hi in ranges])
+        daily, obs = _counted(_union([build_daily(staging, window, lo, hi) for lo, hi in ranges]), "daily")
+        stale: list[tuple] = []
+        if upsert:
+            scope = sinks.vendor_scope(vendors) & _any([period_between(lo, hi) for lo, hi in ranges])
+            stale = sinks.write_and_find_stale(daily.select(*S.DAILY_COLUMNS), params.daily_path, S.DAILY_PARTITIONS, scope)
+        else:
+            sinks.write_daily(daily, params.daily_path, plan.final_mode)
+        log.add(f"Daily {plan.final_mode} done for {ranges}: {_observed(obs).get('rows') or 0} rows{_kept(stale)}")
+
+        log.add(f"Weekly {plan.final_mode} started", IN_PROGRESS)
         daily_back = _union([read_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in week_ranges])
-        sizing.size_for(daily_back)
-        written_at = time.time() - CLOCK_SLACK_SECONDS
-        sinks.write_weekly(build_weekly(daily_back), params.weekly_path, plan.final_mode)
-        weeks = [_week_bounds(lo, hi) for lo, hi in week_ranges]
-        scans = [scan_weekly(spark, params.weekly_path, lo, hi, vendors) for lo, hi in weeks]
-        stale = _stale(spark, upsert, written_at, scans, S.WEEKLY_PARTITIONS)
-        log.add(f"Weekly {plan.final_mode} done for {week_ranges}{stale}", SUCCESS)
+        weekly, obs = _counted(build_weekly(daily_back), "weekly")
+        stale = []
+        if upsert:
+            bounds = [week_bounds(calendar, lo, hi) for lo, hi in week_ranges]
+            scope = sinks.vendor_scope(vendors) & _any([F.col(S.WEEK_ENDED).between(F.lit(lo), F.lit(hi)) for lo, hi in bounds])
+            stale = sinks.write_and_find_stale(weekly.select(*S.WEEKLY_COLUMNS), params.weekly_path, S.WEEKLY_PARTITIONS, scope)
+        else:
+            sinks.write_weekly(weekly, params.weekly_path, plan.final_mode)
+        log.add(f"Weekly {plan.final_mode} done for {week_ranges}: {_observed(obs).get('rows') or 0} rows{_kept(stale)}", SUCCESS)
     except Exception as e:  # record, then re-raise
-        log.add(f"{type(e).__name__}: {e}"[:1000], FAILED)
+        log.add(f"{type(e).__name__}: {e}", FAILED)
         raise
     finally:
-        sizing.restore()
         sinks.append_job_log(log.to_df(spark), params.log_path)
     return log
 
@@ -179,15 +205,17 @@ def run_from_file(
     """Read the JSON parameters, then :func:`run_job`.
 
     Invalid parameters (wrong field count, several objects, unknown load
-    type, bad date range) raise :class:`JobParamsError`; when ``log_path`` is
-    given a Failed step is appended there first.
+    type, bad date range) raise :class:`JobParamsError` after a Failed step
+    was appended to ``log_path`` or, by default, to the job's own log folder
+    as far as the document names one.
     """
     try:
         params = read_params(spark, params_path)
     except JobParamsError as e:
-        if log_path is not None:
+        where = log_path or e.log_path
+        if where is not None:
             log = RunLog(None, clock=clock)
-            log.add(f"Parameter file {params_path} rejected: {e}"[:1000], FAILED)
-            sinks.append_job_log(log.to_df(spark), log_path)
+            log.add(f"Parameter file {params_path} rejected: {e}", FAILED)
+            sinks.append_job_log(log.to_df(spark), where)
         raise
     return run_job(spark, params, as_of=as_of, years=years, clock=clock)

@@ -33,8 +33,8 @@ def half_up_div(total: str, n: str, factor: int) -> str:
 
 
 def rounded_units(col: str) -> str:
-    """A double measure → HALF_UP cents as an integer (through decimal(18,4))."""
-    return f"CAST(round(CAST({col} AS DECIMAL(18,4)), 2) * 100 AS HUGEINT)"
+    """A double measure → HALF_UP cents as an integer, read at 8 places."""
+    return f"CAST(round(CAST({col} AS DECIMAL(28,8)), 2) * 100 AS HUGEINT)"
 
 
 def base_ctes() -> str:
@@ -138,6 +138,39 @@ def with_daily_range(lo: int, hi: int, select: str) -> str:
     return f"WITH {base_ctes()},\n{staging_units_cte()},\n{daily_units_cte(lo, hi)}\n{select}"
 
 
+def with_daily_weeks(lo: int, hi: int, select: str) -> str:
+    """Any SELECT over daily rows whose day lies in a calendar week that touches [lo, hi]."""
+    weeks = f"SELECT DISTINCT week_ended FROM cal WHERE period_key BETWEEN {lo} AND {hi}"
+    days = f"SELECT period_key FROM cal WHERE week_ended IN ({weeks})"
+    narrowed = daily_units_cte().replace("FROM stg t FULL", f"FROM (SELECT * FROM stg WHERE period_key IN ({days})) t FULL").replace(
+        "JOIN calw w ON", f"JOIN (SELECT * FROM calw WHERE period_key IN ({days})) w ON"
+    )
+    return f"WITH {base_ctes()},\n{staging_units_cte()},\n{narrowed}\n{select}"
+
+
+def job_log_sql(bounds: tuple[int, int], clock) -> str:
+    """The steps of a full load over all vendors, in order, with each stage's row count."""
+    lo, hi = bounds
+    weeks = f"SELECT DISTINCT week_ended FROM cal WHERE period_key BETWEEN {lo} AND {hi}"
+    span = f"(SELECT '[(' || min(period_key) || ', ' || max(period_key) || ')]' FROM cal WHERE week_ended IN ({weeks}))"
+    off = "(SELECT count(*) FROM agg WHERE period_key NOT IN (SELECT period_key FROM cal))"
+    steps = [
+        (f"'Parameters checked: load type FL, vendors [0, 1, 2], range {lo}..{hi}'", "Success"),
+        ("'Staging started'", "In-Progress"),
+        (f"'Staging loaded for vendors [0, 1, 2]: ' || (SELECT count(*) FROM stg) || ' rows; ' || {off} || ' daily rows had no calendar day'", "Success"),
+        ("'Daily full started'", "In-Progress"),
+        (f"'Daily full done for ' || {span} || ': ' || (SELECT count(*) FROM dly) || ' rows'", "Success"),
+        ("'Weekly full started'", "In-Progress"),
+        (f"'Weekly full done for ' || {span} || ': ' || (SELECT count(*) FROM wk) || ' rows'", "Success"),
+    ]
+    rows = " UNION ALL ".join(
+        f"SELECT CAST(1 AS INTEGER) AS \"JobId\", 'Step {i}' AS \"JobStep\", {text} AS \"JobDescription\", "
+        f"'{clock:%Y-%m-%d %H:%M:%S}' AS \"StartTime\", '{status}' AS \"Status\""
+        for i, (text, status) in enumerate(steps, 1)
+    )
+    return with_weekly(rows)
+
+
 def with_weekly(select: str) -> str:
     return f"WITH {base_ctes()},\n{staging_units_cte()},\n{daily_units_cte()},\n{weekly_units_cte()}\n{select}"
 

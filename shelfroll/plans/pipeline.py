@@ -1,58 +1,34 @@
 """The three stages wired over the stand-in inputs (used by queries and bench).
 
-Each function returns a lazy DataFrame; nothing is collected. The calendar
-window is the fixture's (as-of 2001-12-31, three years), see FIXTURES.md.
+Nothing is collected. The calendar is written once per session and test folder
+(see ``stored.py``): it is derived from the fact dates, and as a small Parquet
+file the planner knows its size and broadcasts it. The calendar window is the
+fixture's (as-of 2001-12-31, three years), see FIXTURES.md.
 """
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.calendar import calendar_window
 from ..operators.compare import build_daily, build_daily_chained
 from ..operators.rollup import build_staging
 from ..operators.weekly import build_weekly, build_weekly_joined
-from ..session import ensure_checkpoint_dir
 from ..sources import fixtures
+from ..sources.tables import read_calendar
 from .oracle import AS_OF, YEARS
 
 
-_CALENDARS: dict[tuple[str, str], DataFrame] = {}
-_LOCK = threading.Lock()
-
-
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in calendar, checkpointed once per session.
-
-    It is derived from the fact dates; a reliable checkpoint (in the shared
-    ``spark.checkpoint.dir``) cuts that lineage, so the joins and size checks
-    that use it read ~365 rows per year instead of rescanning the facts.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _LOCK:
-        if key not in _CALENDARS:
-            ensure_checkpoint_dir(spark)
-            _CALENDARS[key] = fixtures.calendar(spark, sf_dir).checkpoint(eager=True)
-        return _CALENDARS[key]
-
+    """The stand-in calendar, read from its stored file."""
+    from .stored import RETAILER, stored  # stored.py writes the stage outputs through this module
 
-_FACTS: dict[tuple[str, str], DataFrame] = {}
+    return read_calendar(spark, stored(spark, sf_dir, "dims"), RETAILER)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in fact plan, built once per session and reused.
-
-    Only the lazy plan is kept (no data is cached): every query still reads
-    and joins the test tables, but skips re-listing files and re-analysing
-    the five-table join when the plan is built again.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _LOCK:
-        if key not in _FACTS:
-            _FACTS[key] = fixtures.fact(spark, sf_dir)
-        return _FACTS[key]
+    """The stand-in facts: a lazy plan over the test tables."""
+    return fixtures.fact(spark, sf_dir)
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -2,8 +2,7 @@
 
 Every query reads the shared test tables (through the stand-ins in
 ``sources.fixtures``) or datasets Spark wrote from them, over whole tables.
-A ``None`` oracle means the result is checked by row count only (the job
-log, whose rows carry wall-clock stamps).
+Every entry has an oracle; the job log's clock is pinned.
 """
 
 from __future__ import annotations
@@ -18,14 +17,14 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import dates as D
 from ..functions import strings as STR
-from ..operators.calendar import calendar_alias, calendar_window
+from ..operators.calendar import calendar_alias, calendar_window, period_between
 from ..operators.compare import (
     build_daily,
-    build_daily_chained,
     key_fallback,
     ly_bridge,
     ly_bridge_full,
     ly_shift,
+    salted_outer_join,
     zero_fill,
 )
 from ..operators.lastvalue import (
@@ -154,7 +153,7 @@ query(
 )(lambda spark, sf: read_daily(spark, stored(spark, sf, "daily"), *DAILY_RANGE))
 
 query("partition_list", O.with_staging("SELECT DISTINCT vendor_key, period_key FROM stg"))(
-    lambda spark, sf: partition_list(read_staging(spark, stored(spark, sf, "staging")))
+    lambda spark, sf: partition_list(spark, stored(spark, sf, "staging"))
 )
 
 
@@ -167,7 +166,7 @@ query("partition_list", O.with_staging("SELECT DISTINCT vendor_key, period_key F
     ),
 )
 def partition_in_range(spark: SparkSession, sf: str) -> DataFrame:
-    parts = partition_list(read_staging(spark, stored(spark, sf, "staging"))).select(partition_path().alias("partition_path"))
+    parts = partition_list(spark, stored(spark, sf, "staging")).select(partition_path().alias("partition_path"))
     return partitions_in_range(parts, "partition_path", *PATH_RANGE)
 
 
@@ -177,74 +176,93 @@ query("sink_daily_full", O.daily_sql())(lambda spark, sf: read_daily(spark, stor
 query("sink_weekly_full", O.weekly_sql())(lambda spark, sf: read_weekly(spark, stored(spark, sf, "weekly")))
 
 
-def _upsert_round_trip(spark: SparkSession, df: DataFrame, write, read, in_year) -> DataFrame:
-    """Full write without one year, upsert that year, read the whole dataset back."""
+def _upsert_round_trip(spark: SparkSession, df: DataFrame, write, read, measure: str, in_year) -> DataFrame:
+    """Write the table with wrong values of vendor 1 in one year, upsert the true rows of that slice, read all back.
+
+    Appending would leave the wrong rows beside the true ones, and overwriting
+    everything would lose the other vendors and years.
+    """
     path = scratch_path(spark, "upsert")
-    write(df.where(~in_year), path, "full")
-    write(df.where(in_year), path, "upsert")
+    slice_ = in_year & (F.col(S.VENDOR) == 1)
+    wrong = df.withColumn(measure, F.when(slice_, F.col(measure) + 1000.0).otherwise(F.col(measure)))
+    write(wrong, path, "full")
+    write(df.where(slice_), path, "upsert")
     return read(spark, path)
 
 
 @query("sink_staging_upsert", O.staging_sql())
 def sink_staging_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging with one slice written wrongly, then replaced by an upsert."""
     df = read_staging(spark, stored(spark, sf, "staging"))
-    return _upsert_round_trip(
-        spark, df, sinks.write_staging, read_staging, (F.col(S.PERIOD) / 10000).cast("int") == UPSERT_YEAR
-    )
+    in_year = F.floor(F.col(S.PERIOD) / 10000) == UPSERT_YEAR
+    return _upsert_round_trip(spark, df, sinks.write_staging, read_staging, "total_units_ty", in_year)
 
 
 @query("sink_daily_upsert", O.daily_sql())
 def sink_daily_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily with one slice written wrongly, then replaced by an upsert."""
     df = read_daily(spark, stored(spark, sf, "daily"))
-    return _upsert_round_trip(
-        spark, df, sinks.write_daily, read_daily, (F.col(S.PERIOD) / 10000).cast("int") == UPSERT_YEAR
-    )
+    in_year = F.floor(F.col(S.PERIOD) / 10000) == UPSERT_YEAR
+    return _upsert_round_trip(spark, df, sinks.write_daily, read_daily, "total_units_ty", in_year)
 
 
 @query("sink_weekly_upsert", O.weekly_sql())
 def sink_weekly_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly with one slice written wrongly, then replaced by an upsert."""
     df = read_weekly(spark, stored(spark, sf, "weekly"))
-    return _upsert_round_trip(spark, df, sinks.write_weekly, read_weekly, F.year(S.WEEK_ENDED) == UPSERT_YEAR)
-
-
-_JOBS: dict[tuple[str, str], JobParams] = {}
-_JOBS_LOCK = threading.Lock()
-
+    in_year = F.year(S.WEEK_ENDED) == UPSERT_YEAR
+    return _upsert_round_trip(spark, df, sinks.write_weekly, read_weekly, "total_units_ty", in_year)
 
-def _full_load_job(spark: SparkSession, sf: str) -> JobParams:
-    """One FL job run per (session, data folder), shared by the job queries."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    with _JOBS_LOCK:
-        if key not in _JOBS:
-            _JOBS[key] = _run_full_load_job(spark, sf)
-        return _JOBS[key]
 
+#: range of the job queries: every fact day of the test tables
+JOB_RANGE = (19950101, 20021231)
+#: what the refresh and incremental jobs are run for
+REFRESH_RANGE = (20000101, 20001231)
+CHANGED_RANGE = (19990104, 19990110)
+_JOB_CLOCK = dt.datetime(2001, 12, 31, 6, 0, 0)
 
-def _run_full_load_job(spark: SparkSession, sf: str) -> JobParams:
-    from .jobs import run_job  # local import: jobs imports sinks/tables only
 
-    fact_dir = stored(spark, sf, "fact")
+def _job(spark: SparkSession, sf: str, load_type: str, bounds=JOB_RANGE, vendors=(0, 1, 2), fact: str | None = None, out: str | None = None) -> JobParams:
+    fact_dir = fact or stored(spark, sf, "fact")
     osa_base = fact_dir.rstrip("/")[: -len(f"/{RETAILER}/{SUBJECT}")]
-    params = JobParams(
-        aggregate_base_uri=scratch_path(spark, "job"),
+    return JobParams(
+        aggregate_base_uri=out or scratch_path(spark, "job"),
         aggregation_level="StoreItem",
         aggregation_type="Day",
         retailer=RETAILER,
-        vendors=[0, 1, 2],
+        vendors=list(vendors),
         job_id=1,
         fact_base_uri=osa_base,
         dim_base_uri=stored(spark, sf, "dims"),
         calendar_id="c1",
         osa_fact_base_uri=osa_base,
         subject=SUBJECT,
-        load_type="FL",
-        start=19950101,
-        end=20021231,
+        load_type=load_type,
+        start=bounds[0],
+        end=bounds[1],
     )
-    run_job(spark, params, as_of=O.AS_OF, years=O.YEARS)
+
+
+def _run(spark: SparkSession, params: JobParams) -> JobParams:
+    from .jobs import run_job  # local import: jobs imports sinks/tables only
+
+    run_job(spark, params, as_of=O.AS_OF, years=O.YEARS, clock=lambda: _JOB_CLOCK)
     return params
 
 
+_JOBS: dict[tuple[str, str], JobParams] = {}
+_JOBS_LOCK = threading.Lock()
+
+
+def _full_load_job(spark: SparkSession, sf: str) -> JobParams:
+    """One FL job run per (session, data folder), shared by the queries that only read its outputs."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    with _JOBS_LOCK:
+        if key not in _JOBS:
+            _JOBS[key] = _run(spark, _job(spark, sf, "FL"))
+        return _JOBS[key]
+
+
 @query("job_full_load", O.weekly_sql())
 def job_full_load(spark: SparkSession, sf: str) -> DataFrame:
     """FL job over the stored facts (staging → daily → weekly); weekly read back."""
@@ -252,9 +270,55 @@ def job_full_load(spark: SparkSession, sf: str) -> DataFrame:
     return read_weekly(spark, params.weekly_path)
 
 
-@query("sink_job_log", None)
+@query("job_incremental_load", O.daily_sql())
+def job_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """FL over facts with one week of vendor 1 wrong, the true facts put in, IL for that week and vendor; daily read back.
+
+    The week's own days and the days a year later that use them as last year
+    must both follow; everything else must stay.
+    """
+    true = read_fact(spark, stored(spark, sf, "fact"))
+    slice_ = F.col(S.PERIOD).between(*CHANGED_RANGE) & (F.col(S.VENDOR) == 1)
+    fact = f"{scratch_path(spark, 'fact')}/{RETAILER}/{SUBJECT}/"
+    sinks.write_partitioned(
+        true.withColumn("total_units", F.when(slice_, F.col("total_units") + 7.0).otherwise(F.col("total_units"))), fact, S.DAILY_PARTITIONS, "full"
+    )
+    params = _run(spark, _job(spark, sf, "FL", fact=fact))
+    sinks.write_partitioned(true.where(slice_), fact, S.DAILY_PARTITIONS, "upsert")
+    _run(spark, _job(spark, sf, "IL", CHANGED_RANGE, (1,), fact, params.aggregate_base_uri))
+    return read_daily(spark, params.daily_path)
+
+
+def _copy_staging(spark: SparkSession, sf: str, params: JobParams) -> None:
+    sinks.write_staging(read_staging(spark, stored(spark, sf, "staging")), params.staging_path, "full")
+
+
+@query("job_full_refresh", O.with_daily_weeks(*REFRESH_RANGE, _daily_units_select(DAILY_COLS)))
+def job_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """FR for one year over stored staging: daily holds the whole weeks of that year; read back."""
+    params = _job(spark, sf, "FR", REFRESH_RANGE)
+    _copy_staging(spark, sf, params)
+    _run(spark, params)
+    return read_daily(spark, params.daily_path)
+
+
+@query("job_incremental_refresh", O.weekly_sql())
+def job_incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored daily and weekly with one vendor's year wrong, mended by an IR from staging; weekly read back."""
+    params = _job(spark, sf, "IR", REFRESH_RANGE, (1,))
+    _copy_staging(spark, sf, params)
+    year = REFRESH_RANGE[0] // 10000
+    daily, weekly = read_daily(spark, stored(spark, sf, "daily")), read_weekly(spark, stored(spark, sf, "weekly"))
+    wrong = lambda df, own: df.withColumn("lost_units_ty", F.when(own & (F.col(S.VENDOR) == 1), -1.0).otherwise(F.col("lost_units_ty")))
+    sinks.write_daily(wrong(daily, F.col(S.PERIOD).between(*REFRESH_RANGE)), params.daily_path, "full")
+    sinks.write_weekly(wrong(weekly, F.year(S.WEEK_ENDED) == year), params.weekly_path, "full")
+    _run(spark, params)
+    return read_weekly(spark, params.weekly_path)
+
+
+@query("sink_job_log", O.job_log_sql(JOB_RANGE, _JOB_CLOCK))
 def sink_job_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Run log (ORC) appended by an FL job over the stored facts."""
+    """Run log (ORC) of an FL job over the stored facts, with each stage's row count; the clock is pinned."""
     params = _full_load_job(spark, sf)
     return spark.read.schema(S.JOB_LOG_SCHEMA).orc(params.log_path)
 
@@ -263,14 +327,32 @@ def sink_job_log(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fact_rounded",
     f"WITH fact AS ({fixtures.FACT_SQL}) SELECT {', '.join(S.K6)}, "
-    + ", ".join(f"CAST(round(CAST({m.name} AS DECIMAL(18,4)), 2) AS DOUBLE) AS {m.name}" for m in S.METRICS)
+    + ", ".join(f"CAST(round(CAST({m.name} AS DECIMAL(28,8)), 2) AS DOUBLE) AS {m.name}" for m in S.METRICS)
     + " FROM fact",
 )
 def fact_rounded_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fact measure rounded HALF_UP to cents."""
     r = fact_rounded(pipeline.fact(spark, sf))
     return r.select(*S.K6, *[F.col(m.name).cast("double").alias(m.name) for m in S.METRICS])
 
 
+#: a factor with six decimals: the measures then have six and more
+FINE_FACTOR = 0.123457
+
+
+@query(
+    "fact_rounded_fine",
+    f"WITH fact AS ({fixtures.FACT_SQL}) SELECT {', '.join(S.K6)}, "
+    + ", ".join(f"CAST(round(CAST({m.name} * CAST({FINE_FACTOR} AS DOUBLE) AS DECIMAL(28,8)), 2) AS DOUBLE) AS {m.name}" for m in S.METRICS)
+    + " FROM fact",
+)
+def fact_rounded_fine(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures with six and more decimals, rounded once, HALF_UP, to cents."""
+    fine = pipeline.fact(spark, sf).select(*S.K6, *[(F.col(m.name) * F.lit(FINE_FACTOR)).alias(m.name) for m in S.METRICS])
+    r = fact_rounded(fine)
+    return r.select(*S.K6, *[F.col(m.name).cast("double").alias(m.name) for m in S.METRICS])
+
+
 query(
     "ly_bridge",
     O.with_staging("SELECT retailer_key, vendor_key, ly_period_key AS period_key, item_key, store_key, osa_type_key FROM stg"),
@@ -289,7 +371,7 @@ def key_fallback_q(spark: SparkSession, sf: str) -> DataFrame:
     stg = pipeline.staging(spark, sf)
     ly = ly_bridge_full(stg).join(calendar_alias(_window(spark, sf)), S.LY_PERIOD, "inner")
     ty = stg.select(*S.K6, S.WEEK_ENDED, S.LY_PERIOD)
-    j = ty.join(ly.select(S.LY_PERIOD, *S.K5, "x_period_key", S.X_WEEK_ENDED), [S.LY_PERIOD] + S.K5, "full_outer")
+    j = salted_outer_join(ty, ly.select(S.LY_PERIOD, *S.K5, "x_period_key", S.X_WEEK_ENDED), [S.LY_PERIOD] + S.K5)
     return j.select(
         *S.K5,
         S.LY_PERIOD,
@@ -328,9 +410,9 @@ query(
     O.with_daily(_daily_units_select(DAILY_COLS, "dly", f"WHERE period_key BETWEEN {SLICE_RANGE[0]} AND {SLICE_RANGE[1]}")),
 )
 def daily_period_slice(spark: SparkSession, sf: str) -> DataFrame:
-    lo, hi = SLICE_RANGE
-    days = [lo + d for d in range(0, hi - lo + 1)]
-    return partition_slice(pipeline.daily(spark, sf), S.PERIOD, days)
+    """The stored daily partitions of one month's calendar days (an upsert's slice): a partition filter on the scan."""
+    days = pipeline.calendar(spark, sf).where(period_between(*SLICE_RANGE)).select(S.PERIOD).collect()
+    return partition_slice(read_daily(spark, stored(spark, sf, "daily")), S.PERIOD, sorted(r[0] for r in days))
 
 
 # ================================================================ aggregations
@@ -417,6 +499,14 @@ query("distinct_vendor_week", O.with_daily("SELECT DISTINCT vendor_key, week_end
 )
 
 
+def _stored_stages(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
+    return [
+        ("staging", read_staging(spark, stored(spark, sf, "staging"))),
+        ("daily", read_daily(spark, stored(spark, sf, "daily"))),
+        ("weekly", read_weekly(spark, stored(spark, sf, "weekly"))),
+    ]
+
+
 @query(
     "row_count",
     O.with_weekly(
@@ -425,11 +515,7 @@ query("distinct_vendor_week", O.with_daily("SELECT DISTINCT vendor_key, week_end
     ),
 )
 def row_count(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [
-        ("staging", pipeline.staging(spark, sf)),
-        ("daily", pipeline.daily(spark, sf)),
-        ("weekly", pipeline.weekly(spark, sf)),
-    ]
+    parts = _stored_stages(spark, sf)
     frames = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in parts]
     return union_logs(frames)
 
@@ -464,11 +550,7 @@ query(
 def job_log_union(spark: SparkSession, sf: str) -> DataFrame:
     """Per-vendor row counts of the three stages as log rows, combined by bag union."""
     frames = []
-    for step, df in (
-        ("staging", pipeline.staging(spark, sf)),
-        ("daily", pipeline.daily(spark, sf)),
-        ("weekly", pipeline.weekly(spark, sf)),
-    ):
+    for step, df in _stored_stages(spark, sf):
         frames.append(
             df.groupBy(S.VENDOR)
             .agg(F.count(F.lit(1)).alias("n"))

@@ -1,25 +1,31 @@
 """Writers for the partitioned datasets and the run log.
 
-* ``full``   – overwrite the whole dataset (stale partitions disappear).
-* ``upsert`` – overwrite only the partitions present in the frame
+* ``full``    – replace the whole dataset. The new one is written beside the
+  old one and swapped in when it is complete, so a failed load leaves the old
+  dataset as it was.
+* ``upsert``  – overwrite only the partitions present in the frame
   (``partitionOverwriteMode=dynamic`` on the writer, not the session);
   every other partition keeps its files byte for byte.
+* ``replace_scope`` – an upsert that also removes the partitions of a stated
+  scope (vendors × days) for which the frame has no rows.
 
-Both are idempotent: writing the same frame twice leaves the same content.
+All are idempotent: writing the same frame twice leaves the same content.
 Before a partitioned write the frame is rebalanced on the partition columns
 (the ``REBALANCE`` hint): with AQE each directory is written by few tasks,
 and a directory holding a large share of the rows is split over several
-tasks instead of landing in one.
-
-Never write to a path the same plan reads from; write to a fresh path
-instead (Spark refuses such an overwrite).
+tasks instead of landing in one. Without AQE the hint can't split, so the
+writers refuse to run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..sources import storage
 
 MODES = ("full", "upsert")
 
@@ -27,15 +33,50 @@ MODES = ("full", "upsert")
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    balanced = df.hint("rebalance", *partition_cols)
-    writer = balanced.write.format("parquet").partitionBy(*partition_cols).mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic" if mode == "upsert" else "static")
-    writer.save(path)
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("partitioned writes need spark.sql.adaptive.enabled (it splits large directories)")
+    writer = df.hint("rebalance", *partition_cols).write.format("parquet").partitionBy(*partition_cols).mode("overwrite")
+    if mode == "upsert":
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+        return
+    beside = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+    try:
+        writer.option("partitionOverwriteMode", "static").save(beside)
+    except Exception:
+        storage.delete(spark, beside)
+        raise
+    storage.swap_in(spark, beside, path)
+
+
+def _scoped(spark: SparkSession, path: str, cols: list[str], scope: Column) -> dict[tuple, int]:
+    """Partitions of the scope with their file checksums; one row per directory comes to the driver."""
+    if not storage.exists(spark, path) or not spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").limit(1).count():
+        return {}
+    rows = storage.partition_files(spark, path, cols).where(scope).toLocalIterator()
+    return {tuple(r[c] for c in cols): r["files"] for r in rows}
+
+
+def write_and_find_stale(df: DataFrame, path: str, partition_cols: list[str], scope: Column) -> list[tuple]:
+    """Upsert; returns the partitions of ``scope`` that were there before and that this write did not replace."""
+    spark = df.sparkSession
+    before = _scoped(spark, path, partition_cols, scope)
+    write_partitioned(df, path, partition_cols, "upsert")
+    after = _scoped(spark, path, partition_cols, scope)
+    return sorted(k for k, files in before.items() if after.get(k) == files)
+
+
+def replace_scope(df: DataFrame, path: str, partition_cols: list[str], scope: Column) -> list[tuple]:
+    """Upsert, then delete the partitions of ``scope`` that the frame had no rows for; returns those."""
+    stale = write_and_find_stale(df, path, partition_cols, scope)
+    for values in stale:
+        folder = "/".join(f"{c}={v}" for c, v in zip(partition_cols, values, strict=True))
+        storage.delete(df.sparkSession, f"{path.rstrip('/')}/{folder}")
+    return stale
 
 
 def write_staging(df: DataFrame, path: str, mode: str = "upsert") -> None:
-    """Staging by (vendor, period). Full loads also upsert: they cover the
-    job's vendors and range only, and must not wipe other vendors."""
+    """Staging by (vendor, period)."""
     write_partitioned(df.select(*S.STAGING_COLUMNS), path, S.DAILY_PARTITIONS, mode)
 
 
@@ -60,3 +101,7 @@ def append_job_log(df: DataFrame, path: str) -> None:
 def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     """First ``n`` rows in a stated order (deterministic, unlike a bare ``show``)."""
     return df.orderBy(*order_by).limit(n)
+
+
+def vendor_scope(vendors: list[int] | None) -> Column:
+    return F.lit(True) if vendors is None else F.col(S.VENDOR).isin([int(v) for v in vendors])

@@ -3,9 +3,9 @@
 The job reads its inputs from storage (hive-style Parquet). To run those
 readers against the test tables, the stand-ins are written below the
 session's shared checkpoint folder (``spark.checkpoint.dir``) once per
-(session, data folder) and reused: the raw fact and dimension inputs with a
-plain partitioned write, the staging/daily/weekly outputs with the library's
-own sinks. Reading them back also cuts the lineage of later plans.
+(session, data folder) and reused, all with the library's own sinks. Reading them back also cuts the lineage of later plans. The paths
+are remembered per session and data folder: the test tables are read-only, and
+a changed folder has another path.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from . import pipeline, sinks
 RETAILER = "r1"
 SUBJECT = "fact"
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 
@@ -36,11 +36,8 @@ def _write(spark: SparkSession, sf_dir: str, what: str) -> str:
     path = scratch_path(spark, what)
     if what == "fact":
         # <base>/<retailer>/<subject>/vendor_key=…/period_key=…
-        # raw input, not a job output: a plain partitioned write, one task per core
         path = f"{path}/{RETAILER}/{SUBJECT}/"
-        n = spark.sparkContext.defaultParallelism
-        fact = fixtures.fact(spark, sf_dir).repartition(n, *S.DAILY_PARTITIONS)
-        fact.write.partitionBy(*S.DAILY_PARTITIONS).mode("overwrite").parquet(path)
+        sinks.write_partitioned(fixtures.fact(spark, sf_dir), path, S.DAILY_PARTITIONS, "full")
     elif what == "dims":
         for dim, build in (
             ("calendar", fixtures.calendar),

@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every session we create starts from.
@@ -32,29 +33,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in LOCAL_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if not SparkConf().get("spark.checkpoint.dir", ""):  # one machine: its temporary folder is shared
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shelfroll-ckpt-"))
     builder = builder.config("spark.driver.memory", os.environ.get("SHELFROLL_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; we never replace it. Only when it is unset (local tests) do we
-    create a private folder under the system temp directory.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return spark.sparkContext.getCheckpointDir() or current
-    local = tempfile.mkdtemp(prefix="shelfroll-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    """The folder of ``spark.checkpoint.dir``, which the driver and every executor share; an error where it is unset."""
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -22,7 +22,12 @@ _KEEP_BRACKETS = {"dimBaseUri", "dateRange"}
 
 
 class JobParamsError(ValueError):
-    """The parameter document is missing, malformed or incomplete."""
+    """The parameter document is missing, malformed or incomplete.
+
+    ``log_path`` is the job's log folder, if the document is good enough to name it.
+    """
+
+    log_path: str | None = None
 
 
 def strip_brackets(s: str) -> str:
@@ -158,9 +163,9 @@ def read_params(spark: SparkSession, path: str) -> JobParams:
     The document is read as text by Spark (so cluster file systems work) and
     parsed on the driver; it is one small object, never data.
     """
-    rows = spark.read.text(path, wholetext=True).collect()
+    rows = spark.read.text(path, wholetext=True).limit(2).collect()
     if len(rows) != 1:
-        raise JobParamsError(f"expected one parameter file at {path}, found {len(rows)}")
+        raise JobParamsError(f"expected one parameter file at {path}, found {'none' if not rows else 'several'}")
     try:
         doc = json.loads(rows[0][0])
     except json.JSONDecodeError as e:
@@ -171,7 +176,13 @@ def read_params(spark: SparkSession, path: str) -> JobParams:
         doc = doc[0]
     if not isinstance(doc, dict):
         raise JobParamsError("parameter document must be a JSON object")
-    return params_from_dict(doc)
+    try:
+        return params_from_dict(doc)
+    except JobParamsError as e:
+        base, retailer = (strip_brackets(str(doc.get(f) or "")) for f in ("aggregateBaseUri", "retailer"))
+        if base and retailer:
+            e.log_path = f"{base.rstrip('/')}/{retailer}/job_logs/"
+        raise
 
 
 def params_frame(spark: SparkSession, path: str):

@@ -1,24 +1,24 @@
 """Partition listing and date-range selection as DataFrame operations.
 
-Instead of shelling out to a file-system listing and cutting text, the
-partition values of a hive-style dataset are read as columns: a
-``select(vendor_key, period_key).distinct()`` over a partitioned scan only
-needs the directory structure plus a row count per file.
+Instead of shelling out to a file-system listing and cutting text, the files
+of a hive-style dataset are listed by Spark (one row per file, contents never
+read) and their partition values come back as typed columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.dates import in_date_range
+from .storage import data_files
 
 
-def partition_list(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Distinct partition values (default vendor and period) of a dataset."""
+def partition_list(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
+    """Distinct partition values (default vendor and period) of the dataset at ``path``."""
     cols = S.DAILY_PARTITIONS if cols is None else cols
-    return df.select(*cols).distinct()
+    return data_files(spark, path).select(*cols).distinct()
 
 
 def partition_path(cols: list[str] | None = None) -> Column:
@@ -40,18 +40,3 @@ def partitions_in_range(paths: DataFrame, path_col: str, start, end) -> DataFram
 def partition_slice(df: DataFrame, col: str, values: list) -> DataFrame:
     """Rows whose partition column ``col`` is one of ``values`` (an upsert's slice)."""
     return df.where(F.col(col).isin(list(values)))
-
-
-def partitions_not_written_since(
-    df: DataFrame, cols: list[str], since_epoch_seconds: float
-) -> DataFrame:
-    """Partitions of a file scan whose newest file is older than ``since``.
-
-    ``df`` must be a plain Parquet scan (``spark.read…parquet``), so the
-    hidden ``_metadata`` column is available; only file metadata and the
-    partition columns are read. After an upsert, these are the partitions in
-    the requested range that the run did not rewrite.
-    """
-    mtime = F.col("_metadata.file_modification_time")
-    newest = df.select(*cols, mtime.alias("_mtime")).groupBy(*cols).agg(F.max("_mtime").alias("_newest"))
-    return newest.where(F.col("_newest") < F.timestamp_seconds(F.lit(since_epoch_seconds))).select(*cols)

@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import json
 import os
+import shutil
 import tempfile
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfroll import schema as S
 from shelfroll.plans import jobs, sinks
-from shelfroll.plans.runlog import FAILED, SUCCESS
+from shelfroll.plans.runlog import FAILED, IN_PROGRESS, SUCCESS
 from shelfroll.sources.params import JobParams, JobParamsError
 from shelfroll.sources.tables import dim_path, read_daily, read_staging, read_weekly
 
@@ -60,7 +61,7 @@ def test_full_then_incremental_load(spark):
     base = _setup(spark)
     p = _params(base, "FL", 19990101, 20001231)
     log = jobs.run_job(spark, p, as_of=AS_OF)
-    assert [r[4] for r in log.rows] == [SUCCESS] * 4
+    assert [r[4] for r in log.rows if r[4] != IN_PROGRESS] == [SUCCESS] * 4
     stg = read_staging(spark, p.staging_path)
     assert stg.count() == 56
     daily = read_daily(spark, p.daily_path)
@@ -69,7 +70,7 @@ def test_full_then_incremental_load(spark):
     assert (d[(1, 20000105)]["total_units_ty"], d[(1, 20000105)]["total_units_ly"]) == (15.0, 6.0)
     weekly = read_weekly(spark, p.weekly_path)
     assert weekly.agg(F.sum("total_units_ty")).first()[0] == daily.agg(F.sum("total_units_ty")).first()[0]
-    assert spark.read.orc(p.log_path).count() == 4
+    assert spark.read.orc(p.log_path).count() == 7
 
     # IL: vendor 1's 1999-01-06 changes; its LY users (2000-01-05) must follow
     daily_before = _md5s(p.daily_path)
@@ -93,7 +94,7 @@ def test_full_then_incremental_load(spark):
     assert w[(1, dt.date(2000, 1, 8))]["total_units_ly"] == sum(
         d2[(1, k)]["total_units_ly"] for k in range(20000102, 20000109)
     )
-    assert spark.read.orc(p.log_path).count() == 8
+    assert spark.read.orc(p.log_path).count() == 14
 
 
 @pytest.mark.parametrize("load_type", ["FR", "IR"])
@@ -106,8 +107,8 @@ def test_refresh_types_skip_staging(spark, load_type):
     assert log.rows[-1][4] == SUCCESS
     daily = read_daily(spark, p.daily_path)
     periods = {r[S.PERIOD] for r in daily.select(S.PERIOD).distinct().collect()}
-    if load_type == "FR":  # full overwrite: only the refreshed range remains
-        assert min(periods) >= 20000101
+    if load_type == "FR":  # full overwrite: only the whole weeks of the refreshed range remain
+        assert min(periods) >= 19991226
     else:
         assert min(periods) == 19990101
 
@@ -138,24 +139,77 @@ def test_merge_ranges():
     assert jobs.merge_ranges([(5, 9), (1, 3), (3, 4), (20, 30)]) == [(1, 4), (5, 9), (20, 30)]
 
 
-def test_stage_sizing_respects_user_setting(spark):
-    from shelfroll.plans.sizing import INITIAL_PARTITIONS, StageSizing, partitions_for
+def test_full_load_removes_staging_without_facts(spark):
+    base = _setup(spark)
+    p = _params(base, "FL", 19990103, 19990104)
+    jobs.run_job(spark, p, as_of=AS_OF)
+    assert {r[S.PERIOD] for r in read_daily(spark, p.daily_path).where("total_units_ty > 0").collect()} == {19990103, 19990104}
+    for v in (1, 2):
+        shutil.rmtree(f"{p.fact_path}/vendor_key={v}/period_key=19990104")
+    log = jobs.run_job(spark, p, as_of=AS_OF)
+    assert {r[S.PERIOD] for r in read_staging(spark, p.staging_path).collect()} == {19990103}
+    assert {r[S.PERIOD] for r in read_daily(spark, p.daily_path).where("total_units_ty > 0").collect()} == {19990103}
+    assert any("2 partition(s) without facts removed" in r[2] for r in log.rows)
+    # another vendor's staging in the same days is none of this job's
+    jobs.run_job(spark, _params(base, "FL", 19990103, 19990104, vendors=(1,)), as_of=AS_OF)
+    assert {r[S.VENDOR] for r in read_staging(spark, p.staging_path).collect()} == {1, 2}
+
+
+@pytest.mark.parametrize("load_type", ["FR", "FL"])
+def test_full_types_never_build_a_week_from_part_of_its_days(spark, load_type):
+    base = _setup(spark)
+    rows = [(1, k, 1.0) for k in range(19991226, 19991232)]
+    sinks.write_partitioned(_fact(spark, rows), f"{base}/osa/r1/fact/", S.DAILY_PARTITIONS, "upsert")
+    jobs.run_job(spark, _params(base, "FL", 19990101, 20001231), as_of=AS_OF)
+    whole = {(r[S.VENDOR], r[S.WEEK_ENDED]): r["total_units_ty"] for r in read_weekly(spark, f"{base}/out/r1/weekly/").collect()}
+    # 2000-01-01 is the last day of its week
+    p = _params(base, load_type, 20000101, 20000131)
+    jobs.run_job(spark, p, as_of=AS_OF)
+    part = {(r[S.VENDOR], r[S.WEEK_ENDED]): r["total_units_ty"] for r in read_weekly(spark, p.weekly_path).collect()}
+    assert part[(1, dt.date(2000, 1, 1))] == whole[(1, dt.date(2000, 1, 1))] == 17.0
+    assert all(whole[k] == v for k, v in part.items())
+
+
+@pytest.mark.parametrize("load_type", ["FL", "FR", "IL", "IR"])
+def test_range_outside_the_calendar_is_rejected_before_any_write(spark, load_type):
+    base = _setup(spark)
+    full = _params(base, "FL", 19990101, 20001231)
+    jobs.run_job(spark, full, as_of=AS_OF)
+    before = {p: _md5s(p) for p in (full.staging_path, full.daily_path, full.weekly_path)}
+    with pytest.raises(ValueError, match="no day between"):
+        jobs.run_job(spark, _params(base, load_type, 20100101, 20101231), as_of=AS_OF)
+    assert before == {p: _md5s(p) for p in before}
+
+
+def test_failed_full_write_leaves_the_old_table(spark):
+    base = _setup(spark)
+    p = _params(base, "FL", 19990101, 20001231)
+    jobs.run_job(spark, p, as_of=AS_OF)
+    before = _md5s(p.daily_path)
+    broken = read_daily(spark, p.daily_path).withColumn("total_units_ty", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_daily(broken, p.daily_path, "full")
+    assert _md5s(p.daily_path) == before
+    assert [n for n in os.listdir(f"{base}/out/r1") if "__new" in n] == []
+
+
+def test_rejected_parameters_are_logged_by_default(spark):
+    base = tempfile.mkdtemp(prefix="job-")
+    doc = {f: "x" for f in S.PARAM_FIELDS}
+    doc.update({"vendors": [1], "jobId": 1, "dateRange": "20000131,20000101", "loadType": "ZZ", "aggregateBaseUri": f"{base}/out/", "retailer": "r9"})
+    path = os.path.join(base, "p.json")
+    with open(path, "w") as f:
+        json.dump(doc, f)
+    with pytest.raises(JobParamsError):
+        jobs.run_from_file(spark, path)
+    assert [r["Status"] for r in spark.read.orc(f"{base}/out/r9/job_logs/").collect()] == [FAILED]
+
 
-    assert partitions_for(0) == 200 and partitions_for(100 * 2**40) == 100_000
-    assert partitions_for(1000 * 128 * 2**20) == 1000
-    df = spark.range(10).selectExpr("cast(id as int) a", "cast(id as double) b")
-    s = StageSizing(spark)
-    assert s.size_for(df) == 200 and spark.conf.get(INITIAL_PARTITIONS) == "200"
-    s.restore()
-    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
-    spark.conf.set(INITIAL_PARTITIONS, "7")
-    try:
-        s2 = StageSizing(spark)
-        assert s2.size_for(df) is None and spark.conf.get(INITIAL_PARTITIONS) == "7"
-        s2.restore()
-        assert spark.conf.get(INITIAL_PARTITIONS) == "7"
-    finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
+def test_started_stages_are_logged_before_they_end(spark):
+    base = _setup(spark)
+    log = jobs.run_job(spark, _params(base, "FL", 19990101, 20001231), as_of=AS_OF)
+    assert [r[4] for r in log.rows] == [SUCCESS, IN_PROGRESS, SUCCESS, IN_PROGRESS, SUCCESS, IN_PROGRESS, SUCCESS]
+    assert "56 rows" in log.rows[2][2]
 
 
 def test_command_line_entry(spark, capsys):
@@ -173,7 +227,7 @@ def test_command_line_entry(spark, capsys):
         json.dump(doc, f, indent=2)
     assert main([path, "--as-of", "2001-01-01"]) == 0
     out = capsys.readouterr().out
-    assert out.count("Success") == 4
+    assert out.count("Success") == 4 and out.count("In-Progress") == 3
     assert read_weekly(spark, f"{base}/out/r1/weekly/").count() > 0
     bad = dict(doc, loadType="QQ")
     with open(path, "w") as f:
@@ -188,9 +242,9 @@ def test_upsert_reports_partitions_it_did_not_rewrite(spark):
     # ending before that day, a refresh produces no rows for it
     p = _params(base, "IR", 19991231, 19991231, vendors=(1,))
     log = jobs.run_job(spark, p, as_of=19991231)
-    daily_step = [r[2] for r in log.rows if r[2].startswith("Daily")][0]
+    daily_step = [r[2] for r in log.rows if r[2].startswith("Daily upsert done")][0]
     assert "1 partition(s) in range had no new rows" in daily_step
-    weekly_step = [r[2] for r in log.rows if r[2].startswith("Weekly")][0]
+    weekly_step = [r[2] for r in log.rows if r[2].startswith("Weekly upsert done")][0]
     assert "partition(s)" not in weekly_step
     # the old row is still there; a full load removes it
     d = read_daily(spark, p.daily_path, 19991231, 19991231, [1]).collect()

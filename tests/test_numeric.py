@@ -1,7 +1,9 @@
-"""The integer rounding path agrees with the decimal(18,4) route on ≤ 4-place inputs."""
+"""One HALF_UP rounding of the raw double, held against Python's decimals."""
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,22 +11,29 @@ from pyspark.sql import functions as F
 from shelfroll.functions.numeric import avg_units, from_units, stored_units, to_units
 
 
-def _decimal_route(c):
-    return (F.round(F.col(c).cast("decimal(18,4)"), 2) * 100).cast("long")
+def _cents(x: Decimal) -> int:
+    return int((x * 100).quantize(Decimal(1), ROUND_HALF_UP))
 
 
-@settings(max_examples=2, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(
     st.lists(st.integers(min_value=-(10**13), max_value=10**13), min_size=50, max_size=200),
+    st.lists(st.integers(min_value=-(10**14), max_value=10**14), min_size=50, max_size=200),
     st.lists(st.tuples(st.integers(0, 10**7), st.integers(0, 100)), min_size=50, max_size=200),
 )
-def test_to_units_matches_decimal_route(spark, four_place, products):
-    xs = [k / 10000.0 for k in four_place]
+def test_to_units_rounds_the_decimal_value_once(spark, four_place, seven_place, products):
+    want = [(k / 1e4, _cents(Decimal(k).scaleb(-4))) for k in four_place]
+    want += [(k / 1e7, _cents(Decimal(k).scaleb(-7))) for k in seven_place]
     # price (2 places) × discount (2 places), computed in double like the facts are
-    xs += [(p / 100.0) * (d / 100.0) + 0.0 for p, d in products]
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
-    rows = df.select(to_units("x").alias("a"), _decimal_route("x").alias("b")).collect()
-    assert all(r.a == r.b for r in rows)
+    want += [((p / 100.0) * (d / 100.0) + 0.0, _cents(Decimal(p * d).scaleb(-4))) for p, d in products]
+    df = spark.createDataFrame([(x, i) for i, (x, _) in enumerate(want)], "x double, i int")
+    got = {r.i: r.a for r in df.select("i", to_units("x").alias("a")).collect()}
+    assert all(got[i] == w for i, (_, w) in enumerate(want))
+
+
+def test_values_just_below_a_tie_stay_below(spark):
+    df = spark.createDataFrame([(2.00499,), (0.00495,), (12.344951,), (2.005,), (-2.005,), (1.0049999,), (8e10,)], "x double")
+    assert [r[0] for r in df.select(to_units("x")).collect()] == [200, 0, 1234, 201, -201, 100, 8 * 10**12]
 
 
 def test_stored_units_and_average_rounding(spark):

@@ -6,9 +6,10 @@ import datetime as dt
 import tempfile
 
 from shelfroll import schema as S
-from shelfroll.operators.compare import build_daily, build_daily_chained
+from shelfroll.operators.compare import build_daily, build_daily_chained, ly_bridge_full
 from shelfroll.operators.weekly import AVERAGED, LAST_VALUE, SUMMED, build_weekly, build_weekly_joined
 from shelfroll.plans import sinks
+from shelfroll.sources.partitions import partition_list
 from shelfroll.sources.tables import read_daily, read_staging
 
 from .conftest import make_calendar, staging_rows
@@ -25,8 +26,14 @@ def _stored_staging(spark):
     return path
 
 
+def _stored_calendar(spark):
+    path = tempfile.mkdtemp(prefix="plans-") + "/cal"
+    make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 12, 31)).write.parquet(path)
+    return spark.read.schema(S.CALENDAR_SCHEMA).parquet(path)
+
+
 def test_daily_short_form_exchanges_and_broadcast(spark):
-    cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2000, 12, 31))
+    cal = _stored_calendar(spark)
     stg = read_staging(spark, _stored_staging(spark))
     joined = _plan(build_daily(stg, cal))
     assert joined.count("Exchange hashpartitioning") == 2
@@ -76,19 +83,35 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<total_units_ty:double>" in plan
 
 
-def test_broadcast_only_below_proven_bound(spark):
-    from shelfroll.operators.joins import maybe_broadcast
-
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_calendar_broadcast_follows_the_planner(spark):
+    cal = _stored_calendar(spark)
+    stg = read_staging(spark, _stored_staging(spark))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        under = big.join(maybe_broadcast(small, max_rows=10), "k")
-        over = big.join(maybe_broadcast(small, max_rows=9), "k")
-        assert "BroadcastHashJoin" in _plan(under)
-        assert "BroadcastHashJoin" not in _plan(over) and "SortMergeJoin" in _plan(over)
-        assert under.count() == over.count() == 10
+        df = build_daily(stg, cal)
+        assert "BroadcastHashJoin" not in _plan(df)  # a calendar beyond the threshold is shuffled
+        assert df.count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_null_keys_are_salted_in_every_outer_join(spark):
+    stg = read_staging(spark, _stored_staging(spark))
+    cal = _stored_calendar(spark)
+    for df in (ly_bridge_full(stg), build_daily_chained(stg, cal), build_daily(stg, cal)):
+        outer = [line for line in _plan(df).splitlines() if "FullOuter" in line]
+        assert outer and all("_null_key_salt" in line for line in outer)
+
+
+def test_partition_listing_reads_no_file(spark):
+    df = partition_list(spark, _stored_staging(spark))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "parquet" not in plan.lower().replace("*.parquet", "")
+    assert {(r[S.VENDOR], r[S.PERIOD]) for r in df.collect()} == {(1, p) for p in (19990106, 19990107, 20000105, 20000106)}
+
+
+def test_month_slice_is_a_partition_filter(spark):
+    import __spark_entry__ as entry
+
+    plan = _plan(entry.queries()["daily_period_slice"](spark, "/root/testdata/sf0.001"))
+    assert "Join" not in plan and "PartitionFilters: [period_key" in plan

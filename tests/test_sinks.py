@@ -101,3 +101,42 @@ def test_bad_mode_rejected(spark):
     except ValueError:
         return
     raise AssertionError("append mode must be rejected")
+
+
+def test_an_append_writer_fails_the_upsert_query(spark, monkeypatch):
+    """The registered upsert query must not pass for a writer that appends."""
+    from shelfroll.plans import queries as Q
+
+    path = tempfile.mkdtemp(prefix="sinks-") + "/stg"
+    df = _stg(spark)
+    monkeypatch.setattr(Q, "scratch_path", lambda *_: path)
+    in_year = F.lit(True)
+    good = Q._upsert_round_trip(spark, df, sinks.write_staging, read_staging, "total_units_ty", in_year)
+    assert _rows(good) == _rows(df.select(*S.STAGING_COLUMNS))
+
+    def append(frame, where, mode):
+        frame.select(*S.STAGING_COLUMNS).write.partitionBy(*S.DAILY_PARTITIONS).mode("overwrite" if mode == "full" else "append").parquet(where)
+
+    bad = Q._upsert_round_trip(spark, df, append, read_staging, "total_units_ty", in_year)
+    assert _rows(bad) != _rows(df.select(*S.STAGING_COLUMNS))
+
+
+def test_replace_scope_removes_what_the_frame_lacks(spark):
+    path = tempfile.mkdtemp(prefix="sinks-") + "/stg"
+    sinks.write_staging(_stg(spark), path, "full")
+    part = _stg(spark).where((F.col(S.VENDOR) == 1) & (F.col(S.PERIOD) == 20000103)).select(*S.STAGING_COLUMNS)
+    scope = sinks.vendor_scope([1]) & (F.col(S.PERIOD) <= 20000104)
+    assert sinks.replace_scope(part, path, S.DAILY_PARTITIONS, scope) == [(1, 20000104)]
+    left = {(r[S.VENDOR], r[S.PERIOD]) for r in read_staging(spark, path).collect()}
+    assert left == {(1, 20000103), (1, 20000105), (2, 20000103), (2, 20000104), (2, 20000105)}
+
+
+def test_writers_refuse_to_run_without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.write_partitioned(_stg(spark), "/nonexistent/x", S.DAILY_PARTITIONS, "full")
+    except ValueError:
+        return
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    raise AssertionError("a rebalance that can't split must be rejected")

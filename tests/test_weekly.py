@@ -83,6 +83,22 @@ def test_one_aggregate_equals_join_forms_on_random_data(spark):
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
 
 
+def test_null_keys_are_groups_of_their_own_in_every_form(spark):
+    rows = [
+        {S.ITEM: None, "period_key": 20000103, "rs_inventory_ty": 5, "rs_inventory_ly": 2, "retail_on_hand_ty": 1},
+        {S.ITEM: None, "period_key": 20000105, "rs_inventory_ty": 0, "rs_inventory_ly": 9},
+        {S.ITEM: 1, "period_key": 20000103, "rs_inventory_ty": 7},
+    ]
+    daily = _daily(spark, rows)
+    a = build_weekly(daily)
+    got = {r[S.ITEM]: (r["rs_inventory_ty"], r["rs_inventory_ly"]) for r in a.collect()}
+    assert got == {None: (5.0, 2.0), 1: (7.0, 0.0)}
+    for other in (build_weekly_joined(daily), build_weekly_joined(daily, selfjoin=True)):
+        assert a.exceptAll(other).count() == 0 and other.exceptAll(a).count() == 0
+    x, y = last_nonempty(daily, "rs_inventory"), last_nonempty_selfjoin(daily, "rs_inventory")
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0 and x.count() == 2
+
+
 def test_widen_to_weeks(spark):
     cal = make_calendar(spark, dt.date(2000, 1, 1), dt.date(2000, 2, 29))
     # 2000-01-05 (Wed) .. 2000-01-12 (Wed) -> Sun 2000-01-02 .. Sat 2000-01-15
