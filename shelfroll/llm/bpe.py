@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 
 from .common import blocks, id_and_text, worker_cache
 
-MEMO = 200_000
-BLOCK_BYTES = 4 << 20
+MEMO = 60_000
+BLOCK_BYTES = 2 << 20
 
 #: Fixed values of the tokenizer: Unicode white space, and the pattern that cuts normalised text into pieces.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -11,7 +11,7 @@
    the best partner outside its component, then all pairs of different components that agree well are sent. Pairs
    inside one component need no test, as they can't join components.
 5. Whatever is sent is confirmed on the full sets. Components: alternating large-star and small-star until the edges
-   stay the same; between the steps two rounds do, since labels that are not final yet only cause more tests.
+   stay the same.
 
 Full sets are made again from the texts of the documents that stand for a node of a pair; a bit table of their ids (16
 bits an id, at most ``FILTER_BITS`` bits in all) keeps the other documents out. False positives of the table are dropped
@@ -35,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, words_of
@@ -211,8 +210,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, p
     """Pairs (a, b), read from a table, with 100 * intersection >= percent * union on the full sets."""
     sets = _sets(docs, _ids_of(pairs), 2 * pairs.count(), reps, width)
     # pairs whose second node has the same smallest partner go together; a large gathering is cut into blocks of nodes
-    near = pairs.select("a", "b", F.min("a").over(W.partitionBy("b")).alias("g"))
-    near = near.withColumn("k", F.ceil(F.sqrt(F.count("*").over(W.partitionBy("g"))) / BLOCK).cast("int"))
+    near = pairs.select("a", "b").join(pairs.groupBy("b").agg(F.min("a").alias("g")), "b")
+    near = near.join(near.groupBy("g").agg(F.ceil(F.sqrt(F.count("*")) / BLOCK).cast("int").alias("k")), "g")
     own = lambda c: F.pmod(F.xxhash64(c, "g"), F.col("k")).cast("int")
     dealt = stored(near.select("g", own("a").alias("x"), own("b").alias("y"), "a", "b"), "dealt")
     order = ["g", "x", "y"]
@@ -250,16 +249,15 @@ def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(merged) - common)
 
 
-def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(id, comp) of every node of ``edges`` (a, b): comp is the smallest id reachable; with ``rounds`` the process is
-    cut short, and comp is some node of the same component.
+def components(edges: DataFrame) -> DataFrame:
+    """(id, comp) of every node of ``edges`` (a, b): comp is the smallest id reachable.
 
     Alternating large-star and small-star; each round is written to the shared folder, so a lost executor costs one
     round at most, and only a count and a checksum come to the driver.
     """
     now = nodes = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
-    mark, done = None, 0
-    while rounds is None or done < rounds:
+    mark = None
+    while True:
         # large star: every node sends its larger neighbours to the smallest of its neighbours and itself
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m"))
@@ -270,7 +268,6 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
         small = small.union(low.select("u", F.col("m").alias("v"))).distinct()
         seen = Observation("edges")
         now = stored(small.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("s")), "edges")
-        done += 1
         after = _observed(seen)
         if mark == after:
             break
@@ -369,7 +366,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = shared.groupBy("id").agg(F.min("centre").alias("a")).where("a <> id").select("a", F.col("id").alias("b"))
     close = stored(_agreement(stored(first, "pairs"), reps, least), "pairs")
     links = stored(_confirmed(close, docs, reps, width, percent), "links")
-    comp = stored(components(links, rounds=2), "components")
+    comp = stored(components(links), "components")
 
     # buckets that hold several components, searched whole
     n_nodes = reps.count()
@@ -381,7 +378,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         pairs = stored(_block_pairs(members.join(sigs, "id"), least, percent, best), "pairs")
         more = _confirmed(pairs, docs, reps, width, percent)
         links = stored(links.union(more), "links")
-        comp = stored(components(links, rounds=2 if best else None), "components")
+        comp = stored(components(links), "components")
 
     # back to documents: every node's component, every component's smallest doc_id
     of_node = reps.select("id", "doc_id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))

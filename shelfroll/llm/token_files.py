@@ -39,6 +39,7 @@ END_ID = 1
 FILE_IDS = 12_000_000
 SAMPLE = 256
 BLOCK_BYTES = 4 << 20
+MEMO = 200_000  # chunks remembered: their entries are a few bytes here
 
 
 # ---- Elias-Fano ---------------------------------------------------------------------------------------------------
@@ -165,7 +166,7 @@ def _library_encoder(path: str) -> tuple[Encoder, int]:
         return out
 
     special = {s: own[i] for s, i in vocab["special"].items()}
-    return Encoder(path, entries, special, b"".join), width
+    return Encoder(path, entries, special, b"".join, memo=MEMO), width
 
 
 def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> list[dict]:
