@@ -7,16 +7,16 @@
    1e-7.
 3. First links: every node is compared with one centre, the smallest node of all its buckets. Components follow.
 4. Buckets that still hold several components are searched whole, in blocks of ``BLOCK`` members against each other:
-   signatures are compared inside the task, and a pair leaves it at its first shared band only. First each node sends
-   the best partner outside its component, then all pairs of different components that agree well are sent. Pairs
-   inside one component need no test, as they can't join components.
+   signatures are compared inside the task, and a pair leaves it at its first shared band only. While that joins many
+   components, each node sends the best partner outside its own; then all pairs of different components that agree
+   well are sent. Pairs inside one component need no test, as they can't join components.
 5. Whatever is sent is confirmed on the full sets. Components: alternating large-star and small-star until the edges
    stay the same.
 
 Full sets are made again from the texts of the documents that stand for a node of a pair; a bit table of their ids (16
 bits an id, at most ``FILTER_BITS`` bits in all) keeps the other documents out. False positives of the table are dropped
-by the join, so it never changes a result. Pairs that lie close together are confirmed together (pieces of about
-``BLOCK`` nodes a side), so a set travels once for each piece and not once for each pair.
+by the join, so it never changes a result. Pairs are confirmed by the piece of a bucket that sent them (``BLOCK`` members
+a side), so a set travels once for each piece and not once for each pair.
 
 Links are exact except for the bands' and the signature test's miss probability (agreement below ``percent`` less four
 standard errors). Hot buckets: a bucket with m distinct sets in several components costs m * m / BLOCK rows moved and
@@ -40,8 +40,11 @@ from pyspark.sql import functions as F
 from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, words_of
 
 HASHES, BANDS, ROWS = 256, 32, 4
+MERGING = 5  # best partners are sent again while one in so many is a link
 SEED = 20_240_601
 BLOCK = 512
+PIECE = ("bucket", "x", "y")  # a bucket's members cut into blocks, and two of the blocks
+PAIRS = "bucket long, x int, y int, a long, b long"
 BLOCK_BYTES = 1 << 20
 FILTER_BITS = 1 << 28
 
@@ -142,11 +145,11 @@ def _bands(reps: DataFrame) -> DataFrame:
 
 def _ids_of(pairs: DataFrame) -> DataFrame:
     """Nodes of the pairs, with repeats."""
-    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
 
 
 def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b), read from a table, whose signatures agree in ``least`` places."""
+    """Pairs (*PIECE, a, b), read from a table, whose signatures agree in ``least`` places."""
     sigs = _only(reps.select("id", "sig"), _ids_of(pairs), 2 * pairs.count())
     joined = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(
         sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b"
@@ -155,9 +158,9 @@ def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             ok = pa.array((_read_signatures(x.column("sa")) == _read_signatures(x.column("sb"))).sum(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], names=["a", "b"])
+            yield x.select([*PIECE, "a", "b"]).filter(ok)
 
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return joined.select(*PIECE, "a", "b", "sa", "sb").mapInArrow(run, PAIRS)
 
 
 def _bit_table(ids: DataFrame, column: str, n: int) -> tuple[np.ndarray, int]:
@@ -207,25 +210,19 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int, reps: DataFrame, width: int)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b), read from a table, with 100 * intersection >= percent * union on the full sets."""
+    """Pairs (a, b) of ``pairs`` (*PIECE, a, b), read from a table, with 100 * intersection >= percent * union."""
     sets = _sets(docs, _ids_of(pairs), 2 * pairs.count(), reps, width)
-    # pairs whose second node has the same smallest partner go together; a large gathering is cut into blocks of nodes
-    near = pairs.select("a", "b").join(pairs.groupBy("b").agg(F.min("a").alias("g")), "b")
-    near = near.join(near.groupBy("g").agg(F.ceil(F.sqrt(F.count("*")) / BLOCK).cast("int").alias("k")), "g")
-    own = lambda c: F.pmod(F.xxhash64(c, "g"), F.col("k")).cast("int")
-    dealt = stored(near.select("g", own("a").alias("x"), own("b").alias("y"), "a", "b"), "dealt")
-    order = ["g", "x", "y"]
-    needs = dealt.select(*order, F.explode(F.array("a", "b")).alias("id")).distinct()
+    needs = pairs.select(*PIECE, F.col("a").alias("id")).union(pairs.select(*PIECE, "b")).distinct()
     none = F.lit(None).cast("binary").alias("set")
-    rows = needs.join(sets, "id").select(*order, F.lit(0).alias("kind"), F.col("id").alias("a"), F.col("id").alias("b"), "set")
-    rows = rows.union(dealt.select(*order, F.lit(1), "a", "b", none))
+    rows = needs.join(sets, "id").select(*PIECE, F.lit(0).alias("kind"), F.col("id").alias("a"), F.col("id").alias("b"), "set")
+    rows = rows.union(pairs.select(*PIECE, F.lit(1), "a", "b", none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, held = None, {}
         pa.set_memory_pool(pa.system_memory_pool())
         for x in (batch.slice(lo, 500) for batch in batches for lo in range(0, batch.num_rows, 500)):
             a, b = [], []
-            columns = [x.column(c).to_pylist() for c in ("g", "x", "y", "kind", "a", "b", "set")]
+            columns = [x.column(c).to_pylist() for c in (*PIECE, "kind", "a", "b", "set")]
             for g, i, j, kind, p, q, data in zip(*columns, strict=True):
                 if piece != (g, i, j):
                     piece, held = (g, i, j), {}
@@ -236,7 +233,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, p
                     b.append(q)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.repartition(*order).sortWithinPartitions(*order, "kind").mapInArrow(run, "a long, b long")
+    return rows.repartition(*PIECE).sortWithinPartitions(*PIECE, "kind").mapInArrow(run, "a long, b long")
 
 
 def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
@@ -286,8 +283,8 @@ def _observed(seen: Observation) -> tuple:
 
 
 def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose signatures agree in ``least`` places, at their first
-    shared band; with ``best`` only each node's best partner.
+    """Pairs (*PIECE, a, b) of different components in one bucket whose signatures agree in ``least`` places, at their
+    first shared band; with ``best`` only each node's best partner.
 
     A bucket of m members is cut into ceil(m / BLOCK) blocks; each pair of blocks is a piece of work of its own.
     """
@@ -327,7 +324,8 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
             found = [*compare(held)] if held and len(held["id"]) > 1 else []
             if found:
                 a, b, agree = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b, "agree": agree.astype(np.int32)})
+                piece = {c: np.full(len(a), v, np.int64 if c == "bucket" else np.int32) for c, v in zip(PIECE, held["key"], strict=True)}
+                yield pa.RecordBatch.from_pydict({**piece, "a": a, "b": b, "agree": agree.astype(np.int32)})
 
         for batch in batches:
             cols = {c: batch.column(c).to_pylist() for c in ("bucket", "x", "y", *columns)}
@@ -339,13 +337,11 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
                     held[c].append(cols[c][i])
         yield from close()
 
-    order = ["bucket", "x", "y"]
-    found = dealt.repartition(*order).sortWithinPartitions(*order, "id").mapInArrow(run, "a long, b long, agree int")
+    found = dealt.repartition(*PIECE).sortWithinPartitions(*PIECE, "id").mapInArrow(run, f"{PAIRS}, agree int")
     if not best:
-        return found.select("a", "b").distinct()
-    return found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
+        return found.drop("agree")
+    chosen = F.max_by(F.struct(*PIECE, "b"), F.struct("agree", "b")).alias("c")
+    return found.groupBy("a").agg(chosen).select(*(f"c.{c}" for c in PIECE), "a", "c.b")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -363,22 +359,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = stored(buckets.join(sizes, "bucket"), "buckets")
 
     # one centre for each node
-    first = shared.groupBy("id").agg(F.min("centre").alias("a")).where("a <> id").select("a", F.col("id").alias("b"))
+    first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
+    part = F.pmod(F.xxhash64("id", "c.bucket"), F.ceil(F.col("c.m") / BLOCK)).cast("int")
+    first = first.select("c.bucket", part.alias("x"), F.lit(0).alias("y"), F.col("c.centre").alias("a"), F.col("id").alias("b"))
     close = stored(_agreement(stored(first, "pairs"), reps, least), "pairs")
     links = stored(_confirmed(close, docs, reps, width, percent), "links")
     comp = stored(components(links), "components")
 
     # buckets that hold several components, searched whole
     n_nodes = reps.count()
-    for best in (True, False):
+    best = True
+    while True:
         state = shared.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         mixed = state.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
         members = stored(state.join(mixed, "bucket").select("bucket", "m", "id", "comp"), "members")
         sigs = _only(reps.select("id", "n", "sig"), members.select("id"), min(members.count(), n_nodes))
         pairs = stored(_block_pairs(members.join(sigs, "id"), least, percent, best), "pairs")
-        more = _confirmed(pairs, docs, reps, width, percent)
-        links = stored(links.union(more), "links")
+        more = stored(_confirmed(pairs, docs, reps, width, percent), "links")
+        links = links.union(more)
         comp = stored(components(links), "components")
+        if not best:
+            break
+        best = MERGING * more.count() >= max(1, pairs.count())
 
     # back to documents: every node's component, every component's smallest doc_id
     of_node = reps.select("id", "doc_id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
