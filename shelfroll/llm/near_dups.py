@@ -7,9 +7,10 @@
    1e-7.
 3. First links: every node is compared with one centre, the smallest node of all its buckets. Components follow.
 4. Buckets that still hold several components are searched whole, in blocks of ``BLOCK`` members against each other:
-   signatures are compared inside the task, and a pair leaves it at its first shared band only. While that joins many
-   components, each node sends the best partner outside its own; then all pairs of different components that agree
-   well are sent. Pairs inside one component need no test, as they can't join components.
+   signatures are compared inside the task. While that joins many components, each node sends the best partner outside
+   its own (in the buckets of ``BEST_BANDS`` bands); then all pairs of different components that agree well are sent,
+   each at its first shared band, as one list of partners for each node. Pairs inside one component need no test, as
+   they can't join components.
 5. Whatever is sent is confirmed on the full sets. Components: alternating large-star and small-star until the edges
    stay the same.
 
@@ -40,11 +41,13 @@ from pyspark.sql import functions as F
 from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, words_of
 
 HASHES, BANDS, ROWS = 256, 32, 4
-MERGING = 5  # best partners are sent again while one in so many is a link
+BEST_BANDS = 8  # bands in which best partners are looked for
+MERGING = 2  # best partners are sent again while one in so many is a link
 SEED = 20_240_601
 BLOCK = 512
 PIECE = ("bucket", "x", "y")  # a bucket's members cut into blocks, and two of the blocks
-PAIRS = "bucket long, x int, y int, a long, b long"
+#: A node of a piece and the partners it is to be tested with; a node without partners is needed as a partner.
+LISTS = "bucket long, x int, y int, a long, partners array<bigint>"
 BLOCK_BYTES = 1 << 20
 FILTER_BITS = 1 << 28
 
@@ -143,14 +146,17 @@ def _bands(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig").mapInArrow(run, "bucket long, id long")
 
 
-def _ids_of(pairs: DataFrame) -> DataFrame:
-    """Nodes of the pairs, with repeats."""
-    return pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+def _lists(pairs: DataFrame) -> DataFrame:
+    """Pairs (*PIECE, a, b) as rows of LISTS, one for each node of a piece (which holds about BLOCK nodes a side)."""
+    own = pairs.select(*PIECE, "a", F.array("b").alias("partners"))
+    every = own.union(pairs.select(*PIECE, F.col("b").alias("a"), F.expr("cast(array() AS array<bigint>)").alias("partners")))
+    return every.groupBy(*PIECE, "a").agg(F.flatten(F.collect_list("partners")).alias("partners"))
 
 
 def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     """Pairs (*PIECE, a, b), read from a table, whose signatures agree in ``least`` places."""
-    sigs = _only(reps.select("id", "sig"), _ids_of(pairs), 2 * pairs.count())
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    sigs = _only(reps.select("id", "sig"), ids, 2 * pairs.count())
     joined = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(
         sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b"
     )
@@ -160,7 +166,7 @@ def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
             ok = pa.array((_read_signatures(x.column("sa")) == _read_signatures(x.column("sb"))).sum(axis=1) >= least)
             yield x.select([*PIECE, "a", "b"]).filter(ok)
 
-    return joined.select(*PIECE, "a", "b", "sa", "sb").mapInArrow(run, PAIRS)
+    return joined.select(*PIECE, "a", "b", "sa", "sb").mapInArrow(run, "bucket long, x int, y int, a long, b long")
 
 
 def _bit_table(ids: DataFrame, column: str, n: int) -> tuple[np.ndarray, int]:
@@ -209,31 +215,32 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int, reps: DataFrame, width: int)
     return known.mapInArrow(run, "id long, set binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``pairs`` (*PIECE, a, b), read from a table, with 100 * intersection >= percent * union."""
-    sets = _sets(docs, _ids_of(pairs), 2 * pairs.count(), reps, width)
-    needs = pairs.select(*PIECE, F.col("a").alias("id")).union(pairs.select(*PIECE, "b")).distinct()
-    none = F.lit(None).cast("binary").alias("set")
-    rows = needs.join(sets, "id").select(*PIECE, F.lit(0).alias("kind"), F.col("id").alias("a"), F.col("id").alias("b"), "set")
-    rows = rows.union(pairs.select(*PIECE, F.lit(1), "a", "b", none))
+def _confirmed(lists: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a node and a partner of ``lists`` (LISTS, read from a table) with 100 * intersection >= percent *
+    union on the full sets."""
+    sets = _sets(docs, lists.select(F.col("a").alias("id")), lists.count(), reps, width)
+    rows = lists.join(sets.withColumnRenamed("id", "a"), "a").select(*PIECE, "a", "partners", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, held = None, {}
         pa.set_memory_pool(pa.system_memory_pool())
+        piece, held, wanted = None, {}, []
+
+        def close() -> pa.RecordBatch:
+            found = [(p, q) for p, partners in wanted for q in partners if _similar(held[p], held[q], percent)]
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
         for x in (batch.slice(lo, 500) for batch in batches for lo in range(0, batch.num_rows, 500)):
-            a, b = [], []
-            columns = [x.column(c).to_pylist() for c in (*PIECE, "kind", "a", "b", "set")]
-            for g, i, j, kind, p, q, data in zip(*columns, strict=True):
+            columns = [x.column(c).to_pylist() for c in (*PIECE, "a", "partners", "set")]
+            for g, i, j, p, partners, data in zip(*columns, strict=True):
                 if piece != (g, i, j):
-                    piece, held = (g, i, j), {}
-                if kind == 0:
-                    held[p] = np.frombuffer(data, np.uint64)
-                elif _similar(held[p], held[q], percent):
-                    a.append(p)
-                    b.append(q)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    yield close()
+                    piece, held, wanted = (g, i, j), {}, []
+                held[p] = np.frombuffer(data, np.uint64)
+                if partners:
+                    wanted.append((p, partners))
+        yield close()
 
-    return rows.repartition(*PIECE).sortWithinPartitions(*PIECE, "kind").mapInArrow(run, "a long, b long")
+    return rows.repartition(*PIECE).sortWithinPartitions(*PIECE).mapInArrow(run, "a long, b long")
 
 
 def _similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
@@ -283,8 +290,8 @@ def _observed(seen: Observation) -> tuple:
 
 
 def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> DataFrame:
-    """Pairs (*PIECE, a, b) of different components in one bucket whose signatures agree in ``least`` places, at their
-    first shared band; with ``best`` only each node's best partner.
+    """Rows of LISTS: pairs of different components in one bucket whose signatures agree in ``least`` places, at their
+    first shared band; with ``best`` only each node's best partner, in the first bands.
 
     A bucket of m members is cut into ceil(m / BLOCK) blocks; each pair of blocks is a piece of work of its own.
     """
@@ -296,12 +303,14 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
     )
     columns = ("own", "id", "comp", "n", "sig")
 
-    def compare(run: dict) -> Iterator[tuple[np.ndarray, ...]]:
+    def compare(run: dict) -> Iterator[tuple[int, np.ndarray, int]]:
         bucket, x, y = run["key"]
         own, ids, comp, n = (np.array(run[c], np.int64) for c in columns[:4])
         sig = np.frombuffer(b"".join(run["sig"]), "<u2").reshape(-1, HASHES)
         band = int(np.flatnonzero(band_keys(sig[:1])[0] == bucket)[0])
         rows = sig[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+        if best and band >= BEST_BANDS:
+            return
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
         for i in (np.union1d(left, right) if best else left).tolist():
             others = (right if own[i] == x else left) if best or x != y else right[right > i]
@@ -315,7 +324,7 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
                 ok[np.flatnonzero(ok)[earlier]] = False
             if ok.any():
                 chosen = others[[int(np.where(ok, agree, -1).argmax())]] if best else others[ok]
-                yield np.full(len(chosen), ids[i]), ids[chosen], agree[ok].max(keepdims=True) if best else agree[ok]
+                yield int(ids[i]), ids[chosen], int(agree[ok].max())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
@@ -323,9 +332,12 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
         def close() -> Iterator[pa.RecordBatch]:
             found = [*compare(held)] if held and len(held["id"]) > 1 else []
             if found:
-                a, b, agree = (np.concatenate(c) for c in zip(*found, strict=True))
-                piece = {c: np.full(len(a), v, np.int64 if c == "bucket" else np.int32) for c, v in zip(PIECE, held["key"], strict=True)}
-                yield pa.RecordBatch.from_pydict({**piece, "a": a, "b": b, "agree": agree.astype(np.int32)})
+                nodes, partners, agree = [f[0] for f in found], [f[1] for f in found], [f[2] for f in found]
+                if not best:  # partners that have no list of their own are needed all the same
+                    more = sorted({*np.concatenate(partners).tolist()} - {*nodes})
+                    nodes, partners, agree = [*nodes, *more], [*partners, *[None] * len(more)], [*agree, *[0] * len(more)]
+                piece = {c: np.full(len(nodes), v, np.int64 if c == "bucket" else np.int32) for c, v in zip(PIECE, held["key"], strict=True)}
+                yield pa.RecordBatch.from_pydict({**piece, "a": nodes, "partners": pa.array(partners, pa.list_(pa.int64())), "agree": pa.array(agree, pa.int32())})
 
         for batch in batches:
             cols = {c: batch.column(c).to_pylist() for c in ("bucket", "x", "y", *columns)}
@@ -337,11 +349,11 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
                     held[c].append(cols[c][i])
         yield from close()
 
-    found = dealt.repartition(*PIECE).sortWithinPartitions(*PIECE, "id").mapInArrow(run, f"{PAIRS}, agree int")
+    found = dealt.repartition(*PIECE).sortWithinPartitions(*PIECE, "id").mapInArrow(run, f"{LISTS}, agree int")
     if not best:
         return found.drop("agree")
-    chosen = F.max_by(F.struct(*PIECE, "b"), F.struct("agree", "b")).alias("c")
-    return found.groupBy("a").agg(chosen).select(*(f"c.{c}" for c in PIECE), "a", "c.b")
+    chosen = F.max_by(F.struct(*PIECE, "partners"), F.struct("agree", "partners")).alias("c")
+    return _lists(found.groupBy("a").agg(chosen).select(*(f"c.{c}" for c in PIECE), "a", F.col("c.partners")[0].alias("b")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -362,7 +374,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
     part = F.pmod(F.xxhash64("id", "c.bucket"), F.ceil(F.col("c.m") / BLOCK)).cast("int")
     first = first.select("c.bucket", part.alias("x"), F.lit(0).alias("y"), F.col("c.centre").alias("a"), F.col("id").alias("b"))
-    close = stored(_agreement(stored(first, "pairs"), reps, least), "pairs")
+    close = stored(_lists(_agreement(stored(first, "pairs"), reps, least)), "pairs")
     links = stored(_confirmed(close, docs, reps, width, percent), "links")
     comp = stored(components(links), "components")
 
@@ -380,7 +392,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         comp = stored(components(links), "components")
         if not best:
             break
-        best = MERGING * more.count() >= max(1, pairs.count())
+        tested = pairs.agg(F.sum(F.size("partners"))).first()[0] or 0
+        best = MERGING * more.count() >= max(1, tested)
 
     # back to documents: every node's component, every component's smallest doc_id
     of_node = reps.select("id", "doc_id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
