@@ -352,8 +352,9 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
     found = dealt.repartition(*PIECE).sortWithinPartitions(*PIECE, "id").mapInArrow(run, f"{LISTS}, agree int")
     if not best:
         return found.drop("agree")
-    chosen = F.max_by(F.struct(*PIECE, "partners"), F.struct("agree", "partners")).alias("c")
-    return _lists(found.groupBy("a").agg(chosen).select(*(f"c.{c}" for c in PIECE), "a", F.col("c.partners")[0].alias("b")))
+    chosen = F.max_by(F.struct(*PIECE, "partners"), F.struct("agree", "partners", *PIECE)).alias("c")
+    sent = found.groupBy("a").agg(chosen).select(*(f"c.{c}" for c in PIECE), "a", F.col("c.partners")[0].alias("b"))
+    return _lists(stored(sent, "best"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -374,7 +375,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
     part = F.pmod(F.xxhash64("id", "c.bucket"), F.ceil(F.col("c.m") / BLOCK)).cast("int")
     first = first.select("c.bucket", part.alias("x"), F.lit(0).alias("y"), F.col("c.centre").alias("a"), F.col("id").alias("b"))
-    close = stored(_lists(_agreement(stored(first, "pairs"), reps, least)), "pairs")
+    close = stored(_lists(stored(_agreement(stored(first, "pairs"), reps, least), "pairs")), "pairs")
     links = stored(_confirmed(close, docs, reps, width, percent), "links")
     comp = stored(components(links), "components")
 
