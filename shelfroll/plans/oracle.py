@@ -138,14 +138,24 @@ def with_daily_range(lo: int, hi: int, select: str) -> str:
     return f"WITH {base_ctes()},\n{staging_units_cte()},\n{daily_units_cte(lo, hi)}\n{select}"
 
 
-def with_daily_weeks(lo: int, hi: int, select: str) -> str:
-    """Any SELECT over daily rows whose day lies in a calendar week that touches [lo, hi]."""
+def with_daily_weeks(lo: int, hi: int, select: str, facts: bool = False) -> str:
+    """Any SELECT over daily rows whose day lies in a calendar week that touches [lo, hi]; with ``facts`` only facts of
+    [lo, hi] count."""
     weeks = f"SELECT DISTINCT week_ended FROM cal WHERE period_key BETWEEN {lo} AND {hi}"
     days = f"SELECT period_key FROM cal WHERE week_ended IN ({weeks})"
     narrowed = daily_units_cte().replace("FROM stg t FULL", f"FROM (SELECT * FROM stg WHERE period_key IN ({days})) t FULL").replace(
         "JOIN calw w ON", f"JOIN (SELECT * FROM calw WHERE period_key IN ({days})) w ON"
     )
-    return f"WITH {base_ctes()},\n{staging_units_cte()},\n{narrowed}\n{select}"
+    base = base_ctes()
+    if facts:
+        base = base.replace(f"fact AS ({FACT_SQL})", f"fact AS (SELECT * FROM ({FACT_SQL}) WHERE period_key BETWEEN {lo} AND {hi})")
+    return f"WITH {base},\n{staging_units_cte()},\n{narrowed}\n{select}"
+
+
+def weekly_weeks_sql(lo: int, hi: int) -> str:
+    """Weekly rows of the calendar weeks that touch [lo, hi]."""
+    cols = ", ".join(list(S.WEEK_KEYS) + [metric_out(c, weekly=True) for c in S.FINAL_METRICS] + ["week_ended AS x_week_ended"])
+    return with_weekly(f"SELECT {cols} FROM wk WHERE week_ended IN (SELECT week_ended FROM cal WHERE period_key BETWEEN {lo} AND {hi})")
 
 
 def job_log_sql(bounds: tuple[int, int], clock) -> str:

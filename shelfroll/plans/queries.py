@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import dates as D
 from ..functions import strings as STR
-from ..operators.calendar import calendar_alias, calendar_window, period_between
+from ..operators.calendar import calendar_alias, calendar_window, period_between, week_bounds
 from ..operators.compare import (
     build_daily,
     key_fallback,
@@ -219,6 +219,8 @@ JOB_RANGE = (19950101, 20021231)
 #: what the refresh and incremental jobs are run for
 REFRESH_RANGE = (20000101, 20001231)
 CHANGED_RANGE = (19990104, 19990110)
+LOAD_RANGE = (19990101, 20001231)
+MENDED_RANGE = (20000101, 20011222)
 _JOB_CLOCK = dt.datetime(2001, 12, 31, 6, 0, 0)
 
 
@@ -270,48 +272,50 @@ def job_full_load(spark: SparkSession, sf: str) -> DataFrame:
     return read_weekly(spark, params.weekly_path)
 
 
-@query("job_incremental_load", O.daily_sql())
+@query("job_incremental_load", O.with_daily_weeks(*LOAD_RANGE, _daily_units_select(DAILY_COLS), facts=True))
 def job_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    """FL over facts with one week of vendor 1 wrong, the true facts put in, IL for that week and vendor; daily read back.
-
-    The week's own days and the days a year later that use them as last year
-    must both follow; everything else must stay.
-    """
-    true = read_fact(spark, stored(spark, sf, "fact"))
+    """FL of two years with one week of vendor 1 wrong, the true facts put in, IL for that week and vendor; daily read
+    back. The week's own days and the days a year later that use them must both follow; everything else must stay."""
+    true = read_fact(spark, stored(spark, sf, "fact"), None, *LOAD_RANGE)
     slice_ = F.col(S.PERIOD).between(*CHANGED_RANGE) & (F.col(S.VENDOR) == 1)
     fact = f"{scratch_path(spark, 'fact')}/{RETAILER}/{SUBJECT}/"
-    sinks.write_partitioned(
-        true.withColumn("total_units", F.when(slice_, F.col("total_units") + 7.0).otherwise(F.col("total_units"))), fact, S.DAILY_PARTITIONS, "full"
-    )
-    params = _run(spark, _job(spark, sf, "FL", fact=fact))
+    wrong = true.withColumn("total_units", F.when(slice_, F.col("total_units") + 7.0).otherwise(F.col("total_units")))
+    sinks.write_partitioned(wrong, fact, S.DAILY_PARTITIONS, "full")
+    params = _run(spark, _job(spark, sf, "FL", LOAD_RANGE, fact=fact))
     sinks.write_partitioned(true.where(slice_), fact, S.DAILY_PARTITIONS, "upsert")
     _run(spark, _job(spark, sf, "IL", CHANGED_RANGE, (1,), fact, params.aggregate_base_uri))
     return read_daily(spark, params.daily_path)
 
 
-def _copy_staging(spark: SparkSession, sf: str, params: JobParams) -> None:
-    sinks.write_staging(read_staging(spark, stored(spark, sf, "staging")), params.staging_path, "full")
+def _copy_staging(spark: SparkSession, sf: str, params: JobParams, start: int, end: int) -> None:
+    sinks.write_staging(read_staging(spark, stored(spark, sf, "staging"), start, end), params.staging_path, "full")
 
 
 @query("job_full_refresh", O.with_daily_weeks(*REFRESH_RANGE, _daily_units_select(DAILY_COLS)))
 def job_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """FR for one year over stored staging: daily holds the whole weeks of that year; read back."""
+    """FR for one year over stored staging of that year and the one before: daily holds the year's whole weeks."""
     params = _job(spark, sf, "FR", REFRESH_RANGE)
-    _copy_staging(spark, sf, params)
+    _copy_staging(spark, sf, params, 19981201, 20010131)
     _run(spark, params)
     return read_daily(spark, params.daily_path)
 
 
-@query("job_incremental_refresh", O.weekly_sql())
+@query("job_incremental_refresh", O.weekly_weeks_sql(*MENDED_RANGE))
 def job_incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored daily and weekly with one vendor's year wrong, mended by an IR from staging; weekly read back."""
-    params = _job(spark, sf, "IR", REFRESH_RANGE, (1,))
-    _copy_staging(spark, sf, params)
-    year = REFRESH_RANGE[0] // 10000
-    daily, weekly = read_daily(spark, stored(spark, sf, "daily")), read_weekly(spark, stored(spark, sf, "weekly"))
-    wrong = lambda df, own: df.withColumn("lost_units_ty", F.when(own & (F.col(S.VENDOR) == 1), -1.0).otherwise(F.col("lost_units_ty")))
-    sinks.write_daily(wrong(daily, F.col(S.PERIOD).between(*REFRESH_RANGE)), params.daily_path, "full")
-    sinks.write_weekly(wrong(weekly, F.year(S.WEEK_ENDED) == year), params.weekly_path, "full")
+    """Stored daily and weekly of two years with one quarter of vendor 1 wrong, mended by an IR from staging; weekly
+    read back."""
+    params = _job(spark, sf, "IR", (20000101, 20000331), (1,))
+    _copy_staging(spark, sf, params, 19981201, MENDED_RANGE[1])
+    daily = read_daily(spark, stored(spark, sf, "daily"), 19991226, MENDED_RANGE[1])
+    first, last = week_bounds(pipeline.calendar(spark, sf), *MENDED_RANGE)
+    weekly = read_weekly(spark, stored(spark, sf, "weekly"), first, last)
+
+    def wrong(df: DataFrame, own) -> DataFrame:
+        bad = own & (F.col(S.VENDOR) == 1)
+        return df.withColumn("lost_units_ty", F.when(bad, -1.0).otherwise(F.col("lost_units_ty")))
+
+    sinks.write_daily(wrong(daily, F.col(S.PERIOD).between(20000101, 20000331)), params.daily_path, "full")
+    sinks.write_weekly(wrong(weekly, F.col(S.WEEK_ENDED).between("2000-01-01", "2000-04-01")), params.weekly_path, "full")
     _run(spark, params)
     return read_weekly(spark, params.weekly_path)
 

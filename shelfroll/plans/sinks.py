@@ -51,9 +51,12 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
 
 def _scoped(spark: SparkSession, path: str, cols: list[str], scope: Column) -> dict[tuple, int]:
     """Partitions of the scope with their file checksums; one row per directory comes to the driver."""
-    if not storage.exists(spark, path) or not spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").limit(1).count():
+    if not storage.exists(spark, path):
         return {}
-    rows = storage.partition_files(spark, path, cols).where(scope).toLocalIterator()
+    files = storage.data_files(spark, path)
+    if not set(cols) <= set(files.columns):  # no file yet
+        return {}
+    rows = storage.partition_files(files, cols).where(scope).collect()
     return {tuple(r[c] for c in cols): r["files"] for r in rows}
 
 

@@ -57,7 +57,7 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
     return files.drop("content", "modificationTime")
 
 
-def partition_files(spark: SparkSession, path: str, cols: list[str]) -> DataFrame:
-    """Partition values of a hive-style dataset with a checksum over the names of their files."""
+def partition_files(files: DataFrame, cols: list[str]) -> DataFrame:
+    """Partition values of listed files with a checksum over the names of each partition's files."""
     name = F.substring_index("path", "/", -1)
-    return data_files(spark, path).groupBy(*cols).agg(F.bit_xor(F.xxhash64(name)).alias("files"))
+    return files.groupBy(*cols).agg(F.bit_xor(F.xxhash64(name)).alias("files"))
