@@ -1,0 +1,32 @@
+"""The registered job queries work on, and are compared over, the whole tables."""
+
+from __future__ import annotations
+
+from unittest.mock import MagicMock
+
+import pytest
+
+from shelfroll.plans import oracle as O
+from shelfroll.plans import queries as Q
+
+
+@pytest.mark.parametrize("name, sql", [("job_incremental_load", O.daily_sql()), ("job_incremental_refresh", O.weekly_sql())])
+def test_oracle_holds_the_whole_table(name, sql):
+    assert Q.REGISTRY[name][1] == sql
+
+
+@pytest.mark.parametrize("name", ["job_incremental_load", "job_full_refresh", "job_incremental_refresh"])
+def test_inputs_are_whole(spark, monkeypatch, name):
+    readers = {r: MagicMock() for r in ("read_fact", "read_staging", "read_daily", "read_weekly")}
+    for r, fake in readers.items():
+        monkeypatch.setattr(Q, r, fake)
+    monkeypatch.setattr(Q, "stored", lambda *a: f"/x/{Q.RETAILER}/{Q.SUBJECT}")
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, kind: f"/x/{kind}")
+    monkeypatch.setattr(Q, "sinks", MagicMock())
+    monkeypatch.setattr(Q, "pipeline", MagicMock())
+    ran = []
+    monkeypatch.setattr(Q, "_run", lambda spark, params: ran.append(params) or params)
+    Q.REGISTRY[name][0](spark, "/x")
+    assert all(len(c.args) == 2 and not c.kwargs for fake in readers.values() for c in fake.call_args_list)
+    loads = [(p.start, p.end) for p in ran if p.load_type == "FL"]
+    assert all(bounds == Q.JOB_RANGE for bounds in loads)
