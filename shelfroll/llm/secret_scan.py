@@ -2,9 +2,11 @@
 
 The base patterns find passwords, access keys and long hexadecimal runs. Beyond them every text is read as source or
 configuration: each ``name = value``, ``name: value``, ``name := value`` or ``name => value`` whose value is a quoted
-literal, a bare literal, a concatenation with ``+`` or another name becomes a (name, literal) pair. Constants are
+literal, a bare literal, a concatenation with ``+`` or another name becomes a (name, literal) pair; in ``name: type =``
+and ``name type =`` the name before the type is bound too. Constants are
 propagated: a name on the right-hand side stands for the literal last bound to it above. A literal is scored by how
-sensitive the target name is and by how random the literal looks; at ``THRESHOLD`` and above its span is reported as
+sensitive the target name is and by how random the literal looks (a quoted literal with blanks counts without them, for
+names of weight ``STRONG`` and more); at ``THRESHOLD`` and above its span is reported as
 kind ``literal`` (for a propagated constant the span of the literal itself, once).
 
 Edge cases: a null text counts as empty; spans are in code points, end exclusive; equal spans of one kind are
@@ -26,6 +28,7 @@ from .common import id_and_text
 
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.6
+STRONG = 0.9
 
 #: The base patterns. Letters of the first match in either case, ASCII only.
 ASSIGN = re.compile(
@@ -44,6 +47,12 @@ SENSITIVE = {
 
 OPERATOR = re.compile(r"[:=]")
 TARGET = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]{0,127})["'\]]{0,2}[ \t]{0,8}$""", re.ASCII)
+#: A type after a name: words, with brackets, alternatives, references. No digits, so that a value isn't taken for one.
+_WORD = r"(?:[&*]|\[\]|'[a-z]+[ \t]|mut[ \t]){0,4}[A-Za-z_]{1,64}(?:(?:\.|::)[A-Za-z_]{1,64}){0,6}(?:[\[<][^\n=\"]{0,64}?[\]>]{1,4}|\[\])?[?!]?"
+TYPE = rf"{_WORD}(?:[ \t]{{0,2}}\|[ \t]{{0,2}}{_WORD}){{0,4}}"
+ANNOTATION = re.compile(rf"[ \t]{{0,8}}{TYPE}(?:[ \t]{{1,8}}=(?![=>~])|=(?=[\"']))", re.ASCII)
+TYPED = re.compile(rf"(?<![A-Za-z0-9_.\-])([A-Za-z_][A-Za-z0-9_.\-]{{0,127}})[?!]?(?:[ \t]{{0,8}}:[ \t]{{0,8}}|[ \t]{{1,8}}){TYPE}[ \t]{{0,8}}$", re.ASCII)
+MODIFIERS = {"private", "protected", "public", "static", "const", "let", "var", "val", "final", "readonly"}
 QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)\'''')
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*(?![A-Za-z0-9+/=-])", re.ASCII)
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]]+""")
@@ -79,8 +88,12 @@ def pairs(text: str) -> Iterator[tuple[str, int, int]]:
         at = m.start()
         if at < over or text[at - 1 : at] in ("=", "!", "<", ">", ":") or text[at + 1 : at + 2] == "/" and text[at] == ":":
             continue
+        if text[at] == ":" and ANNOTATION.match(text, at + 1):
+            continue  # a declaration: its "=" binds the name
         target = TARGET.search(text[max(0, at - 140) : at])
-        if not target:
+        typed = TYPED.search(text[max(text.rfind("\n", 0, at) + 1, at - 300) : at]) if text[at] == "=" else None
+        names = ([target[1]] if target else []) + ([typed[1]] if typed and typed[1] not in MODIFIERS else [])
+        if not names:
             continue
         pos = at + 1
         if text[pos : pos + 1] in ("=", ">"):
@@ -88,10 +101,10 @@ def pairs(text: str) -> Iterator[tuple[str, int, int]]:
                 continue  # a comparison
             pos += 1
         spans, over = value(text, pos, bound)
-        name = target[1]
-        for start, end in spans:
-            yield name, start, end
-        bound[name] = spans
+        for name in names:
+            for start, end in spans:
+                yield name, start, end
+            bound[name] = spans
 
 
 def value(text: str, pos: int, bound: dict[str, list[tuple[int, int]]]) -> tuple[list[tuple[int, int]], int]:
@@ -136,7 +149,10 @@ def method_spans(text: str, threshold: float = THRESHOLD) -> set[tuple[int, int,
     for name, start, end in pairs(text):
         if name not in weights:
             weights[name] = name_weight(name)
-        if weights[name] and math.sqrt(weights[name] * literal_weight(text[start:end])) >= threshold:
+        literal = text[start:end]
+        if weights[name] >= STRONG and start and text[start - 1] in "\"'" and text[end : end + 1] == text[start - 1]:
+            literal = "".join(literal.split())
+        if weights[name] and math.sqrt(weights[name] * literal_weight(literal)) >= threshold:
             found.add((start, 3, end))
     return found
 

@@ -62,3 +62,25 @@ def test_query_redaction_and_odd_rows(spark):
     assert texts[1]["text"] == 'x [secret]"' and texts[2]["text"] == "né [secret]" and texts[3]["text"] == "clean"
     assert texts[900]["text"] is None and s.redacted(with_clashes(docs)).columns == with_clashes(docs).columns
     assert s.op3(docs.limit(0)).count() == 0
+
+
+def test_typed_declarations_and_literals_with_blanks():
+    secret = "Zx81-qQ77-lm55"
+    for line in (
+        'client_secret: str = "{}"', "clientSecret: string = '{}';", 'val clientSecret: String? = "{}"', 'client_secret: Optional[str] = "{}"',
+        "client_secret: str | None = '{}'", 'const CLIENT_SECRET: &\'static str = "{}";', 'var apiSecret string = "{}"', 'String apiSecret = "{}";',
+        'const K: string = "{}"\nsigning_key = K', 'const K string = "{}"\nsigning_key = K', 'password = "{}"',
+    ):
+        text = line.replace("{}", secret)
+        assert {text[a:b] for a, _, b in s.method_spans(text)} == {secret}, line
+    text = 'password = "correct horse battery staple"\ntitle = "correct horse battery staple"\nprivate name = "Blue-Sky-2024"'
+    assert [text[a:b] for a, _, b in s.method_spans(text)] == ["correct horse battery staple"]
+    assert s.method_spans('password: hunter22x! x = "blue"')
+    for line in ('private: "Zx81-qQ77-lm55"', "pwd: QWxhZGRpbjpvcGVuc2VzYW=\n"):
+        assert s.method_spans(line), line
+
+
+def test_redaction_masks_the_whole_literal(spark):
+    rows = [(1, 'client_secret: str = "Zx81-qQ77-lm55"', "en", "s", 1), (2, 'password = "correct horse battery staple"', "en", "s", 1)]
+    out = rows_of(s.redacted(frame(spark, rows)))
+    assert out[1]["text"] == 'client_secret: str = "[secret]"' and out[2]["text"] == '[secret]"'
