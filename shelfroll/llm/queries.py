@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, lang_id, license_scan, near_dups, ppm, quality, secret_scan, token_files, warc
+from . import bpe, decontaminate, filter_audit, lang_id, license_scan, near_dups, ppm, quality, secret_scan, token_files, warc
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.op10(documents(spark, sf_dir))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep and remove in each order, per source, by decision diagrams."""
+    return filter_audit.op11(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_lang_id": (op1_lang_id, None),
     "op2_bpe": (op2_bpe, None),
@@ -73,4 +78,5 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op8_decontaminate": (op8_decontaminate, decontaminate.OP8_SQL),
     "op9_near_dups": (op9_near_dups, None),
     "op10_lm_scores": (op10_lm_scores, None),
+    "op11_filter_audit": (op11_filter_audit, filter_audit.OP11_SQL),
 }
