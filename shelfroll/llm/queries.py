@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, filter_audit, lang_id, license_scan, near_dups, ppm, quality, secret_scan, token_files, warc
+from . import bpe, decontaminate, filter_audit, lang_id, license_scan, near_dups, ppm, quality, secret_scan, token_alignment, token_files, warc
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.op11(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned by lockstep merging, with corpus-wide counts of linked ids."""
+    return token_alignment.op12(documents(spark, sf_dir))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_lang_id": (op1_lang_id, None),
     "op2_bpe": (op2_bpe, None),
@@ -79,4 +84,5 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op9_near_dups": (op9_near_dups, None),
     "op10_lm_scores": (op10_lm_scores, None),
     "op11_filter_audit": (op11_filter_audit, filter_audit.OP11_SQL),
+    "op12_token_alignment": (op12_token_alignment, None),
 }
