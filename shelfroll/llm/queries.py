@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, filter_audit, lang_id, license_scan, near_dups, ppm, quality, secret_scan, token_alignment, token_files, warc
+from . import bpe, decontaminate, filter_audit, lang_id, license_scan, near_dups, ppm, quality, secret_scan, token_alignment, token_files, toxicity, warc
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.op12(documents(spark, sf_dir))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a subsequence-kernel machine with Nyström landmarks."""
+    return toxicity.op13(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_lang_id": (op1_lang_id, None),
     "op2_bpe": (op2_bpe, None),
@@ -85,4 +90,5 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op10_lm_scores": (op10_lm_scores, None),
     "op11_filter_audit": (op11_filter_audit, filter_audit.OP11_SQL),
     "op12_token_alignment": (op12_token_alignment, None),
+    "op13_toxicity": (op13_toxicity, None),
 }
