@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -73,34 +73,28 @@ def attach_calendar(daily: DataFrame, calendar: DataFrame) -> DataFrame:
     return daily.join(cal, S.PERIOD, "inner")
 
 
-def build_staging(fact: DataFrame, calendar: DataFrame, observation: Observation | None = None) -> DataFrame:
-    """Raw facts → staging table (17 columns, unique on the six keys).
+def flagged_staging(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Every daily row in the staging layout, and ``on_calendar``: false where the calendar lacks its period."""
+    cal = calendar.select(
+        S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK), F.lit(True).alias("_on_calendar")
+    )
+    joined = daily_agg(fact).join(cal, S.PERIOD, "left")
+    return joined.select(*_staging_columns(), F.col("_on_calendar").isNotNull().alias("on_calendar"))
 
-    With an ``observation``, the number of staging rows (``rows``) and of
-    daily rows whose period is missing from the calendar (``off_calendar``,
-    they drop) are recorded while the staging is computed, without a second pass.
-    """
-    daily = daily_agg(fact)
-    if observation is None:
-        joined = attach_calendar(daily, calendar)
-    else:
-        cal = calendar.select(
-            S.PERIOD, S.LY_PERIOD, S.WEEK_ENDED, F.col("year_week").alias(S.TY_YEAR_WEEK), F.lit(True).alias("_on_calendar")
-        )
-        left = daily.join(cal, S.PERIOD, "left")
-        observed = left.observe(
-            observation,
-            F.count_if(F.col("_on_calendar").isNull()).alias("off_calendar"),
-            F.count_if(F.col("_on_calendar").isNotNull()).alias("rows"),
-        )
-        joined = observed.where(F.col("_on_calendar").isNotNull())
-    return joined.select(
-        *S.K6,
+
+def _staging_columns() -> list[Column]:
+    return [
+        *[F.col(k) for k in S.K6],
         *[F.col(m.name).alias(m.ty) for m in S.METRICS],
         F.col(S.LY_PERIOD).cast("int").alias(S.LY_PERIOD),
         F.col(S.TY_YEAR_WEEK).cast("int").alias(S.TY_YEAR_WEEK),
-        S.WEEK_ENDED,
-    )
+        F.col(S.WEEK_ENDED),
+    ]
+
+
+def build_staging(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Raw facts → staging table (17 columns, unique on the six keys)."""
+    return attach_calendar(daily_agg(fact), calendar).select(*_staging_columns())
 
 
 def off_calendar(daily_or_fact: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -1,23 +1,26 @@
 """Job runner: load-type dispatch over the three stages.
 
-=====  ================  ======================  ===========================
-type   staging           daily / weekly write    daily / weekly content
-=====  ================  ======================  ===========================
-FL     replace in range  full overwrite          all vendors, whole weeks of the range
-IL     upsert            upsert                  job vendors, days in range + their LY users
-FR     skipped           full overwrite          all vendors, whole weeks of the range
-IR     skipped           upsert                  job vendors, days in range + their LY users
-=====  ================  ======================  ===========================
+=====  ========  ======================  ===========================================
+type   staging   daily / weekly write    daily / weekly content
+=====  ========  ======================  ===========================================
+FL     upsert    full overwrite          all vendors, whole weeks of the range
+IL     upsert    upsert                  job vendors, days in range + their LY users
+FR     skipped   full overwrite          all vendors, whole weeks of the range
+IR     skipped   upsert                  job vendors, days in range + their LY users
+=====  ========  ======================  ===========================================
 
 Each stage is one set-based Spark job over all requested vendors and
-periods (no per-partition driver loop). Ranges are checked against the
-calendar before anything is written. A full load (FL) replaces the staging
-partitions of its vendors and range, those without facts included. Full types
-widen the range to whole calendar weeks before daily is built (the edge days
-stay in daily), so no week is built from part of its days; upserts read daily
-back for whole weeks, where the other days already are. Daily success gates
-weekly. Errors propagate; the run log records the failed step in any case and
-is appended (ORC) under the job's output folder.
+periods (no per-partition driver loop). What each stage loads follows from the
+range through the calendar (``scope.py``) and is settled before anything is
+written: a full load stages the whole weeks of its range and their LY days, so
+no week is built from part of its days where the facts hold the others.
+
+A stage answers for its vendors and days: stored partitions of these that it
+has no rows for any more are removed (a fact day that vanished leaves no row
+in staging, daily or weekly); everything else keeps its files. Daily success
+gates weekly. Errors propagate; every step is appended to the run log (ORC,
+under the job's output folder) when it happens, so a job that is killed in a
+stage leaves that stage's In-Progress row.
 """
 
 from __future__ import annotations
@@ -26,19 +29,19 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..operators.calendar import as_key, calendar_window, forward_bounds, period_between, week_bounds, widen_to_weeks
+from ..operators.calendar import as_key, calendar_window, week_bounds
 from ..operators.compare import build_daily
-from ..operators.rollup import build_staging
+from ..operators.rollup import flagged_staging
 from ..operators.weekly import build_weekly
 from ..sources.params import JobParams, JobParamsError, read_params
 from ..sources.tables import read_calendar, read_daily, read_fact, read_staging
 from . import sinks
 from .runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog
+from .scope import JobScope, job_scope, within
 
 
 @dataclass(frozen=True)
@@ -56,65 +59,54 @@ LOAD_PLANS = {
 }
 
 
-def merge_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Union of inclusive key ranges, as disjoint sorted ranges (overlaps merged)."""
-    out: list[tuple[int, int]] = []
-    for lo, hi in sorted(ranges):
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], hi))
-        else:
-            out.append((lo, hi))
-    return out
-
-
-def daily_ranges(calendar: DataFrame, start: int, end: int, upsert: bool) -> list[tuple[int, int]]:
-    """Daily periods to (re)build: the range, plus for upserts the days whose LY day is in it."""
-    ranges = [(start, end)]
-    if upsert:
-        lo, hi = forward_bounds(calendar, start, end)
-        if lo is not None:
-            ranges.append((lo, hi))
-    return merge_ranges(ranges)
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def _removed(written: sinks.Written, why: str) -> str:
+    return f"; {written.removed} partition(s) without {why} removed" if written.removed else ""
 
 
-def checked_weeks(calendar: DataFrame, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The ranges widened to whole weeks; an error where a range has no calendar day."""
-    weeks = []
-    for lo, hi in ranges:
-        first, last = widen_to_weeks(calendar, lo, hi)
-        if first is None or last is None:
-            raise ValueError(f"the calendar has no day between {lo} and {hi}; nothing was written")
-        weeks.append((first, last))
-    return merge_ranges(weeks)
+def _load_staging(spark: SparkSession, params: JobParams, calendar: DataFrame, scope: JobScope, log: RunLog) -> None:
+    log.add("Staging started", IN_PROGRESS)
+    fact = read_fact(spark, params.fact_path, params.vendors).where(within(scope.staging))
+    own = sinks.vendor_scope(params.vendors) & within([scope.own])
+    with sinks.spooled(flagged_staging(fact, calendar)) as rows:
+        off = rows.where(~F.col("on_calendar") & within([scope.own])).count()
+        staged = rows.where("on_calendar").select(*S.STAGING_COLUMNS)
+        done = sinks.write_rows(staged, params.staging_path, S.DAILY_PARTITIONS, "upsert", own)
+    log.add(
+        f"Staging loaded for vendors {params.vendors}: {done.rows} rows; "
+        f"{off} daily rows had no calendar day{_removed(done, 'facts')}"
+    )
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with its row count observed while it is written."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+def _load_daily(spark: SparkSession, params: JobParams, window: DataFrame, scope: JobScope, mode: str, log: RunLog) -> None:
+    log.add(f"Daily {mode} started", IN_PROGRESS)
+    # upserts rebuild only the job's vendors (other vendors' partitions are
+    # untouched); full loads replace the dataset and so cover every vendor
+    vendors = params.vendors if mode == "upsert" else None
+    staging = read_staging(spark, params.staging_path, vendors=vendors)
+    daily = _union([build_daily(staging, window, lo, hi) for lo, hi in scope.daily])
+    own = sinks.vendor_scope(vendors) & within(scope.daily) if mode == "upsert" else None
+    done = sinks.write_daily(daily, params.daily_path, mode, own)
+    log.add(f"Daily {mode} done for {scope.daily}: {done.rows} rows{_removed(done, 'rows')}")
 
 
-def _observed(obs: Observation) -> dict:
-    """What was observed; nothing where Spark found the plan empty before running it."""
-    try:
-        return obs.get
-    except Py4JJavaError:
-        return {}
+def _load_weekly(spark: SparkSession, params: JobParams, calendar: DataFrame, scope: JobScope, mode: str, log: RunLog) -> None:
+    log.add(f"Weekly {mode} started", IN_PROGRESS)
+    vendors = params.vendors if mode == "upsert" else None
+    daily = read_daily(spark, params.daily_path, vendors=vendors).where(within(scope.weeks))
+    own = None
+    if mode == "upsert":
+        bounds = [week_bounds(calendar, lo, hi) for lo, hi in scope.weeks]
+        own = sinks.vendor_scope(vendors) & _any([F.col(S.WEEK_ENDED).between(F.lit(lo), F.lit(hi)) for lo, hi in bounds])
+    done = sinks.write_weekly(build_weekly(daily), params.weekly_path, mode, own)
+    log.add(f"Weekly {mode} done for {scope.weeks}: {done.rows} rows{_removed(done, 'rows')}", SUCCESS)
 
 
-def _kept(stale: list[tuple]) -> str:
-    """Log text on partitions in range that an upsert had no rows for; they keep their files."""
-    if not stale:
-        return ""
-    return f"; {len(stale)} partition(s) in range had no new rows and kept their old files (a full load removes them)"
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
 
 
 def run_job(
@@ -124,8 +116,8 @@ def run_job(
     years: int = 3,
     clock=None,
 ) -> RunLog:
-    """Run one job; returns the run log (also appended to ``params.log_path``)."""
-    log = RunLog(params.job_id, clock=clock)
+    """Run one job; returns the run log (each step also appended to ``params.log_path``)."""
+    log = RunLog(params.job_id, clock=clock, keep=lambda rows: sinks.append_job_log(rows.to_df(spark), params.log_path))
     log.add(
         f"Parameters checked: load type {params.load_type}, vendors {params.vendors}, "
         f"range {params.start}..{params.end}"
@@ -134,63 +126,16 @@ def run_job(
     as_of = as_key(as_of if as_of is not None else dt.date.today())
     try:
         calendar = read_calendar(spark, params.dim_base, params.retailer)
-        upsert = plan.final_mode == "upsert"
-        ranges = daily_ranges(calendar, params.start, params.end, upsert)
-        week_ranges = checked_weeks(calendar, ranges)
-        if not upsert:  # whole weeks from the start: the overwritten daily table has no other days to complete them
-            ranges = week_ranges
-
+        scope = job_scope(calendar, params.start, params.end, plan.final_mode == "upsert")
         if plan.build_staging:
-            log.add("Staging started", IN_PROGRESS)
-            fact = read_fact(spark, params.fact_path, params.vendors, params.start, params.end)
-            obs = Observation("staging")
-            staged = build_staging(fact, calendar, obs).select(*S.STAGING_COLUMNS)
-            if upsert:
-                sinks.write_staging(staged, params.staging_path, "upsert")
-                removed = ""
-            else:
-                scope = sinks.vendor_scope(params.vendors) & period_between(params.start, params.end)
-                gone = sinks.replace_scope(staged, params.staging_path, S.DAILY_PARTITIONS, scope)
-                removed = f"; {len(gone)} partition(s) without facts removed" if gone else ""
-            seen = _observed(obs)
-            log.add(
-                f"Staging loaded for vendors {params.vendors}: {seen.get('rows') or 0} rows; "
-                f"{seen.get('off_calendar') or 0} daily rows had no calendar day{removed}"
-            )
+            _load_staging(spark, params, calendar, scope, log)
         else:
             log.add("Staging not required; refreshing daily and weekly", IN_PROGRESS)
-
-        log.add(f"Daily {plan.final_mode} started", IN_PROGRESS)
-        window = calendar_window(calendar, as_of, years)
-        # upserts rebuild only the job's vendors (other vendors' partitions are
-        # untouched); full loads replace the dataset and so cover every vendor
-        vendors = params.vendors if upsert else None
-        staging = read_staging(spark, params.staging_path, vendors=vendors)
-        daily, obs = _counted(_union([build_daily(staging, window, lo, hi) for lo, hi in ranges]), "daily")
-        stale: list[tuple] = []
-        if upsert:
-            scope = sinks.vendor_scope(vendors) & _any([period_between(lo, hi) for lo, hi in ranges])
-            stale = sinks.write_and_find_stale(daily.select(*S.DAILY_COLUMNS), params.daily_path, S.DAILY_PARTITIONS, scope)
-        else:
-            sinks.write_daily(daily, params.daily_path, plan.final_mode)
-        log.add(f"Daily {plan.final_mode} done for {ranges}: {_observed(obs).get('rows') or 0} rows{_kept(stale)}")
-
-        log.add(f"Weekly {plan.final_mode} started", IN_PROGRESS)
-        daily_back = _union([read_daily(spark, params.daily_path, lo, hi, vendors) for lo, hi in week_ranges])
-        weekly, obs = _counted(build_weekly(daily_back), "weekly")
-        stale = []
-        if upsert:
-            bounds = [week_bounds(calendar, lo, hi) for lo, hi in week_ranges]
-            scope = sinks.vendor_scope(vendors) & _any([F.col(S.WEEK_ENDED).between(F.lit(lo), F.lit(hi)) for lo, hi in bounds])
-            stale = sinks.write_and_find_stale(weekly.select(*S.WEEKLY_COLUMNS), params.weekly_path, S.WEEKLY_PARTITIONS, scope)
-        else:
-            sinks.write_weekly(weekly, params.weekly_path, plan.final_mode)
-        log.add(f"Weekly {plan.final_mode} done for {week_ranges}: {_observed(obs).get('rows') or 0} rows{_kept(stale)}", SUCCESS)
+        _load_daily(spark, params, calendar_window(calendar, as_of, years), scope, plan.final_mode, log)
+        _load_weekly(spark, params, calendar, scope, plan.final_mode, log)
     except Exception as e:  # record, then re-raise
         log.add(f"{type(e).__name__}: {e}", FAILED)
         raise
-    finally:
-        sinks.append_job_log(log.to_df(spark), params.log_path)
     return log
 
 
@@ -214,8 +159,7 @@ def run_from_file(
     except JobParamsError as e:
         where = log_path or e.log_path
         if where is not None:
-            log = RunLog(None, clock=clock)
+            log = RunLog(None, clock=clock, keep=lambda rows: sinks.append_job_log(rows.to_df(spark), where))
             log.add(f"Parameter file {params_path} rejected: {e}", FAILED)
-            sinks.append_job_log(log.to_df(spark), where)
         raise
     return run_job(spark, params, as_of=as_of, years=years, clock=clock)

@@ -15,10 +15,10 @@ from ..functions.dates import in_date_range
 from .storage import data_files
 
 
-def partition_list(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
-    """Distinct partition values (default vendor and period) of the dataset at ``path``."""
+def partition_list(spark: SparkSession, path: str, cols: list[str] | None = None, files: DataFrame | None = None) -> DataFrame:
+    """Distinct partition values (default vendor and period) of the dataset at ``path``, or of its listed ``files``."""
     cols = S.DAILY_PARTITIONS if cols is None else cols
-    return data_files(spark, path).select(*cols).distinct()
+    return (data_files(spark, path) if files is None else files).select(*cols).distinct()
 
 
 def partition_path(cols: list[str] | None = None) -> Column:

@@ -1,14 +1,26 @@
-"""File-system steps a DataFrame writer has no call for: exists, rename, delete.
+"""File-system steps a DataFrame writer has no call for, and how datasets are listed, replaced and found.
 
 They go through Hadoop's FileSystem, so they reach whatever store Spark
 itself reads (local, HDFS, object stores). Only paths pass the driver.
+
+A dataset is replaced in three steps, with a marker file beside it as the
+commit point: the complete new dataset is written under another name, the
+marker ``<path>__swap`` names it (from here on it *is* the table, and readers
+that ask :func:`resolved` get it), then the folders are renamed and the marker
+goes. Whenever a job is killed, one complete dataset is readable, and the next
+writer finishes the open swap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_DISCOVERY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -35,29 +47,73 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"could not rename {old} to {new}")
 
 
+def _file_count(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getFileCount())
+
+
+def _marker(path: str) -> str:
+    return f"{path.rstrip('/')}__swap"
+
+
+def _write_marker(spark: SparkSession, path: str, new: str, files: int) -> None:
+    """Names the new dataset; the file is complete when it gets its name."""
+    fs, p = _fs(spark, f"{_marker(path)}-{new.rsplit('/', 1)[-1]}")
+    out = fs.create(p, True)
+    out.writeBytes(f"{new.rsplit('/', 1)[-1]}\t{files}")
+    out.close()
+    rename(spark, p.toString(), _marker(path))
+
+
+def _open_swap(spark: SparkSession, path: str) -> str | None:
+    """The complete new dataset an open swap names; None where there is none or its files have all been moved."""
+    if not exists(spark, _marker(path)):
+        return None
+    name, files = spark.read.text(_marker(path)).first()[0].split("\t")
+    new = f"{path.rstrip('/').rsplit('/', 1)[0]}/{name}"
+    # a store that renames by copying deletes the source once all is copied: with files missing, ``path`` is complete
+    return new if exists(spark, new) and _file_count(spark, new) >= int(files) else None
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """The folder that holds the dataset of ``path`` just now."""
+    return _open_swap(spark, path) or path
+
+
 def swap_in(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished dataset ``new`` in the place of ``path``; the old one is deleted last."""
+    """Put the finished dataset ``new`` (beside ``path``) in the place of ``path``."""
+    finish_swap(spark, path)
     path, new = path.rstrip("/"), new.rstrip("/")
-    old = f"{new}-replaced"
-    if exists(spark, path):
-        rename(spark, path, old)
-        try:
-            rename(spark, new, path)
-        except Exception:
-            rename(spark, old, path)
-            raise
-        delete(spark, old)
-    else:
+    _write_marker(spark, path, new, _file_count(spark, new))
+    finish_swap(spark, path)
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Does what is left of an open swap; nothing where none is open. Writers call it before they touch a dataset."""
+    marker = _marker(path)
+    if not exists(spark, marker):
+        return
+    new = _open_swap(spark, path)
+    if new is not None:
+        delete(spark, path)  # the old dataset: the marker has named its successor
         rename(spark, new, path)
+    delete(spark, marker)
 
 
-def data_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per Parquet file below ``path``: ``path``, ``length`` and the partition columns, no file opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").option("pathGlobFilter", "*.parquet").load(path)
-    return files.drop("content", "modificationTime")
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """While datasets are listed: two tasks a core at most. Spark's default is a task per directory up to 10,000,
+    which costs more than the listing where directories are many and cores few."""
+    before = spark.conf.get(_DISCOVERY)
+    spark.conf.set(_DISCOVERY, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_DISCOVERY, before)
 
 
-def partition_files(files: DataFrame, cols: list[str]) -> DataFrame:
-    """Partition values of listed files with a checksum over the names of each partition's files."""
-    name = F.substring_index("path", "/", -1)
-    return files.groupBy(*cols).agg(F.bit_xor(F.xxhash64(name)).alias("files"))
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per Parquet file below ``path``: ``path``, ``length`` and the partition columns, no file opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false").option("pathGlobFilter", "*.parquet")
+    with listing(spark):
+        return reader.load(resolved(spark, path)).drop("content", "modificationTime")

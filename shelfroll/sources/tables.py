@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..operators.calendar import as_key, period_between
+from .storage import listing, resolved
 
 # Dimension folder names below ``<base><retailer>/dim_data/``.
 DIM_FOLDERS = {
@@ -36,6 +37,12 @@ def read_dim(spark: SparkSession, base: str, retailer: str, dim: str, schema: St
     return reader.parquet(dim_path(base, retailer, dim))
 
 
+def read_dataset(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The partitioned dataset at ``path``, listed once."""
+    with listing(spark):
+        return spark.read.schema(schema).parquet(resolved(spark, path))
+
+
 def read_calendar(spark: SparkSession, base: str, retailer: str) -> DataFrame:
     return read_dim(spark, base, retailer, "calendar", S.CALENDAR_SCHEMA)
 
@@ -74,17 +81,17 @@ def read_fact(
     spark: SparkSession, path: str, vendors: Sequence[int] | None = None, start=None, end=None
 ) -> DataFrame:
     """Raw facts below ``path`` (``vendor_key=…/period_key=…``), 14 typed columns."""
-    df = spark.read.schema(S.FACT_SCHEMA).parquet(path)
+    df = read_dataset(spark, path, S.FACT_SCHEMA)
     return _restrict(df, vendors, start, end).select(*[f.name for f in S.FACT_SCHEMA.fields])
 
 
 def read_staging(spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None) -> DataFrame:
-    df = spark.read.schema(S.STAGING_SCHEMA).parquet(path)
+    df = read_dataset(spark, path, S.STAGING_SCHEMA)
     return _restrict(df, vendors, start, end).select(*S.STAGING_COLUMNS)
 
 
 def read_daily(spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None) -> DataFrame:
-    df = spark.read.schema(S.DAILY_SCHEMA).parquet(path)
+    df = read_dataset(spark, path, S.DAILY_SCHEMA)
     return _restrict(df, vendors, start, end).select(*S.DAILY_COLUMNS)
 
 
@@ -92,14 +99,5 @@ def read_weekly(
     spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None
 ) -> DataFrame:
     """Weekly table; ``start``/``end`` bound ``week_ended``."""
-    df = spark.read.schema(S.WEEKLY_SCHEMA).parquet(path)
+    df = read_dataset(spark, path, S.WEEKLY_SCHEMA)
     return _restrict(df, vendors, start, end, col=S.WEEK_ENDED).select(*S.WEEKLY_COLUMNS)
-
-
-def scan_daily(spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None) -> DataFrame:
-    """Daily scan without the final projection (keeps hidden file-metadata columns)."""
-    return _restrict(spark.read.schema(S.DAILY_SCHEMA).parquet(path), vendors, start, end)
-
-
-def scan_weekly(spark: SparkSession, path: str, start=None, end=None, vendors: Sequence[int] | None = None) -> DataFrame:
-    return _restrict(spark.read.schema(S.WEEKLY_SCHEMA).parquet(path), vendors, start, end, col=S.WEEK_ENDED)

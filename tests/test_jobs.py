@@ -5,6 +5,8 @@ import hashlib
 import json
 import os
 import shutil
+import subprocess
+import sys
 import tempfile
 
 import pytest
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 
 from shelfroll import schema as S
 from shelfroll.plans import jobs, sinks
-from shelfroll.plans.runlog import FAILED, IN_PROGRESS, SUCCESS
+from shelfroll.plans.runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog, latest_status
+from shelfroll.plans.scope import job_scope, merge_ranges
 from shelfroll.sources.params import JobParams, JobParamsError
 from shelfroll.sources.tables import dim_path, read_daily, read_staging, read_weekly
 
@@ -136,23 +139,151 @@ def test_failure_is_logged(spark):
 
 
 def test_merge_ranges():
-    assert jobs.merge_ranges([(5, 9), (1, 3), (3, 4), (20, 30)]) == [(1, 4), (5, 9), (20, 30)]
+    assert merge_ranges([(5, 9), (1, 3), (3, 4), (20, 30)]) == [(1, 4), (5, 9), (20, 30)]
+
+
+def _drop_fact_days(p, days, vendors=(1, 2)):
+    for v in vendors:
+        for k in days:
+            shutil.rmtree(f"{p.fact_path}/vendor_key={v}/period_key={k}")
+
+
+def _ty_days(spark, path):
+    return {r[S.PERIOD] for r in read_daily(spark, path).where("total_units_ty > 0").collect()}
 
 
 def test_full_load_removes_staging_without_facts(spark):
     base = _setup(spark)
     p = _params(base, "FL", 19990103, 19990104)
     jobs.run_job(spark, p, as_of=AS_OF)
-    assert {r[S.PERIOD] for r in read_daily(spark, p.daily_path).where("total_units_ty > 0").collect()} == {19990103, 19990104}
-    for v in (1, 2):
-        shutil.rmtree(f"{p.fact_path}/vendor_key={v}/period_key=19990104")
+    week = set(range(19990103, 19990110))
+    assert _ty_days(spark, p.daily_path) == week
+    _drop_fact_days(p, [19990104])
     log = jobs.run_job(spark, p, as_of=AS_OF)
-    assert {r[S.PERIOD] for r in read_staging(spark, p.staging_path).collect()} == {19990103}
-    assert {r[S.PERIOD] for r in read_daily(spark, p.daily_path).where("total_units_ty > 0").collect()} == {19990103}
+    assert {r[S.PERIOD] for r in read_staging(spark, p.staging_path).collect()} == week - {19990104}
+    assert _ty_days(spark, p.daily_path) == week - {19990104}
     assert any("2 partition(s) without facts removed" in r[2] for r in log.rows)
     # another vendor's staging in the same days is none of this job's
     jobs.run_job(spark, _params(base, "FL", 19990103, 19990104, vendors=(1,)), as_of=AS_OF)
     assert {r[S.VENDOR] for r in read_staging(spark, p.staging_path).collect()} == {1, 2}
+    # nor are days beyond its range, even of the weeks it loads
+    _drop_fact_days(p, [19990105])
+    jobs.run_job(spark, p, as_of=AS_OF)
+    assert {r[S.PERIOD] for r in read_staging(spark, p.staging_path).collect()} == week - {19990104}
+
+
+def test_full_load_from_mid_week_builds_whole_weeks(spark):
+    """Facts of 1-22 January 2000 (and a year earlier), FL for 5-12 January: two weeks of seven days, LY included."""
+    base = _setup(spark)
+    rows = [(1, key(dt.date(2000, 1, 1) + dt.timedelta(days=i)), 1.0) for i in range(22)]
+    rows += [(1, key(dt.date(1999, 1, 1) + dt.timedelta(days=i)), 2.0) for i in range(22)]
+    fact = f"{base}/osa/r1/fact/"
+    sinks.write_partitioned(_fact(spark, rows), fact, S.DAILY_PARTITIONS, "full")
+    p = _params(base, "FL", 20000105, 20000112, vendors=(1,))
+    jobs.run_job(spark, p, as_of=AS_OF)
+    weekly = {r[S.WEEK_ENDED]: (r["total_units_ty"], r["total_units_ly"]) for r in read_weekly(spark, p.weekly_path).collect()}
+    assert weekly == {dt.date(2000, 1, 8): (7.0, 14.0), dt.date(2000, 1, 15): (7.0, 14.0)}
+    staged = {r[S.PERIOD] for r in read_staging(spark, p.staging_path).collect()}
+    assert staged == {key(dt.date(2000, 1, 2) + dt.timedelta(days=i)) for i in range(14)} | {
+        key(dt.date(1999, 1, 3) + dt.timedelta(days=i)) for i in range(14)
+    }
+
+
+@pytest.mark.parametrize("load_type", ["IL", "FL"])
+def test_a_vanished_fact_day_leaves_no_row(spark, load_type):
+    """Facts of one day removed, then a load of the days around it: no stage keeps the day or what came from it."""
+    base = _setup(spark)
+    jobs.run_job(spark, _params(base, "FL", 19990101, 20001231), as_of=AS_OF)
+    p = _params(base, load_type, 19990106, 19990108)
+    _drop_fact_days(p, [19990107])
+    log = jobs.run_job(spark, p, as_of=AS_OF)
+    assert 19990107 not in {r[S.PERIOD] for r in read_staging(spark, p.staging_path).collect()}
+    daily = {(r[S.VENDOR], r[S.PERIOD]): r for r in read_daily(spark, p.daily_path).collect()}
+    assert not any(k == 19990107 and r["total_units_ty"] > 0 for (_, k), r in daily.items())
+    if load_type == "IL":
+        # the day a year later has lost its last year, the week its units
+        assert daily[(1, 20000106)]["total_units_ly"] == 0.0 and daily[(1, 20000105)]["total_units_ly"] == 6.0
+        weekly = {(r[S.VENDOR], r[S.WEEK_ENDED]): r for r in read_weekly(spark, p.weekly_path).collect()}
+        assert weekly[(1, dt.date(1999, 1, 9))]["total_units_ty"] == 3 + 4 + 5 + 6 + 8 + 9
+        assert weekly[(1, dt.date(2000, 1, 8))]["total_units_ly"] == 3 + 4 + 5 + 6 + 8 + 9
+    assert any("2 partition(s) without facts removed" in r[2] for r in log.rows)
+
+
+def test_a_week_without_days_goes(spark):
+    base = _setup(spark)
+    jobs.run_job(spark, _params(base, "FL", 19990101, 20001231), as_of=AS_OF)
+    p = _params(base, "IL", 20000109, 20000115, vendors=(2,))
+    _drop_fact_days(p, range(20000109, 20000115), vendors=(2,))
+    _drop_fact_days(p, range(19990110, 19990115), vendors=(2,))
+    jobs.run_job(spark, _params(base, "IL", 19990110, 19990116, vendors=(2,)), as_of=AS_OF)
+    log = jobs.run_job(spark, p, as_of=AS_OF)
+    weeks = {(r[S.VENDOR], r[S.WEEK_ENDED]) for r in read_weekly(spark, p.weekly_path).collect()}
+    assert (2, dt.date(2000, 1, 15)) not in weeks and (1, dt.date(2000, 1, 15)) in weeks
+    assert "partition(s) without rows removed" in log.rows[-1][2]
+
+
+def test_job_scope_is_a_closure_over_the_calendar(spark):
+    cal = make_calendar(spark, dt.date(1999, 1, 1), dt.date(2001, 12, 31)).cache()
+    full = job_scope(cal, 20000105, 20000112, False)
+    assert full.weeks == full.daily == [(20000102, 20000115)]
+    assert full.staging == [(19990103, 19990116), (20000102, 20000115)] and full.own == (20000105, 20000112)
+    upsert = job_scope(cal, 20000105, 20000112, True)
+    assert upsert.staging == [(20000105, 20000112)]
+    assert upsert.daily == [(20000105, 20000112), (20010103, 20010110)]
+    assert upsert.weeks == [(20000102, 20000115), (20001231, 20010113)]
+    with pytest.raises(ValueError, match="no day between"):
+        job_scope(cal, 20100101, 20100102, False)
+
+
+def test_every_step_is_stored_when_it_happens(spark):
+    base = _setup(spark)
+    p = _params(base, "FL", 19990101, 20001231)
+    seen = []
+    keep = sinks.append_job_log
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sinks, "append_job_log", lambda df, path: (keep(df, path), seen.append(spark.read.orc(path).count())))
+        jobs.run_job(spark, p, as_of=AS_OF)
+    assert seen == [1, 2, 3, 4, 5, 6, 7]
+    status = {(r.JobId, r.stage): r.Status for r in latest_status(spark.read.schema(S.JOB_LOG_SCHEMA).orc(p.log_path)).collect()}
+    assert status == {(7, s): SUCCESS for s in ("Parameters", "Staging", "Daily", "Weekly")}
+
+
+KILLED_JOB = """
+import os, sys
+sys.path.insert(0, {repo!r})
+from shelfroll.session import local_session
+from shelfroll.plans import jobs
+from shelfroll.sources.params import JobParams
+spark = local_session(2)
+jobs.build_daily = lambda *a, **k: os._exit(9)
+jobs.run_job(spark, JobParams(**{params!r}), as_of=20010101)
+"""
+
+
+def test_a_killed_job_leaves_its_step_in_progress(spark):
+    base = _setup(spark)
+    p = _params(base, "FL", 19990101, 19990114)
+    fields = {f: getattr(p, f) for f in p.__dataclass_fields__}
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_ENV"))}
+    out = subprocess.run([sys.executable, "-c", KILLED_JOB.format(repo=repo, params=fields)], env=env, capture_output=True, timeout=240)
+    assert out.returncode == 9, out.stderr[-2000:]
+    log = spark.read.schema(S.JOB_LOG_SCHEMA).orc(p.log_path)
+    status = {r.stage: r.Status for r in latest_status(log).collect()}
+    assert status == {"Parameters": SUCCESS, "Staging": SUCCESS, "Daily": IN_PROGRESS}
+    # the run that follows shows as the later one
+    jobs.run_job(spark, p, as_of=AS_OF)
+    assert {r.Status for r in latest_status(log.sparkSession.read.schema(S.JOB_LOG_SCHEMA).orc(p.log_path)).collect()} == {SUCCESS}
+
+
+def test_latest_status_of_ties_and_odd_rows(spark):
+    rows = [
+        (1, "Step 9", "Daily full started", "t", IN_PROGRESS), (1, "Step 10", "Daily full done", "t", SUCCESS),
+        (1, "Step 2", "Daily full started", "u", IN_PROGRESS), (None, "no number", "Daily", None, FAILED), (2, None, None, None, None),
+    ]
+    got = {(r.JobId, r.stage): r.Status for r in latest_status(spark.createDataFrame(rows, S.JOB_LOG_SCHEMA)).collect()}
+    assert got == {(1, "Daily"): IN_PROGRESS, (None, "Daily"): FAILED, (2, None): None}
+    assert latest_status(RunLog(1).to_df(spark)).count() == 0
 
 
 @pytest.mark.parametrize("load_type", ["FR", "FL"])
@@ -235,7 +366,7 @@ def test_command_line_entry(spark, capsys):
     assert main([path]) == 1
 
 
-def test_upsert_reports_partitions_it_did_not_rewrite(spark):
+def test_upsert_removes_partitions_it_has_no_rows_for(spark):
     base = _setup(spark)
     jobs.run_job(spark, _params(base, "FL", 19990101, 20001231), as_of=AS_OF)
     # 1999-12-31 holds only LY values (shifted from 1999-01-01); with the window
@@ -243,9 +374,8 @@ def test_upsert_reports_partitions_it_did_not_rewrite(spark):
     p = _params(base, "IR", 19991231, 19991231, vendors=(1,))
     log = jobs.run_job(spark, p, as_of=19991231)
     daily_step = [r[2] for r in log.rows if r[2].startswith("Daily upsert done")][0]
-    assert "1 partition(s) in range had no new rows" in daily_step
+    assert "1 partition(s) without rows removed" in daily_step
     weekly_step = [r[2] for r in log.rows if r[2].startswith("Weekly upsert done")][0]
     assert "partition(s)" not in weekly_step
-    # the old row is still there; a full load removes it
-    d = read_daily(spark, p.daily_path, 19991231, 19991231, [1]).collect()
-    assert len(d) == 1 and d[0]["total_units_ly"] == 1.0
+    assert read_daily(spark, p.daily_path, 19991231, 19991231, [1]).count() == 0
+    assert read_daily(spark, p.daily_path, 19991231, 19991231, [2]).count() == 1

@@ -2,12 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shelfroll import schema as S
 from shelfroll.functions.numeric import round_half_up
-from shelfroll.operators.rollup import build_staging, daily_agg, fact_rounded, group_agg
+from shelfroll.operators.rollup import build_staging, daily_agg, fact_rounded, flagged_staging, group_agg
 
 from .conftest import make_calendar
 
@@ -54,11 +53,12 @@ def test_staging_joins_calendar_and_counts_dropped_days(spark):
             {"period_key": 20000301, "vendor_key": 2, "total_units": 1.0},
         ],
     )
-    obs = Observation("t")
-    stg = build_staging(fact, cal, obs)
+    stg = build_staging(fact, cal)
     rows = stg.collect()
     assert len(rows) == 1
-    assert obs.get["off_calendar"] == 2
+    flagged = flagged_staging(fact, cal)
+    assert flagged.where("not on_calendar").count() == 2
+    assert flagged.where("on_calendar").drop("on_calendar").collect() == rows
     r = rows[0]
     assert r[S.LY_PERIOD] == 19990104
     assert r[S.WEEK_ENDED] == dt.date(2000, 1, 8)
