@@ -2,11 +2,13 @@
 
 Rounding a double with ``round(x, 2)`` depends on the binary representation
 of ``x`` (two engines can disagree on ``round(price * discount, 2)``). The
-rule here is one HALF_UP rounding of the value at ``FINE_SCALE`` (8) places:
-the 8-place step only absorbs the representation error of the double, so a
-product of two 2-place inputs is taken as the number it stands for, while
-2.00499 stays below the tie. Both run in 64-bit integers. Raw measures must
-stay below 9×10^10 in magnitude.
+rule here is one HALF_UP rounding: a value is compared with the ties
+themselves, each the correctly rounded quotient of two integers, and counts as
+a tie from ``SLACK`` (six units of roundoff, relative) below it on. That
+covers the error of a product of two decimal inputs and nothing else: a product
+is taken as the number it stands for, while 2.004999999, or any value that is
+really below the tie, stays below. Units are 64-bit integers: measures up to
+9×10^16 in magnitude; beyond, the cast to ``long`` is an error, not a wrong cent.
 
 Aggregates run on ``long`` units (cents for sums, millionths for daily
 averages, rounded HALF_UP to six places): per-row work stays in 64-bit integers (Spark would otherwise sum
@@ -22,8 +24,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-#: decimals at which a double is read before it is rounded
-FINE_SCALE = 8
+#: relative distance below a tie that the rounding errors of two inputs and their product can make
+SLACK = 6 * 2.0**-53
+#: and never more than this part of a unit, however large the value
+MOST_SLACK = 0.05
 #: decimals carried by daily sums and daily averages (see schema.Metric.scale)
 SUM_SCALE = 2
 AVG_SCALE = 6
@@ -35,10 +39,18 @@ def _c(c: Column | str) -> Column:
 
 def to_units(c: Column | str, scale: int = 2) -> Column:
     """A raw double measure → HALF_UP-rounded integer units of 10^-scale (long)."""
-    step = 10 ** (FINE_SCALE - scale)
-    fine = F.rint(_c(c) * float(10**FINE_SCALE)).cast("long")
-    q = F.call_function("div", F.abs(fine) + F.lit(step // 2).cast("long"), F.lit(step).cast("long"))
-    return F.when(fine < 0, -q).otherwise(q)
+    size = F.abs(_c(c))
+    unit = float(10**scale)
+    near = F.rint(size * unit)
+
+    def reaches(units: Column) -> Column:
+        """1 where the value is at or above the tie below ``units``."""
+        tie = (units * 2.0 - 1.0) / (2.0 * unit)
+        return F.when(size >= tie - F.least(tie * SLACK, F.lit(MOST_SLACK / unit)), 1.0).otherwise(0.0)
+
+    # the product by 10^scale may be off by one unit of roundoff, so the units around it are tried
+    units = (near - 1.0 + reaches(near) + reaches(near + 1.0)).cast("long")
+    return F.when(_c(c) < 0, -units).otherwise(units)
 
 
 def round_half_up(c: Column | str, scale: int = 2) -> Column:

@@ -171,6 +171,18 @@ def job_log_sql(bounds: tuple[int, int], clock) -> str:
     return with_weekly(rows)
 
 
+def job_status_sql(bounds: tuple[int, int], clock) -> str:
+    """The last of those steps for every stage (the first word of the description)."""
+    log = job_log_sql(bounds, clock)
+    at = log.rindex("SELECT CAST(1 AS INTEGER) AS \"JobId\", 'Step 1'")
+    stages = "SELECT *, split_part(\"JobDescription\", ' ', 1) AS stage, CAST(split_part(\"JobStep\", ' ', 2) AS INTEGER) AS step FROM steps"
+    return (
+        f"{log[:at].rstrip()},\nsteps AS ({log[at:]})\n"
+        'SELECT "JobId", stage, "JobStep", "JobDescription", "StartTime", "Status" FROM ('
+        f"SELECT *, max(step) OVER (PARTITION BY stage) AS last FROM ({stages})) WHERE step = last"
+    )
+
+
 def with_weekly(select: str) -> str:
     return f"WITH {base_ctes()},\n{staging_units_cte()},\n{daily_units_cte()},\n{weekly_units_cte()}\n{select}"
 

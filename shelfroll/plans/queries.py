@@ -38,6 +38,8 @@ from ..operators.rollup import build_staging, daily_agg, fact_rounded, group_agg
 from ..operators.weekly import build_weekly, build_weekly_joined, weekly_agg, weekly_with_inventory
 from ..session import scratch_path
 from ..sources import fixtures
+from ..sources.counts import counting_session
+from ..sources.counts import row_count as counts_of
 from ..sources.params import JobParams
 from ..sources.partitions import partition_list, partition_path, partition_slice, partitions_in_range
 from ..sources.tables import (
@@ -52,7 +54,7 @@ from ..sources.tables import (
 )
 from . import oracle as O
 from . import pipeline, sinks
-from .runlog import union_logs
+from .runlog import latest_status, union_logs
 from .stored import RETAILER, SUBJECT, stored
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +325,13 @@ def sink_job_log(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(S.JOB_LOG_SCHEMA).orc(params.log_path)
 
 
+@query("job_step_status", O.job_status_sql(JOB_RANGE, _JOB_CLOCK))
+def job_step_status(spark: SparkSession, sf: str) -> DataFrame:
+    """The last step of every stage, read back from the log the FL job appended step by step."""
+    params = _full_load_job(spark, sf)
+    return latest_status(spark.read.schema(S.JOB_LOG_SCHEMA).orc(params.log_path))
+
+
 # ================================================================ projections / filters
 @query(
     "fact_rounded",
@@ -499,12 +508,12 @@ query("distinct_vendor_week", O.with_daily("SELECT DISTINCT vendor_key, week_end
 )
 
 
-def _stored_stages(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
-    return [
-        ("staging", read_staging(spark, stored(spark, sf, "staging"))),
-        ("daily", read_daily(spark, stored(spark, sf, "daily"))),
-        ("weekly", read_weekly(spark, stored(spark, sf, "weekly"))),
-    ]
+#: stored stages: name, layout, partition columns
+STAGES = [
+    ("staging", S.STAGING_SCHEMA, S.DAILY_PARTITIONS),
+    ("daily", S.DAILY_SCHEMA, S.DAILY_PARTITIONS),
+    ("weekly", S.WEEKLY_SCHEMA, S.WEEKLY_PARTITIONS),
+]
 
 
 @query(
@@ -515,9 +524,10 @@ def _stored_stages(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
     ),
 )
 def row_count(spark: SparkSession, sf: str) -> DataFrame:
-    parts = _stored_stages(spark, sf)
-    frames = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in parts]
-    return union_logs(frames)
+    """Rows of the three stored stages, counted in their Parquet footers."""
+    session = counting_session(spark)
+    counts = [(name, counts_of(session, stored(spark, sf, name), schema)) for name, schema, _ in STAGES]
+    return union_logs([c.select(F.lit(name).alias("table_name"), "row_count") for name, c in counts])
 
 
 # ================================================================ sort / limit / union
@@ -548,12 +558,14 @@ query(
     ),
 )
 def job_log_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-vendor row counts of the three stages as log rows, combined by bag union."""
+    """Per-vendor row counts of the three stages (directory counts from footers) as log rows, combined by bag union."""
+    session = counting_session(spark)
     frames = []
-    for step, df in _stored_stages(spark, sf):
+    for step, schema, parts in STAGES:
+        per = counts_of(session, stored(spark, sf, step), schema, parts)
         frames.append(
-            df.groupBy(S.VENDOR)
-            .agg(F.count(F.lit(1)).alias("n"))
+            per.groupBy(S.VENDOR)
+            .agg(F.sum("row_count").alias("n"))
             .select(
                 F.col(S.VENDOR).cast("int").alias("JobId"),
                 F.lit(step).alias("JobStep"),

@@ -111,6 +111,8 @@ def write_rows(rows: DataFrame, path: str, partition_cols: list[str], mode: str,
     if scope is not None and mode != "upsert":
         raise ValueError("a scope goes with an upsert; a full write replaces everything")
     spark = rows.sparkSession
+    if mode == "upsert" and not storage.exists(spark, storage.resolved(spark, path)):
+        mode, scope = "full", None  # the first rows: nothing to keep, and one rename instead of one per directory
     per = rows.groupBy(*partition_cols).agg(F.count("*").alias("n"))
     storage.finish_swap(spark, path)
     gone = _missing(spark, path, partition_cols, per, scope) if scope is not None else []
