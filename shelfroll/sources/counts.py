@@ -38,4 +38,7 @@ def row_count(session: SparkSession, path: str, schema: StructType, by: list[str
     """
     with listing(session):
         rows = session.read.schema(schema).parquet(resolved(session, path))
-    return (rows.groupBy(*by) if by else rows).agg(F.count(F.lit(1)).alias("row_count"))
+    if by:
+        return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+    # pushed-down counts are summed, and the sum over no file is null
+    return rows.agg(F.expr("coalesce(nullif(count(1), -1), 0)").alias("row_count"))
