@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,6 @@ def _as_bytes(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
 
 
-def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
-    """UTF-8 bytes of a string column, nulls as None."""
-    return _as_bytes(batch.column(batch.schema.get_field_index(name))).to_pylist()
-
-
 def blocks(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Cuts Arrow batches into slices of at most ``max_bytes`` of text, one document at least."""
     pa.set_memory_pool(pa.system_memory_pool())  # gives the memory of a batch that is done back to the machine
@@ -86,13 +82,47 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return f"{base.rstrip('/')}/llm-{kind}-{uuid.uuid4().hex}"
 
 
+#: paths of the tables made in each open ``temporary`` block, the innermost last
+_MADE: list[list[str]] = []
+
+
 def stored(df: DataFrame, kind: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: later jobs start from the files, whatever executor is lost."""
     path = scratch(df.sparkSession, kind)
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that ``stored`` writes inside the block go when it ends. The function it gives writes one that stays, for
+    a result that is read after the block (or goes with the block around it)."""
+    made: list[str] = []
+    _MADE.append(made)
+
+    def lasting(df: DataFrame, kind: str) -> DataFrame:
+        out = stored(df, kind)
+        path = made.pop()
+        if len(_MADE) > 1:
+            _MADE[-2].append(path)
+        return out
+
+    try:
+        yield lasting
+    finally:
+        _MADE.pop()
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder through Hadoop's file system, wherever it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 # ---- vectorised words -------------------------------------------------------------------------------------------
 
 _P = 0x9E3779B97F4A7C15  # odd multiplier of the polynomial hash

@@ -5,23 +5,24 @@
    node that stands for all of them: copies cost one row each and are never paired.
 2. Signatures are cut into ``BANDS`` bands of ``ROWS``. A pair at similarity 0.8 shares no band with probability below
    1e-7.
-3. First links: every node is compared with one centre, the smallest node of all its buckets. Components follow.
-4. Buckets that still hold several components are searched whole, in blocks of ``BLOCK`` members against each other:
-   signatures are compared inside the task. While that joins many components, each node sends the best partner outside
-   its own (in the buckets of ``BEST_BANDS`` bands); then all pairs of different components that agree well are sent,
-   each at its first shared band, as one list of partners for each node. Pairs inside one component need no test, as
-   they can't join components.
+3. Linear rounds: every node is compared with one centre, the smallest node of all its buckets. Then, while that joins
+   components, the nodes of each bucket that still holds several are compared with a centre of that bucket: in turn a
+   node of its largest component, and of one by chance. A round sends one row a node and bucket at most.
+4. The buckets that still hold several components are searched whole. Pairs inside a component need no test, as they
+   can't join components; so the members of a bucket's largest component are dealt once, to blocks, and only the
+   others meet every block. All pairs of different components whose signatures agree well are sent, each at its first
+   shared band, as lists of partners.
 5. Whatever is sent is confirmed on the full sets. Components: alternating large-star and small-star until the edges
-   stay the same.
+   stay the same, on the components of the round before.
 
-Full sets are made again from the texts of the documents that stand for a node of a pair; a bit table of their ids (16
-bits an id, at most ``FILTER_BITS`` bits in all) keeps the other documents out. False positives of the table are dropped
-by the join, so it never changes a result. Pairs are confirmed by the piece of a bucket that sent them (``BLOCK`` members
-a side), so a set travels once for each piece and not once for each pair.
+Full sets are made once, from the texts of the documents that stand for a node of a shared bucket (a join on the
+document, which the planner broadcasts or shuffles by the size of its sides). Pairs are confirmed by the piece of a
+bucket that sent them (``PART`` members a side), so a set travels once for each piece and not once for each pair.
 
 Links are exact except for the bands' and the signature test's miss probability (agreement below ``percent`` less four
-standard errors). Hot buckets: a bucket with m distinct sets in several components costs m * m / BLOCK rows moved and
-m * m signature comparisons, in m * m / BLOCK**2 independent pieces.
+standard errors). Hot buckets: with l members in the largest component and o others, the search moves
+l * ceil(o / BLOCK) + o * (ceil(l / BLOCK) + ceil(o / BLOCK)) rows: l + 2 o up to BLOCK members each, whatever the number
+of components.
 
 Edge cases: null and empty texts have an empty set and are linked with nothing, each its own component; rows with equal
 doc_id are documents of their own; a null doc_id takes part, and a component's id is the smallest that isn't null (null
@@ -34,22 +35,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, words_of
+from .common import LOWER, SPACES, blocks, id_and_text, mix, span_hashes, stored, temporary, words_of
 
 HASHES, BANDS, ROWS = 256, 32, 4
-BEST_BANDS = 8  # bands in which best partners are looked for
-MERGING = 2  # best partners are sent again while one in so many is a link
 SEED = 20_240_601
-BLOCK = 512
-PIECE = ("bucket", "x", "y")  # a bucket's members cut into blocks, and two of the blocks
+PART = 512  # nodes a side whose sets are held together
+BLOCK = 8 * PART  # nodes a side whose signatures are held together
+STALLED = 20  # linear rounds end when one joins fewer than one in so many of the nodes it tested
+PIECE = ("bucket", "x", "y")  # a bucket's members cut into parts, and two of the parts
 #: A node of a piece and the partners it is to be tested with; a node without partners is needed as a partner.
 LISTS = "bucket long, x int, y int, a long, partners array<bigint>"
 BLOCK_BYTES = 1 << 20
-FILTER_BITS = 1 << 28
 
 
 def coefficients() -> tuple[np.ndarray, np.ndarray]:
@@ -154,12 +153,13 @@ def _lists(pairs: DataFrame) -> DataFrame:
 
 
 def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """Pairs (*PIECE, a, b), read from a table, whose signatures agree in ``least`` places."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    sigs = _only(reps.select("id", "sig"), ids, 2 * pairs.count())
-    joined = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(
-        sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b"
-    )
+    """Pairs (*PIECE, a, b) whose signatures agree in ``least`` places; all pairs of a piece have the same ``a``.
+
+    The centre's signature is joined to its pieces, not to its pairs: a centre of many nodes is no hot key.
+    """
+    sigs = reps.select("id", "sig")
+    centres = pairs.select(*PIECE, "a").distinct().join(sigs, F.col("a") == F.col("id")).select(*PIECE, F.col("sig").alias("sa"))
+    joined = pairs.join(centres, [*PIECE]).join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -169,56 +169,24 @@ def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return joined.select(*PIECE, "a", "b", "sa", "sb").mapInArrow(run, "bucket long, x int, y int, a long, b long")
 
 
-def _bit_table(ids: DataFrame, column: str, n: int) -> tuple[np.ndarray, int]:
-    """A bit table of the hashes of ``column`` (``n`` values at most), built on the executors in 4 KB pieces, and its
-    mask."""
-    bits = 1 << min(max(15, (16 * n).bit_length()), FILTER_BITS.bit_length() - 1)
-    h = F.xxhash64(column).bitwiseAND(F.lit(bits - 1))
-    pieces = ids.groupBy(F.shiftright(h, 15).alias("piece")).agg(
-        F.bitmap_construct_agg(h.bitwiseAND(F.lit(32767))).alias("bits")
-    )
-    table = np.zeros(bits // 8, np.uint8)
-    for r in pieces.collect():
-        table[r.piece * 4096 : (r.piece + 1) * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
-    return table, bits - 1
-
-
-def _in_table(table: np.ndarray, h: np.ndarray) -> pa.Array:
-    return pa.array((table[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool))
-
-
-def _only(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """Rows of the nodes in ``ids`` (``n`` at most) and maybe a few more, without a shuffle of the others."""
-    table, mask = _bit_table(ids, "id", n)
+def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(id, set) of the nodes (id, doc_id, h); sets as sorted 64-bit numbers. A document without id is known by its text."""
+    key = lambda text_hash: F.coalesce("doc_id", text_hash).alias("key")
+    wanted = nodes.select(key(F.col("h"))).distinct()
+    known = docs.where("text IS NOT NULL").select("text", key(F.xxhash64("text"))).join(wanted, "key", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = batch.filter(_in_table(table, batch.column("_hash").to_numpy()))
-            yield kept.select([n for n in kept.schema.names if n != "_hash"])
-
-    return rows.withColumn("_hash", F.xxhash64("id").bitwiseAND(F.lit(mask))).mapInArrow(run, rows.schema)
-
-
-def _sets(docs: DataFrame, ids: DataFrame, n: int, reps: DataFrame, width: int) -> DataFrame:
-    """(id, set) of the nodes in ``ids`` (``n`` at most); sets as sorted 64-bit numbers."""
-    table, mask = _bit_table(reps.select("id", "doc_id").join(ids, "id", "left_semi"), "doc_id", n)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.filter(_in_table(table, batch.column("h").to_numpy()))
-            for _, texts in blocks(iter([rows]), BLOCK_BYTES):
-                key, first = shingle_sets(texts, width)
-                sets = [key[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(key, first)), pa.array(sets, pa.binary())], names=["id", "set"])
+        for _, texts in blocks(batches, BLOCK_BYTES):
+            key, first = shingle_sets(texts, width)
+            sets = [key[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(fingerprints(key, first)), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    known = docs.where("text IS NOT NULL").select("text", F.xxhash64("doc_id").bitwiseAND(F.lit(mask)).alias("h"))
-    return known.mapInArrow(run, "id long, set binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    return known.select("text").mapInArrow(run, "id long, set binary").join(nodes, "id", "left_semi").dropDuplicates(["id"])
 
 
-def _confirmed(lists: DataFrame, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of a node and a partner of ``lists`` (LISTS, read from a table) with 100 * intersection >= percent *
-    union on the full sets."""
-    sets = _sets(docs, lists.select(F.col("a").alias("id")), lists.count(), reps, width)
+def _confirmed(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a node and a partner of ``lists`` (LISTS) with 100 * intersection >= percent * union on the full
+    sets."""
     rows = lists.join(sets.withColumnRenamed("id", "a"), "a").select(*PIECE, "a", "partners", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,9 +238,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(low.select("u", F.col("m").alias("v"))).distinct()
-        seen = Observation("edges")
-        now = stored(small.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("s")), "edges")
-        after = _observed(seen)
+        now = stored(small, "edges")
+        after = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("s")).first()
         if mark == after:
             break
         mark = after
@@ -281,63 +248,104 @@ def components(edges: DataFrame) -> DataFrame:
     return every.join(roots, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
-def _observed(seen: Observation) -> tuple:
-    """Count and checksum of the rows written; no rows where Spark found the plan empty before running it."""
-    try:
-        return seen.get["n"], seen.get["s"]
-    except Py4JJavaError:
-        return 0, None
+def _joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (id, comp) after the links (a, b) between its nodes: components of the components."""
+    ends = [comp.select(F.col("id").alias(c), F.col("comp").alias(f"c{c}")) for c in ("a", "b")]
+    edges = links.join(ends[0], "a").join(ends[1], "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    after = components(edges).select(F.col("id").alias("comp"), F.col("comp").alias("_to"))
+    return comp.join(after, "comp", "left").select("id", F.coalesce("_to", "comp").alias("comp"))
 
 
-def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> DataFrame:
-    """Rows of LISTS: pairs of different components in one bucket whose signatures agree in ``least`` places, at their
-    first shared band; with ``best`` only each node's best partner, in the first bands.
+def _mixed(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (bucket, id, comp) of the buckets that hold several components, with the bucket's largest component
+    ``top``, its members ``l`` and the ``o`` others."""
+    members = shared.join(comp, "id").select("bucket", "id", "comp")
+    per = members.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
+    top = per.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
+    top = top.where("k > 1").select("bucket", F.col("top.comp").alias("top"), F.col("top.c").alias("l"), (F.col("m") - F.col("top.c")).alias("o"))
+    return members.join(top, "bucket")
+
 
-    A bucket of m members is cut into ceil(m / BLOCK) blocks; each pair of blocks is a piece of work of its own.
+def _round(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (*PIECE, a, b): a centre of each bucket with the bucket's nodes of other components.
+
+    The centre is the node with the least hash, in even turns of the largest component only; the hash changes by turn.
+    A node meets each centre once.
     """
-    blocks_in = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id", "bucket"), blocks_in).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks_in - 1)))
-    dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "comp", "n", "sig"
-    )
-    columns = ("own", "id", "comp", "n", "sig")
+    order = F.xxhash64(F.lit(turn), "bucket", "id")
+    able = F.col("comp") == F.col("top") if turn % 2 == 0 else F.lit(True)
+    centre = members.where(able).groupBy("bucket").agg(F.min_by(F.struct("id", "comp"), order).alias("centre"))
+    pairs = members.join(centre, "bucket").where(F.col("comp") != F.col("centre.comp"))
+    part = F.pmod(F.xxhash64("id"), F.ceil((F.col("l") + F.col("o")) / PART)).cast("int")
+    pairs = pairs.select("bucket", part.alias("x"), F.lit(0).alias("y"), F.col("centre.id").alias("a"), F.col("id").alias("b"))
+    first = pairs.groupBy("a", "b").agg(F.min(F.struct(*PIECE)).alias("p"))
+    return first.select("p.bucket", "p.x", "p.y", "a", "b")
 
-    def compare(run: dict) -> Iterator[tuple[int, np.ndarray, int]]:
+
+def _block_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
+    """Rows of LISTS: pairs of different components in one bucket whose signatures agree in ``least`` places, at their
+    first shared band. ``members``: what ``_mixed`` gives, with ``n`` and ``sig``.
+
+    Members of the largest component have parts 0 .. ceil(l / PART) - 1, the others the parts after these; BLOCK / PART
+    parts make a block. Two blocks, one of them of others, are a piece of work of its own.
+    """
+    per_block = BLOCK // PART
+    parts = [F.ceil(F.col(c) / PART).cast("int") for c in ("l", "o")]
+    count = [F.ceil(F.col(c) / (per_block * PART)).cast("int") for c in ("l", "o")]
+    large = F.col("comp") == F.col("top")
+    place = F.xxhash64("id", "bucket")
+    part = F.when(large, F.pmod(place, parts[0])).otherwise(F.pmod(place, parts[1])).cast("int")
+    block = F.floor(part / per_block).cast("int") + F.when(large, 0).otherwise(count[0])
+    others = F.sequence(F.when(large, count[0]).otherwise(0), count[0] + count[1] - 1)
+    dealt = members.withColumns({"part": part + F.when(large, 0).otherwise(parts[0]), "own": block})
+    dealt = dealt.withColumn("other", F.explode(others))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "part", "id", "comp", "n", "sig")
+    columns = ("own", "part", "id", "comp", "n", "sig")
+
+    def compare(run: dict) -> Iterator[tuple[int, np.ndarray]]:
+        """Places of a node and of its partners."""
         bucket, x, y = run["key"]
-        own, ids, comp, n = (np.array(run[c], np.int64) for c in columns[:4])
+        own, _, _, comp, n = (np.array(run[c], np.int64) for c in columns[:5])
         sig = np.frombuffer(b"".join(run["sig"]), "<u2").reshape(-1, HASHES)
         band = int(np.flatnonzero(band_keys(sig[:1])[0] == bucket)[0])
         rows = sig[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
-        if best and band >= BEST_BANDS:
-            return
         left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-        for i in (np.union1d(left, right) if best else left).tolist():
-            others = (right if own[i] == x else left) if best or x != y else right[right > i]
+        if x != y and len(left) > len(right):
+            left, right = right, left
+        for i in left.tolist():
+            others = right if x != y else right[right > i]
             others = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            if not len(others):
-                continue
-            agree = (sig[others] == sig[i]).sum(axis=1)
-            ok = agree >= least
-            if ok.any() and not best:  # a pair that shares an earlier band is sent from there
-                earlier = (rows[others[ok], :band] == rows[i, :band]).all(axis=2).any(axis=1)
-                ok[np.flatnonzero(ok)[earlier]] = False
-            if ok.any():
-                chosen = others[[int(np.where(ok, agree, -1).argmax())]] if best else others[ok]
-                yield int(ids[i]), ids[chosen], int(agree[ok].max())
+            ok = others[(sig[others] == sig[i]).sum(axis=1) >= least]
+            if len(ok):  # a pair that shares an earlier band is sent from there
+                ok = ok[~(rows[ok, :band] == rows[i, :band]).all(axis=2).any(axis=1)]
+            if len(ok):
+                yield i, ok
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
 
         def close() -> Iterator[pa.RecordBatch]:
-            found = [*compare(held)] if held and len(held["id"]) > 1 else []
-            if found:
-                nodes, partners, agree = [f[0] for f in found], [f[1] for f in found], [f[2] for f in found]
-                if not best:  # partners that have no list of their own are needed all the same
-                    more = sorted({*np.concatenate(partners).tolist()} - {*nodes})
-                    nodes, partners, agree = [*nodes, *more], [*partners, *[None] * len(more)], [*agree, *[0] * len(more)]
-                piece = {c: np.full(len(nodes), v, np.int64 if c == "bucket" else np.int32) for c, v in zip(PIECE, held["key"], strict=True)}
-                yield pa.RecordBatch.from_pydict({**piece, "a": nodes, "partners": pa.array(partners, pa.list_(pa.int64())), "agree": pa.array(agree, pa.int32())})
+            """The pairs found, as lists by the parts of their two nodes."""
+            if not held or len(held["id"]) < 2:
+                return
+            ids, part = np.array(held["id"], np.int64), np.array(held["part"], np.int64)
+            lists: dict[tuple, dict[int, list]] = {}
+            for i, partners in compare(held):
+                for p in np.unique(part[partners]).tolist():
+                    piece = lists.setdefault((min(p, int(part[i])), max(p, int(part[i]))), {})
+                    mine = ids[partners[part[partners] == p]].tolist()
+                    piece.setdefault(int(ids[i]), []).extend(mine)
+                    for q in mine:  # partners that have no list of their own are needed all the same
+                        piece.setdefault(q, [])
+            for (x, y), piece in lists.items():
+                m = len(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(m, held["key"][0], np.int64)), pa.array(np.full(m, x, np.int32)), pa.array(np.full(m, y, np.int32)),
+                        pa.array([*piece], pa.int64()), pa.array([*piece.values()], pa.list_(pa.int64())),
+                    ],
+                    names=[*PIECE, "a", "partners"],
+                )
 
         for batch in batches:
             cols = {c: batch.column(c).to_pylist() for c in ("bucket", "x", "y", *columns)}
@@ -349,55 +357,60 @@ def _block_pairs(members: DataFrame, least: int, percent: int, best: bool) -> Da
                     held[c].append(cols[c][i])
         yield from close()
 
-    found = dealt.repartition(*PIECE).sortWithinPartitions(*PIECE, "id").mapInArrow(run, f"{LISTS}, agree int")
-    if not best:
-        return found.drop("agree")
-    chosen = F.max_by(F.struct(*PIECE, "partners"), F.struct("agree", "partners", *PIECE)).alias("c")
-    sent = found.groupBy("a").agg(chosen).select(*(f"c.{c}" for c in PIECE), "a", F.col("c.partners")[0].alias("b"))
-    return _lists(stored(sent, "best"))
+    return dealt.repartition(*PIECE).sortWithinPartitions(*PIECE, "id").mapInArrow(run, LISTS)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text hash ``h``, n_shingles, node, component (a node) and component_id of every row of ``docs``."""
-    docs = id_and_text(docs)
+    with temporary(docs.sparkSession) as lasting:
+        return lasting(_near_duplicates(id_and_text(docs), width, percent), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     share = percent / 100
     least = max(1, int(np.floor(HASHES * (share - 4 * np.sqrt(share * (1 - share) / HASHES)))))
     made = stored(signatures(docs, width), "signatures")
     reps = made.where("id IS NOT NULL").groupBy("id").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sig").alias("sig")
+        F.min("doc_id").alias("doc_id"), F.min("h").alias("h"), F.min("n").alias("n"), F.min("sig").alias("sig")
     )
     reps = stored(reps, "nodes")
     buckets = _bands(reps)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.min("id").alias("centre")).where("m > 1")
     shared = stored(buckets.join(sizes, "bucket"), "buckets")
+    nodes = shared.select("id").distinct()
+    sets = stored(_sets(docs, reps.select("id", "doc_id", "h").join(nodes, "id", "left_semi"), width), "sets")
 
-    # one centre for each node
-    first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
-    part = F.pmod(F.xxhash64("id", "c.bucket"), F.ceil(F.col("c.m") / BLOCK)).cast("int")
-    first = first.select("c.bucket", part.alias("x"), F.lit(0).alias("y"), F.col("c.centre").alias("a"), F.col("id").alias("b"))
-    close = stored(_lists(stored(_agreement(stored(first, "pairs"), reps, least), "pairs")), "pairs")
-    links = stored(_confirmed(close, docs, reps, width, percent), "links")
-    comp = stored(components(links), "components")
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Links among pairs of one centre a piece."""
+        close = stored(_agreement(stored(pairs, "pairs"), reps, least), "pairs")
+        return stored(_confirmed(_lists(close), sets, percent), "links")
 
-    # buckets that hold several components, searched whole
-    n_nodes = reps.count()
-    best = True
+    # one centre for each node, then centres by bucket while they join components
+    first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
+    part = F.pmod(F.xxhash64("id", "c.bucket"), F.ceil(F.col("c.m") / PART)).cast("int")
+    links = links_of(first.select("c.bucket", part.alias("x"), F.lit(0).alias("y"), F.col("c.centre").alias("a"), F.col("id").alias("b")))
+    comp = stored(_joined(nodes.select("id", F.col("id").alias("comp")), links), "components")
+    turn = 0
     while True:
-        state = shared.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        mixed = state.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        members = stored(state.join(mixed, "bucket").select("bucket", "m", "id", "comp"), "members")
-        sigs = _only(reps.select("id", "n", "sig"), members.select("id"), min(members.count(), n_nodes))
-        pairs = stored(_block_pairs(members.join(sigs, "id"), least, percent, best), "pairs")
-        more = stored(_confirmed(pairs, docs, reps, width, percent), "links")
-        links = links.union(more)
-        comp = stored(components(links), "components")
-        if not best:
+        members = stored(_mixed(shared, comp), "members")
+        left = members.where("comp <> top").agg(F.count_distinct("id")).first()[0]
+        if not left:
+            break
+        links = links_of(_round(members, turn))
+        joined = links.count()
+        if joined:
+            comp = stored(_joined(comp, links), "components")
+        turn += 1
+        if turn >= 2 and STALLED * joined < left:
             break
-        tested = pairs.agg(F.sum(F.size("partners"))).first()[0] or 0
-        best = MERGING * more.count() >= max(1, tested)
+
+    # buckets that hold several components, searched whole
+    members = _mixed(shared, comp).join(reps.select("id", "n", "sig"), "id")
+    pairs = stored(_block_pairs(members, least, percent), "pairs")
+    comp = _joined(comp, stored(_confirmed(pairs, sets, percent), "links"))
 
     # back to documents: every node's component, every component's smallest doc_id
-    of_node = reps.select("id", "doc_id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    of_node = reps.select("id", "doc_id").join(stored(comp, "components"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     least_id = of_node.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_node = of_node.select("id", "comp").join(least_id, "comp")
     out = made.drop("sig").join(of_node, "id", "left")

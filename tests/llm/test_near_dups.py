@@ -70,13 +70,65 @@ def test_components_equal_all_pairs(spark, seed, width):
     assert got == sorted(brute(docs, width), key=repr)
 
 
-def test_blocks_of_a_large_bucket(spark, monkeypatch):
-    monkeypatch.setattr(nd, "BLOCK", 7)
+@pytest.mark.parametrize("stalled", [10**9, 0])
+def test_blocks_of_a_large_bucket(spark, monkeypatch, stalled):
+    """Small blocks, after linear rounds that go on to the end (0) or stop at once."""
+    monkeypatch.setattr(nd, "PART", 3)
+    monkeypatch.setattr(nd, "BLOCK", 6)
+    monkeypatch.setattr(nd, "STALLED", stalled)
     docs = corpus(4)
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nd.near_duplicates(frame(spark, docs), width=4).collect())
     assert got == sorted(brute(docs, 4))
 
 
+def hot_bucket(rng, n, words=120):
+    """Variants of one text with more and more words changed: they share buckets and fall into several components."""
+    base = prose(rng, words, 3000).split()
+    out = []
+    for i in range(n):
+        w = base.copy()
+        for k in rng.sample(range(words), 2 + i % 12):
+            w[k] = f"v{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return [(i, t, "en", "s", 0) for i, t in enumerate(out)]
+
+
+def test_a_hot_bucket_of_several_components(spark, monkeypatch):
+    docs = hot_bucket(random.Random(6), 260)
+    want = sorted(brute(docs, 4))
+    assert 20 < len({c for _, _, c in want}) < 250
+    for part in (512, 16):
+        monkeypatch.setattr(nd, "PART", part)
+        monkeypatch.setattr(nd, "BLOCK", 8 * part)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nd.near_duplicates(frame(spark, docs), width=4).collect())
+        assert got == want
+
+
+def test_block_search_rows_grow_in_proportion(spark, monkeypatch):
+    """Rows sent to blocks: one for a member of the largest component, two for the others, whatever the components."""
+    sig = bytes(2 * nd.HASHES)
+    bucket = int(nd.band_keys(nd.np.zeros((1, nd.HASHES), nd.np.uint16))[0, 0])
+    sent = []
+    frame_type = type(spark.range(1))
+    real = frame_type.repartition
+    monkeypatch.setattr(frame_type, "repartition", lambda self, *a: sent.append(self.count()) or real(self, *a))
+    for m in (500, 1000, 2000):
+        rows = [(bucket, i, 0 if i < m // 2 else i, 0, m // 2, m - m // 2, 10, sig) for i in range(m)]
+        members = spark.createDataFrame(rows, "bucket long, id long, comp long, top long, l long, o long, n long, sig binary")
+        nd._block_pairs(members, nd.HASHES + 1, 80)
+        assert sent.pop() == m // 2 + 2 * (m - m // 2)
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = {n for n in os.listdir(base) if n.startswith("llm-")}
+    out = nd.near_duplicates(frame(spark, corpus(7)), width=4)
+    left = {n for n in os.listdir(base) if n.startswith("llm-")} - before
+    assert len(left) == 1 and out.count() == len(corpus(7))
+
+
 def test_query_and_stage(spark):
     docs = corpus(5) + ODD
     want = {d: c for d, _, c in brute(docs, 4) if d is not None}
