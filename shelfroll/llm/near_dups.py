@@ -16,7 +16,7 @@
    stay the same, on the components of the round before.
 
 Full sets are made once, from the texts of the documents that stand for a node of a shared bucket (a join on the
-document, which the planner broadcasts or shuffles by the size of its sides). Pairs are confirmed by the piece of a
+document, with its keys broadcast up to a stated number of them). Pairs are confirmed by the piece of a
 bucket that sent them (``PART`` members a side), so a set travels once for each piece and not once for each pair.
 
 Links are exact except for the bands' and the signature test's miss probability (agreement below ``percent`` less four
@@ -45,6 +45,7 @@ SEED = 20_240_601
 PART = 512  # nodes a side whose sets are held together
 BLOCK = 8 * PART  # nodes a side whose signatures are held together
 STALLED = 20  # linear rounds end when one joins fewer than one in so many of the nodes it tested
+BROADCAST_ROWS = 4_000_000  # of 8 bytes
 PIECE = ("bucket", "x", "y")  # a bucket's members cut into parts, and two of the parts
 #: A node of a piece and the partners it is to be tested with; a node without partners is needed as a partner.
 LISTS = "bucket long, x int, y int, a long, partners array<bigint>"
@@ -170,9 +171,12 @@ def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(id, set) of the nodes (id, doc_id, h); sets as sorted 64-bit numbers. A document without id is known by its text."""
+    """(id, set) of the nodes (id, doc_id, h), read from a table; sets as sorted 64-bit numbers. A document without id is
+    known by its text. Up to ``BROADCAST_ROWS`` nodes their keys are broadcast; beyond, texts are shuffled to them."""
     key = lambda text_hash: F.coalesce("doc_id", text_hash).alias("key")
     wanted = nodes.select(key(F.col("h"))).distinct()
+    if nodes.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     known = docs.where("text IS NOT NULL").select("text", key(F.xxhash64("text"))).join(wanted, "key", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +185,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             sets = [key[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(fingerprints(key, first)), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    return known.select("text").mapInArrow(run, "id long, set binary").join(nodes, "id", "left_semi").dropDuplicates(["id"])
+    return known.select("text").mapInArrow(run, "id long, set binary").join(nodes.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
 
 def _confirmed(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -377,19 +381,20 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     buckets = _bands(reps)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.min("id").alias("centre")).where("m > 1")
     shared = stored(buckets.join(sizes, "bucket"), "buckets")
-    nodes = shared.select("id").distinct()
-    sets = stored(_sets(docs, reps.select("id", "doc_id", "h").join(nodes, "id", "left_semi"), width), "sets")
+    # from here on only nodes that share a bucket count
+    near = stored(reps.join(shared.select("id").distinct(), "id"), "near-nodes")
+    sets = stored(_sets(docs, near.select("id", "doc_id", "h"), width), "sets")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         """Links among pairs of one centre a piece."""
-        close = stored(_agreement(stored(pairs, "pairs"), reps, least), "pairs")
+        close = stored(_agreement(stored(pairs, "pairs"), near, least), "pairs")
         return stored(_confirmed(_lists(close), sets, percent), "links")
 
     # one centre for each node, then centres by bucket while they join components
     first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
     part = F.pmod(F.xxhash64("id", "c.bucket"), F.ceil(F.col("c.m") / PART)).cast("int")
     links = links_of(first.select("c.bucket", part.alias("x"), F.lit(0).alias("y"), F.col("c.centre").alias("a"), F.col("id").alias("b")))
-    comp = stored(_joined(nodes.select("id", F.col("id").alias("comp")), links), "components")
+    comp = stored(_joined(near.select("id", F.col("id").alias("comp")), links), "components")
     turn = 0
     while True:
         members = stored(_mixed(shared, comp), "members")
@@ -401,11 +406,11 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if joined:
             comp = stored(_joined(comp, links), "components")
         turn += 1
-        if turn >= 2 and STALLED * joined < left:
+        if STALLED * joined < left:
             break
 
     # buckets that hold several components, searched whole
-    members = _mixed(shared, comp).join(reps.select("id", "n", "sig"), "id")
+    members = _mixed(shared, comp).join(near.select("id", "n", "sig"), "id")
     pairs = stored(_block_pairs(members, least, percent), "pairs")
     comp = _joined(comp, stored(_confirmed(pairs, sets, percent), "links"))
 

@@ -76,6 +76,7 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch, stalled):
     monkeypatch.setattr(nd, "PART", 3)
     monkeypatch.setattr(nd, "BLOCK", 6)
     monkeypatch.setattr(nd, "STALLED", stalled)
+    monkeypatch.setattr(nd, "BROADCAST_ROWS", 10 if stalled else 10**6)  # texts shuffled to the nodes, or not
     docs = corpus(4)
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nd.near_duplicates(frame(spark, docs), width=4).collect())
     assert got == sorted(brute(docs, 4))
