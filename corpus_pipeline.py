@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfroll.llm import bpe, decontaminate, near_dups, quality, secret_scan
-from shelfroll.llm.common import stored
+from shelfroll.llm.common import stored, temporary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +30,13 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret replaced by a mask; ``n_chars`` follows the new text."""
+    """All documents, every secret replaced by a mask; ``n_chars`` follows the new text (0 for a null text)."""
     out = secret_scan.redacted(docs)
     if "n_chars" not in docs.columns:
         return out
     kind = docs.schema["n_chars"].dataType
-    return out.withColumn("n_chars", F.length("text").cast(kind))
+    # a null text has no characters
+    return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; rows of the last stage."""
+    """All stages over the documents of ``sf_dir``; rows of the last stage. Stored rows go when the stages are through;
+    those of the last but one stay for the result, which is read lazily."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    with temporary(spark) as lasting:
+        for name, stage in STAGES[:-2]:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        name, stage = STAGES[-2]
+        docs = lasting(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
