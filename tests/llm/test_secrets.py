@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -84,3 +87,91 @@ def test_redaction_masks_the_whole_literal(spark):
     rows = [(1, 'client_secret: str = "Zx81-qQ77-lm55"', "en", "s", 1), (2, 'password = "correct horse battery staple"', "en", "s", 1)]
     out = rows_of(s.redacted(frame(spark, rows)))
     assert out[1]["text"] == 'client_secret: str = "[secret]"' and out[2]["text"] == '[secret]"'
+
+
+SECRETS = ["Zx81-qQ77-lm55", "hunter22x!Qd", "QWxhZGRpbjpvcGVu", "a1B2c3D4e5F6g7", "p4ss/W0rd+Zeta9"]
+NAMES = ["client_secret", "dbPassword", "API_KEY", "auth.token", "passphrase", "privateKey"]
+#: Forms of a binding; {n} is the name, {c} its camel form, {v} the literal (each occurrence is a span of its own).
+FORMS = [
+    '{n} = "{v}"', "{n}: '{v}'", '{n} := "{v}"', '{n} => "{v}"', "{n}={v}", '"{n}": "{v}",', "config['{n}'] = '{v}'",
+    '{n} = """{v}"""', "{n} = \'\'\'{v}\'\'\'", "{n} = `{v}`", '{n} = r"{v}"', '{n} = @"{v}"', '{n} = (\n    "{v}"\n)', '{n} = ("{v}"\n  "{v}")',
+    '{n} = ("{v}" +\n  "{v}")', '{n} = "{v}" + "{v}"', "<{n}>{v}</{n}>", "<{n} type='x'>\n  {v}\n</{n}>", '<entry key="{n}">{v}</entry>',
+    '<add key="{n}" value="{v}"/>', "<property value='{v}' name='{n}'/>", 'set{c}("{v}")', ".with{c}(`{v}`)", 'props.put("{n}", "{v}");',
+    'setProperty( "{n}" , ("{v}") )', 'K9 = "{v}"\n{n} = K9', 'K9 = "{v}"\nset{c}(K9)', '{n}: Optional[Dict[str, str]] = "{v}"',
+]
+
+
+def form_cases(rng, n):
+    for _ in range(n):
+        form, name, secret = rng.choice(FORMS), rng.choice(NAMES), rng.choice(SECRETS)
+        if name == "auth.token" and "{c}" in form:
+            continue
+        camel = "".join(p[:1].upper() + p[1:] for p in re.split("[_.]", name)) if name != "API_KEY" else "ApiKey"
+        head, tail = rng.choice(["", "x = 1\n", "Some prose, as ever: nothing here.\n", "é😀 "]), rng.choice(["", "\n", "\nthe end"])
+        body = form.replace("{n}", name).replace("{c}", camel)
+        pieces = body.split("{v}")
+        text, spans = head, []
+        for k, piece in enumerate(pieces):
+            text += piece
+            if k < len(pieces) - 1:
+                spans.append((len(text), 3, len(text) + len(secret)))
+                text += secret
+        yield text + tail, spans, form
+
+
+def test_every_form_gives_the_spans_it_was_built_with():
+    rng = random.Random(17)
+    for text, spans, form in form_cases(rng, 1500):
+        assert sorted(s.method_spans(text)) == spans, (form, text)
+
+
+def test_several_bindings_in_one_text():
+    rng = random.Random(18)
+    for _ in range(60):
+        text, want = "", []
+        for body, spans, _ in form_cases(rng, 8):
+            if body.endswith("\n") or "\n" not in body:
+                want += [(a + len(text), k, b + len(text)) for a, k, b in spans]
+                text += body + "\nplain words between\n"
+        assert sorted(s.method_spans(text)) == sorted(want), text
+
+
+def test_redaction_leaves_no_literal(spark):
+    rng = random.Random(19)
+    cases = [*form_cases(rng, 300)]
+    rows = [(i, text, "en", "s", 0) for i, (text, _, _) in enumerate(cases)]
+    out = rows_of(s.redacted(frame(spark, rows)))
+    for i, (text, spans, form) in enumerate(cases):
+        assert text[spans[0][0] : spans[0][2]] not in out[i]["text"], form
+
+
+def test_expressions_bind_nothing():
+    for text in (
+        'token: str = os.environ["X"]', 'client_secret = getenv("HOME")', "password = settings.database.password", "api_key = keys[0]", "secret_key == other",
+        'setTitle("Zx81-qQ77-lm55")', "<colour>Zx81-qQ77-lm55</colour>", 'put("title", "Zx81-qQ77-lm55")', "signing_key = ", "signing_key = (", 'signing_key = "open',
+        "<signing_key>", '<add key="signing_key" value=>', "a < b > c </b>",
+    ):
+        assert not s.method_spans(text), text
+    # a token of three parts with digits is no path
+    jwt = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2"
+    text = f"auth_jwt = {jwt}"
+    assert {text[a:b] for a, _, b in s.method_spans(text)} == {jwt}
+
+
+def test_no_look_back_limit_and_linear_time():
+    long = "x" * 5000 + "_password"
+    text = f'{long} = "Zx81-qQ77-lm55"'
+    assert [text[a:b] for a, _, b in s.method_spans(text)] == ["Zx81-qQ77-lm55"]
+    text = "client_secret: " + "Optional" * 400 + ' = "Zx81-qQ77-lm55"'
+    assert [text[a:b] for a, _, b in s.method_spans(text)] == ["Zx81-qQ77-lm55"]
+    text = "client_secret" + " " * 3000 + '= "Zx81-qQ77-lm55"'
+    assert [text[a:b] for a, _, b in s.method_spans(text)] == ["Zx81-qQ77-lm55"]
+    began = time.monotonic()
+    for odd in ("a:" * 100_000, "a=" * 100_000, "= " * 100_000, "a: b | " * 50_000, "&*" * 100_000 + "=", "password = (" * 20_000, '"' * 100_000, "password='" * 30_000, "x: a[b<" * 40_000, "<a " * 50_000, "<a>" * 50_000, "set_A(" * 30_000, "`" * 99_999):
+        [*s.pairs(odd)]
+    assert time.monotonic() - began < 30
+
+
+def test_a_kept_column_may_not_clash(spark):
+    with pytest.raises(ValueError, match="_spans"):
+        s.scanned(frame(spark, ODD).withColumnRenamed("lang", "_spans"))
