@@ -1,24 +1,28 @@
 """Language-model scores by prediction by partial matching (PPM).
 
-A byte-context trie of order ``ORDER`` is trained on the tokens of the training documents. Every token is the byte
-string of a word with a blank before it and a blank after it; the context of a byte is the up to ``ORDER`` bytes before
-it, back to the blank that opens its token. Escapes follow method C (the number of different symbols seen), and symbols
-already offered by a longer context are excluded from the shorter ones. Since every symbol of a context was also seen
-after its suffix, the excluded set is always the symbols of the longer context, so each step down needs two numbers per
-context only and the score is exact PPM-C with exclusion.
-
-A token's code length depends on the token alone. So each block of documents (``BLOCK_BYTES`` of text) sends its
-distinct words and distinct trie windows once, and gets their values back:
-
-1. One pass over the documents writes, per block: words with training count, windows with training count, the block's
-   word list and each document's bag of word numbers (compressed).
-2. Words and windows are summed over all blocks. Windows are dealt by the last two bytes of their context, which all
-   shorter contexts down to order two share; the tables of order one and nought (at most 2**16 + 2**8 rows) are
-   broadcast. Each task holds its part of the trie in sorted arrays and scores its windows by binary search.
-3. Values return to the blocks by one join, and each document's score is the sum over its bag.
-
-Words are identified by a 64-bit hash. Nothing whole passes the driver: only the totals N and V and the tables of order
-one and nought do.
+A byte-context trie of order ``ORDER`` is trained on the byte streams of the training documents. A document's stream is
+a blank, its lower-cased words with a blank after each, and the end symbol; the context of a symbol is the up to
+``ORDER`` bytes before it, across blanks, so the order of the words counts. Escapes follow method C (the number of
+different symbols seen), and symbols already offered by a longer context are excluded from the shorter ones. Since
+every symbol of a context was also seen after its suffix, the excluded set is always the symbols of the longer context,
+so each step down needs two numbers per context only and the score is exact PPM-C with exclusion.
+
+A *window* is a context with its symbol. Documents are taken in blocks (``BLOCK_BYTES`` of text), and a block sends its
+distinct windows and words once, as sorted, packed arrays:
+
+1. One pass writes, per block: the distinct windows and words with their training counts, and each document's stream
+   (compressed).
+2. Windows are dealt to parts by the last two bytes of their context, which all longer contexts and all shorter ones
+   down to order two share. A pair of bytes with more than ``PART_ROWS`` windows is split by the third; its own table
+   of order two (at most 257 entries) is then broadcast with the tables of order one and nought (at most 2**16 + 2**8
+   rows). Words are dealt by their hash. A part's blocks are summed in groups of ``GROUP_ROWS`` windows first, then
+   the sums of the groups, so that no task sees all blocks of a window that is everywhere.
+3. A part holds its piece of the trie in sorted arrays and finds the value of each distinct window by binary search.
+   Values go back to the groups, and from there to the blocks, in the order the block has its windows.
+4. Each block makes its documents' windows again and adds up their values, found in a hash table.
+
+Words are identified by a 64-bit hash. Nothing whole passes the driver: only the totals N and V, the weights of the
+pairs of bytes (at most 2**16 numbers) and the broadcast tables do.
 
 Edge cases: a null or empty text has the end token alone; with no training text all symbols are equally likely; a null
 doc_id counts as the empty id text; repeated ids keep their rows; other columns are ignored.
@@ -33,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,127 +45,194 @@ from .common import LOWER, blocks, crc_mod, id_and_text, stored
 
 ORDER = 6
 BLOCK_BYTES = 32 << 20
-SLICE = 50_000  # words whose windows are made together
+SLICE_BYTES = 4 << 20  # text whose windows are made together
 SYMBOLS = 257  # 256 bytes and the end of the text
 END = 256
-WORD, WINDOW, DOCUMENT, LIST = 0, 1, 2, 3
-PART_ROWS = 2_000_000  # windows in a part of the trie, about
+WINDOWS, WORDS, DOCUMENT = 0, 1, 2
+PART_ROWS = 2_000_000  # windows, or words, in a part, about
+GROUP_ROWS = 20_000_000  # windows of a part, of several blocks, that a task sums
 
 # A window is one number: order (3 bits), context bytes (8 bits each, latest lowest), symbol (9 bits).
 _SYMBOL_BITS, _ORDER_SHIFT = 9, 9 + 8 * ORDER
 
 
-def token_windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(windows of all words, first window of each word and the total): one for each byte and for the closing blank."""
-    buf = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
-    lens = np.array([len(w) for w in words], np.int64) + 1  # with the closing blank, which opens the next word
+def stream(text: bytes | None) -> tuple[bytes, int]:
+    """The bytes of a text's stream before the end symbol, and its words."""
+    words = text.translate(LOWER).split() if text else []
+    return (b" " + b" ".join(words) + b" ", len(words)) if words else (b" ", 0)
+
+
+def windows_of(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(windows of all streams, first window of each and the total): one for each byte but the first, and the end."""
+    buf = np.frombuffer(b"".join(streams), np.uint8).astype(np.int64)
+    lens = np.array([len(x) for x in streams], np.int64)
     first = np.concatenate([[0], np.cumsum(lens)])
     n = int(first[-1])
-    since = np.arange(n) - np.repeat(first[:-1], lens) + 1  # bytes before a symbol, back to the opening blank
-    order = np.minimum(since, ORDER)
-    key = buf[1 : n + 1].copy()
-    for k in range(1, ORDER + 1):
-        shifted = np.zeros(n, np.int64)
-        shifted[max(0, k - 1) :] = buf[: n - k + 1]
-        key |= np.where(order >= k, shifted, 0) << (_SYMBOL_BITS + 8 * (k - 1))
+    key = np.empty(n, np.int64)  # a window for each byte: what comes after it
+    key[:-1] = buf[1:]
+    key[first[1:] - 1] = END
+    seen = np.arange(1, n + 1) - np.repeat(first[:-1], lens)  # bytes of the stream up to each place
+    order = np.minimum(seen, ORDER)
+    for k in range(ORDER):
+        shifted = buf[: n - k] << (_SYMBOL_BITS + 8 * k)
+        if k:
+            shifted[order[k:] <= k] = 0
+        key[k:] |= shifted
     return key | (order << _ORDER_SHIFT), first
 
 
-#: The end of a text is a symbol after the blank that closes the last token.
-END_WINDOW = END | 32 << _SYMBOL_BITS | 1 << _ORDER_SHIFT
+def counted(kept: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of both arrays, sorted, and how often ``kept`` has each."""
+    kept = np.sort(kept)
+    new = np.flatnonzero(np.append(True, kept[1:] != kept[:-1])) if len(kept) else np.zeros(0, np.int64)
+    only = np.unique(other)
+    only = only[~_among(kept[new], only)]
+    return summed(np.concatenate([kept[new], only]), np.concatenate([np.diff(np.append(new, len(kept))), np.zeros(len(only), np.int64)]))
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of ``wanted`` are in the sorted ``keys``."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool)
+    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sum of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[new], np.add.reduceat(counts, new)
+
 
+class Sums:
+    """Keys with counts that come in pieces; pieces are merged when they have grown as large as what is merged."""
 
-def window_counts(words: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct windows of ``words`` with the sum of the words' training counts; a slice of the words at a time."""
-    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lo in range(0, len(words), SLICE):
-        windows, first = token_windows(words[lo : lo + SLICE])
-        key, where = np.unique(windows, return_inverse=True)
-        weight = np.repeat(train[lo : lo + SLICE], np.diff(first))
-        keys.append(key)
-        counts.append(np.bincount(where, weights=weight, minlength=len(key)).astype(np.int64))
-    key, where = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(where, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
+    def __init__(self):
+        self.keys, self.counts, self.pieces, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.pieces.append((keys, counts))
+        self.size += len(keys)
+        if self.size > max(len(self.keys), 1_000_000):
+            self.merge()
 
-def word_logs(words: list[bytes], window: np.ndarray, gain: np.ndarray) -> np.ndarray:
-    """Sum of the windows' values of each word; a slice of the words at a time."""
-    out = [np.zeros(0)]
-    for lo in range(0, len(words), SLICE):
-        windows, first = token_windows(words[lo : lo + SLICE])
-        out.append(np.add.reduceat(gain[np.searchsorted(window, windows)], first[:-1]))
-    return np.concatenate(out)
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.pieces:
+            every = [(self.keys, self.counts), *self.pieces]
+            self.keys, self.counts = summed(np.concatenate([k for k, _ in every]), np.concatenate([c for _, c in every]))
+            self.pieces, self.size = [], 0
+        return self.keys, self.counts
+
+
+class Places:
+    """Where each of some distinct numbers stands: a hash table with open addressing, filled and read in whole arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.place = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] == -1
+            self.place[slot[free]] = left[free]  # of several keys for a slot the last one stays
+            self.keys[slot[free]] = keys[left[free]]
+            out = self.keys[slot] != keys[left]
+            left, slot = left[out], (slot[out] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Places of ``keys``, all of which are in the table."""
+        slot = self._slot(keys)
+        missed = np.flatnonzero(self.keys[slot] != keys)
+        while len(missed):
+            slot[missed] = (slot[missed] + 1) & ((1 << self.bits) - 1)
+            missed = missed[self.keys[slot[missed]] != keys[missed]]
+        return self.place[slot]
 
 
 def word_key(word: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+    return xxhash.xxh3_64_intdigest(word) >> 1
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(numbers.tobytes())
+
+
+def _unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data))
+
+
+FOUND = pa.schema(
+    [
+        ("block", pa.int64()), ("kind", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("held_out", pa.bool_()),
+        ("payload", pa.binary()), ("counts", pa.binary()),
+    ]
+)
+FOUND_SCHEMA = "block long, kind int, place int, doc_id long, n long, held_out boolean, payload binary, counts binary"
+
+
+def _rows(schema: pa.Schema, m: int, **columns) -> pa.RecordBatch:
+    """``m`` rows; a column that isn't given is null, a single number stands for all rows."""
+    arrays = []
+    for f in schema:
+        own = columns.get(f.name)
+        arrays.append(pa.nulls(m, f.type) if own is None else pa.array(np.full(m, own) if isinstance(own, int) else own, f.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def _collect(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows of all blocks: (block, kind, key, n, doc, held_out, payload)."""
+    """Rows of all blocks: WINDOWS and WORDS have the block's distinct keys (``n`` of them) with their training counts,
+    a DOCUMENT row has its stream and its number of words. ``place`` orders the rows of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-
-        def close(held: dict) -> Iterator[pa.RecordBatch]:
-            words = list(held["numbers"])
-            keys = np.array([word_key(w) for w in words], np.int64)
-            train = np.zeros(len(words), np.int64)
-            tokens = train_tokens = 0
-            rows: dict[str, list] = {"key": [], "n": [], "held_out": [], "payload": []}
-            for doc_id, held_out, ids in held["docs"]:
-                number, count = np.unique(ids, return_counts=True)
-                if not held_out:
-                    train[number] += count
-                    train_tokens += 1
-                tokens += 1
-                bag = np.concatenate([np.diff(number, prepend=0), count]).astype(np.uint32)
-                rows["key"].append(doc_id)
-                rows["n"].append(len(ids) + 1)
-                rows["held_out"].append(held_out)
-                rows["payload"].append(pack(bag.tobytes()))
-            block = int(xxhash.xxh3_64_intdigest(repr([d[:2] for d in held["docs"]]).encode() + held["docs"][0][2].tobytes() + keys.tobytes()) >> 1)
-            window, count = window_counts(words, train)
-            yield _rows(block, WORD, keys, train)
-            yield _rows(block, WINDOW, np.append(window, END_WINDOW), np.append(count, train_tokens))
-            listed = b" ".join(words)
-            yield _rows(block, LIST, np.zeros(1, np.int64), np.zeros(1, np.int64), payload=[pack(listed)])
-            for lo in range(0, len(rows["key"]), 5000):
-                part = slice(lo, lo + 5000)
-                yield _rows(block, DOCUMENT, rows["key"][part], rows["n"][part], rows["held_out"][part], rows["payload"][part])
-
-        held: dict = {"numbers": {}, "docs": [], "size": 0}
-        for batch, texts in blocks(batches, 4 << 20):
-            numbers = held["numbers"]
-            for doc_id, held_out, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), texts, strict=True):
-                size = len(text or b"")
-                if held["docs"] and held["size"] + size > block_bytes:
-                    yield from close(held)
-                    held = {"numbers": {}, "docs": [], "size": 0}
-                    numbers = held["numbers"]
-                words = text.translate(LOWER).split() if text else []
-                for w in words:
-                    if w not in numbers:
-                        numbers[w] = len(numbers)
-                held["docs"].append((doc_id, held_out, np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))))
-                held["size"] += size
-        if held["docs"]:
-            yield from close(held)
-
-    return docs.mapInArrow(run, "block long, kind int, key long, n long, held_out boolean, payload binary")
-
-
-def _rows(block, kind, key, n, held_out=None, payload=None) -> pa.RecordBatch:
-    m = len(key)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(m, block, np.int64)), pa.array(np.full(m, kind, np.int32)), pa.array(key, pa.int64()),
-            pa.array(n, pa.int64()), pa.array(held_out if held_out is not None else [None] * m, pa.bool_()),
-            pa.array(payload if payload is not None else [None] * m, pa.binary()),
-        ],
-        names=["block", "kind", "key", "n", "held_out", "payload"],
-    )
+        pack = zstandard.ZstdCompressor(level=3).compress
+        partition, number = TaskContext.get().partitionId(), 0
+
+        def close(windows: Sums, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+            hashes = np.fromiter(map(word_key, words), np.int64, len(words))
+            for kind, (keys, counts) in (
+                (WINDOWS, windows.merge()), (WORDS, summed(hashes, np.fromiter(words.values(), np.int64, len(words)))),
+            ):
+                yield _rows(FOUND, 1, block=partition << 32 | number, kind=kind, place=kind, n=len(keys), payload=[_pack_sorted(keys)], counts=[_pack(counts)])
+
+        windows, words, size = Sums(), {}, 0
+        for batch, texts in blocks(batches, min(SLICE_BYTES, block_bytes)):
+            mine = sum([len(t or b"") for t in texts])
+            if size and size + mine > block_bytes:
+                yield from close(windows, words)
+                windows, words, size, number = Sums(), {}, 0, number + 1
+            held_out = batch.column("held_out").to_pylist()
+            streams = [stream(t) for t in texts]
+            for chosen in (True, False):  # documents to learn from, then the others
+                own = [x for (x, _), h in zip(streams, held_out, strict=True) if bool(h) != chosen]
+                if own:
+                    keys = windows_of(own)[0]
+                    none = keys[:0]
+                    windows.add(*counted(*((keys, none) if chosen else (none, keys))))
+                for x in own:
+                    for w in x.split():
+                        words[w] = words.get(w, 0) + chosen
+            size += max(mine, 1)
+            yield _rows(
+                FOUND, len(texts), block=partition << 32 | number, kind=DOCUMENT, place=1 << 30, doc_id=batch.column("doc_id"), n=[m for _, m in streams],
+                held_out=held_out, payload=[pack(x) for x, _ in streams],
+            )
+        if size:
+            yield from close(windows, words)
+
+    return docs.mapInArrow(run, FOUND_SCHEMA)
 
 
 class Trie:
@@ -246,31 +318,157 @@ def _level(key: np.ndarray, n: np.ndarray) -> dict:
     return {"key": key, "n": n, "context": context, "start": start, "kinds": kinds, "total": total, "covered": np.zeros(len(start), np.int64)}
 
 
-def _score_windows(windows: DataFrame) -> DataFrame:
-    """(kind, key, value): log10 probability of every window of ``windows`` (key, n)."""
-    # windows of order one, and what longer ones add to orders one and nought: at most 2**16 * 257 and 257 rows
-    order = F.shiftright("key", _ORDER_SHIFT)
-    symbol = F.col("key").bitwiseAND(F.lit((1 << _SYMBOL_BITS) - 1))
-    last = F.shiftright("key", _SYMBOL_BITS).bitwiseAND(F.lit(255))
-    short = windows.where("n > 0").groupBy(last.alias("c"), symbol.alias("s")).agg(F.sum("n").alias("n")).toPandas()
-    one = short["c"].to_numpy(np.int64) << _SYMBOL_BITS | short["s"].to_numpy(np.int64) | 1 << _ORDER_SHIFT
-    below = Trie(one, short["n"].to_numpy(np.int64), 0)
-    rows = windows.count()
+def _pairs(found: DataFrame) -> DataFrame:
+    """(pair, symbol, n, refs): training count and windows of all blocks by the last two bytes of the context and the
+    symbol; pairs of windows of order one are -1 less their byte."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload, counts in zip(batch.column("payload").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                keys, n = _unpack_sorted(payload), _unpack(counts)
+                context = keys >> _SYMBOL_BITS
+                pair = np.where(keys >> _ORDER_SHIFT >= 2, context & 0xFFFF, -1 - (context & 255))
+                both = pair * 512 + (keys & 511)
+                order = np.argsort(both, kind="stable")
+                both = both[order]
+                new = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "pair": pa.array(both[new] >> 9), "symbol": pa.array(both[new] & 511),
+                        "n": pa.array(np.add.reduceat(n[order], new) if len(new) else n[:0]), "refs": pa.array(np.diff(np.append(new, len(both)))),
+                    }
+                )
+
+    found = found.where(f"kind = {WINDOWS}").select("payload", "counts").mapInArrow(run, "pair long, symbol long, n long, refs long")
+    return found.groupBy("pair", "symbol").agg(F.sum("n").alias("n"), F.sum("refs").alias("refs"))
+
+
+class Deal:
+    """Which part each window and word belongs to."""
+
+    def __init__(self, refs: dict[int, int], word_refs: int, part_rows: int):
+        self.of_pair = np.zeros(1 << 16, np.int32)
+        self.pieces = np.ones(1 << 16, np.int32)
+        load: list[int] = [0]
+        self.hot = sorted(p for p, n in refs.items() if p >= 0 and n > part_rows)
+        for p, n in sorted(refs.items()):
+            if p >= 0 and n <= part_rows:
+                if load[-1] and load[-1] + n > part_rows:
+                    load.append(0)
+                self.of_pair[p] = len(load) - 1
+                load[-1] += n
+        self.low = len(load)  # parts below this have whole pairs, those up to ``words`` have pieces of hot pairs
+        at = self.low
+        for p in self.hot:
+            self.of_pair[p], self.pieces[p] = at, min(256, math.ceil(refs[p] / part_rows))
+            at += int(self.pieces[p])
+            load += [math.ceil(refs[p] / int(self.pieces[p]))] * int(self.pieces[p])
+        self.words = at
+        self.word_parts = max(1, math.ceil(word_refs / part_rows))
+        self.load = load + [math.ceil(word_refs / self.word_parts)] * self.word_parts
+
+    def windows(self, keys: np.ndarray) -> np.ndarray:
+        context, order = keys >> _SYMBOL_BITS, keys >> _ORDER_SHIFT
+        pair = np.where(order >= 2, context & 0xFFFF, 0)
+        third = np.where(order >= 3, context >> 16 & 255, 0)
+        part = self.of_pair[pair] + (third * 2654435761 >> 7) % self.pieces[pair]
+        return np.where(order >= 2, part, 0)  # shorter ones need the broadcast tables only
+
+    def word_part(self, keys: np.ndarray) -> np.ndarray:
+        return self.words + (keys >> 40) % self.word_parts
+
+
+PIECE = pa.schema([("part", pa.int32()), ("grp", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+PIECE_SCHEMA = "part int, grp int, block long, keys binary, counts binary"
+
+
+def _pieces(found: DataFrame, deal: Deal, group_rows: int) -> DataFrame:
+    """The keys of every block cut by part, in their order; blocks of a part form groups of about ``group_rows`` keys."""
+    groups = np.maximum(1, np.ceil(np.array(deal.load) / group_rows)).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, kind, payload, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "payload", "counts")), strict=True):
+                keys, n = _unpack_sorted(payload), _unpack(counts)
+                if not len(keys):
+                    continue
+                part = deal.windows(keys) if kind == WINDOWS else deal.word_part(keys)
+                order = np.argsort(part, kind="stable")
+                keys, n, part = keys[order], n[order], part[order]
+                cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+                at = [(lo, hi) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+                own = part[cuts[:-1]].astype(np.int64)
+                group = (block * 0x9E3779B1 >> 7) % groups[own]
+                yield _rows(
+                    PIECE, len(at), part=own, grp=group, block=block, keys=[_pack_sorted(keys[lo:hi]) for lo, hi in at], counts=[_pack(n[lo:hi]) for lo, hi in at]
+                )
+
+    rows = found.where(f"kind IN ({WINDOWS}, {WORDS})").select("block", "kind", "payload", "counts")
+    return rows.mapInArrow(run, PIECE_SCHEMA)
+
+
+def _sums(pieces: DataFrame, by: list[str]) -> DataFrame:
+    """Keys and counts summed by ``by``; ``block`` is nought."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, Sums()
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if at is not None:
+                keys, n = held.merge()
+                yield _rows(PIECE, 1, part=at[0], grp=at[1], block=0, keys=[_pack_sorted(keys)], counts=[_pack(n)])
+
+        for batch in batches:
+            for part, grp, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "grp", "keys", "counts")), strict=True):
+                now = (part, grp if "grp" in by else 0)
+                if now != at:
+                    yield from close()
+                    at, held = now, Sums()
+                held.add(_unpack_sorted(keys), _unpack(counts))
+        yield from close()
+
+    return pieces.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, PIECE_SCHEMA)
+
+
+def _values(sums: DataFrame, deal: Deal, tables: np.ndarray) -> DataFrame:
+    """(part, keys, values, n, v): the log10 probability of each window, the count of each word; the sum of the counts
+    and the number of keys with one. ``tables``: rows (key, n) of the shared tables of low order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches]
-        if not parts:
-            return
-        key, n = (np.concatenate(c) for c in zip(*parts, strict=True))
-        trie = Trie(key, n, 2, below)
-        for lo in range(0, len(key), 200_000):
-            part = key[lo : lo + 200_000]
-            yield pa.RecordBatch.from_pydict({"kind": np.full(len(part), WINDOW, np.int32), "key": part, "value": trie.log10(part)})
+        below = Trie(tables[:, 0], tables[:, 1], 0)
+        for batch in batches:
+            for part, packed, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts")), strict=True):
+                keys, n = _unpack_sorted(packed), _unpack(counts)
+                if part < deal.words:
+                    trie = Trie(keys, n, 2 if part < deal.low else 3, below)
+                    found = np.concatenate([np.zeros(0), *(trie.log10(keys[lo : lo + 200_000]) for lo in range(0, len(keys), 200_000))])
+                else:
+                    found = n.astype(np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([packed], pa.binary()), pa.array([_pack(found)], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])],
+                    names=["part", "keys", "values", "n", "v"],
+                )
+
+    return sums.select("part", "keys", "counts").mapInArrow(run, "part int, keys binary, values binary, n long, v long")
+
+
+def _returned(pieces: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows of FOUND for every piece: its values, in the order of its keys; ``place`` is 2 and the part."""
+    groups = pieces.select("part", "grp").distinct()
+    own = values.join(groups, "part").select("part", "grp", F.lit(-1).cast("long").alias("block"), "keys", F.col("values").alias("counts"))
+    both = own.union(pieces.select("part", "grp", "block", "keys", F.lit(None).cast("binary").alias("counts")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = found = np.zeros(0)
+        for batch in batches:
+            for part, block, packed, data in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "keys", "counts")), strict=True):
+                if block < 0:
+                    keys, found = _unpack_sorted(packed), _unpack(data, np.float64)
+                else:
+                    out = found[np.searchsorted(keys, _unpack_sorted(packed))]
+                    yield _rows(FOUND, 1, block=block, kind=3, place=2 + part, n=len(out), payload=[_pack(out)])
 
-    # contexts of order two and more share their last two bytes with all their suffixes down to order two
-    two = F.when(order >= 2, F.shiftright("key", _SYMBOL_BITS).bitwiseAND(F.lit(0xFFFF))).otherwise(-1 - symbol)
-    dealt = windows.withColumn("two", two).repartition(max(1, math.ceil(rows / PART_ROWS) * 4), "two")
-    return dealt.select("key", "n").mapInArrow(run, "kind int, key long, value double")
+    return both.repartition("part", "grp").sortWithinPartitions("part", "grp", "block").mapInArrow(run, FOUND_SCHEMA)
 
 
 def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -280,73 +478,96 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
     """
     rows = id_and_text(docs, held_out.alias("held_out"))
     found = stored(_collect(rows, block_bytes), "blocks")
-    words = stored(found.where(f"kind = {WORD}").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    windows = stored(found.where(f"kind = {WINDOW}").groupBy("key").agg(F.sum("n").alias("n")), "windows")
-    total = words.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    ends = int(windows.where(F.col("key") == END_WINDOW).agg(F.sum("n")).first()[0] or 0)
+    pairs = stored(_pairs(found), "pairs")
+    refs = {r.pair: r.refs for r in pairs.groupBy("pair").agg(F.sum("refs").alias("refs")).collect()}  # 2**16 + 2**8 at most
+    word_refs = found.where(f"kind = {WORDS}").agg(F.sum("n")).first()[0] or 0
+    deal = Deal(refs, word_refs, PART_ROWS)
+    # order two of hot pairs, order one of all other windows
+    hot = F.col("pair").isin(deal.hot) if deal.hot else F.lit(False)
+    byte = F.when(F.col("pair") < 0, -1 - F.col("pair")).otherwise(F.col("pair").bitwiseAND(255))
+    low = pairs.where("n > 0").groupBy(hot.alias("hot"), F.when(hot, F.col("pair")).otherwise(byte).alias("context"), "symbol").agg(F.sum("n").alias("n")).collect()
+    tables = np.array([((2 if r.hot else 1) << _ORDER_SHIFT | r.context << _SYMBOL_BITS | r.symbol, r.n) for r in low], np.int64).reshape(-1, 2)
+    pieces = _pieces(found, deal, GROUP_ROWS)
+    sums = _sums(_sums(pieces, ["part", "grp"]), ["part"])
+    values = stored(_values(sums, deal, tables), "values")
+    total = values.where(F.col("part") >= deal.words).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    ends = rows.where(~F.col("held_out")).count()
     n_train = int(total.n or 0) + ends
     v_train = int(total.v or 0) + (ends > 0)
     below = n_train + 0.1 * (v_train + 1)
     end_base = math.log10((ends + 0.1) / below)
-    # a word's value is its training count: known and base score follow from it
-    values = words.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value")).union(_score_windows(windows))
-    back = found.where(f"kind IN ({WORD}, {WINDOW})").select("block", "kind", "key").join(stored(values, "values"), ["kind", "key"])
-    back = back.select("block", "kind", "key", "value", F.lit(None).cast("long").alias("n"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("binary").alias("payload"))
-    own = found.where(f"kind IN ({DOCUMENT}, {LIST})").select("block", "kind", "key", F.lit(None).cast("double").alias("value"), "n", "held_out", "payload")
-    # values first, then the word list, then the documents of each block
-    place = F.when(F.col("kind") == LIST, 2).when(F.col("kind") == DOCUMENT, 3).otherwise(F.col("kind"))
-    dealt = back.union(own).withColumn("place", place).repartition("block").sortWithinPartitions("block", "place", "key")
+    every = found.union(_returned(pieces, values).select(*found.columns)).repartition("block").sortWithinPartitions("block", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        state: dict = {"block": None}
+        block, held = None, {}
 
         def prepare() -> None:
-            words = unpack(state["list"]).split(b" ") if state["list"] is not None else []
-            words = [w for w in words if w]
-            keys = np.array([word_key(w) for w in words], np.int64)
-            known, value = (np.concatenate(x) if x else np.zeros(0) for x in zip(*state[WORD], strict=True)) if state[WORD] else (np.zeros(0, np.int64), np.zeros(0))
-            window, gain = (np.concatenate(x) for x in zip(*state[WINDOW], strict=True))
-            state["count"] = value[np.searchsorted(known, keys)] if len(keys) else np.zeros(0)
-            state["log"] = word_logs(words, window, gain)
-            state["base"] = np.log10((state["count"] + 0.1) / below)
-            state["end"] = float(gain[np.searchsorted(window, END_WINDOW)])
-            state[WORD], state[WINDOW], state["ready"] = [], [], True
-
-        for batch in batches:
-            block, kind = batch.column("block").to_numpy(), batch.column("place").to_numpy()
-            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(block)], strict=True):
-                if hi == lo:
-                    continue
-                if state["block"] != block[lo]:
-                    state = {"block": block[lo], WORD: [], WINDOW: [], "list": None, "ready": False}
-                part = batch.slice(lo, hi - lo)
-                k = int(kind[lo])
-                if k in (WORD, WINDOW):
-                    state[k].append((part.column("key").to_numpy(), part.column("value").to_numpy()))
-                elif k == 2:
-                    state["list"] = part.column("payload")[0].as_py()
-                else:
-                    if not state["ready"]:
+            """The windows' and the words' values, in the order of their places in the tables."""
+            for kind, places in ((WINDOWS, "at"), (WORDS, "number")):
+                keys = held[kind]
+                part = deal.windows(keys) if kind == WINDOWS else deal.word_part(keys)
+                found = np.zeros(len(keys))
+                order = np.argsort(part, kind="stable")
+                cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(part)] if len(part) else [0]
+                for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                    found[order[lo:hi]] = held["values"][int(part[order[lo]])]
+                held[places] = Places(keys)
+                held[f"{places}-values"] = found
+            held["values"] = {}
+
+        for batch in (b.slice(lo, 2000) for b in batches for lo in range(0, b.num_rows, 2000)):
+            columns = {c: batch.column(c).to_pylist() for c in ("block", "kind", "place", "payload")}
+            documents: list[int] = []
+            for i, (b, kind, place) in enumerate(zip(columns["block"], columns["kind"], columns["place"], strict=True)):
+                if b != block:
+                    if documents:
+                        yield score(batch, columns["payload"], documents, held, unpack)
+                        documents = []
+                    block, held = b, {"values": {}, WINDOWS: np.zeros(0, np.int64), WORDS: np.zeros(0, np.int64), "ready": False}
+                if kind in (WINDOWS, WORDS):
+                    held[kind] = _unpack_sorted(columns["payload"][i])
+                elif kind == DOCUMENT:
+                    if not held["ready"]:
                         prepare()
-                    base, score, known = [], [], []
-                    for payload in part.column("payload").to_pylist():
-                        bag = np.frombuffer(unpack(payload), np.uint32).astype(np.int64)
-                        m = len(bag) // 2
-                        number, count = np.cumsum(bag[:m]), bag[m:]
-                        base.append(float((state["base"][number] * count).sum()) + end_base)
-                        score.append(float((state["log"][number] * count).sum()) + state["end"])
-                        known.append(int(count[state["count"][number] > 0].sum()) + (ends > 0))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column("key"), part.column("held_out"), part.column("n"), pa.array(known, pa.int64()),
-                            pa.array(np.full(hi - lo, n_train, np.int64)), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                        ],
-                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                    )
-
-    return dealt.mapInArrow(
+                        held["ready"] = True
+                    documents.append(i)
+                else:
+                    held["values"][place - 2] = _unpack(columns["payload"][i], np.float64)
+            if documents:
+                yield score(batch, columns["payload"], documents, held, unpack)
+
+    def score(batch: pa.RecordBatch, payloads: list[bytes], documents: list[int], held: dict, unpack) -> pa.RecordBatch:
+        streams = [unpack(payloads[i]) for i in documents]
+        gains, bases, known = [], [], []
+        lo = 0
+        while lo < len(streams):  # slices of a bounded size
+            hi, size = lo, 0
+            while hi < len(streams) and (hi == lo or size + len(streams[hi]) <= SLICE_BYTES // 4):
+                size += len(streams[hi])
+                hi += 1
+            keys, first = windows_of(streams[lo:hi])
+            gains.append(np.add.reduceat(held["at-values"][held["at"].of(keys)], first[:-1]))
+            words = [x.split() for x in streams[lo:hi]]
+            number = {w: None for own in words for w in own}
+            counts = held["number-values"][held["number"].of(np.fromiter(map(word_key, number), np.int64, len(number)))]
+            count_of = dict(zip(number, counts.tolist(), strict=True))
+            for own in words:
+                c = np.fromiter(map(count_of.__getitem__, own), np.float64, len(own))
+                bases.append(float(np.log10((c + 0.1) / below).sum()) + end_base)
+                known.append(int((c > 0).sum()) + (ends > 0))
+            lo = hi
+        own = batch.take(pa.array(documents))
+        n = own.column("n").to_numpy() + 1
+        return pa.RecordBatch.from_arrays(
+            [
+                own.column("doc_id"), own.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
+                pa.array(np.full(len(n), n_train, np.int64)), pa.array(bases, pa.float64()), pa.array(np.concatenate(gains), pa.float64()),
+            ],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
+    return every.mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shelfroll.llm import ppm
@@ -12,20 +13,18 @@ from .helpers import ODD, crc_mod, frame, lower_az, prose, rows_of, space_words,
 
 
 class Reference:
-    """PPM-C with exclusion by dictionaries, trained on counted tokens."""
+    """PPM-C with exclusion by dictionaries, trained on the streams of documents."""
 
-    def __init__(self, train: Counter, ends: int):
+    def __init__(self, train: list[list[bytes]]):
         self.counts: dict[bytes, Counter] = defaultdict(Counter)
-        for word, n in train.items():
-            for context, symbol in self.stream(word):
-                self.learn(context, symbol, n)
-        if ends:
-            self.learn(b" ", ppm.END, ends)
+        for words in train:
+            for context, symbol in self.stream(words):
+                self.learn(context, symbol, 1)
 
     @staticmethod
-    def stream(word):
-        b = b" " + word + b" "
-        return [(b[max(0, i - ppm.ORDER) : i], b[i]) for i in range(1, len(b))]
+    def stream(words):
+        b = b" " + b"".join(w + b" " for w in words)
+        return [(b[max(0, i - ppm.ORDER) : i], b[i] if i < len(b) else ppm.END) for i in range(1, len(b) + 1)]
 
     def learn(self, context, symbol, n):
         for k in range(len(context) + 1):
@@ -48,21 +47,19 @@ class Reference:
             context = context[1:]
 
     def text(self, words):
-        return sum(self.log10(c, s) for w in words for c, s in self.stream(w)) + self.log10(b" ", ppm.END)
+        return sum(self.log10(c, s) for c, s in self.stream(words))
 
 
 def brute(rows):
-    train: Counter = Counter()
-    ends = 0
-    for d, t, *_ in rows:
-        if crc_mod(d, 10):
-            train.update(w.encode() for w in space_words(lower_az(t)))
-            ends += 1
-    model = Reference(train, ends)
+    words_of = lambda t: [w.encode() for w in space_words(lower_az(t))]
+    learned = [words_of(t) for d, t, *_ in rows if crc_mod(d, 10)]
+    train = Counter(w for words in learned for w in words)
+    ends = len(learned)
+    model = Reference(learned)
     n, v = sum(train.values()) + ends, len(train) + (ends > 0)
     out = {}
     for d, t, *_ in rows:
-        words = [w.encode() for w in space_words(lower_az(t))]
+        words = words_of(t)
         counts = [train[w] for w in words] + [ends]
         base = sum(math.log10((c + 0.1) / (n + 0.1 * (v + 1))) for c in counts)
         out[d] = (crc_mod(d, 10) == 0, len(counts), sum(c > 0 for c in counts), n, base, model.text(words))
@@ -91,14 +88,16 @@ def test_scores_equal_the_reference(spark):
 def test_blocks_do_not_change_the_scores(spark, monkeypatch):
     from shelfroll.llm.common import crc_mod as held
 
+    # small parts: hot pairs of bytes are split by the third, and parts are summed in several groups
     monkeypatch.setattr(ppm, "PART_ROWS", 50)
+    monkeypatch.setattr(ppm, "GROUP_ROWS", 120)
     rows = corpus()
     small = ppm.scores(frame(spark, rows).repartition(3), held("doc_id", 10) == 0, block_bytes=500)
     check(rows_of(small), brute(rows))
 
 
 def test_probabilities_sum_to_one():
-    model = Reference(Counter({b"abc": 3, b"abd": 1, b"x": 2}), 4)
+    model = Reference([[b"abc", b"x"], [b"abc", b"abd"], [b"abc"], [b"x"], []])
     assert sum(10 ** model.log10(b" ab", s) for s in range(ppm.SYMBOLS)) == pytest.approx(1.0)
 
 
@@ -110,8 +109,59 @@ def test_no_training_text_and_no_rows(spark):
 
 
 def test_seen_kind_of_text_scores_better_than_noise(spark):
+    """Among held-out documents: one that was learned from is known by heart, noise or not."""
     rng = random.Random(4)
-    rows = [(i, prose(rng, 80, 300), "en", "s", 0) for i in range(100)] + [(1000, " ".join("".join(rng.choice("#qzxv") for _ in range(3)) for _ in range(80)), "en", "s", 0)]
+    noise = next(i for i in range(1000, 2000) if crc_mod(i, 10) == 0)
+    rows = [(i, prose(rng, 80, 300), "en", "s", 0) for i in range(100)]
+    rows += [(noise, " ".join("".join(rng.choice("#qzxv") for _ in range(3)) for _ in range(80)), "en", "s", 0)]
+    out = rows_of(ppm.op10(frame(spark, rows)))
+    per = {d: r["score"] / r["n_tokens"] for d, r in out.items() if r["held_out"]}
+    assert len(per) > 5 and per[noise] < min(p for d, p in per.items() if d != noise)
+
+
+def test_the_order_of_words_changes_the_score(spark):
+    rng = random.Random(6)
+    sentences = [prose(rng, 12, 300) for _ in range(8)]
+    rows = [(i, " ".join(rng.choice(sentences) for _ in range(12)), "en", "s", 0) for i in range(120)]
+    salad = sentences[0].split()
+    rng.shuffle(salad)
+    rows += [(10_000, sentences[0], "en", "s", 0), (10_001, " ".join(salad), "en", "s", 0)]
+    out = rows_of(ppm.op10(frame(spark, rows)))
+    one, two = out[10_000], out[10_001]
+    assert one["base_score"] == pytest.approx(two["base_score"]) and one["score"] > two["score"] + 3
+
+
+def test_places_and_sums():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 60, 5000))
+    rng.shuffle(keys)
+    table = ppm.Places(keys)
+    wanted = rng.integers(0, len(keys), 20_000)
+    assert (table.of(keys[wanted]) == wanted).all()
+    assert len(ppm.Places(keys[:0]).of(keys[:0])) == 0
+    held = ppm.Sums()
+    pieces = [(rng.integers(0, 50, 30), rng.integers(0, 9, 30)) for _ in range(20)]
+    for piece in pieces:
+        held.add(*piece)
+    want = Counter()
+    for k, c in pieces:
+        for x, y in zip(k.tolist(), c.tolist(), strict=True):
+            want[x] += y
+    got = dict(zip(*(x.tolist() for x in held.merge()), strict=True))
+    assert got == {k: want[k] for k in sorted({x for p, _ in pieces for x in p.tolist()})}
+
+
+def test_hot_pairs_are_split():
+    deal = ppm.Deal({5: 1000, 6: 40, 7: 30, 8: 50, -33: 9}, 120, 60)
+    assert deal.hot == [5] and deal.low == 3 and deal.words == deal.low + 17 and len(deal.load) == deal.words + 2
+    keys = np.array([(6 << ppm._ORDER_SHIFT) | (third << 16 | 5) << ppm._SYMBOL_BITS | 1 for third in range(256)])
+    assert len(set(deal.windows(keys).tolist())) > 10 and deal.windows(keys).min() >= deal.low
+
+
+def test_a_long_text_and_long_word(spark):
+    rng = random.Random(12)
+    rows = corpus() + [(5000, prose(rng, 30_000, 200), "en", "s", 0), (5001, "ab" * 40_000, "en", "s", 0)]
     out = rows_of(ppm.op10(frame(spark, rows)))
-    per = {d: r["score"] / r["n_tokens"] for d, r in out.items()}
-    assert per[1000] < min(p for d, p in per.items() if d != 1000)
+    want = brute(rows)
+    for d in (5000, 5001, 0, 7):
+        assert out[d]["score"] == pytest.approx(want[d][5], rel=1e-9)
