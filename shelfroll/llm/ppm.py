@@ -18,7 +18,8 @@ distinct windows and words once, as sorted, packed arrays:
    rows). Words are dealt by their hash. A part's blocks are summed in groups of ``GROUP_ROWS`` windows first, then
    the sums of the groups, so that no task sees all blocks of a window that is everywhere.
 3. A part holds its piece of the trie in sorted arrays and finds the value of each distinct window by binary search.
-   Values go back to the groups, and from there to the blocks, in the order the block has its windows.
+   Values (to 32 bits of their mantissa) go back to the groups, and from there to the blocks, in the order the block has
+   its windows.
 4. Each block makes its documents' windows again and adds up their values, found in a hash table.
 
 Words are identified by a 64-bit hash. Nothing whole passes the driver: only the totals N and V, the weights of the
@@ -31,6 +32,7 @@ doc_id counts as the empty id text; repeated ids keep their rows; other columns
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +47,8 @@ from .common import LOWER, blocks, crc_mod, id_and_text, stored
 
 ORDER = 6
 BLOCK_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20  # text whose windows are made together
+SLICE_BYTES = 1 << 20  # text whose windows are made together
+CHUNK_BYTES = 1 << 18  # text of the documents in a row of a block
 SYMBOLS = 257  # 256 bytes and the end of the text
 END = 256
 WINDOWS, WORDS, DOCUMENT = 0, 1, 2
@@ -65,20 +68,24 @@ def stream(text: bytes | None) -> tuple[bytes, int]:
 def windows_of(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(windows of all streams, first window of each and the total): one for each byte but the first, and the end."""
     buf = np.frombuffer(b"".join(streams), np.uint8).astype(np.int64)
-    lens = np.array([len(x) for x in streams], np.int64)
-    first = np.concatenate([[0], np.cumsum(lens)])
+    first = np.concatenate([[0], np.cumsum([len(x) for x in streams])])
     n = int(first[-1])
+    context = buf.copy()  # of the last bytes, doubled: one, two, four, six
+    context[1:] |= buf[:-1] << 8
+    four = context.copy()
+    four[2:] |= context[:-2] << 16
+    four[4:] |= context[:-4] << 32
     key = np.empty(n, np.int64)  # a window for each byte: what comes after it
     key[:-1] = buf[1:]
     key[first[1:] - 1] = END
-    seen = np.arange(1, n + 1) - np.repeat(first[:-1], lens)  # bytes of the stream up to each place
-    order = np.minimum(seen, ORDER)
-    for k in range(ORDER):
-        shifted = buf[: n - k] << (_SYMBOL_BITS + 8 * k)
-        if k:
-            shifted[order[k:] <= k] = 0
-        key[k:] |= shifted
-    return key | (order << _ORDER_SHIFT), first
+    key |= four << _SYMBOL_BITS
+    key |= ORDER << _ORDER_SHIFT
+    # the first ORDER - 1 contexts of a stream are shorter
+    for k in range(1, ORDER):
+        at = first[:-1] + k - 1
+        at = at[at < first[1:]]
+        key[at] = (key[at] & ((1 << (8 * k + _SYMBOL_BITS)) - 1)) | (k << _ORDER_SHIFT)
+    return key, first
 
 
 def counted(kept: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +138,7 @@ class Places:
     """Where each of some distinct numbers stands: a hash table with open addressing, filled and read in whole arrays."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.bits = max(4, int(1.4 * len(keys)).bit_length())
         self.keys, self.place = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
         left, slot = np.arange(len(keys)), self._slot(keys)
         while len(left):
@@ -154,6 +161,18 @@ class Places:
         return self.place[slot]
 
 
+def sliced(streams: list[bytes]) -> Iterator[list[bytes]]:
+    """The streams in slices of at most SLICE_BYTES, one stream at least."""
+    lo = 0
+    while lo < len(streams):
+        hi, size = lo, 0
+        while hi < len(streams) and (hi == lo or size + len(streams[hi]) <= SLICE_BYTES):
+            size += len(streams[hi])
+            hi += 1
+        yield streams[lo:hi]
+        lo = hi
+
+
 def word_key(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) >> 1
 
@@ -166,6 +185,17 @@ def _unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
+def _pack_values(values: np.ndarray) -> bytes:
+    """Doubles to 32 bits of their mantissa, byte by byte: like bytes stand together and the last ones are nought."""
+    bits = (values.view(np.int64) + (1 << 19)) & ~((1 << 20) - 1)
+    return _pack(np.ascontiguousarray(bits.view(np.uint8).reshape(-1, 8).T))
+
+
+def _unpack_values(data: bytes) -> np.ndarray:
+    planes = _unpack(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.float64).ravel()
+
+
 def _pack_sorted(keys: np.ndarray) -> bytes:
     return _pack(np.diff(keys, prepend=np.int64(0)))
 
@@ -176,11 +206,13 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
 
 FOUND = pa.schema(
     [
-        ("block", pa.int64()), ("kind", pa.int32()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("held_out", pa.bool_()),
-        ("payload", pa.binary()), ("counts", pa.binary()),
+        ("block", pa.int64()), ("kind", pa.int32()), ("place", pa.int32()), ("n", pa.int64()), ("payload", pa.binary()), ("counts", pa.binary()),
+        ("doc_ids", pa.list_(pa.int64())), ("words", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
     ]
 )
-FOUND_SCHEMA = "block long, kind int, place int, doc_id long, n long, held_out boolean, payload binary, counts binary"
+FOUND_SCHEMA = (
+    "block long, kind int, place int, n long, payload binary, counts binary, doc_ids array<bigint>, words array<bigint>, held_out array<boolean>"
+)
 
 
 def _rows(schema: pa.Schema, m: int, **columns) -> pa.RecordBatch:
@@ -194,40 +226,38 @@ def _rows(schema: pa.Schema, m: int, **columns) -> pa.RecordBatch:
 
 def _collect(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Rows of all blocks: WINDOWS and WORDS have the block's distinct keys (``n`` of them) with their training counts,
-    a DOCUMENT row has its stream and its number of words. ``place`` orders the rows of a block."""
+    a DOCUMENT row has the streams of some documents, their ids and numbers of words. ``place`` orders a block's rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         partition, number = TaskContext.get().partitionId(), 0
 
-        def close(windows: Sums, words: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        def close(windows: Sums, words: Counter) -> Iterator[pa.RecordBatch]:
             hashes = np.fromiter(map(word_key, words), np.int64, len(words))
             for kind, (keys, counts) in (
                 (WINDOWS, windows.merge()), (WORDS, summed(hashes, np.fromiter(words.values(), np.int64, len(words)))),
             ):
                 yield _rows(FOUND, 1, block=partition << 32 | number, kind=kind, place=kind, n=len(keys), payload=[_pack_sorted(keys)], counts=[_pack(counts)])
 
-        windows, words, size = Sums(), {}, 0
-        for batch, texts in blocks(batches, min(SLICE_BYTES, block_bytes)):
+        windows, words, size = Sums(), Counter(), 0
+        for batch, texts in blocks(batches, min(CHUNK_BYTES, block_bytes)):
             mine = sum([len(t or b"") for t in texts])
             if size and size + mine > block_bytes:
                 yield from close(windows, words)
-                windows, words, size, number = Sums(), {}, 0, number + 1
-            held_out = batch.column("held_out").to_pylist()
-            streams = [stream(t) for t in texts]
-            for chosen in (True, False):  # documents to learn from, then the others
-                own = [x for (x, _), h in zip(streams, held_out, strict=True) if bool(h) != chosen]
-                if own:
-                    keys = windows_of(own)[0]
-                    none = keys[:0]
-                    windows.add(*counted(*((keys, none) if chosen else (none, keys))))
+                windows, words, size, number = Sums(), Counter(), 0, number + 1
+            held_out = [bool(h) for h in batch.column("held_out").to_pylist()]
+            streams, counts = zip(*map(stream, texts), strict=True)
+            for out in (False, True):  # documents to learn from, then the others
+                own = [x for x, h in zip(streams, held_out, strict=True) if h == out]
+                for some in sliced(own):
+                    keys = windows_of(some)[0]
+                    windows.add(*counted(*((keys[:0], keys) if out else (keys, keys[:0]))))
                 for x in own:
-                    for w in x.split():
-                        words[w] = words.get(w, 0) + chosen
+                    words.update(dict.fromkeys(x.split(), 0) if out else x.split())
             size += max(mine, 1)
             yield _rows(
-                FOUND, len(texts), block=partition << 32 | number, kind=DOCUMENT, place=1 << 30, doc_id=batch.column("doc_id"), n=[m for _, m in streams],
-                held_out=held_out, payload=[pack(x) for x, _ in streams],
+                FOUND, 1, block=partition << 32 | number, kind=DOCUMENT, place=1 << 30, payload=[pack(b"\n".join(streams))],
+                doc_ids=[batch.column("doc_id").to_pylist()], words=[list(counts)], held_out=[held_out],
             )
         if size:
             yield from close(windows, words)
@@ -445,7 +475,7 @@ def _values(sums: DataFrame, deal: Deal, tables: np.ndarray) -> DataFrame:
                 else:
                     found = n.astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([packed], pa.binary()), pa.array([_pack(found)], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])],
+                    [pa.array([part], pa.int32()), pa.array([packed], pa.binary()), pa.array([_pack_values(found)], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])],
                     names=["part", "keys", "values", "n", "v"],
                 )
 
@@ -463,10 +493,10 @@ def _returned(pieces: DataFrame, values: DataFrame) -> DataFrame:
         for batch in batches:
             for part, block, packed, data in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "keys", "counts")), strict=True):
                 if block < 0:
-                    keys, found = _unpack_sorted(packed), _unpack(data, np.float64)
+                    keys, found = _unpack_sorted(packed), _unpack_values(data)
                 else:
                     out = found[np.searchsorted(keys, _unpack_sorted(packed))]
-                    yield _rows(FOUND, 1, block=block, kind=3, place=2 + part, n=len(out), payload=[_pack(out)])
+                    yield _rows(FOUND, 1, block=block, kind=3, place=2 + part, n=len(out), payload=[_pack_values(out)])
 
     return both.repartition("part", "grp").sortWithinPartitions("part", "grp", "block").mapInArrow(run, FOUND_SCHEMA)
 
@@ -496,7 +526,8 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
     v_train = int(total.v or 0) + (ends > 0)
     below = n_train + 0.1 * (v_train + 1)
     end_base = math.log10((ends + 0.1) / below)
-    every = found.union(_returned(pieces, values).select(*found.columns)).repartition("block").sortWithinPartitions("block", "place")
+    every = found.withColumn("counts", F.lit(None).cast("binary")).union(_returned(pieces, values).select(*found.columns))
+    every = every.repartition("block").sortWithinPartitions("block", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -516,53 +547,40 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
                 held[f"{places}-values"] = found
             held["values"] = {}
 
-        for batch in (b.slice(lo, 2000) for b in batches for lo in range(0, b.num_rows, 2000)):
-            columns = {c: batch.column(c).to_pylist() for c in ("block", "kind", "place", "payload")}
-            documents: list[int] = []
-            for i, (b, kind, place) in enumerate(zip(columns["block"], columns["kind"], columns["place"], strict=True)):
+        for batch in batches:
+            for i, (b, kind, place) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "place")), strict=True)):
                 if b != block:
-                    if documents:
-                        yield score(batch, columns["payload"], documents, held, unpack)
-                        documents = []
                     block, held = b, {"values": {}, WINDOWS: np.zeros(0, np.int64), WORDS: np.zeros(0, np.int64), "ready": False}
+                payload = batch.column("payload")[i].as_py()
                 if kind in (WINDOWS, WORDS):
-                    held[kind] = _unpack_sorted(columns["payload"][i])
-                elif kind == DOCUMENT:
+                    held[kind] = _unpack_sorted(payload)
+                elif kind != DOCUMENT:
+                    held["values"][place - 2] = _unpack_values(payload)
+                else:
                     if not held["ready"]:
                         prepare()
                         held["ready"] = True
-                    documents.append(i)
-                else:
-                    held["values"][place - 2] = _unpack(columns["payload"][i], np.float64)
-            if documents:
-                yield score(batch, columns["payload"], documents, held, unpack)
+                    yield score(batch.slice(i, 1), unpack(payload).split(b"\n"), held)
 
-    def score(batch: pa.RecordBatch, payloads: list[bytes], documents: list[int], held: dict, unpack) -> pa.RecordBatch:
-        streams = [unpack(payloads[i]) for i in documents]
+    def score(row: pa.RecordBatch, streams: list[bytes], held: dict) -> pa.RecordBatch:
         gains, bases, known = [], [], []
-        lo = 0
-        while lo < len(streams):  # slices of a bounded size
-            hi, size = lo, 0
-            while hi < len(streams) and (hi == lo or size + len(streams[hi]) <= SLICE_BYTES // 4):
-                size += len(streams[hi])
-                hi += 1
-            keys, first = windows_of(streams[lo:hi])
+        for some in sliced(streams):
+            keys, first = windows_of(some)
             gains.append(np.add.reduceat(held["at-values"][held["at"].of(keys)], first[:-1]))
-            words = [x.split() for x in streams[lo:hi]]
-            number = {w: None for own in words for w in own}
+            words = [x.split() for x in some]
+            number = dict.fromkeys(w for own in words for w in own)
             counts = held["number-values"][held["number"].of(np.fromiter(map(word_key, number), np.int64, len(number)))]
             count_of = dict(zip(number, counts.tolist(), strict=True))
             for own in words:
                 c = np.fromiter(map(count_of.__getitem__, own), np.float64, len(own))
                 bases.append(float(np.log10((c + 0.1) / below).sum()) + end_base)
                 known.append(int((c > 0).sum()) + (ends > 0))
-            lo = hi
-        own = batch.take(pa.array(documents))
-        n = own.column("n").to_numpy() + 1
+        doc_ids, words, held_out = (row.column(c).flatten() for c in ("doc_ids", "words", "held_out"))
+        n = words.to_numpy() + 1
         return pa.RecordBatch.from_arrays(
             [
-                own.column("doc_id"), own.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                pa.array(np.full(len(n), n_train, np.int64)), pa.array(bases, pa.float64()), pa.array(np.concatenate(gains), pa.float64()),
+                doc_ids, held_out, pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), n_train, np.int64)),
+                pa.array(bases, pa.float64()), pa.array(np.concatenate(gains), pa.float64()),
             ],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
