@@ -134,31 +134,35 @@ class Sums:
         return self.keys, self.counts
 
 
-class Places:
-    """Where each of some distinct numbers stands: a hash table with open addressing, filled and read in whole arrays."""
+class Table:
+    """Values of distinct numbers of nought and more: a hash table with open addressing, filled and read in whole arrays."""
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(1.4 * len(keys)).bit_length())
-        self.keys, self.place = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
-        left, slot = np.arange(len(keys)), self._slot(keys)
-        while len(left):
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        for lo in range(0, len(keys), 1 << 18):
+            self._fill(keys[lo : lo + (1 << 18)], values[lo : lo + (1 << 18)])
+
+    def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
+        slot = self._slot(keys)
+        while len(keys):
             free = self.keys[slot] == -1
-            self.place[slot[free]] = left[free]  # of several keys for a slot the last one stays
-            self.keys[slot[free]] = keys[left[free]]
-            out = self.keys[slot] != keys[left]
-            left, slot = left[out], (slot[out] + 1) & ((1 << self.bits) - 1)
+            self.keys[slot[free]] = keys[free]  # of several keys for a slot the last one stays
+            mine = self.keys[slot] == keys
+            self.values[slot[mine]] = values[mine]
+            keys, values, slot = keys[~mine], values[~mine], (slot[~mine] + 1) & ((1 << self.bits) - 1)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        """Places of ``keys``, all of which are in the table."""
+        """Values of ``keys``, all of which are in the table."""
         slot = self._slot(keys)
         missed = np.flatnonzero(self.keys[slot] != keys)
         while len(missed):
             slot[missed] = (slot[missed] + 1) & ((1 << self.bits) - 1)
             missed = missed[self.keys[slot[missed]] != keys[missed]]
-        return self.place[slot]
+        return self.values[slot]
 
 
 def sliced(streams: list[bytes]) -> Iterator[list[bytes]]:
@@ -527,25 +531,22 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
     below = n_train + 0.1 * (v_train + 1)
     end_base = math.log10((ends + 0.1) / below)
     every = found.withColumn("counts", F.lit(None).cast("binary")).union(_returned(pieces, values).select(*found.columns))
-    every = every.repartition("block").sortWithinPartitions("block", "place")
+    n_blocks = found.where(f"kind = {WORDS}").count()
+    every = every.repartition(max(1, 2 * n_blocks), "block").sortWithinPartitions("block", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         block, held = None, {}
 
         def prepare() -> None:
-            """The windows' and the words' values, in the order of their places in the tables."""
-            for kind, places in ((WINDOWS, "at"), (WORDS, "number")):
-                keys = held[kind]
-                part = deal.windows(keys) if kind == WINDOWS else deal.word_part(keys)
+            """The windows' and the words' values, in tables."""
+            for kind in (WINDOWS, WORDS):
+                keys = held.pop(kind)
+                part = (deal.windows(keys) if kind == WINDOWS else deal.word_part(keys)).astype(np.int32)
                 found = np.zeros(len(keys))
-                order = np.argsort(part, kind="stable")
-                cuts = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(part)] if len(part) else [0]
-                for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                    found[order[lo:hi]] = held["values"][int(part[order[lo]])]
-                held[places] = Places(keys)
-                held[f"{places}-values"] = found
-            held["values"] = {}
+                for p in np.unique(part).tolist():
+                    found[part == p] = held["values"].pop(p)
+                held["gain" if kind == WINDOWS else "count"] = Table(keys, found)
 
         for batch in batches:
             for i, (b, kind, place) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "place")), strict=True)):
@@ -566,10 +567,10 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
         gains, bases, known = [], [], []
         for some in sliced(streams):
             keys, first = windows_of(some)
-            gains.append(np.add.reduceat(held["at-values"][held["at"].of(keys)], first[:-1]))
+            gains.append(np.add.reduceat(held["gain"].of(keys), first[:-1]))
             words = [x.split() for x in some]
             number = dict.fromkeys(w for own in words for w in own)
-            counts = held["number-values"][held["number"].of(np.fromiter(map(word_key, number), np.int64, len(number)))]
+            counts = held["count"].of(np.fromiter(map(word_key, number), np.int64, len(number)))
             count_of = dict(zip(number, counts.tolist(), strict=True))
             for own in words:
                 c = np.fromiter(map(count_of.__getitem__, own), np.float64, len(own))

@@ -131,14 +131,14 @@ def test_the_order_of_words_changes_the_score(spark):
     assert one["base_score"] == pytest.approx(two["base_score"]) and one["score"] > two["score"] + 3
 
 
-def test_places_and_sums():
+def test_table_and_sums():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 1 << 60, 5000))
     rng.shuffle(keys)
-    table = ppm.Places(keys)
+    table = ppm.Table(keys, np.arange(len(keys)) / 7)
     wanted = rng.integers(0, len(keys), 20_000)
-    assert (table.of(keys[wanted]) == wanted).all()
-    assert len(ppm.Places(keys[:0]).of(keys[:0])) == 0
+    assert (table.of(keys[wanted]) == wanted / 7).all()
+    assert len(ppm.Table(keys[:0], np.zeros(0)).of(keys[:0])) == 0
     held = ppm.Sums()
     pieces = [(rng.integers(0, 50, 30), rng.integers(0, 9, 30)) for _ in range(20)]
     for piece in pieces:
