@@ -8,7 +8,8 @@ be sent to every task. It is stored in arrays sorted by hashed n-gram and read b
 
 Each language has a lower and an upper bound of log perplexity: median less / plus ``WIDTH`` robust deviations, taken
 from an exact histogram (steps of 1/``STEPS``) over the distinct texts that pass the base rules. Copies count once in it;
-in the model's counts every text with over 1/``SHARES`` of the rows counts once (a table of at most ``SHARES`` hashes).
+in the model's counts too, every one of c copies with the weight 1/c (the copies of each repeated text, by hash, are
+broadcast up to ``BROADCAST_ROWS`` texts and joined with a shuffle beyond; the counts are the same).
 Texts differ by topic and style, whatever their length, and by the sampling noise of their symbols, which shrinks with
 the length: a text of n symbols is held against ``WIDTH`` times sqrt(between**2 + symbol**2 / n). Both parts come from
 the robust deviations of the length classes of a language; the width is ``LEAST`` at least.
@@ -32,16 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, mix, span_hashes, words_of
+from .common import blocks, mix, span_hashes, stored, temporary, words_of
 
 ORDER, BITS = 4, 6
 STEPS = 1000
 WIDTH, LEAST = 6.0, 0.15
 FEWEST, FEWEST_OF_SIZE = 20, 8
-SHARES = 100_000
+BROADCAST_ROWS = 4_000_000  # of 16 bytes
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 BLOCK_BYTES = 1 << 20
 SYMBOLS = "#*$%&|<>"
+NO_LANGUAGE = "\x00"
 _HASH = 0x9E3779B1  # odd: a one-to-one hash of 32-bit numbers
 
 
@@ -85,9 +87,18 @@ def ngrams(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return key[body], np.diff(at) - len(gap)
 
 
+def _with_copies(docs: DataFrame) -> DataFrame:
+    """(text, copies): every row with the number of rows that have its text."""
+    hashed = F.xxhash64("text").alias("hash")
+    many = docs.where("text IS NOT NULL").groupBy(hashed).agg(F.count("*").alias("copies")).where("copies > 1")
+    many = stored(many, "copies")
+    if many.count() <= BROADCAST_ROWS:
+        many = F.broadcast(many)
+    return docs.select("text", hashed).join(many, "hash", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def count_ngrams(docs: DataFrame) -> pd.DataFrame:
-    """Counts of all n-grams of ``docs.text``; at most 2**(ORDER * BITS) rows, whatever the size of the corpus."""
-    often = _repeated(docs)
+    """Counts of the n-grams of the distinct texts of ``docs``; at most 2**(ORDER * BITS) rows, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = [np.zeros(0, np.uint32)], [np.zeros(0)]
@@ -98,19 +109,11 @@ def count_ngrams(docs: DataFrame) -> pd.DataFrame:
             keys[:], counts[:] = [key], [count]
 
         for rows, texts in blocks(batches, BLOCK_BYTES):
-            copies: dict[int, list[int]] = {}
-            if often:
-                for i, h in enumerate(rows.column("hash").to_pylist()):
-                    if h in often:
-                        copies.setdefault(h, []).append(i)
-            once = texts
-            if copies:
-                left = {i for places in copies.values() for i in places}
-                once = [t for i, t in enumerate(texts) if i not in left]
-            for own, share in [(once, 1.0), *(([texts[places[0]]], len(places) / often[h]) for h, places in copies.items())]:
-                key, count = np.unique(ngrams(own)[0], return_counts=True)
+            copies = rows.column("copies").to_numpy()
+            for c in np.unique(copies).tolist():
+                key, count = np.unique(ngrams([texts[i] for i in np.flatnonzero(copies == c)])[0], return_counts=True)
                 keys.append(key)
-                counts.append(count * share)
+                counts.append(count / c)
             if len(keys) > 16:
                 merge()
         merge()
@@ -118,17 +121,10 @@ def count_ngrams(docs: DataFrame) -> pd.DataFrame:
             part = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_pydict({"key": keys[0][part].astype(np.int32), "n": counts[0][part]})
 
-    counted = docs.select("text", F.xxhash64("text").alias("hash")).mapInArrow(run, "key int, n double")
-    # the shares of a text's copies add up to one
-    return counted.groupBy("key").agg(F.round(F.sum("n")).cast("long").alias("n")).toPandas()
-
-
-def _repeated(docs: DataFrame) -> dict[int, int]:
-    """Rows of each text, by hash, that has two rows or more and over 1/``SHARES`` of all rows."""
-    least = docs.count() // SHARES
-    counts = docs.where("text IS NOT NULL").groupBy(F.xxhash64("text").alias("hash")).agg(F.count("*").alias("n"))
-    found = counts.where(F.col("n") > max(1, least)).toPandas()
-    return dict(zip(found["hash"].tolist(), found["n"].tolist(), strict=True))
+    with temporary(docs.sparkSession):
+        # the weights of a text's copies add up to one
+        counted = _with_copies(docs).mapInArrow(run, "key int, n double").groupBy("key")
+        return counted.agg(F.round(F.sum("n")).cast("long").alias("n")).toPandas()
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
@@ -214,9 +210,10 @@ def size_class(n: np.ndarray) -> np.ndarray:
 
 
 def _language(rows: pa.RecordBatch) -> list[str]:
+    """The language each row is judged in: null is one of its own, and so is the empty name."""
     if "lang" not in rows.schema.names:
-        return [""] * rows.num_rows
-    return [x or "" for x in rows.column("lang").to_pylist()]
+        return [NO_LANGUAGE] * rows.num_rows
+    return [NO_LANGUAGE if x is None else x for x in rows.column("lang").to_pylist()]
 
 
 def base_counts(texts: list[bytes | None]) -> dict[str, np.ndarray]:
@@ -349,6 +346,9 @@ def verdicts(rows: pa.RecordBatch, texts: list[bytes | None], model: dict, bands
 def judged(docs: DataFrame, keep: list[str] | None = None, model: dict | None = None, bands: dict | None = None) -> DataFrame:
     """Columns ``keep`` (all by default) of ``docs`` with the base counts, ``_perplexity``, the bounds and ``_kept``."""
     keep = docs.columns if keep is None else keep
+    made = ["_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words", "_base_failed", "_kept", "_perplexity", "_low", "_high"]
+    if {*made} & {*keep}:
+        raise ValueError(f"columns {sorted({*made} & {*keep})} can't be kept beside those the verdict adds")
     model = fit(count_ngrams(docs)) if model is None else model
     bands = fit_bands(docs, model) if bands is None else bands
 
