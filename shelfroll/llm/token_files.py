@@ -12,7 +12,8 @@ File layout, little-endian::
     ids
 
 An Elias-Fano section is ``count, universe, low bits, high bytes, samples: 5 x u64``, the packed low bits, the unary
-high bits and the select directory: the bit place of every 256th one as u32.
+high bits and the select directory: the bit place of every 256th one as u32. Reading takes the boundaries of a few
+thousand documents at a time from there.
 
 Edge cases: null or empty texts hold the end id alone; null doc_ids come first; equal doc_ids are ordered by text; an
 empty table gives no file; other columns are ignored.
@@ -38,6 +39,7 @@ MAGIC = b"EFTOKEN1"
 END_ID = 1
 FILE_IDS = 12_000_000
 SAMPLE = 256
+READ_DOCS = 4096  # documents whose boundaries are expanded at a time
 BLOCK_BYTES = 4 << 20
 MEMO = 200_000  # chunks remembered: their entries are a few bytes here
 
@@ -112,6 +114,30 @@ def ef_select(section: dict, i: int) -> int:
     return value
 
 
+def ef_range(section: dict, lo: int, hi: int) -> np.ndarray:
+    """Values ``lo`` to ``hi`` (exclusive): a select for the first, then a scan of the high bits after it as far as
+    needed and a slice of the low bits. Nothing else of the section is expanded."""
+    n, low = hi - lo, section["low"]
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    place = (ef_select(section, lo) >> low) + lo
+    byte, found, have = place // 8, [], 0
+    while have < n:
+        chunk = section["high"][byte : byte + max(64, n // 2)]
+        ones = np.flatnonzero(np.unpackbits(chunk, bitorder="little")) + 8 * byte
+        ones = ones[ones >= place]
+        found.append(ones)
+        have += len(ones)
+        byte += len(chunk)
+    ones = np.concatenate(found)[:n]
+    out = (ones - np.arange(lo, hi)).astype(np.uint64) << np.uint64(low)
+    if low:
+        first = lo * low // 8
+        bits = np.unpackbits(section["lows"][first : (hi * low + 7) // 8], bitorder="little")[lo * low - 8 * first :][: n * low]
+        out += bits.reshape(n, low).astype(np.uint64) @ (np.uint64(1) << np.arange(low, dtype=np.uint64))
+    return out
+
+
 # ---- files --------------------------------------------------------------------------------------------------------
 
 
@@ -132,19 +158,31 @@ def pack(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
     return b"".join([MAGIC, head, ef_encode(bounds), ef_encode(known.astype(np.uint64) - np.uint64(least % (1 << 64))), *ids])
 
 
-def unpack(data: bytes) -> tuple[list[int | None], dict, np.ndarray]:
-    """(doc_ids, boundary section, ids) of one file."""
+def opened(data: bytes) -> dict:
+    """One file: its number of documents ``n`` and of those without id (which come first), the sections of boundaries
+    and ids of documents, the lowest doc_id, and all token ids."""
     if data[:8] != MAGIC:
         raise ValueError("not a token file")
     width, nulls, n, total, least = struct.unpack_from("<4Qq", data, 8)
     view = memoryview(data)
     bounds, at = ef_open(view, 8 + 40)
     known, at = ef_open(view, at)
-    ids = np.frombuffer(view, f"<u{width}", total, at)
-    doc_ids = (ef_all(known) + np.uint64(least % (1 << 64))).astype(np.int64).tolist()
-    if n != nulls + len(doc_ids):
+    if n != nulls + known["n"] or bounds["n"] != n + 1:
         raise ValueError("damaged token file")
-    return [None] * nulls + doc_ids, bounds, ids
+    return {"n": n, "nulls": nulls, "bounds": bounds, "known": known, "least": least, "ids": np.frombuffer(view, f"<u{width}", total, at)}
+
+
+def doc_ids_of(file: dict, lo: int, hi: int) -> list[int | None]:
+    """Ids of the documents ``lo`` to ``hi`` (exclusive) of a file."""
+    nulls = file["nulls"]
+    known = ef_range(file["known"], max(lo - nulls, 0), max(hi - nulls, 0)) + np.uint64(file["least"] % (1 << 64))
+    return [None] * (min(hi, nulls) - min(lo, nulls)) + known.astype(np.int64).tolist()
+
+
+def unpack(data: bytes) -> tuple[list[int | None], dict, np.ndarray]:
+    """(doc_ids, boundary section, ids) of one file."""
+    file = opened(data)
+    return doc_ids_of(file, 0, file["n"]), file["bounds"], file["ids"]
 
 
 def _library_encoder(path: str) -> tuple[Encoder, int]:
@@ -227,20 +265,20 @@ def read_files(spark: SparkSession, manifest: list[dict], ids: bool = True) -> D
         for b in batches:
             for path, before in zip(b.column("path").to_pylist(), b.column("before").to_pylist(), strict=True):
                 with _open(path, False) as f:
-                    doc_ids, section, flat = unpack(f.read())
-                bounds = ef_all(section).astype(np.int64)
-                for lo in range(0, len(doc_ids), 4096):
-                    hi = min(lo + 4096, len(doc_ids))
-                    at = bounds[lo : hi + 1].tolist()
-                    parts = [flat[s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
+                    file = opened(f.read())
+                for lo in range(0, file["n"], READ_DOCS):
+                    hi = min(lo + READ_DOCS, file["n"])
+                    bounds = ef_range(file["bounds"], lo, hi + 1).astype(np.int64)
+                    at = bounds.tolist()
+                    parts = [file["ids"][s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
                     last = pa.array(parts, pa.list_(pa.int32())) if ids else pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids[lo:hi], pa.int64()), pa.array(bounds[lo:hi] + before), pa.array(np.diff(bounds[lo : hi + 1])), last],
+                        [pa.array(doc_ids_of(file, lo, hi), pa.int64()), pa.array(bounds[:-1] + before), pa.array(np.diff(bounds)), last],
                         names=["doc_id", "start", "n_tokens", "ids" if ids else "ids_crc32"],
                     )
 
     if manifest:
-        files = files.repartition(min(len(manifest), 10_000))
+        files = files.repartition(len(manifest))
     return files.mapInArrow(run, f"doc_id long, start long, n_tokens long, {more}")
 
 
