@@ -10,7 +10,8 @@ response to the later buckets. So a URL that holds a third of all captures is sp
 group has one row per bucket (8,760 a year), however many captures there are. Bodies don't take part in either shuffle.
 
 Edge cases: a null URL or date can't be resolved (``missing``); responses at the very time of the revisit are not
-earlier; of several responses at one time the largest record id counts; repeated rows keep their rows; a validator
+earlier; of several responses at one time the largest record id counts, and of several with that id too the one whose
+headers, as sorted lines, come first; repeated rows keep their rows; a validator
 that only one side has is not compared; with none in common the revisit is ``unverified``; extra columns are ignored.
 """
 
@@ -31,6 +32,8 @@ BUCKET = 3600
 #: Headers that a 304 answer may update in the stored response, and the validators.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 VALIDATORS = ("etag", "last-modified")
+#: Fixed values of the stand-in captures: two dates of last change.
+MODIFIED = ("Wed, 01 Nov 2023 00:00:00 GMT", "Thu, 02 Nov 2023 00:00:00 GMT")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/server-not-modified"
 
 CAPTURE = "record_id string, type string, url string, date timestamp, status int, headers map<string,string>, body string"
@@ -159,7 +162,7 @@ def read_warc(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     schema = "record_id string, type string, url string, stamp string, status int, headers map<string,string>, body string"
     files = spark.createDataFrame([(p,) for p in paths], "path string")
-    files = files.repartition(max(1, min(len(paths), 10_000)))
+    files = files.repartition(max(1, len(paths)))
     out = files.mapInArrow(run, schema)
     return out.select("record_id", "type", "url", F.to_timestamp("stamp").alias("date"), "status", "headers", "body")
 
@@ -195,9 +198,9 @@ def resolved(captures: DataFrame, bucket: int = BUCKET) -> DataFrame:
     slots = slots.select("url_key", "slot", F.last("last", ignorenulls=True).over(before).alias("far"))
     found = revisits.join(slots, ["url_key", "slot"], "left").withColumn("hit", F.coalesce("near", "far"))
     # the headers of the response found, by record id, time and URL
-    answers = rows.where("answer IS NOT NULL").select(
-        F.col("url_key").alias("a_key"), F.col("date").alias("a_date"), F.col("record_id").alias("a_id"), F.col("headers").alias("stored")
-    ).dropDuplicates(["a_key", "a_date", "a_id"])
+    answers = rows.where("answer IS NOT NULL").groupBy(
+        F.col("url_key").alias("a_key"), F.col("date").alias("a_date"), F.col("record_id").alias("a_id")
+    ).agg(F.min_by("headers", F.coalesce(header_text(F.col("headers")), F.lit(""))).alias("stored"))
     on = (F.col("url_key") == F.col("a_key")) & (F.col("hit.date") == F.col("a_date")) & (F.col("hit.record_id") == F.col("a_id"))
     both = found.join(answers, on, "left")
 
@@ -228,25 +231,42 @@ def header_text(headers: Column) -> Column:
 
 
 def captures_of_pages(pages: DataFrame) -> DataFrame:
-    """Capture rows from the page table: every page is a full response, most pages are revisited later (some with other
-    validators, some under another form of the URL), a few are revisited before anything was captured."""
-    at = lambda seconds: F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 61 + seconds)
-    base = pages.where("page_id IS NOT NULL").withColumn("tag", F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"')))
-    head = lambda *pairs: F.map_from_arrays(
-        F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[v.cast("string") for _, v in pairs])
-    )
+    """Capture rows from the page table: every page is a full response and is asked for again once.
+
+    A hash of the page decides how: with or without each validator on either side, some of them differing, some under
+    another form of the URL, some before anything was captured. A page without id is known by its URL and text.
+    """
+    text = F.concat(F.coalesce("url", F.lit("")), F.lit("|"), F.coalesce("html", F.lit("")))
+    base = pages.select(
+        F.coalesce(F.col("page_id").cast("string"), F.md5(text)).alias("key"), F.coalesce(F.col("page_id"), F.lit(0)).alias("number"), "url", "html",
+        F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"')).alias("tag"),
+    )
+    digit = lambda k: F.expr(f"instr('0123456789abcdef', substr(md5(key), {k}, 1)) - 1")
+    at = lambda seconds: F.timestamp_seconds(F.lit(1_700_000_000) + F.col("number") * 61 + seconds)
+
+    def head(*pairs) -> Column:
+        """Headers; those without a value are left out."""
+        entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in pairs])
+        return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+
     response = base.select(
-        F.concat(F.lit("urn:page:"), "page_id").alias("record_id"), F.lit("response").alias("type"), "url", at(F.lit(0)).alias("date"),
+        F.concat(F.lit("urn:page:"), "key").alias("record_id"), F.lit("response").alias("type"), "url", at(F.lit(0)).alias("date"),
         F.lit(200).alias("status"),
-        head(("content-type", F.lit("text/html")), ("etag", F.col("tag")), ("server", F.lit("a"))).alias("headers"), F.col("html").alias("body"),
+        head(
+            ("content-type", F.lit("text/html")), ("etag", F.when(digit(1) % 4 != 3, F.col("tag"))),
+            ("last-modified", F.when(digit(2) % 4 != 3, F.lit(MODIFIED[0]))), ("server", F.lit("a")),
+        ).alias("headers"), F.col("html").alias("body"),
     )
-    late = F.when(F.col("page_id") % 11 == 0, -30).otherwise(86_400 + (F.col("page_id") % 7) * 3600)
-    revisit = base.where("page_id % 4 <> 3").select(
-        F.concat(F.lit("urn:again:"), "page_id").alias("record_id"), F.lit("revisit").alias("type"),
-        F.when(F.col("page_id") % 4 == 1, F.concat("url", F.lit("#again"))).otherwise(F.col("url")).alias("url"), at(late).alias("date"),
+    late = F.when(digit(7) % 11 == 0, -30).otherwise(86_400 + (digit(7) % 7) * 3600)
+    revisit = base.select(
+        F.concat(F.lit("urn:again:"), "key").alias("record_id"), F.lit("revisit").alias("type"),
+        F.when(digit(3) % 4 == 1, F.concat("url", F.lit("#again"))).otherwise(F.col("url")).alias("url"), at(late).alias("date"),
         F.lit(304).alias("status"),
         head(
-            ("cache-control", F.lit("max-age=60")), ("etag", F.when(F.col("page_id") % 5 == 0, F.lit('"other"')).otherwise(F.col("tag"))), ("server", F.lit("b")),
+            ("cache-control", F.lit("max-age=60")),
+            ("etag", F.when(digit(4) % 4 < 2, F.when(digit(5) % 5 == 0, F.lit('"other"')).otherwise(F.col("tag")))),
+            ("last-modified", F.when(digit(4) % 2 == 0, F.when(digit(6) % 5 == 0, F.lit(MODIFIED[1])).otherwise(F.lit(MODIFIED[0])))),
+            ("server", F.lit("b")),
         ).alias("headers"), F.lit(None).cast("string").alias("body"),
     )
     return response.union(revisit)
@@ -262,26 +282,35 @@ def op5(spark: SparkSession, pages: DataFrame) -> DataFrame:
     )
 
 
-OP5_SQL = r"""
-WITH b AS (SELECT page_id, url, '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag FROM pages WHERE page_id IS NOT NULL),
+OP5_SQL = rf"""
+WITH b AS (SELECT *, md5(key) AS h, 1700000000 + number * 61 AS s0 FROM (
+  SELECT coalesce(CAST(page_id AS VARCHAR), md5(coalesce(url, '') || '|' || coalesce(html, ''))) AS key, coalesce(page_id, 0) AS number, url,
+         '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag FROM pages)),
+g AS (SELECT *, {", ".join(f"instr('0123456789abcdef', substr(h, {k}, 1)) - 1 AS h{k}" for k in range(1, 8))} FROM b),
 c AS (
-  SELECT 'urn:page:' || page_id AS record_id, 'response' AS type, url, 1700000000 + page_id * 61 AS s, tag FROM b
+  SELECT 'urn:page:' || key AS record_id, 'response' AS type, url, s0 AS s, CASE WHEN h1 % 4 <> 3 THEN tag END AS etag,
+         CASE WHEN h2 % 4 <> 3 THEN '{MODIFIED[0]}' END AS modified FROM g
   UNION ALL
-  SELECT 'urn:again:' || page_id, 'revisit', CASE WHEN page_id % 4 = 1 THEN url || '#again' ELSE url END,
-         1700000000 + page_id * 61 + CASE WHEN page_id % 11 = 0 THEN -30 ELSE 86400 + (page_id % 7) * 3600 END,
-         CASE WHEN page_id % 5 = 0 THEN '"other"' ELSE tag END FROM b WHERE page_id % 4 <> 3),
+  SELECT 'urn:again:' || key, 'revisit', CASE WHEN h3 % 4 = 1 THEN url || '#again' ELSE url END,
+         s0 + CASE WHEN h7 % 11 = 0 THEN -30 ELSE 86400 + (h7 % 7) * 3600 END,
+         CASE WHEN h4 % 4 < 2 THEN CASE WHEN h5 % 5 = 0 THEN '"other"' ELSE tag END END,
+         CASE WHEN h4 % 2 = 0 THEN CASE WHEN h6 % 5 = 0 THEN '{MODIFIED[1]}' ELSE '{MODIFIED[0]}' END END FROM g),
 p AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '') AS r FROM c),
 q AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(r, '^[^/?]*', 0)), ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
              regexp_replace(regexp_extract(r, '^[^/?]*(/[^?]*)', 1), '/+$', '') AS path,
              array_to_string(list_sort(list_filter(string_split(regexp_extract(r, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)'))), '&') AS args FROM p),
-k AS (SELECT record_id, type, s, tag, host || path || CASE WHEN args <> '' THEN '?' || args ELSE '' END AS url_key FROM q),
+k AS (SELECT record_id, type, s, etag, modified, host || path || CASE WHEN args <> '' THEN '?' || args ELSE '' END AS url_key FROM q),
 a AS (SELECT * FROM k WHERE type = 'response'),
-j AS (SELECT v.*, a.record_id AS response_id, a.tag AS old_tag,
+j AS (SELECT v.*, a.record_id AS response_id, a.etag AS old_etag, a.modified AS old_modified,
              row_number() OVER (PARTITION BY v.record_id ORDER BY a.s DESC, a.record_id DESC) AS n
       FROM k AS v LEFT JOIN a ON a.url_key = v.url_key AND a.s < v.s WHERE v.type = 'revisit'),
-f AS (SELECT *, CASE WHEN response_id IS NULL THEN 'missing' WHEN tag <> old_tag THEN 'mismatch' ELSE 'resolved' END AS verdict FROM j WHERE n = 1)
+f AS (SELECT *, CASE WHEN response_id IS NULL THEN 'missing' WHEN etag <> old_etag OR modified <> old_modified THEN 'mismatch'
+                     WHEN etag = old_etag OR modified = old_modified THEN 'resolved' ELSE 'unverified' END AS verdict FROM j WHERE n = 1),
+m AS (SELECT *, verdict IN ('resolved', 'unverified') AS merged FROM f)
 SELECT record_id, url_key, strftime(make_timestamp(CAST(s * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS date, response_id, verdict,
-       sha256(CASE WHEN verdict = 'resolved' THEN 'cache-control: max-age=60' || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || tag || chr(10) || 'server: a'
-                   ELSE 'cache-control: max-age=60' || chr(10) || 'etag: ' || tag || chr(10) || 'server: b' END) AS headers_sha256
-FROM f
+       sha256(concat_ws(chr(10), 'cache-control: max-age=60', CASE WHEN merged THEN 'content-type: text/html' END,
+                        'etag: ' || CASE WHEN merged THEN coalesce(etag, old_etag) ELSE etag END,
+                        'last-modified: ' || CASE WHEN merged THEN coalesce(modified, old_modified) ELSE modified END,
+                        CASE WHEN merged THEN 'server: a' ELSE 'server: b' END)) AS headers_sha256
+FROM m
 """

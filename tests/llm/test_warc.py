@@ -111,3 +111,23 @@ def test_query_equals_its_sql(spark):
     got = sorted(repr({n: r[n] for n in sorted(names)}) for r in warc.op5(spark, pages).collect())
     assert got == want
     assert warc.op5(spark, pages.limit(0)).count() == 0
+
+
+def test_every_page_gets_a_revisit_and_every_verdict_occurs(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    out = warc.op5(spark, pages)
+    rows = out.collect()
+    assert len(rows) == pages.count()
+    assert {r.verdict for r in rows} == {"resolved", "mismatch", "unverified", "missing"}
+    odd = spark.createDataFrame([(None, "http://a.org/x", "<p>"), (None, None, None), (3, "http://a.org/x", None)], "page_id long, url string, html string")
+    assert warc.op5(spark, odd.withColumn("tag", F.lit("clash")).withColumn("key", F.lit(1))).count() == 3
+
+
+def test_equal_time_and_record_id_take_the_least_headers(spark):
+    rows = [
+        capture(1, "response", "a.org", 10, headers={"etag": '"2"', "server": "z"}), capture(1, "response", "a.org", 10, headers={"etag": '"1"', "server": "z"}),
+        capture(2, "revisit", "a.org", 20, headers={"etag": '"1"'}),
+    ]
+    for order in (rows, rows[::-1]):
+        out = warc.resolved(spark.createDataFrame(order, warc.CAPTURE).repartition(3)).collect()
+        assert [(r.response_id, r.verdict) for r in out] == [("id1", "resolved")]
