@@ -1,13 +1,20 @@
 """Benchmark decontamination with suffix arrays over shards of the training text.
 
-Each task cuts its documents into shards (``SHARD_BYTES`` of text), builds one word-level suffix array per shard by
-prefix doubling and binary-searches every suffix of the benchmark items in it. The benchmark is the stated query
-set: it is read in blocks of ``BLOCK_BYTES`` of text, one block is broadcast at a time, and the documents are never
-shuffled. A suffix that starts with a word the block doesn't hold can't match and is left out of the array; a run of
-known words shorter than the shortest window is left out as well. Both leave every match in place.
+Each task cuts its documents into shards (``SHARD_BYTES`` of text) and builds one word-level suffix array per shard by
+prefix doubling. Every suffix of every benchmark item is searched in it by binary search over whole suffixes, which
+gives its longest verbatim match in the shard and where it is. What occurs of the item follows from that: a window of
+the item occurs where the match of the suffix it begins is as long as the window, and all its places are the suffixes
+around that match that share as many words. ``longest_matches`` returns the matches themselves, over all shards.
+
+The benchmark is the stated query set: it is read in blocks of ``BLOCK_BYTES`` of text, one block is broadcast at a
+time, and the documents are never shuffled. A suffix that starts with a word the block doesn't hold can't match and is
+left out of the array; a run of known words shorter than the shortest window is left out as well. Both leave every
+match of a window or more in place.
 
 Edge cases: null or empty texts have no words (``n_hit`` 0, not contaminated); items without words have no window;
-equal items and equal documents each keep their own row; an empty benchmark marks nothing; other columns are ignored.
+equal items and equal documents each keep their own row; an empty benchmark marks nothing; other columns are ignored,
+but a column that is kept may not be named like one of the results (an error). Of several places of a longest match the
+smallest document id counts, then the first word; a document without id comes last.
 """
 
 from __future__ import annotations
@@ -28,22 +35,26 @@ BLOCK_BYTES = 16 << 20
 RESULT = ("_n_words", "_n_hit", "_spans", "_items")
 
 
-def suffix_order(ids: np.ndarray, kept: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ``kept`` of ``ids`` sorted by the suffixes that start there, compared over ``depth`` words.
+def suffix_order(ids: np.ndarray, kept: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Positions ``kept`` of ``ids`` sorted by the suffixes that start there; over ``depth`` words, if given.
 
-    Prefix doubling: after each round the rank tells suffixes apart by twice as many words. Word 0 ends a suffix.
+    Prefix doubling: after each round the rank tells suffixes apart by twice as many words. Word 0 ends a suffix. Rounds
+    end when all suffixes are told apart or the longest is compared whole.
     """
     rank = np.zeros(len(ids) + 1, np.int64)
     rank[:-1] = ids
     width = 1
-    while width < depth:
+    longest = int(runs_left(ids)[kept].max(initial=0)) if depth is None else depth
+    while width < longest:
         ahead = np.minimum(kept + width, len(ids))
         key = (rank[kept] << 32) | np.where(rank[kept] > 0, rank[ahead], 0)
         # a suffix that isn't kept has rank by its first word only, which is never needed: it can't be inside a window
-        _, inverse = np.unique(key, return_inverse=True)
+        different, inverse = np.unique(key, return_inverse=True)
         rank[:] = 0
         rank[kept] = inverse + 1
         width *= 2
+        if len(different) == len(kept):
+            break
     return kept[np.argsort(rank[kept], kind="stable")]
 
 
@@ -54,34 +65,46 @@ def runs_left(ids: np.ndarray) -> np.ndarray:
     return stops[np.searchsorted(stops, at)] - at
 
 
-def prefix_range(
-    text: np.ndarray, order: np.ndarray, query: np.ndarray, at: np.ndarray, length: np.ndarray
+def common_words(text: np.ndarray, a: np.ndarray, query: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many words ``text`` from ``a`` and ``query`` from ``b`` share, ``most`` at most; word 0 is shared by none."""
+    out = np.zeros(len(a), np.int64)
+    live = np.flatnonzero(most > 0)
+    k = 0
+    while len(live):
+        x = text[np.minimum(a[live] + k, len(text) - 1)]
+        live = live[(a[live] + k < len(text)) & (x > 0) & (x == query[b[live] + k])]
+        k += 1
+        out[live] = k
+        live = live[k < most[live]]
+    return out
+
+
+def best_matches(
+    text: np.ndarray, order: np.ndarray, query: np.ndarray, at: np.ndarray, reach: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Binary search for many query suffixes at once: the range of ``order`` whose suffixes start with ``length`` words
-    of ``query`` from ``at``."""
-    padded = np.append(text, 0)
-
-    def compare(mid: np.ndarray) -> np.ndarray:  # -1: suffix before the query prefix, 0: starts with it, 1: after
-        out = np.zeros(len(at), np.int8)
-        pos = order[np.minimum(mid, len(order) - 1)]
-        for k in range(int(length.max(initial=0))):
-            live = (out == 0) & (k < length)
-            if not live.any():
-                break
-            a, b = padded[np.minimum(pos[live] + k, len(text))], query[at[live] + k]
-            out[live] = np.sign(a.astype(np.int64) - b)
-        return out
-
-    def search(after: bool) -> np.ndarray:
-        lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(order), np.int64)
-        for _ in range(int(len(order)).bit_length()):
-            mid = (lo + hi) >> 1
-            c = compare(mid)
-            right = ((c < 0) | ((c == 0) & after)) & (lo < hi)
-            lo, hi = np.where(right, mid + 1, lo), np.where(right | (lo >= hi), hi, mid)
-        return lo
-
-    return search(False), search(True)
+    """For each query suffix (``reach`` words of ``query`` from ``at``): the place in ``order`` of a suffix of ``text``
+    that shares most words with it, and their number. Binary search over whole suffixes, all queries at once."""
+    lo, hi = np.zeros(len(at), np.int64), np.full(len(at), len(order), np.int64)
+    for _ in range(int(len(order)).bit_length()):
+        mid = np.minimum((lo + hi) >> 1, len(order) - 1)
+        pos = order[mid]
+        same = common_words(text, pos, query, at, reach)
+        ends = same >= reach  # the query is a prefix: it comes first
+        a = text[np.minimum(pos + same, len(text) - 1)] * (pos + same < len(text))
+        b = query[np.minimum(at + same, len(query) - 1)]
+        before = ~ends & (a < b) & (lo < hi)
+        lo, hi = np.where(before, mid + 1, lo), np.where(before | (lo >= hi), hi, mid)
+    left, right = np.maximum(lo - 1, 0), np.minimum(lo, len(order) - 1)
+    shared = [common_words(text, order[p], query, at, reach) for p in (left, right)]
+    return np.where(shared[0] > shared[1], left, right), np.maximum(*shared)
+
+
+def neighbours(text: np.ndarray, order: np.ndarray, words: int) -> np.ndarray:
+    """For each place of ``order`` the number of its group: places whose suffixes share their first ``words`` words."""
+    if len(order) < 2:
+        return np.zeros(len(order), np.int64)
+    shared = common_words(text, order[1:], text, order[:-1], np.full(len(order) - 1, words))
+    return np.cumsum(np.append(0, shared < words))
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -89,11 +112,12 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 def test_index(items: list[tuple[object, bytes | None]], window: int) -> dict:
-    """Word numbers, distinct windows and the items of each window of one benchmark block."""
+    """Word numbers, suffixes, distinct windows and the items of each window of one benchmark block."""
     vocabulary: dict[bytes, int] = {}
     flat: list[int] = []
     windows: dict[tuple[int, ...], int] = {}
-    at, length, owners = [], [], []
+    at, length, owners = [], [], []  # of the windows
+    suffix, reach, item_of, place = [], [], [], []  # of the suffixes that hold a window
     for item, text in items:
         numbers = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words(text)]
         n = min(window, len(numbers))
@@ -103,18 +127,24 @@ def test_index(items: list[tuple[object, bytes | None]], window: int) -> dict:
             key = tuple(numbers[i : i + n])
             j = windows.setdefault(key, len(windows))
             if j == len(at):
-                at.append(base + i)
+                at.append(len(suffix))
                 length.append(n)
                 owners.append(set())
             owners[j].add(str(item))
+            suffix.append(base + i)
+            reach.append(len(numbers) - i)
+            item_of.append(item)
+            place.append(i)
+    numbers_of = lambda x: np.array(x, np.int64)
     return {
-        "vocabulary": vocabulary, "query": np.array(flat, np.int64), "at": np.array(at, np.int64),
-        "length": np.array(length, np.int64), "owners": [sorted(o) for o in owners],
+        "vocabulary": vocabulary, "query": numbers_of(flat), "suffix": numbers_of(suffix), "reach": numbers_of(reach), "item": item_of,
+        "place": numbers_of(place), "least": np.minimum(window, numbers_of(reach) + numbers_of(place)), "at": numbers_of(at),
+        "length": numbers_of(length), "owners": [sorted(o) for o in owners],
     }
 
 
-def shard_hits(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, int, int]]]:
-    """(word numbers of the shard with 0 between documents, first word of each document, (positions, window, length))."""
+def shard(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word numbers of the shard with 0 between documents, first word of each document, suffix array)."""
     get = index["vocabulary"].get
     flat: list[int] = []
     first = []
@@ -124,18 +154,29 @@ def shard_hits(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, np.n
         flat.append(0)
     first.append(len(flat))
     ids = np.array(flat, np.int64)
-    found: list[tuple[np.ndarray, int, int]] = []
+    order = np.zeros(0, np.int64)
     if len(index["at"]):
-        shortest, longest = int(index["length"].min()), int(index["length"].max())
+        shortest = int(index["length"].min())
         left = runs_left(ids)
-        kept = np.flatnonzero(left >= shortest)
-        if len(kept):
-            # ranks are needed for every known word inside a kept suffix, so order all known words and then keep
-            order = suffix_order(ids, np.flatnonzero((ids > 0) & _near(left, ids, shortest)), longest)
-            lo, hi = prefix_range(ids, order, index["query"], index["at"], index["length"])
-            for j in np.flatnonzero(hi > lo):
-                found.append((order[lo[j] : hi[j]], int(j), int(index["length"][j])))
-    return ids, np.array(first, np.int64), found
+        if (left >= shortest).any():
+            # ranks are needed for every known word inside a kept suffix, so all known words of such runs are ordered
+            order = suffix_order(ids, np.flatnonzero((ids > 0) & _near(left, ids, shortest)))
+    return ids, np.array(first, np.int64), order
+
+
+def shard_hits(texts: list[bytes | None], index: dict) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, int, int]]]:
+    """(word numbers of the shard, first word of each document, (positions, window, length) of the windows that occur)."""
+    ids, first, order = shard(texts, index)
+    found: list[tuple[np.ndarray, int, int]] = []
+    if len(order):
+        best, shared = best_matches(ids, order, index["query"], index["suffix"], index["reach"])
+        best, long_enough = best[index["at"]], shared[index["at"]] >= index["length"]
+        for n in np.unique(index["length"][long_enough]).tolist():
+            group = neighbours(ids, order, n)
+            own = np.flatnonzero(long_enough & (index["length"] == n))
+            lo, hi = (np.searchsorted(group, group[best[own]], side) for side in ("left", "right"))
+            found += [(order[a:b], int(j), n) for a, b, j in zip(lo.tolist(), hi.tolist(), own.tolist(), strict=True)]
+    return ids, first, found
 
 
 def _near(left: np.ndarray, ids: np.ndarray, shortest: int) -> np.ndarray:
@@ -146,7 +187,9 @@ def _near(left: np.ndarray, ids: np.ndarray, shortest: int) -> np.ndarray:
     return left[start] >= shortest
 
 
-def _hits(index: dict, window: int, shard_bytes: int, keep: list[str]):
+def _hits(index: dict, shard_bytes: int, keep: list[str], again: bool):
+    """``again``: the rows hold what the blocks before this one have found."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in blocks(batches, shard_bytes):
             ids, first, found = shard_hits(texts, index)
@@ -159,7 +202,7 @@ def _hits(index: dict, window: int, shard_bytes: int, keep: list[str]):
                     owners.setdefault(d, set()).update(index["owners"][j])
             spans = [_spans(cover, first, d) if d in owners else [] for d in range(len(texts))]
             items = [sorted(owners.get(d, ())) for d in range(len(texts))]
-            if "_spans" in rows.schema.names:  # what the blocks before this one have found
+            if again:
                 spans = [_merged(x, y) for x, y in zip(rows.column("_spans").to_pylist(), spans, strict=True)]
                 items = [sorted({*x, *y}) for x, y in zip(rows.column("_items").to_pylist(), items, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -217,19 +260,69 @@ def contamination(
     one pass has found travels with the row to the next, so rows need no key and repeated ids stay apart.
     """
     keep = docs.columns if keep is None else keep
+    if {*RESULT} & {*keep}:
+        raise ValueError(f"columns {sorted({*RESULT} & {*keep})} can't be kept beside the results")
+    docs = docs.select(*dict.fromkeys([*keep, "text"]))
     out, blocks_left = docs, benchmark_blocks(benchmark, block_bytes)
-    block = next(blocks_left, [])
+    block, again = next(blocks_left, []), False
     while True:
         following = next(blocks_left, None)
         names = keep if following is None else docs.columns
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields]
         out = out.mapInArrow(
-            _hits(test_index(block, window), window, shard_bytes, names),
+            _hits(test_index(block, window), shard_bytes, names, again),
             ", ".join([*fields, "_n_words long", "_n_hit long", "_spans array<bigint>", "_items array<string>"]),
         )
         if following is None:
             return out
-        block = following
+        block, again = following, True
+
+
+def longest_matches(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """item_id (as text), item_word, n_words, doc_id, doc_word: for every suffix of every item (words from 0) its longest
+    verbatim match in ``docs`` and the place of it, if it is as long as a window. Rows of equal items are one."""
+    docs = id_and_text(docs)
+    schema = "item_id string, item_word long, n_words long, doc_id long, doc_word long"
+
+    def search(index: dict):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows, texts in blocks(batches, shard_bytes):
+                ids, first, order = shard(texts, index)
+                if not len(order):
+                    continue
+                best, shared = best_matches(ids, order, index["query"], index["suffix"], index["reach"])
+                doc_ids = rows.column("doc_id").to_pylist()
+                groups: dict[int, np.ndarray] = {}
+                out: list[tuple] = []
+                for k in np.flatnonzero(shared >= index["least"]).tolist():
+                    n = int(shared[k])
+                    if n not in groups:
+                        groups[n] = neighbours(ids, order, n)
+                    lo, hi = (np.searchsorted(groups[n], groups[n][best[k]], side) for side in ("left", "right"))
+                    places = order[lo:hi]  # all places of the longest match
+                    owner = np.searchsorted(first, places, side="right") - 1
+                    where = [(doc_ids[d] is None, doc_ids[d] or 0, w) for d, w in zip(owner.tolist(), (places - first[owner]).tolist(), strict=True)]
+                    none, doc, word = min(where)
+                    out.append((str(index["item"][k]), int(index["place"][k]), n, None if none else doc, word))
+                columns = zip(*out, strict=True) if out else [[]] * 5
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*c], t) for c, t in zip(columns, kinds, strict=True)], names=["item_id", "item_word", "n_words", "doc_id", "doc_word"]
+                )
+
+        return run
+
+    found = None
+    for block in benchmark_blocks(benchmark, block_bytes):
+        own = docs.mapInArrow(search(test_index(block, window)), schema)
+        found = own if found is None else found.union(own)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    first = F.min(F.struct(-F.col("n_words"), F.col("doc_id").isNull(), "doc_id", "doc_word")).alias("b")
+    best = found.groupBy("item_id", "item_word").agg(first)
+    return best.select("item_id", "item_word", (-F.col("b.col1")).alias("n_words"), "b.doc_id", "b.doc_word")
 
 
 def decontaminated(
