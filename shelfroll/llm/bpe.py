@@ -153,18 +153,17 @@ class Memo:
         self.young: dict = {}
         self.old: dict = {}
 
-    def missing(self, keys) -> list:
+    def missing(self, keys: set) -> list:
         """Keys that have no entry; the others are in the younger generation afterwards."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         new = []
-        for k in keys:
-            if k not in young:
-                if (e := old.get(k)) is not None:
-                    young[k] = e
-                else:
-                    new.append(k)
+        for k in keys.difference(young):
+            if (e := old.get(k)) is not None:
+                young[k] = e
+            else:
+                new.append(k)
         return new
 
 
@@ -210,15 +209,15 @@ class Encoder:
         for chunk, own in parts:
             young[chunk] = combine([known[p] if p.__class__ is str else p for p in own])
 
-    def block(self, texts: list[bytes | None]) -> Iterator[list]:
-        """For each text the entries of its chunks, in order."""
+    def block(self, texts: list[bytes | None]) -> Iterator[Iterator]:
+        """For each text the entries of its chunks, in order; to be read before the next block."""
         cut = [t.split() if t else [] for t in texts]
         new = self.chunks.missing(set().union(*cut))
         if new:
             self.learn(new)
         get = self.chunks.young.__getitem__
         for chunks in cut:
-            yield [*map(get, chunks)]
+            yield map(get, chunks)
 
 
 def numpy_words(vocab: dict):
