@@ -209,8 +209,12 @@ class Encoder:
         for chunk, own in parts:
             young[chunk] = combine([known[p] if p.__class__ is str else p for p in own])
 
-    def block(self, texts: list[bytes | None]) -> Iterator[Iterator]:
-        """For each text the entries of its chunks, in order; to be read before the next block."""
+    def block(self, texts: list[bytes | None]) -> Iterator[list]:
+        """For each text the entries of its chunks, in order."""
+        return map(list, self.entries(texts))
+
+    def entries(self, texts: list[bytes | None]) -> Iterator[Iterator]:
+        """The same, to be read before the next block."""
         cut = [t.split() if t else [] for t in texts]
         new = self.chunks.missing(set().union(*cut))
         if new:
@@ -261,7 +265,7 @@ def encoded(docs: DataFrame, path: str | None = None, keep: list[str] | None = N
         encoder = worker_cache("bpe" + path, lambda: _encoder(path, False))
         for rows, texts in blocks(batches, BLOCK_BYTES):
             ids, decoded, ends = [], [], [0]
-            for entries in encoder.block(texts):
+            for entries in encoder.entries(texts):
                 entries = [e for e in entries if e[1]]
                 ids += [e[0] for e in entries]
                 ends.append(ends[-1] + sum([e[1] for e in entries]))
@@ -287,7 +291,7 @@ def digested(docs: DataFrame, path: str | None = None, keep: list[str] | None =
         sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
         for rows, texts in blocks(batches, BLOCK_BYTES):
             n, ids, decoded = [], [], []
-            for entries in encoder.block(texts):
+            for entries in encoder.entries(texts):
                 entries = [e for e in entries if e[1]]
                 n.append(sum([e[1] for e in entries]))
                 ids.append(sha([e[0] for e in entries]))

@@ -232,7 +232,7 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, end_id: i
             )
 
         for rows, texts in blocks(batches, BLOCK_BYTES):
-            for d, entries in zip(rows.column("doc_id").to_pylist(), encoder.block(texts), strict=True):
+            for d, entries in zip(rows.column("doc_id").to_pylist(), encoder.entries(texts), strict=True):
                 entry = b"".join(entries) + end
                 doc_ids.append(d)
                 ids.append(entry)
