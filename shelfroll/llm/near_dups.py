@@ -160,7 +160,8 @@ def _agreement(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     """
     sigs = reps.select("id", "sig")
     centres = pairs.select(*PIECE, "a").distinct().join(sigs, F.col("a") == F.col("id")).select(*PIECE, F.col("sig").alias("sa"))
-    joined = pairs.join(centres, [*PIECE]).join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
+    small = F.broadcast(pairs) if pairs.count() <= BROADCAST_ROWS // 4 else pairs  # of 32 bytes
+    joined = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")).join(small, "b").join(centres, [*PIECE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -189,9 +190,11 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def _confirmed(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a node and a partner of ``lists`` (LISTS) with 100 * intersection >= percent * union on the full
-    sets."""
-    rows = lists.join(sets.withColumnRenamed("id", "a"), "a").select(*PIECE, "a", "partners", "set")
+    """Pairs (a, b) of a node and a partner of ``lists`` (LISTS, read from a table) with 100 * intersection >= percent *
+    union on the full sets. Lists of up to ``BROADCAST_ROWS`` numbers are broadcast, so that the sets stay where they are."""
+    numbers = lists.agg(F.sum(F.size("partners") + 4)).first()[0] or 0
+    small = F.broadcast(lists) if numbers <= BROADCAST_ROWS else lists
+    rows = sets.withColumnRenamed("id", "a").join(small, "a").select(*PIECE, "a", "partners", "set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
@@ -388,7 +391,7 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def links_of(pairs: DataFrame) -> DataFrame:
         """Links among pairs of one centre a piece."""
         close = stored(_agreement(stored(pairs, "pairs"), near, least), "pairs")
-        return stored(_confirmed(_lists(close), sets, percent), "links")
+        return stored(_confirmed(stored(_lists(close), "lists"), sets, percent), "links")
 
     # one centre for each node, then centres by bucket while they join components
     first = shared.where("centre <> id").groupBy("id").agg(F.min(F.struct("centre", "bucket", "m")).alias("c"))
@@ -406,7 +409,7 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if joined:
             comp = stored(_joined(comp, links), "components")
         turn += 1
-        if STALLED * joined < left:
+        if turn >= 2 and STALLED * joined < left:
             break
 
     # buckets that hold several components, searched whole
