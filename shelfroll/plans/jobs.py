@@ -36,10 +36,12 @@ from .. import schema as S
 from ..operators.calendar import as_key, calendar_window, week_bounds
 from ..operators.compare import build_daily
 from ..operators.rollup import flagged_staging
-from ..operators.weekly import build_weekly
+from ..operators.weekstate import STATE_SCHEMA, week_states, weekly_from_states
+from ..session import scratch_path
+from ..sources import storage
 from ..sources.params import JobParams, JobParamsError, read_params
 from ..sources.tables import read_calendar, read_daily, read_fact, read_staging
-from . import sinks
+from . import sinks, weekstates
 from .runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog
 from .scope import JobScope, job_scope, within
 
@@ -81,7 +83,10 @@ def _load_staging(spark: SparkSession, params: JobParams, calendar: DataFrame, s
     )
 
 
-def _load_daily(spark: SparkSession, params: JobParams, window: DataFrame, scope: JobScope, mode: str, log: RunLog) -> None:
+def _load_daily(
+    spark: SparkSession, params: JobParams, window: DataFrame, calendar: DataFrame, scope: JobScope, mode: str, log: RunLog, states: str
+) -> bool:
+    """True where the states of the job's weeks were made from the changed days; they are then at ``states``."""
     log.add(f"Daily {mode} started", IN_PROGRESS)
     # upserts rebuild only the job's vendors (other vendors' partitions are
     # untouched); full loads replace the dataset and so cover every vendor
@@ -89,20 +94,40 @@ def _load_daily(spark: SparkSession, params: JobParams, window: DataFrame, scope
     staging = read_staging(spark, params.staging_path, vendors=vendors)
     daily = _union([build_daily(staging, window, lo, hi) for lo, hi in scope.daily])
     own = sinks.vendor_scope(vendors) & within(scope.daily) if mode == "upsert" else None
-    done = sinks.write_daily(daily, params.daily_path, mode, own)
+    weekstates.begin(spark, params.week_state_path)
+    follows = mode == "upsert" and weekstates.covered(spark, params, calendar, scope)
+    with sinks.spooled(daily.select(*S.DAILY_COLUMNS)) as rows:
+        if follows:
+            follows = weekstates.follow(spark, params, scope, _own_weeks(params, calendar, scope), rows, states)
+        done = sinks.write_rows(rows, params.daily_path, S.DAILY_PARTITIONS, mode, own)
     log.add(f"Daily {mode} done for {scope.daily}: {done.rows} rows{_removed(done, 'rows')}")
+    return follows
 
 
-def _load_weekly(spark: SparkSession, params: JobParams, calendar: DataFrame, scope: JobScope, mode: str, log: RunLog) -> None:
+def _own_weeks(params: JobParams, calendar: DataFrame, scope: JobScope) -> Column:
+    """The job's vendors and weeks."""
+    bounds = [week_bounds(calendar, lo, hi) for lo, hi in scope.weeks]
+    return sinks.vendor_scope(params.vendors) & _any([F.col(S.WEEK_ENDED).between(F.lit(lo), F.lit(hi)) for lo, hi in bounds])
+
+
+def _load_weekly(
+    spark: SparkSession, params: JobParams, calendar: DataFrame, scope: JobScope, mode: str, log: RunLog, states: str, follows: bool
+) -> None:
+    """States first, then weekly from them. ``follows``: ``states`` has them already, from the changed days; otherwise
+    they are made from whole weeks of the daily table."""
     log.add(f"Weekly {mode} started", IN_PROGRESS)
-    vendors = params.vendors if mode == "upsert" else None
-    daily = read_daily(spark, params.daily_path, vendors=vendors).where(within(scope.weeks))
-    own = None
-    if mode == "upsert":
-        bounds = [week_bounds(calendar, lo, hi) for lo, hi in scope.weeks]
-        own = sinks.vendor_scope(vendors) & _any([F.col(S.WEEK_ENDED).between(F.lit(lo), F.lit(hi)) for lo, hi in bounds])
-    done = sinks.write_weekly(build_weekly(daily), params.weekly_path, mode, own)
-    log.add(f"Weekly {mode} done for {scope.weeks}: {done.rows} rows{_removed(done, 'rows')}", SUCCESS)
+    if not follows:
+        vendors = params.vendors if mode == "upsert" else None
+        daily = read_daily(spark, params.daily_path, vendors=vendors).where(within(scope.weeks))
+        week_states(daily).write.parquet(states)
+    rows = spark.read.schema(STATE_SCHEMA).parquet(states)
+    own = _own_weeks(params, calendar, scope) if mode == "upsert" else None
+    sinks.write_rows(rows, params.week_state_path, S.WEEKLY_PARTITIONS, mode, own)
+    weekly = weekly_from_states(rows).select(*S.WEEKLY_COLUMNS)
+    done = sinks.write_rows(weekly, params.weekly_path, S.WEEKLY_PARTITIONS, mode, own)
+    weekstates.end(spark, params.week_state_path)
+    how = ", from the changed days" if follows else ""
+    log.add(f"Weekly {mode} done for {scope.weeks}{how}: {done.rows} rows{_removed(done, 'rows')}", SUCCESS)
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -131,8 +156,13 @@ def run_job(
             _load_staging(spark, params, calendar, scope, log)
         else:
             log.add("Staging not required; refreshing daily and weekly", IN_PROGRESS)
-        _load_daily(spark, params, calendar_window(calendar, as_of, years), scope, plan.final_mode, log)
-        _load_weekly(spark, params, calendar, scope, plan.final_mode, log)
+        window = calendar_window(calendar, as_of, years)
+        states = scratch_path(spark, "week-states")
+        try:
+            follows = _load_daily(spark, params, window, calendar, scope, plan.final_mode, log, states)
+            _load_weekly(spark, params, calendar, scope, plan.final_mode, log, states, follows)
+        finally:
+            storage.delete(spark, states)
     except Exception as e:  # record, then re-raise
         log.add(f"{type(e).__name__}: {e}", FAILED)
         raise

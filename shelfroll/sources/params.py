@@ -88,6 +88,10 @@ class JobParams:
     def weekly_path(self) -> str:
         return self.output_path("weekly")
 
+    @property
+    def week_state_path(self) -> str:
+        return self.output_path("weekly_state")
+
     @property
     def log_path(self) -> str:
         return self.output_path("job_logs")

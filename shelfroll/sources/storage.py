@@ -39,6 +39,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file; the folders above it are made."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     fs, p = _fs(spark, old)
     target = _fs(spark, new)[1]
@@ -100,6 +106,13 @@ def finish_swap(spark: SparkSession, path: str) -> None:
     delete(spark, marker)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a dataset, an open swap included."""
+    new = _open_swap(spark, path)
+    for folder in (_marker(path), path, *([new] if new else [])):
+        delete(spark, folder)
+
+
 @contextmanager
 def listing(spark: SparkSession) -> Iterator[None]:
     """While datasets are listed: two tasks a core at most. Spark's default is a task per directory up to 10,000,

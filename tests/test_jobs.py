@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfroll import schema as S
+from shelfroll.operators.weekly import build_weekly
 from shelfroll.plans import jobs, sinks
 from shelfroll.plans.runlog import FAILED, IN_PROGRESS, SUCCESS, RunLog, latest_status
 from shelfroll.plans.scope import job_scope, merge_ranges
@@ -379,3 +380,59 @@ def test_upsert_removes_partitions_it_has_no_rows_for(spark):
     assert "partition(s)" not in weekly_step
     assert read_daily(spark, p.daily_path, 19991231, 19991231, [1]).count() == 0
     assert read_daily(spark, p.daily_path, 19991231, 19991231, [2]).count() == 1
+
+
+def _weeks(spark, p):
+    return sorted(tuple(r) for r in read_weekly(spark, p.weekly_path).collect())
+
+
+def _rebuilt(spark, p):
+    return sorted(tuple(r) for r in build_weekly(read_daily(spark, p.daily_path)).select(*S.WEEKLY_COLUMNS).collect())
+
+
+def test_upserts_follow_the_changed_days_and_equal_a_rebuild(spark):
+    """Weekly after each upsert equals one built from the whole daily table, and reads no other day."""
+    base = _setup(spark)
+    p = _params(base, "FL", 19990101, 20001231)
+    jobs.run_job(spark, p, as_of=AS_OF)
+    assert _weeks(spark, p) == _rebuilt(spark, p)
+    for day, vendor, units in ((19990106, 1, 100.0), (19990106, 1, 0.0), (20000112, 2, 3.5)):
+        sinks.write_partitioned(_fact(spark, [(vendor, day, units)]), p.fact_path, S.DAILY_PARTITIONS, "upsert")
+        log = jobs.run_job(spark, _params(base, "IL", day, day, vendors=(vendor,)), as_of=AS_OF)
+        assert "from the changed days" in log.rows[-1][2]
+        assert _weeks(spark, p) == _rebuilt(spark, p)
+    assert not os.path.exists(p.week_state_path.rstrip("/") + "__open")
+
+
+def test_states_of_a_killed_job_are_not_used(spark):
+    """A job that fails between daily and weekly leaves its marker; the next one builds its weeks whole."""
+    base = _setup(spark)
+    p = _params(base, "FL", 19990101, 20001231)
+    jobs.run_job(spark, p, as_of=AS_OF)
+    il = _params(base, "IL", 19990106, 19990106, vendors=(1,))
+    for units, fail, how in ((100.0, True, None), (50.0, False, "whole"), (25.0, False, "from the changed days")):
+        sinks.write_partitioned(_fact(spark, [(1, 19990106, units)]), p.fact_path, S.DAILY_PARTITIONS, "upsert")
+        if fail:
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(jobs, "_load_weekly", lambda *a: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    jobs.run_job(spark, il, as_of=AS_OF)
+            assert os.path.exists(p.week_state_path.rstrip("/") + "__open")
+            continue
+        log = jobs.run_job(spark, il, as_of=AS_OF)
+        assert ("from the changed days" in log.rows[-1][2]) == (how != "whole")
+        assert _weeks(spark, p) == _rebuilt(spark, p)
+
+
+def test_states_that_do_not_match_daily_are_not_used(spark):
+    """Daily rows that the states never held: the weeks are built whole, and states are right afterwards."""
+    base = _setup(spark)
+    p = _params(base, "FL", 19990101, 20001231)
+    jobs.run_job(spark, p, as_of=AS_OF)
+    stray = read_daily(spark, p.daily_path, 19990106, 19990106, [1]).withColumn(S.STORE, F.lit(99))
+    both = read_daily(spark, p.daily_path, 19990106, 19990106, [1]).union(stray.select(*S.DAILY_COLUMNS))
+    sinks.write_daily(both, p.daily_path, "upsert")
+    il = _params(base, "IL", 19990106, 19990106, vendors=(1,))
+    assert "changed days" not in jobs.run_job(spark, il, as_of=AS_OF).rows[-1][2]
+    assert _weeks(spark, p) == _rebuilt(spark, p)
+    assert "changed days" in jobs.run_job(spark, il, as_of=AS_OF).rows[-1][2]
