@@ -36,6 +36,7 @@ from ..operators.lastvalue import (
 )
 from ..operators.rollup import build_staging, daily_agg, fact_rounded, group_agg
 from ..operators.weekly import build_weekly, build_weekly_joined, weekly_agg, weekly_with_inventory
+from ..operators.weekstate import advanced, week_states, weekly_from_states
 from ..session import scratch_path
 from ..sources import fixtures
 from ..sources.counts import counting_session
@@ -216,6 +217,22 @@ def sink_weekly_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _upsert_round_trip(spark, df, sinks.write_weekly, read_weekly, "total_units_ty", in_year)
 
 
+@query("weekly_state_upsert", O.weekly_sql())
+def weekly_state_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly from the states of a daily table with one slice wrong, after the slice's days were replaced by the true ones.
+
+    The wrong days have other sums and no positive inventory, so sums, averages and last values must all follow.
+    """
+    true = read_daily(spark, stored(spark, sf, "daily"))
+    slice_ = (F.floor(F.col(S.PERIOD) / 10000) == UPSERT_YEAR) & (F.col(S.VENDOR) == 1)
+    mended = true.where(slice_)
+    wrong = mended.withColumns(
+        {"total_units_ty": F.col("total_units_ty") + 1000.0, "osa_duration_ly": F.lit(0.5), "rs_inventory_ty": F.lit(0.0)}
+    )
+    states = week_states(true.where(~slice_).unionByName(wrong))
+    return weekly_from_states(advanced(states, wrong, mended))
+
+
 #: range of the job queries: every fact day of the test tables
 JOB_RANGE = (19950101, 20021231)
 #: what the refresh and incremental jobs are run for
