@@ -20,6 +20,8 @@ Values become doubles only at the end.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -39,23 +41,18 @@ def _c(c: Column | str) -> Column:
 
 def to_units(c: Column | str, scale: int = 2) -> Column:
     """A raw double measure → HALF_UP-rounded integer units of 10^-scale (long)."""
+    # short on purpose: eight measures must fit a method the JVM compiles (8,000 bytes of code)
     size = F.abs(_c(c))
     unit = float(10**scale)
-    near = F.rint(size * unit)
-
-    def reaches(units: Column) -> Column:
-        """1 where the value is at or above the tie below ``units``."""
-        tie = (units * 2.0 - 1.0) / (2.0 * unit)
-        return F.when(size >= tie - F.least(tie * SLACK, F.lit(MOST_SLACK / unit)), 1.0).otherwise(0.0)
-
-    # the product by 10^scale may be off by one unit of roundoff, so the units around it are tried
-    units = (near - 1.0 + reaches(near) + reaches(near + 1.0)).cast("long")
-    return F.when(_c(c) < 0, -units).otherwise(units)
+    below = (size * unit).cast("long")  # the product may be off by one unit of roundoff: the tie above decides
+    tie = (below * 2.0 + 1.0) / (2.0 * unit)
+    reaches = F.when(size >= tie - F.least(tie * SLACK, F.lit(MOST_SLACK / unit)), 1.0).otherwise(0.0)
+    return ((below + reaches) * F.signum(_c(c))).cast("long")
 
 
 def round_half_up(c: Column | str, scale: int = 2) -> Column:
     """The same rounding as :func:`to_units`, as ``decimal(18, scale)``."""
-    return (to_units(c, scale).cast(DecimalType(18, 0)) / (10**scale)).cast(DecimalType(18, scale))
+    return (to_units(c, scale).cast(DecimalType(18, 0)) * F.lit(Decimal(1).scaleb(-scale))).cast(DecimalType(18, scale))
 
 
 def stored_units(c: Column | str, scale: int) -> Column:

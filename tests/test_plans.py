@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 
+from pyspark.sql import functions as F
+
 from shelfroll import schema as S
 from shelfroll.operators.compare import build_daily, build_daily_chained, ly_bridge_full
+from shelfroll.operators.rollup import daily_agg, fact_rounded
 from shelfroll.operators.weekly import AVERAGED, LAST_VALUE, SUMMED, build_weekly, build_weekly_joined
 from shelfroll.plans import sinks
 from shelfroll.sources.partitions import partition_list
@@ -15,8 +19,12 @@ from shelfroll.sources.tables import read_daily, read_staging
 from .conftest import make_calendar, staging_rows
 
 
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan()
+
+
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return _executed(df).toString()
 
 
 def _stored_staging(spark):
@@ -32,6 +40,25 @@ def _stored_calendar(spark):
     return spark.read.schema(S.CALENDAR_SCHEMA).parquet(path)
 
 
+def test_rounding_fits_methods_the_jvm_compiles(spark):
+    """Generated methods of more than 8,000 bytes are never compiled: every row would be interpreted."""
+    measures = ", ".join(f"{m.name} double" for m in S.METRICS)
+    path = tempfile.mkdtemp(prefix="plans-") + "/fact"
+    spark.createDataFrame([(1,) * 6 + (1.5,) * len(S.METRICS)], ", ".join(f"{k} int" for k in S.K6) + ", " + measures).write.parquet(path)
+    fact = spark.read.parquet(path)
+    fine = fact.select(*S.K6, *[(fact[m.name] * 0.123457).alias(m.name) for m in S.METRICS])
+    rounded = fact_rounded(fine).select(*[F.col(m.name).cast("double").alias(m.name) for m in S.METRICS])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan has no code before it runs
+    try:
+        for df in (daily_agg(fact), fact_rounded(fact), rounded):
+            code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(_executed(df))
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", code)]
+            assert sizes and max(sizes) < 8000, sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_daily_short_form_exchanges_and_broadcast(spark):
     cal = _stored_calendar(spark)
     stg = read_staging(spark, _stored_staging(spark))
