@@ -3,7 +3,8 @@
 The job reads its inputs from storage (hive-style Parquet). To run those
 readers against the test tables, the stand-ins are written below the
 session's shared checkpoint folder (``spark.checkpoint.dir``) once per
-(session, data folder) and reused, all with the library's own sinks. Reading them back also cuts the lineage of later plans. The paths
+(session, data folder) and reused, all with the library's own sinks; daily is built from stored staging and weekly from
+stored daily, so the facts are joined and rounded once. Reading them back also cuts the lineage of later plans. The paths
 are remembered per session and data folder: the test tables are read-only, and
 a changed folder has another path.
 """
@@ -15,10 +16,14 @@ import threading
 from pyspark.sql import SparkSession
 
 from .. import schema as S
+from ..operators.calendar import calendar_window
+from ..operators.compare import build_daily
+from ..operators.weekly import build_weekly
 from ..session import scratch_path
 from ..sources import fixtures
-from ..sources.tables import dim_path
+from ..sources.tables import dim_path, read_daily, read_staging
 from . import pipeline, sinks
+from .oracle import AS_OF, YEARS
 
 # Retailer folder name of the stand-in datasets.
 RETAILER = "r1"
@@ -49,9 +54,11 @@ def _write(spark: SparkSession, sf_dir: str, what: str) -> str:
     elif what == "staging":
         sinks.write_staging(pipeline.staging(spark, sf_dir), path, "full")
     elif what == "daily":
-        sinks.write_daily(pipeline.daily(spark, sf_dir), path, "full")
+        # from stored staging, as the job builds it
+        window = calendar_window(pipeline.calendar(spark, sf_dir), AS_OF, YEARS)
+        sinks.write_daily(build_daily(read_staging(spark, stored(spark, sf_dir, "staging")), window), path, "full")
     elif what == "weekly":
-        sinks.write_weekly(pipeline.weekly(spark, sf_dir), path, "full")
+        sinks.write_weekly(build_weekly(read_daily(spark, stored(spark, sf_dir, "daily"))), path, "full")
     else:
         raise ValueError(f"unknown stand-in {what!r}")
     return path
