@@ -128,9 +128,18 @@ class Sums:
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if self.pieces:
-            every = [(self.keys, self.counts), *self.pieces]
-            self.keys, self.counts = summed(np.concatenate([k for k, _ in every]), np.concatenate([c for _, c in every]))
+            every = [[self.keys, *[k for k, _ in self.pieces]], [self.counts, *[c for _, c in self.pieces]]]
+            self.keys = self.counts = None  # each array goes as soon as the next is made: a third of the memory
             self.pieces, self.size = [], 0
+            counts, keys = np.concatenate(every.pop()), np.concatenate(every.pop())
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            counts = counts[order]
+            del order
+            new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+            self.counts = np.add.reduceat(counts, new) if len(new) else counts
+            del counts
+            self.keys = keys[new]
         return self.keys, self.counts
 
 
@@ -182,7 +191,7 @@ def word_key(word: bytes) -> int:
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(numbers.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(numbers).data)
 
 
 def _unpack(data: bytes, kind: type = np.int64) -> np.ndarray:

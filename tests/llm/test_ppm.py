@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -165,3 +166,30 @@ def test_a_long_text_and_long_word(spark):
     want = brute(rows)
     for d in (5000, 5001, 0, 7):
         assert out[d]["score"] == pytest.approx(want[d][5], rel=1e-9)
+
+
+def test_a_merge_holds_its_arrays_about_twice():
+    """A block's windows are most of a task's memory: merging them takes no more than the sorted copy and its order."""
+    n = 900_000
+    rng = np.random.default_rng(1)
+    sums, plain = ppm.Sums(), Counter()
+    tracemalloc.start()
+    try:
+        for _ in range(6):
+            keys = np.unique(rng.integers(0, 10**12, n // 6))
+            plain.update(keys[:50].tolist())
+            sums.add(keys, np.ones(len(keys), np.int64))
+        del keys
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        keys, counts = sums.merge()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak - before < 26 * n
+    assert (np.diff(keys) > 0).all() and counts.sum() >= n - 1000
+    found = dict(zip(keys.tolist(), counts.tolist(), strict=True))
+    assert all(found[k] >= c for k, c in plain.items())
+    empty = ppm.Sums()
+    empty.add(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert [len(x) for x in empty.merge()] == [0, 0]
