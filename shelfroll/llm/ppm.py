@@ -228,6 +228,13 @@ FOUND_SCHEMA = (
 )
 
 
+def _each(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The rows of a batch, one after the other: its packed arrays are not copied all at once."""
+    own = [batch.column(c) for c in columns]
+    for i in range(batch.num_rows):
+        yield tuple(x[i].as_py() for x in own)
+
+
 def _rows(schema: pa.Schema, m: int, **columns) -> pa.RecordBatch:
     """``m`` rows; a column that isn't given is null, a single number stands for all rows."""
     arrays = []
@@ -242,6 +249,7 @@ def _collect(docs: DataFrame, block_bytes: int) -> DataFrame:
     a DOCUMENT row has the streams of some documents, their ids and numbers of words. ``place`` orders a block's rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives the memory of a batch that is done back to the machine
         pack = zstandard.ZstdCompressor(level=3).compress
         partition, number = TaskContext.get().partitionId(), 0
 
@@ -430,8 +438,9 @@ def _pieces(found: DataFrame, deal: Deal, group_rows: int) -> DataFrame:
     groups = np.maximum(1, np.ceil(np.array(deal.load) / group_rows)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives the memory of a batch that is done back to the machine
         for batch in batches:
-            for block, kind, payload, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "payload", "counts")), strict=True):
+            for block, kind, payload, counts in _each(batch, "block", "kind", "payload", "counts"):
                 keys, n = _unpack_sorted(payload), _unpack(counts)
                 if not len(keys):
                     continue
@@ -454,6 +463,7 @@ def _sums(pieces: DataFrame, by: list[str]) -> DataFrame:
     """Keys and counts summed by ``by``; ``block`` is nought."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         at, held = None, Sums()
 
         def close() -> Iterator[pa.RecordBatch]:
@@ -462,7 +472,7 @@ def _sums(pieces: DataFrame, by: list[str]) -> DataFrame:
                 yield _rows(PIECE, 1, part=at[0], grp=at[1], block=0, keys=[_pack_sorted(keys)], counts=[_pack(n)])
 
         for batch in batches:
-            for part, grp, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "grp", "keys", "counts")), strict=True):
+            for part, grp, keys, counts in _each(batch, "part", "grp", "keys", "counts"):
                 now = (part, grp if "grp" in by else 0)
                 if now != at:
                     yield from close()
@@ -480,7 +490,7 @@ def _values(sums: DataFrame, deal: Deal, tables: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         below = Trie(tables[:, 0], tables[:, 1], 0)
         for batch in batches:
-            for part, packed, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts")), strict=True):
+            for part, packed, counts in _each(batch, "part", "keys", "counts"):
                 keys, n = _unpack_sorted(packed), _unpack(counts)
                 if part < deal.words:
                     trie = Trie(keys, n, 2 if part < deal.low else 3, below)
@@ -504,7 +514,7 @@ def _returned(pieces: DataFrame, values: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = found = np.zeros(0)
         for batch in batches:
-            for part, block, packed, data in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "keys", "counts")), strict=True):
+            for part, block, packed, data in _each(batch, "part", "block", "keys", "counts"):
                 if block < 0:
                     keys, found = _unpack_sorted(packed), _unpack_values(data)
                 else:
