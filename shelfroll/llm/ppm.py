@@ -48,6 +48,7 @@ from .common import LOWER, blocks, crc_mod, id_and_text, stored
 ORDER = 6
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20  # text whose windows are made together
+SLICE_KEYS = 1 << 20  # keys of a block that are looked at together
 CHUNK_BYTES = 1 << 18  # text of the documents in a row of a block
 SYMBOLS = 257  # 256 bytes and the end of the text
 END = 256
@@ -115,7 +116,9 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Sums:
-    """Keys with counts that come in pieces; pieces are merged when they have grown as large as what is merged."""
+    """Keys with counts that come in pieces; pieces are merged when they have grown half as large as what is merged.
+
+    Known keys are counted in place and new ones are put in between, so that a merge holds little beside the result."""
 
     def __init__(self):
         self.keys, self.counts, self.pieces, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
@@ -123,23 +126,32 @@ class Sums:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.pieces.append((keys, counts))
         self.size += len(keys)
-        if self.size > max(len(self.keys), 1_000_000):
+        if self.size > max(len(self.keys) // 2, 1_000_000):
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if self.pieces:
-            every = [[self.keys, *[k for k, _ in self.pieces]], [self.counts, *[c for _, c in self.pieces]]]
-            self.keys = self.counts = None  # each array goes as soon as the next is made: a third of the memory
+            every = [[k for k, _ in self.pieces], [c for _, c in self.pieces]]
             self.pieces, self.size = [], 0
-            counts, keys = np.concatenate(every.pop()), np.concatenate(every.pop())
+            counts, keys = np.concatenate(every.pop()), np.concatenate(every.pop())  # each array goes as soon as the next is made
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
             counts = counts[order]
             del order
             new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-            self.counts = np.add.reduceat(counts, new) if len(new) else counts
-            del counts
-            self.keys = keys[new]
+            counts = np.add.reduceat(counts, new) if len(new) else counts
+            keys = keys[new]
+            del new
+            if not len(self.keys):
+                self.keys, self.counts = keys, counts
+                return self.keys, self.counts
+            at = np.searchsorted(self.keys, keys)
+            known = _among(self.keys, keys)
+            self.counts[at[known]] += counts[known]
+            at, keys, counts = at[~known], keys[~known], counts[~known]
+            if len(keys):
+                self.counts = np.insert(self.counts, at, counts)
+                self.keys = np.insert(self.keys, at, keys)
         return self.keys, self.counts
 
 
@@ -228,6 +240,11 @@ FOUND_SCHEMA = (
 )
 
 
+def _give_back() -> None:
+    """What this process has freed goes back to the machine: an idle Python worker would hold its largest block's memory."""
+    pa.system_memory_pool().release_unused()
+
+
 def _each(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
     """The rows of a batch, one after the other: its packed arrays are not copied all at once."""
     own = [batch.column(c) for c in columns]
@@ -259,6 +276,8 @@ def _collect(docs: DataFrame, block_bytes: int) -> DataFrame:
                 (WINDOWS, windows.merge()), (WORDS, summed(hashes, np.fromiter(words.values(), np.int64, len(words)))),
             ):
                 yield _rows(FOUND, 1, block=partition << 32 | number, kind=kind, place=kind, n=len(keys), payload=[_pack_sorted(keys)], counts=[_pack(counts)])
+            del keys, counts
+            _give_back()
 
         windows, words, size = Sums(), Counter(), 0
         for batch, texts in blocks(batches, min(CHUNK_BYTES, block_bytes)):
@@ -374,21 +393,23 @@ def _pairs(found: DataFrame) -> DataFrame:
     symbol; pairs of windows of order one are -1 less their byte."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives the memory of a batch that is done back to the machine
         for batch in batches:
-            for payload, counts in zip(batch.column("payload").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            for payload, counts in _each(batch, "payload", "counts"):
                 keys, n = _unpack_sorted(payload), _unpack(counts)
-                context = keys >> _SYMBOL_BITS
-                pair = np.where(keys >> _ORDER_SHIFT >= 2, context & 0xFFFF, -1 - (context & 255))
-                both = pair * 512 + (keys & 511)
-                order = np.argsort(both, kind="stable")
-                both = both[order]
-                new = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
+                trained, refs = Sums(), Sums()
+                for lo in range(0, len(keys), SLICE_KEYS):
+                    some = keys[lo : lo + SLICE_KEYS]
+                    context = some >> _SYMBOL_BITS
+                    both = np.where(some >> _ORDER_SHIFT >= 2, context & 0xFFFF, -1 - (context & 255)) * 512 + (some & 511)
+                    trained.add(*summed(both, n[lo : lo + SLICE_KEYS]))
+                    refs.add(*summed(both, np.ones(len(both), np.int64)))
+                both, n = trained.merge()
                 yield pa.RecordBatch.from_pydict(
-                    {
-                        "pair": pa.array(both[new] >> 9), "symbol": pa.array(both[new] & 511),
-                        "n": pa.array(np.add.reduceat(n[order], new) if len(new) else n[:0]), "refs": pa.array(np.diff(np.append(new, len(both)))),
-                    }
-                )
+                    {"pair": pa.array(both >> 9), "symbol": pa.array(both & 511), "n": pa.array(n), "refs": pa.array(refs.merge()[1])}
+                )
+                del keys, n, payload, counts
+                _give_back()
 
     found = found.where(f"kind = {WINDOWS}").select("payload", "counts").mapInArrow(run, "pair long, symbol long, n long, refs long")
     return found.groupBy("pair", "symbol").agg(F.sum("n").alias("n"), F.sum("refs").alias("refs"))
@@ -419,6 +440,12 @@ class Deal:
         self.load = load + [math.ceil(word_refs / self.word_parts)] * self.word_parts
 
     def windows(self, keys: np.ndarray) -> np.ndarray:
+        out = np.empty(len(keys), np.int32)
+        for lo in range(0, len(keys), SLICE_KEYS):
+            out[lo : lo + SLICE_KEYS] = self._windows(keys[lo : lo + SLICE_KEYS])
+        return out
+
+    def _windows(self, keys: np.ndarray) -> np.ndarray:
         context, order = keys >> _SYMBOL_BITS, keys >> _ORDER_SHIFT
         pair = np.where(order >= 2, context & 0xFFFF, 0)
         third = np.where(order >= 3, context >> 16 & 255, 0)
@@ -426,7 +453,16 @@ class Deal:
         return np.where(order >= 2, part, 0)  # shorter ones need the broadcast tables only
 
     def word_part(self, keys: np.ndarray) -> np.ndarray:
-        return self.words + (keys >> 40) % self.word_parts
+        return (self.words + (keys >> 40) % self.word_parts).astype(np.int32)
+
+    def cut(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+        """(order of the keys by part, the parts they have, where each begins in that order, and the end)."""
+        part = self.windows(keys) if kind == WINDOWS else self.word_part(keys)
+        sizes = np.bincount(part, minlength=1)
+        own = np.flatnonzero(sizes)
+        # numbers of 16 bits are sorted by their digits
+        order = np.argsort(part.astype(np.uint16) if len(sizes) <= 1 << 16 else part, kind="stable")
+        return order, own.tolist(), [0, *np.cumsum(sizes[own]).tolist()]
 
 
 PIECE = pa.schema([("part", pa.int32()), ("grp", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -444,16 +480,14 @@ def _pieces(found: DataFrame, deal: Deal, group_rows: int) -> DataFrame:
                 keys, n = _unpack_sorted(payload), _unpack(counts)
                 if not len(keys):
                     continue
-                part = deal.windows(keys) if kind == WINDOWS else deal.word_part(keys)
-                order = np.argsort(part, kind="stable")
-                keys, n, part = keys[order], n[order], part[order]
-                cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
-                at = [(lo, hi) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
-                own = part[cuts[:-1]].astype(np.int64)
-                group = (block * 0x9E3779B1 >> 7) % groups[own]
-                yield _rows(
-                    PIECE, len(at), part=own, grp=group, block=block, keys=[_pack_sorted(keys[lo:hi]) for lo, hi in at], counts=[_pack(n[lo:hi]) for lo, hi in at]
-                )
+                order, parts, cuts = deal.cut(kind, keys)
+                for first in range(0, len(parts), 64):
+                    own = np.array(parts[first : first + 64])
+                    at = [order[cuts[i] : cuts[i + 1]] for i in range(first, first + len(own))]
+                    group = (block * 0x9E3779B1 >> 7) % groups[own]
+                    yield _rows(PIECE, len(own), part=own, grp=group, block=block, keys=[_pack_sorted(keys[x]) for x in at], counts=[_pack(n[x]) for x in at])
+                del keys, n, order, at, payload, counts
+                _give_back()
 
     rows = found.where(f"kind IN ({WINDOWS}, {WORDS})").select("block", "kind", "payload", "counts")
     return rows.mapInArrow(run, PIECE_SCHEMA)
@@ -479,6 +513,8 @@ def _sums(pieces: DataFrame, by: list[str]) -> DataFrame:
                     at, held = now, Sums()
                 held.add(_unpack_sorted(keys), _unpack(counts))
         yield from close()
+        del held
+        _give_back()
 
     return pieces.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, PIECE_SCHEMA)
 
@@ -501,6 +537,8 @@ def _values(sums: DataFrame, deal: Deal, tables: np.ndarray) -> DataFrame:
                     [pa.array([part], pa.int32()), pa.array([packed], pa.binary()), pa.array([_pack_values(found)], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])],
                     names=["part", "keys", "values", "n", "v"],
                 )
+                trie = keys = n = found = None
+                _give_back()
 
     return sums.select("part", "keys", "counts").mapInArrow(run, "part int, keys binary, values binary, n long, v long")
 
@@ -520,6 +558,8 @@ def _returned(pieces: DataFrame, values: DataFrame) -> DataFrame:
                 else:
                     out = found[np.searchsorted(keys, _unpack_sorted(packed))]
                     yield _rows(FOUND, 1, block=block, kind=3, place=2 + part, n=len(out), payload=[_pack_values(out)])
+        keys = found = out = None
+        _give_back()
 
     return both.repartition("part", "grp").sortWithinPartitions("part", "grp", "block").mapInArrow(run, FOUND_SCHEMA)
 
@@ -562,10 +602,11 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
             """The windows' and the words' values, in tables."""
             for kind in (WINDOWS, WORDS):
                 keys = held.pop(kind)
-                part = (deal.windows(keys) if kind == WINDOWS else deal.word_part(keys)).astype(np.int32)
+                order, parts, cuts = deal.cut(kind, keys)
                 found = np.zeros(len(keys))
-                for p in np.unique(part).tolist():
-                    found[part == p] = held["values"].pop(p)
+                for p, lo, hi in zip(parts, cuts[:-1], cuts[1:], strict=True):
+                    found[order[lo:hi]] = held["values"].pop(p)
+                del order
                 held["gain" if kind == WINDOWS else "count"] = Table(keys, found)
 
         for batch in batches:
@@ -581,7 +622,10 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
                     if not held["ready"]:
                         prepare()
                         held["ready"] = True
+                        _give_back()
                     yield score(batch.slice(i, 1), unpack(payload).split(b"\n"), held)
+        held = None
+        _give_back()
 
     def score(row: pa.RecordBatch, streams: list[bytes], held: dict) -> pa.RecordBatch:
         gains, bases, known = [], [], []

@@ -193,3 +193,43 @@ def test_a_merge_holds_its_arrays_about_twice():
     empty = ppm.Sums()
     empty.add(np.zeros(0, np.int64), np.zeros(0, np.int64))
     assert [len(x) for x in empty.merge()] == [0, 0]
+
+
+def test_a_merge_into_many_keys_counts_in_place():
+    """Keys a block has already are most of what comes: counting them takes little beside what is held."""
+    n = 2_000_000
+    sums = ppm.Sums()
+    sums.add(np.arange(n) * 3, np.ones(n, np.int64))
+    sums.merge()
+    more = np.arange(0, 300_000) * 6  # all known
+    tracemalloc.start()
+    try:
+        for _ in range(2):
+            sums.add(more, np.ones(len(more), np.int64))
+        sums.add(np.array([1, 4]), np.array([5, 6]))
+        keys, counts = sums.merge()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 28 * n  # the old arrays and the new ones: before, all keys were sorted again
+    assert len(keys) == n + 2 and (np.diff(keys) > 0).all() and counts.sum() == n + 600_000 + 11
+    assert dict(zip(keys[:6].tolist(), counts[:6].tolist(), strict=True)) == {0: 3, 1: 5, 3: 1, 4: 6, 6: 3, 9: 1}
+
+
+def test_keys_are_dealt_in_slices():
+    """The order of a block's keys by part takes a few bytes a key, and is that of the parts."""
+    n = 3 * ppm.SLICE_KEYS + 5
+    rng = np.random.default_rng(2)
+    keys = np.sort(6 << ppm._ORDER_SHIFT | rng.integers(0, 1 << ppm._ORDER_SHIFT, n))
+    deal = ppm.Deal({p: 100 for p in range(1 << 16)}, 10, 10_000)
+    tracemalloc.start()
+    try:
+        order, parts, cuts = deal.cut(ppm.WINDOWS, keys)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 45 * n
+    part = deal.windows(keys)
+    assert parts == np.unique(part).tolist() and cuts[0] == 0 and cuts[-1] == n
+    for p, lo, hi in list(zip(parts, cuts[:-1], cuts[1:], strict=True))[:20]:
+        assert (order[lo:hi] == np.flatnonzero(part == p)).all()
