@@ -1,6 +1,8 @@
 """The three stages wired over the stand-in inputs (used by queries and bench).
 
-Nothing is collected. The calendar is written once per session and test folder
+Nothing is collected. Plans that need staging twice (this year and last year) take it
+from a flat table in the shared scratch folder, so that the facts are joined and
+aggregated once. The calendar is written once per session and test folder
 (see ``stored.py``): it is derived from the fact dates, and as a small Parquet
 file the planner knows its size and broadcasts it. The calendar window is the
 fixture's (as-of 2001-12-31, three years), see FIXTURES.md.
@@ -14,6 +16,7 @@ from ..operators.calendar import calendar_window
 from ..operators.compare import build_daily, build_daily_chained
 from ..operators.rollup import build_staging
 from ..operators.weekly import build_weekly, build_weekly_joined
+from ..session import scratch_path
 from ..sources import fixtures
 from ..sources.tables import read_calendar
 from .oracle import AS_OF, YEARS
@@ -40,10 +43,17 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_staging(fact, cal)
 
 
+def staging_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging computed here and now, into a new flat table: for plans that read it more than once."""
+    rows = staging(spark, sf_dir)
+    path = scratch_path(spark, "staging-rows")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def daily(spark: SparkSession, sf_dir: str, chained: bool = False, strategy: str = "join") -> DataFrame:
-    fact, cal = inputs(spark, sf_dir)
-    stg = build_staging(fact, cal)
-    window = calendar_window(cal, AS_OF, YEARS)
+    stg = staging_once(spark, sf_dir)
+    window = calendar_window(calendar(spark, sf_dir), AS_OF, YEARS)
     return build_daily_chained(stg, window) if chained else build_daily(stg, window, strategy=strategy)
 
 

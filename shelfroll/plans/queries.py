@@ -384,17 +384,17 @@ query(
     O.with_staging("SELECT retailer_key, vendor_key, ly_period_key AS period_key, item_key, store_key, osa_type_key FROM stg"),
 )(lambda spark, sf: ly_bridge(pipeline.staging(spark, sf)))
 
-query("ly_bridge_full", O.with_chained(O.LY_BRIDGE_FULL_SELECT))(lambda spark, sf: ly_bridge_full(pipeline.staging(spark, sf)))
+query("ly_bridge_full", O.with_chained(O.LY_BRIDGE_FULL_SELECT))(lambda spark, sf: ly_bridge_full(pipeline.staging_once(spark, sf)))
 
 query("zero_fill", O.with_chained(O.LY_BRIDGE_FULL_ZERO_SELECT))(
-    lambda spark, sf: zero_fill(ly_bridge_full(pipeline.staging(spark, sf)), S.LY_METRICS)
+    lambda spark, sf: zero_fill(ly_bridge_full(pipeline.staging_once(spark, sf)), S.LY_METRICS)
 )
 
 
 @query("key_fallback", O.with_chained(O.KEY_FALLBACK_SELECT))
 def key_fallback_q(spark: SparkSession, sf: str) -> DataFrame:
     """Chained TY ⟗ LY keys: blank/null TY day and week fall back to the calendar's."""
-    stg = pipeline.staging(spark, sf)
+    stg = pipeline.staging_once(spark, sf)
     ly = ly_bridge_full(stg).join(calendar_alias(_window(spark, sf)), S.LY_PERIOD, "inner")
     ty = stg.select(*S.K6, S.WEEK_ENDED, S.LY_PERIOD)
     j = salted_outer_join(ty, ly.select(S.LY_PERIOD, *S.K5, "x_period_key", S.X_WEEK_ENDED), [S.LY_PERIOD] + S.K5)
