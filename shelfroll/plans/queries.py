@@ -242,7 +242,9 @@ _JOB_CLOCK = dt.datetime(2001, 12, 31, 6, 0, 0)
 
 
 def _job(spark: SparkSession, sf: str, load_type: str, bounds=JOB_RANGE, vendors=(0, 1, 2), fact: str | None = None, out: str | None = None) -> JobParams:
-    fact_dir = fact or stored(spark, sf, "fact")
+    dims = stored(spark, sf, "dims")
+    # refreshes start from staging and read no facts: they get a base without any
+    fact_dir = fact or (stored(spark, sf, "fact") if load_type in ("FL", "IL") else f"{dims}/{RETAILER}/{SUBJECT}/")
     osa_base = fact_dir.rstrip("/")[: -len(f"/{RETAILER}/{SUBJECT}")]
     return JobParams(
         aggregate_base_uri=out or scratch_path(spark, "job"),
@@ -252,7 +254,7 @@ def _job(spark: SparkSession, sf: str, load_type: str, bounds=JOB_RANGE, vendors
         vendors=list(vendors),
         job_id=1,
         fact_base_uri=osa_base,
-        dim_base_uri=stored(spark, sf, "dims"),
+        dim_base_uri=dims,
         calendar_id="c1",
         osa_fact_base_uri=osa_base,
         subject=SUBJECT,

@@ -7,7 +7,11 @@ from unittest.mock import MagicMock
 import pytest
 
 from shelfroll.plans import oracle as O
+from shelfroll.plans import pipeline
 from shelfroll.plans import queries as Q
+from shelfroll.plans import stored as ST
+
+from .conftest import SF_SMALL
 
 
 @pytest.mark.parametrize("name, sql", [("job_incremental_load", O.daily_sql()), ("job_incremental_refresh", O.weekly_sql())])
@@ -30,3 +34,32 @@ def test_inputs_are_whole(spark, monkeypatch, name):
     assert all(len(c.args) == 2 and not c.kwargs for fake in readers.values() for c in fake.call_args_list)
     loads = [(p.start, p.end) for p in ran if p.load_type == "FL"]
     assert all(bounds == Q.JOB_RANGE for bounds in loads)
+
+
+@pytest.mark.parametrize("name", ["job_full_refresh", "job_incremental_refresh"])
+def test_refreshes_store_no_facts(spark, monkeypatch, name):
+    """A refresh reads staging alone; writing the facts for it would join the whole tables once more."""
+    asked = []
+    for r in ("read_staging", "read_daily", "read_weekly", "sinks", "pipeline"):
+        monkeypatch.setattr(Q, r, MagicMock())
+    monkeypatch.setattr(Q, "stored", lambda spark, sf, what: asked.append(what) or f"/x/{what}")
+    monkeypatch.setattr(Q, "_run", lambda spark, params: params)
+    Q.REGISTRY[name][0](spark, "/x")
+    assert "fact" not in asked and "staging" in asked
+
+
+@pytest.mark.parametrize("name", ["inventory_sorted", "daily_ty_ly_chained", "key_fallback", "zero_fill"])
+def test_facts_are_joined_once(spark, name):
+    """This year and last year both come from one staging table: the plan of the result reads no fact table."""
+    assert not [f for f in Q.REGISTRY[name][0](spark, SF_SMALL).inputFiles() if "lineitem" in f or "orders" in f]
+
+
+def test_stored_stages_do_not_read_the_files_of_the_stage_before(spark, monkeypatch):
+    """Daily and weekly come from flat rows, whatever lies in the partitioned datasets."""
+    monkeypatch.setattr(ST, "_PATHS", {})
+    window = pipeline.calendar_window(pipeline.calendar(spark, SF_SMALL), O.AS_OF, O.YEARS)
+    want = pipeline.build_daily(pipeline.staging(spark, SF_SMALL), window).select(*Q.S.DAILY_COLUMNS)
+    daily = Q.read_daily(spark, ST.stored(spark, SF_SMALL, "daily"))
+    assert Q.read_weekly(spark, ST.stored(spark, SF_SMALL, "weekly")).count()
+    assert "staging" not in {k[2] for k in ST._PATHS}
+    assert daily.exceptAll(want).isEmpty() and want.exceptAll(daily).isEmpty()
