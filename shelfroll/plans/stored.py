@@ -3,8 +3,9 @@
 The job reads its inputs from storage (hive-style Parquet). To run those
 readers against the test tables, the stand-ins are written below the
 session's shared checkpoint folder (``spark.checkpoint.dir``) once per
-(session, data folder) and reused, all with the library's own sinks; daily is built from stored staging and weekly from
-stored daily, so the facts are joined and rounded once. Reading them back also cuts the lineage of later plans. The paths
+(session, data folder) and reused, all with the library's own sinks. Staging and daily rows are kept flat as well: daily
+is built from the flat staging and weekly from the flat daily, so the facts are joined and rounded once and no stage
+opens the thousands of files of the one before. Reading them back also cuts the lineage of later plans. The paths
 are remembered per session and data folder: the test tables are read-only, and
 a changed folder has another path.
 """
@@ -13,7 +14,8 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..operators.calendar import calendar_window
@@ -21,7 +23,7 @@ from ..operators.compare import build_daily
 from ..operators.weekly import build_weekly
 from ..session import scratch_path
 from ..sources import fixtures
-from ..sources.tables import dim_path, read_daily, read_staging
+from ..sources.tables import dim_path
 from . import pipeline, sinks
 from .oracle import AS_OF, YEARS
 
@@ -51,19 +53,28 @@ def _write(spark: SparkSession, sf_dir: str, what: str) -> str:
             ("osa_class", fixtures.dim_osa_class),
         ):
             build(spark, sf_dir).write.mode("overwrite").parquet(dim_path(path, RETAILER, dim))
+    elif what == "staging_rows":
+        pipeline.staging(spark, sf_dir).select(*S.STAGING_COLUMNS).write.parquet(path)
     elif what == "staging":
-        sinks.write_staging(pipeline.staging(spark, sf_dir), path, "full")
-    elif what == "daily":
-        # from stored staging, as the job builds it
+        sinks.write_rows(_flat(spark, sf_dir, "staging_rows", S.STAGING_SCHEMA), path, S.DAILY_PARTITIONS, "full")
+    elif what == "daily_rows":
         window = calendar_window(pipeline.calendar(spark, sf_dir), AS_OF, YEARS)
-        sinks.write_daily(build_daily(read_staging(spark, stored(spark, sf_dir, "staging")), window), path, "full")
+        daily = build_daily(_flat(spark, sf_dir, "staging_rows", S.STAGING_SCHEMA), window)
+        daily.select(*S.DAILY_COLUMNS).write.parquet(path)
+    elif what == "daily":
+        sinks.write_rows(_flat(spark, sf_dir, "daily_rows", S.DAILY_SCHEMA), path, S.DAILY_PARTITIONS, "full")
     elif what == "weekly":
-        sinks.write_weekly(build_weekly(read_daily(spark, stored(spark, sf_dir, "daily"))), path, "full")
+        sinks.write_weekly(build_weekly(_flat(spark, sf_dir, "daily_rows", S.DAILY_SCHEMA)), path, "full")
     else:
         raise ValueError(f"unknown stand-in {what!r}")
     return path
 
 
+def _flat(spark: SparkSession, sf_dir: str, what: str, schema: StructType) -> DataFrame:
+    """The flat rows a stage's partitioned dataset is written from."""
+    return spark.read.schema(schema).parquet(stored(spark, sf_dir, what)).select(*[f.name for f in schema.fields])
+
+
 def stored(spark: SparkSession, sf_dir: str, what: str) -> str:
     """Path of the stand-in dataset ``what`` for ``sf_dir`` (written on first use)."""
     k = _key(spark, sf_dir, what)
