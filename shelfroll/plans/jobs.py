@@ -86,7 +86,10 @@ def _load_staging(spark: SparkSession, params: JobParams, calendar: DataFrame, s
 def _load_daily(
     spark: SparkSession, params: JobParams, window: DataFrame, calendar: DataFrame, scope: JobScope, mode: str, log: RunLog, states: str
 ) -> bool:
-    """True where the states of the job's weeks were made from the changed days; they are then at ``states``."""
+    """True where the states of the job's weeks were made from the changed days; they are then at ``states``.
+
+    A full load replaces daily, so the rows it writes are all rows of its weeks: its states are made from them too,
+    before they are dealt to thousands of files."""
     log.add(f"Daily {mode} started", IN_PROGRESS)
     # upserts rebuild only the job's vendors (other vendors' partitions are
     # untouched); full loads replace the dataset and so cover every vendor
@@ -99,6 +102,8 @@ def _load_daily(
     with sinks.spooled(daily.select(*S.DAILY_COLUMNS)) as rows:
         if follows:
             follows = weekstates.follow(spark, params, scope, _own_weeks(params, calendar, scope), rows, states)
+        elif mode == "full":
+            week_states(rows.where(within(scope.weeks))).write.parquet(states)
         done = sinks.write_rows(rows, params.daily_path, S.DAILY_PARTITIONS, mode, own)
     log.add(f"Daily {mode} done for {scope.daily}: {done.rows} rows{_removed(done, 'rows')}")
     return follows
@@ -113,12 +118,11 @@ def _own_weeks(params: JobParams, calendar: DataFrame, scope: JobScope) -> Colum
 def _load_weekly(
     spark: SparkSession, params: JobParams, calendar: DataFrame, scope: JobScope, mode: str, log: RunLog, states: str, follows: bool
 ) -> None:
-    """States first, then weekly from them. ``follows``: ``states`` has them already, from the changed days; otherwise
-    they are made from whole weeks of the daily table."""
+    """States first, then weekly from them. ``states`` has them already after a full load, and where ``follows`` is true,
+    from the changed days; otherwise they are made from whole weeks of the daily table."""
     log.add(f"Weekly {mode} started", IN_PROGRESS)
-    if not follows:
-        vendors = params.vendors if mode == "upsert" else None
-        daily = read_daily(spark, params.daily_path, vendors=vendors).where(within(scope.weeks))
+    if mode == "upsert" and not follows:
+        daily = read_daily(spark, params.daily_path, vendors=params.vendors).where(within(scope.weeks))
         week_states(daily).write.parquet(states)
     rows = spark.read.schema(STATE_SCHEMA).parquet(states)
     own = _own_weeks(params, calendar, scope) if mode == "upsert" else None

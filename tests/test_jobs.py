@@ -436,3 +436,13 @@ def test_states_that_do_not_match_daily_are_not_used(spark):
     assert "changed days" not in jobs.run_job(spark, il, as_of=AS_OF).rows[-1][2]
     assert _weeks(spark, p) == _rebuilt(spark, p)
     assert "changed days" in jobs.run_job(spark, il, as_of=AS_OF).rows[-1][2]
+
+
+def test_a_full_load_makes_weekly_from_the_rows_it_writes(spark, monkeypatch):
+    """The daily rows are at hand: their thousands of files are not opened again, and weekly equals a rebuild."""
+    base = _setup(spark)
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "read_daily", lambda *a, **k: 1 / 0)
+        p = _params(base, "FL", 19990101, 20001231)
+        jobs.run_job(spark, p, as_of=AS_OF)
+    assert _weeks(spark, p) == _rebuilt(spark, p)
