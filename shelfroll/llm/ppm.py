@@ -49,6 +49,7 @@ ORDER = 6
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20  # text whose windows are made together
 SLICE_KEYS = 1 << 20  # keys of a block that are looked at together
+MERGE_KEYS = 1 << 19  # keys that wait to be merged into those held, a quarter of what is held at least
 CHUNK_BYTES = 1 << 18  # text of the documents in a row of a block
 SYMBOLS = 257  # 256 bytes and the end of the text
 END = 256
@@ -116,7 +117,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Sums:
-    """Keys with counts that come in pieces; pieces are merged when they have grown half as large as what is merged.
+    """Keys with counts that come in pieces; pieces are merged when they have grown a quarter as large as what is merged.
 
     Known keys are counted in place and new ones are put in between, so that a merge holds little beside the result."""
 
@@ -126,7 +127,7 @@ class Sums:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.pieces.append((keys, counts))
         self.size += len(keys)
-        if self.size > max(len(self.keys) // 2, 1_000_000):
+        if self.size > max(len(self.keys) // 4, MERGE_KEYS):
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -154,24 +155,30 @@ class Sums:
                 self.keys = np.insert(self.keys, at, keys)
         return self.keys, self.counts
 
+    def drain(self) -> tuple[np.ndarray, np.ndarray]:
+        """What is merged; nothing is held after it."""
+        out, self.keys, self.counts = self.merge(), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return out
+
 
 class Table:
-    """Values of distinct numbers of nought and more: a hash table with open addressing, filled and read in whole arrays."""
+    """Values of distinct numbers: a hash table with open addressing, filled and read in whole arrays. A slot holds the
+    place of its key, so that keys and values stay in the arrays they came in."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(1.4 * len(keys)).bit_length())
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        self.keys, self.values = keys, values
+        self.places = np.full(1 << self.bits, -1, np.int32 if len(keys) < 1 << 31 else np.int64)
         for lo in range(0, len(keys), 1 << 18):
-            self._fill(keys[lo : lo + (1 << 18)], values[lo : lo + (1 << 18)])
+            self._fill(np.arange(lo, min(lo + (1 << 18), len(keys)), dtype=self.places.dtype))
 
-    def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
-        slot = self._slot(keys)
-        while len(keys):
-            free = self.keys[slot] == -1
-            self.keys[slot[free]] = keys[free]  # of several keys for a slot the last one stays
-            mine = self.keys[slot] == keys
-            self.values[slot[mine]] = values[mine]
-            keys, values, slot = keys[~mine], values[~mine], (slot[~mine] + 1) & ((1 << self.bits) - 1)
+    def _fill(self, place: np.ndarray) -> None:
+        slot = self._slot(self.keys[place])
+        while len(place):
+            free = self.places[slot] == -1
+            self.places[slot[free]] = place[free]  # of several keys for a slot the last one stays
+            other = self.places[slot] != place
+            place, slot = place[other], (slot[other] + 1) & ((1 << self.bits) - 1)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -179,11 +186,13 @@ class Table:
     def of(self, keys: np.ndarray) -> np.ndarray:
         """Values of ``keys``, all of which are in the table."""
         slot = self._slot(keys)
-        missed = np.flatnonzero(self.keys[slot] != keys)
+        place = self.places[slot]
+        missed = np.flatnonzero(self.keys[place] != keys)
         while len(missed):
             slot[missed] = (slot[missed] + 1) & ((1 << self.bits) - 1)
-            missed = missed[self.keys[slot[missed]] != keys[missed]]
-        return self.values[slot]
+            place[missed] = self.places[slot[missed]]
+            missed = missed[self.keys[place[missed]] != keys[missed]]
+        return self.values[place]
 
 
 def sliced(streams: list[bytes]) -> Iterator[list[bytes]]:
@@ -270,30 +279,30 @@ def _collect(docs: DataFrame, block_bytes: int) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3).compress
         partition, number = TaskContext.get().partitionId(), 0
 
-        def close(windows: Sums, words: Counter) -> Iterator[pa.RecordBatch]:
-            hashes = np.fromiter(map(word_key, words), np.int64, len(words))
-            for kind, (keys, counts) in (
-                (WINDOWS, windows.merge()), (WORDS, summed(hashes, np.fromiter(words.values(), np.int64, len(words)))),
-            ):
+        def close(windows: Sums, words: Sums) -> Iterator[pa.RecordBatch]:
+            for kind, held in ((WINDOWS, windows), (WORDS, words)):
+                keys, counts = held.drain()
                 yield _rows(FOUND, 1, block=partition << 32 | number, kind=kind, place=kind, n=len(keys), payload=[_pack_sorted(keys)], counts=[_pack(counts)])
             del keys, counts
             _give_back()
 
-        windows, words, size = Sums(), Counter(), 0
+        windows, words, size = Sums(), Sums(), 0
         for batch, texts in blocks(batches, min(CHUNK_BYTES, block_bytes)):
             mine = sum([len(t or b"") for t in texts])
             if size and size + mine > block_bytes:
                 yield from close(windows, words)
-                windows, words, size, number = Sums(), Counter(), 0, number + 1
+                windows, words, size, number = Sums(), Sums(), 0, number + 1
             held_out = [bool(h) for h in batch.column("held_out").to_pylist()]
             streams, counts = zip(*map(stream, texts), strict=True)
+            seen: Counter = Counter()  # words themselves are kept for these documents only
             for out in (False, True):  # documents to learn from, then the others
                 own = [x for x, h in zip(streams, held_out, strict=True) if h == out]
                 for some in sliced(own):
                     keys = windows_of(some)[0]
                     windows.add(*counted(*((keys[:0], keys) if out else (keys, keys[:0]))))
                 for x in own:
-                    words.update(dict.fromkeys(x.split(), 0) if out else x.split())
+                    seen.update(dict.fromkeys(x.split(), 0) if out else x.split())
+            words.add(np.fromiter(map(word_key, seen), np.int64, len(seen)), np.fromiter(seen.values(), np.int64, len(seen)))
             size += max(mine, 1)
             yield _rows(
                 FOUND, 1, block=partition << 32 | number, kind=DOCUMENT, place=1 << 30, payload=[pack(b"\n".join(streams))],
@@ -493,54 +502,58 @@ def _pieces(found: DataFrame, deal: Deal, group_rows: int) -> DataFrame:
     return rows.mapInArrow(run, PIECE_SCHEMA)
 
 
+def _summed(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(part, group, keys, counts), summed by ``by``, of pieces in that order; a group that isn't in ``by`` is nought."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives the memory of a batch that is done back to the machine
+    at, held = None, Sums()
+    for batch in batches:
+        for part, grp, keys, counts in _each(batch, "part", "grp", "keys", "counts"):
+            now = (part, grp if "grp" in by else 0)
+            if now != at:
+                if at is not None:
+                    yield *at, *held.drain()
+                at, held = now, Sums()
+            held.add(_unpack_sorted(keys), _unpack(counts))
+    if at is not None:
+        yield *at, *held.drain()
+
+
 def _sums(pieces: DataFrame, by: list[str]) -> DataFrame:
     """Keys and counts summed by ``by``; ``block`` is nought."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())
-        at, held = None, Sums()
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if at is not None:
-                keys, n = held.merge()
-                yield _rows(PIECE, 1, part=at[0], grp=at[1], block=0, keys=[_pack_sorted(keys)], counts=[_pack(n)])
-
-        for batch in batches:
-            for part, grp, keys, counts in _each(batch, "part", "grp", "keys", "counts"):
-                now = (part, grp if "grp" in by else 0)
-                if now != at:
-                    yield from close()
-                    at, held = now, Sums()
-                held.add(_unpack_sorted(keys), _unpack(counts))
-        yield from close()
-        del held
-        _give_back()
+        for part, grp, keys, n in _summed(batches, by):
+            yield _rows(PIECE, 1, part=part, grp=grp, block=0, keys=[_pack_sorted(keys)], counts=[_pack(n)])
+            keys = n = None
+            _give_back()
 
     return pieces.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, PIECE_SCHEMA)
 
 
-def _values(sums: DataFrame, deal: Deal, tables: np.ndarray) -> DataFrame:
-    """(part, keys, values, n, v): the log10 probability of each window, the count of each word; the sum of the counts
-    and the number of keys with one. ``tables``: rows (key, n) of the shared tables of low order."""
+def _values(pieces: DataFrame, deal: Deal, tables: np.ndarray) -> DataFrame:
+    """(part, keys, values, n, v) of the sums of ``pieces``: the log10 probability of each window, the count of each word;
+    the sum of the counts and the number of keys with one. ``tables``: rows (key, n) of the shared tables of low order.
+
+    Summing and looking up are one pass: a task with two passes would keep two Python workers, and their memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         below = Trie(tables[:, 0], tables[:, 1], 0)
-        for batch in batches:
-            for part, packed, counts in _each(batch, "part", "keys", "counts"):
-                keys, n = _unpack_sorted(packed), _unpack(counts)
-                if part < deal.words:
-                    trie = Trie(keys, n, 2 if part < deal.low else 3, below)
-                    found = np.concatenate([np.zeros(0), *(trie.log10(keys[lo : lo + 200_000]) for lo in range(0, len(keys), 200_000))])
-                else:
-                    found = n.astype(np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([packed], pa.binary()), pa.array([_pack_values(found)], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])],
-                    names=["part", "keys", "values", "n", "v"],
-                )
-                trie = keys = n = found = None
-                _give_back()
+        for part, _, keys, n in _summed(batches, ["part"]):
+            if part < deal.words:
+                trie = Trie(keys, n, 2 if part < deal.low else 3, below)
+                found = np.concatenate([np.zeros(0), *(trie.log10(keys[lo : lo + 200_000]) for lo in range(0, len(keys), 200_000))])
+            else:
+                found = n.astype(np.float64)
+            trie = None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([_pack_sorted(keys)], pa.binary()), pa.array([_pack_values(found)], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])],
+                names=["part", "keys", "values", "n", "v"],
+            )
+            keys = n = found = None
+            _give_back()
 
-    return sums.select("part", "keys", "counts").mapInArrow(run, "part int, keys binary, values binary, n long, v long")
+    dealt = pieces.repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "part int, keys binary, values binary, n long, v long")
 
 
 def _returned(pieces: DataFrame, values: DataFrame) -> DataFrame:
@@ -581,8 +594,7 @@ def scores(docs: DataFrame, held_out, block_bytes: int = BLOCK_BYTES) -> DataFra
     low = pairs.where("n > 0").groupBy(hot.alias("hot"), F.when(hot, F.col("pair")).otherwise(byte).alias("context"), "symbol").agg(F.sum("n").alias("n")).collect()
     tables = np.array([((2 if r.hot else 1) << _ORDER_SHIFT | r.context << _SYMBOL_BITS | r.symbol, r.n) for r in low], np.int64).reshape(-1, 2)
     pieces = _pieces(found, deal, GROUP_ROWS)
-    sums = _sums(_sums(pieces, ["part", "grp"]), ["part"])
-    values = stored(_values(sums, deal, tables), "values")
+    values = stored(_values(_sums(pieces, ["part", "grp"]), deal, tables), "values")
     total = values.where(F.col("part") >= deal.words).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     ends = rows.where(~F.col("held_out")).count()
     n_train = int(total.n or 0) + ends

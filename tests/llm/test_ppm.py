@@ -233,3 +233,37 @@ def test_keys_are_dealt_in_slices():
     assert parts == np.unique(part).tolist() and cuts[0] == 0 and cuts[-1] == n
     for p, lo, hi in list(zip(parts, cuts[:-1], cuts[1:], strict=True))[:20]:
         assert (order[lo:hi] == np.flatnonzero(part == p)).all()
+
+
+def test_a_table_keeps_keys_and_values_where_they_are():
+    """A slot is the place of its key: beside the arrays it came in, a table takes at most 12 bytes a key."""
+    n = 1 << 20
+    keys = np.random.default_rng(7).permutation(np.arange(n) * 1_000_003)
+    values = np.arange(n) / 3
+    tracemalloc.start()
+    try:
+        table = ppm.Table(keys, values)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 12 * n
+    wanted = np.random.default_rng(8).integers(0, n, 100_000)
+    assert (table.of(keys[wanted]) == values[wanted]).all() and (table.of(keys[-1:]) == values[-1:]).all()
+
+
+def test_sums_and_values_are_one_pass(spark):
+    """A task with two passes keeps two Python workers: the groups of a part are summed where its values are looked up."""
+    deal = ppm.Deal({5: 10}, 10, 100)
+    packed = lambda keys, n: (bytearray(ppm._pack_sorted(np.array(keys))), bytearray(ppm._pack(np.array(n))))
+    rows = [(deal.words, 0, 0, *packed([3, 8], [1, 0])), (deal.words, 1, 0, *packed([3, 9], [4, 2]))]
+    out = ppm._values(spark.createDataFrame(rows, ppm.PIECE_SCHEMA), deal, np.zeros((0, 2), np.int64))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    (row,) = out.collect()
+    assert ppm._unpack_sorted(bytes(row["keys"])).tolist() == [3, 8, 9] and ppm._unpack_values(bytes(row["values"])).tolist() == [5, 0, 2]
+    assert (row["n"], row["v"]) == (7, 2)
+
+
+def test_drained_sums_hold_nothing():
+    sums = ppm.Sums()
+    sums.add(np.array([1, 2]), np.array([3, 4]))
+    assert [x.tolist() for x in sums.drain()] == [[1, 2], [3, 4]] and [len(x) for x in sums.merge()] == [0, 0]
